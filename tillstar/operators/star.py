@@ -40,9 +40,21 @@ class Star:
 # ---------------------------------------------------------------- dim_date
 def build_dim_date(spark: SparkSession, start: str | _dt.date, end: str | _dt.date) -> DataFrame:
     """One row per day in [start, end]; calendar attributes, ISO week and weekday."""
-    days = spark.range(1).select(
-        F.explode(F.sequence(F.lit(str(start)).cast("date"), F.lit(str(end)).cast("date"),
-                             F.expr("INTERVAL 1 DAY"))).alias("full_date"))
+    bounds = spark.range(1).select(F.lit(str(start)).cast("date").alias("_start"),
+                                   F.lit(str(end)).cast("date").alias("_end"))
+    return build_calendar(bounds)
+
+
+def calendar_bounds_of(df: DataFrame, date_col: str) -> DataFrame:
+    """One-row frame: first day of the first year to last day of the last year of ``date_col``."""
+    b = df.agg(F.min(F.col(date_col).cast("date")).alias("_lo"), F.max(F.col(date_col).cast("date")).alias("_hi"))
+    return b.select(F.trunc("_lo", "year").alias("_start"),
+                    F.make_date(F.year("_hi"), F.lit(12), F.lit(31)).alias("_end"))
+
+
+def build_calendar(bounds: DataFrame) -> DataFrame:
+    """Calendar rows for a one-row (_start, _end) frame. Size: days in the range."""
+    days = bounds.select(F.explode(F.sequence("_start", "_end", F.expr("INTERVAL 1 DAY"))).alias("full_date"))
     d = F.col("full_date")
     dow = iso_day_of_week(d)
     return days.select(

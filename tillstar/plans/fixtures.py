@@ -144,9 +144,11 @@ def fx_tx(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _with_orders(latest, load(spark, sf_dir, "orders"))
 
 
-def stg_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """fx_tx in the shape of the raw text staging table (natural ids, text values)."""
-    t = fx_tx(spark, sf_dir)
+def stg_transactions(spark: SparkSession, sf_dir: str, dedup: bool = True) -> DataFrame:
+    """fx_tx in the shape of the raw text staging table (natural ids, text values).
+
+    ``dedup=False`` keeps every version (what a load without the nightly dedup sees)."""
+    t = fx_tx(spark, sf_dir) if dedup else fx_tx_raw(spark, sf_dir)
     n = F.broadcast(fx_node(spark).select("node_key", "node_id"))
     natural = lambda c: F.when(F.col(c) != -1, _s(F.col(c)))  # noqa: E731 - -1 means "none"
     return t.join(n, "node_key").select(
@@ -201,3 +203,124 @@ def event_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.date_format(F.col("ts"), "HH:mm:ss").alias("transaction_time"),
         F.hour(F.col("ts")).alias("tx_hour"),
     )
+
+
+# ---------------------------------------------------------------- text staging of the dimensions
+def _pad(c) -> F.Column:
+    """Surround text with blanks (exercises trimming)."""
+    return F.concat(F.lit(" "), c, F.lit("  "))
+
+
+def stg_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users in the staging shape: text columns, blank = empty, padded names."""
+    u = fx_user(spark, sf_dir)
+    blank = F.lit("")
+    none = F.lit(None).cast("string")
+    return u.select(
+        F.col("user_id").alias("id"),
+        F.col("nni"), none.alias("first_name"), none.alias("last_name"), _pad(F.col("full_name")).alias("full_name"),
+        none.alias("gender"), none.alias("birth_date"), none.alias("ethnicity"),
+        F.col("phone"), F.coalesce(F.col("email"), blank).alias("email"),
+        F.col("wilaya_id").cast("int").alias("wilaya_id"), F.col("wilaya_name"),
+        F.lit(None).cast("int").alias("moughataa_id"), blank.alias("moughataa_name"),
+        F.col("profile_type"), blank.alias("kyc_level"), F.col("status"), none.alias("device_type"),
+        F.date_format("registration_date", "yyyy-MM-dd").alias("registration_date"),
+        none.alias("last_login"), none.alias("created_at"), none.alias("updated_at"))
+
+
+def stg_merchants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = load(spark, sf_dir, "part")
+    k = F.col("p_partkey")
+    blank = F.lit("")
+    none = F.lit(None).cast("string")
+    return p.select(
+        k.alias("id"), F.concat(F.lit("M"), _s(k)).alias("code"), blank.alias("mcc"), _pad(F.col("p_name")).alias("name"),
+        F.col("p_brand").alias("category_code"), F.col("p_type").alias("category_label"),
+        *[none.alias(c) for c in ("owner_first_name", "owner_last_name", "owner_full_name", "owner_gender",
+                                  "owner_ethnicity", "phone", "email")],
+        F.lit(None).cast("int").alias("wilaya_id"), none.alias("wilaya_name"),
+        F.lit(None).cast("int").alias("moughataa_id"), blank.alias("moughataa_name"),
+        none.alias("address"), none.alias("latitude"), none.alias("longitude"),
+        F.format_string("%.4f", (F.col("p_size") % 10).cast("double") / 100).alias("commission_rate"),
+        none.alias("avg_transaction_min"), none.alias("avg_transaction_max"),
+        F.when(F.col("p_size") % 8 == 0, "INACTIVE").otherwise("ACTIVE").alias("status"),
+        blank.alias("registration_date"), none.alias("created_at"), none.alias("updated_at"))
+
+
+def stg_agencies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = load(spark, sf_dir, "supplier")
+    n = F.broadcast(load(spark, sf_dir, "nation"))
+    k = F.col("s_suppkey")
+    none = F.lit(None).cast("string")
+    return s.join(n, s["s_nationkey"] == n["n_nationkey"]).select(
+        k.alias("id"), F.concat(F.lit("A"), _s(k)).alias("code"), _pad(F.col("s_name")).alias("name"),
+        F.col("n_nationkey").alias("wilaya_id"), F.col("n_name").alias("wilaya_name"),
+        F.lit(None).cast("int").alias("moughataa_id"), F.lit("  ").alias("moughataa_name"),
+        none.alias("address"), none.alias("latitude"), none.alias("longitude"), none.alias("phone"),
+        none.alias("email"), F.lit("08:00-18:00").alias("opening_hours"), F.lit("ACTIVE").alias("status"),
+        F.when(k % 3 == 0, "GOLD").when(k % 3 == 1, "SILVER").otherwise("BRONZE").alias("tier"),
+        _s(F.col("s_acctbal")).alias("float_balance"), none.alias("max_float"), none.alias("license_number"),
+        none.alias("license_expiry"), none.alias("created_at"), none.alias("updated_at"))
+
+
+def stg_transactions_with_defects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Staging transactions with injected defects: unparsable amount (id % 97 = 0),
+    unparsable date (id % 89 = 0), unknown node (id % 83 = 0)."""
+    t = stg_transactions(spark, sf_dir)
+    i = F.col("id")
+    return t.withColumns({
+        "amount": F.when(i % 97 == 0, F.lit("N/A")).otherwise(F.col("amount")),
+        "transaction_date": F.when(i % 89 == 0, F.lit("2001-02-30x")).otherwise(F.col("transaction_date")),
+        "node_id": F.when(i % 83 == 0, F.lit("NKC-NODE-9")).otherwise(F.col("node_id")),
+    })
+
+
+def node_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-node totals reported by the replication nodes: staging amounts per node,
+    node 1 off by 1300.88 (the deliberate ledger gap)."""
+    t = stg_transactions(spark, sf_dir)
+    per = t.groupBy("node_id").agg(F.sum(F.col("amount").cast(MONEY)).alias("ledger_total"))
+    return per.withColumn("ledger_total", F.when(F.col("node_id") == "NDB-NODE-1",
+                                                 F.col("ledger_total") + F.lit(1300.88).cast(MONEY))
+                          .otherwise(F.col("ledger_total")))
+
+
+def fee_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One fee row per transaction with a fee, except ids that are multiples of 101
+    (missing from the ledger)."""
+    t = fx_tx(spark, sf_dir)
+    return (t.filter((F.col("fee") > 0) & (F.col("tx_id") % 101 != 0))
+            .select(F.col("tx_id").alias("transaction_id"), F.col("fee").alias("fee_amount")))
+
+
+def profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One branch-manager login per region (row-security profiles)."""
+    n = load(spark, sf_dir, "nation")
+    return n.select(F.concat(F.lit("chef_wilaya_"), _s(F.col("n_nationkey"))).alias("login"),
+                    F.col("n_nationkey").alias("wilaya_id"), F.lit("chef_agence").alias("role"))
+
+
+def query_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A query log bound to events: elapsed time, scanned and returned rows."""
+    e = load(spark, sf_dir, "events")
+    i = F.col("event_id")
+    return e.select(i.alias("query_id"), F.col("user_id"), F.col("ts").cast("timestamp").alias("ts"),
+                    F.col("value").alias("elapsed_s"), ((i % 1000) * 1000).alias("scanned_rows"),
+                    ((i % 200) * 100).alias("returned_rows"))
+
+
+SCD_TRACKED = ["wilaya_id", "wilaya_name", "status"]
+
+
+def user_snapshot(spark: SparkSession, sf_dir: str, version: int) -> DataFrame:
+    """Source snapshots of users for SCD: v1 lacks ids that are multiples of 97;
+    v2 has everyone, and ids that are multiples of 10 moved to the next region."""
+    u = fx_user(spark, sf_dir).select("user_id", "full_name", "wilaya_id", "wilaya_name", "status")
+    if version == 1:
+        return u.filter(F.col("user_id") % 97 != 0)
+    n = load(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("_nk"), F.col("n_name").alias("_nn"))
+    moved = F.col("user_id") % 10 == 0
+    u = u.withColumn("_to", F.when(moved, (F.col("wilaya_id") + 1) % 25).otherwise(F.col("wilaya_id")))
+    return (u.join(F.broadcast(n), u["_to"] == n["_nk"])
+            .select("user_id", "full_name", F.col("_nk").alias("wilaya_id"), F.col("_nn").alias("wilaya_name"),
+                    "status"))

@@ -72,7 +72,8 @@ FROM fx_tx t JOIN fx_node n ON t.node_key = n.node_key"""
 
 # Calendar for the fact range (one row per day).
 FX["fx_date"] = """SELECT CAST(year(d) * 10000 + month(d) * 100 + day(d) AS INT) AS date_key, d AS full_date,
-  CAST(year(d) AS INT) AS year, CAST(month(d) AS INT) AS month, monthname(d) AS month_name,
+  CAST(year(d) AS INT) AS year, CAST(quarter(d) AS INT) AS quarter, CAST(month(d) AS INT) AS month,
+  monthname(d) AS month_name,
   CAST(day(d) AS INT) AS day_of_month
 FROM (SELECT CAST(unnest(generate_series(DATE '1995-01-01', DATE '2001-12-31', INTERVAL 1 DAY)) AS DATE) AS d) s"""
 
@@ -80,6 +81,7 @@ FROM (SELECT CAST(unnest(generate_series(DATE '1995-01-01', DATE '2001-12-31', I
 FX["fx_events"] = """SELECT event_id AS transaction_id, CAST(ts AS TIMESTAMP) AS ts, user_id, event_type,
   CAST(value AS DECIMAL(18,2)) AS amount,
   CASE WHEN event_type = 'error' THEN 'FAILED' ELSE 'SUCCESS' END AS status,
+  CASE event_id % 64 WHEN 0 THEN 'CONFLICT' WHEN 1 THEN 'LAGGING' WHEN 2 THEN 'PENDING' ELSE 'SYNCED' END AS sync_status,
   CAST(hour(ts) AS INT) AS tx_hour
 FROM events"""
 

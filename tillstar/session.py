@@ -37,6 +37,7 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         builder = builder.config(k, v)
     builder = (builder
                .config("spark.ui.enabled", "false")
+               .config("spark.ui.showConsoleProgress", "false")
                .config("spark.driver.memory", "8g")
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions or 8)))
     spark = builder.getOrCreate()
