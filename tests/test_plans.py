@@ -14,10 +14,14 @@ def plan(df) -> str:
 
 
 def test_scan_prunes_columns_and_pushes_filters(spark):
-    li = fx.load(spark, SF_SMALL, "lineitem")
+    li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
     p = plan(li.filter(F.col("l_returnflag") == "R").select("l_orderkey", "l_extendedprice"))
     assert "PushedFilters: [IsNotNull(l_returnflag), EqualTo(l_returnflag,R)]" in p
     assert "ReadSchema: struct<l_orderkey:bigint,l_extendedprice:double,l_returnflag:string>" in p
+    # The parallelism guard of ``load`` keeps both: pruning and filters go below it.
+    p2 = plan(fx.load(spark, SF_SMALL, "lineitem").filter(F.col("l_returnflag") == "R").select("l_extendedprice"))
+    assert "PushedFilters: [IsNotNull(l_returnflag), EqualTo(l_returnflag,R)]" in p2
+    assert "l_tax" not in p2 and "l_shipdate" not in p2
 
 
 def test_calendar_is_broadcast(spark):

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillstar.functions.share import pct_of, with_share
-from tillstar.operators.percentile import percentile_cont
+from tillstar.operators.percentile import exact_percentile
 from tillstar.operators.star import Star
 
 SUCCESS, FAILED = "SUCCESS", "FAILED"
@@ -304,7 +304,7 @@ def q14_basket(star: Star) -> DataFrame:
     stats = rows.groupBy("categorie").agg(
         F.sum("_w").alias("nb_transactions"), F.sum(F.col("amount") * F.col("_w")).alias("_vol"),
         F.min("amount").alias("_min"), F.max("amount").alias("_max"))
-    med = percentile_cont(rows, ["categorie"], "amount", 0.5, "_median", weight_col="_w")
+    med = exact_percentile(rows, ["categorie"], "amount", 0.5, "_median", weight_col="_w")
     return stats.join(med, "categorie").select(
         "categorie", "nb_transactions",
         r0(mean(F.col("_vol"), F.col("nb_transactions"))).alias("panier_moyen_mru"),

@@ -42,24 +42,27 @@ def volume_totals(fact: DataFrame) -> DataFrame:
 
 def orphans(star: Star) -> DataFrame:
     """DQ4: per foreign key, rows on the unknown member (-1) and rows whose key has
-    no dimension row at all (anti join; -1 is excluded because the member exists
-    only for merchants and agencies)."""
-    f = star.fact
-    specs = [("user_key", star.user.select("user_key")),
-             ("merchant_key", star.merchant.select("merchant_key")),
-             ("agency_key", star.agency.select("agency_key")),
-             ("node_key", star.node.select("node_key")),
-             ("date_key", star.date.select("date_key"))]
-    parts = []
-    for key, dim in specs:
-        unknown = f.agg(F.sum(F.when(F.col(key) == -1, 1).otherwise(0)).cast("bigint").alias("nb_unknown_member"))
-        # Distinct keys of the fact first (partial aggregate), then the anti join:
-        # the join sees one row per key, not one per transaction.
-        missing = (f.filter(F.col(key) != -1).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-                   .join(dim, key, "left_anti").agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("nb_orphans")))
-        parts.append(unknown.crossJoin(missing).select(F.lit(key).alias("foreign_key"), "nb_unknown_member",
-                                                       "nb_orphans"))
-    return reduce(DataFrame.unionByName, parts)
+    no dimension row at all (-1 excluded: that member exists only for merchants
+    and agencies).
+
+    One pass over the fact: every row emits (foreign key name, key value); one
+    aggregate counts rows per distinct key (map-side combine), then a single
+    anti join against the union of dimension keys finds the orphans.
+    """
+    specs = [("user_key", star.user), ("merchant_key", star.merchant), ("agency_key", star.agency),
+             ("node_key", star.node), ("date_key", star.date)]
+    pairs = star.fact.select(F.explode(F.array(*[
+        F.struct(F.lit(k).alias("foreign_key"), F.col(k).cast("bigint").alias("key")) for k, _ in specs])).alias("x"))
+    per_key = pairs.groupBy("x.foreign_key", "x.key").agg(F.count(F.lit(1)).alias("_n"))
+    dim_keys = reduce(DataFrame.unionByName, [
+        d.select(F.lit(k).alias("foreign_key"), F.col(k).cast("bigint").alias("key")) for k, d in specs])
+    missing = (per_key.filter(F.col("key") != -1).join(dim_keys, ["foreign_key", "key"], "left_anti")
+               .groupBy("foreign_key").agg(F.sum("_n").alias("_orph")))
+    unknown = per_key.groupBy("foreign_key").agg(
+        F.sum(F.when(F.col("key") == -1, F.col("_n")).otherwise(0)).cast("bigint").alias("nb_unknown_member"))
+    return (unknown.join(missing, "foreign_key", "left")
+            .select("foreign_key", "nb_unknown_member",
+                    F.coalesce(F.col("_orph"), F.lit(0)).cast("bigint").alias("nb_orphans")))
 
 
 def conflict_strategy_totals(stg_fact_base: DataFrame) -> DataFrame:

@@ -22,6 +22,8 @@ def month_of_key(date_key_col: str = "date_key"):
 
 
 def write_gold(mart: DataFrame, path: str, date_col: str = "full_date") -> None:
+    # Gold rows are aggregates (one per day, or per day and region): a month of them
+    # fits one task, so one file per month partition.
     (mart.withColumn(PART, (F.year(date_col) * 100 + F.month(date_col)).cast("int"))
          .repartition(PART)
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

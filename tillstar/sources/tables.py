@@ -18,10 +18,38 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
+# Tables whose rows carry the heavy per-row work (fact sources, texts, events), with
+# near-unique columns to spread them on (hash partitioning: deterministic on retry
+# without a sort, and no hot value).
+SPREAD_KEYS = {
+    "lineitem": ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"],
+    "orders": ["o_orderkey"],
+    "events": ["event_id"],
+    "documents": ["doc_id"],
+    "pages": ["page_id"],
+    "conversations": ["conv_id", "turn"],
+}
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
-    return spark.read.parquet(table_path(sf_dir, name))
+    df = spark.read.parquet(table_path(sf_dir, name))
+    return ensure_parallelism(df, SPREAD_KEYS[name]) if name in SPREAD_KEYS else df
+
+
+def ensure_parallelism(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Spread a scan that yields fewer splits than the cluster has cores.
+
+    A file written as one Parquet row group is read by a single task, and all
+    row-level work before the first shuffle would run on one core. On a cluster
+    reading many files the scan already has thousands of splits and this is a
+    no-op (no extra shuffle). Column pruning and filters still reach the scan.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target, *keys)
+    return df
 
 
 def register_views(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
