@@ -62,6 +62,3 @@ def iso_day_of_week(d: str | Column) -> Column:
     return (F.weekday(_c(d)) + 1).cast("short")
 
 
-def safe_pct(num: Column, den: Column, scale: int) -> Column:
-    """``ROUND(num * 100.0 / NULLIF(den, 0), scale)`` as DOUBLE."""
-    return F.round(num.cast("decimal(38,6)") * F.lit(100) / F.nullif(den, F.lit(0)), scale).cast("double")

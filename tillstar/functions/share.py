@@ -1,9 +1,9 @@
 """Share of total over grouped rows: ``ROUND(n * 100.0 / SUM(n) OVER (), scale)``.
 
-The grand total is a one-row global aggregate of the already grouped frame
-(partial sums per task, one row shuffled per task) joined back by broadcast
-(one row: a proven size bound). No ``Window`` over an unpartitioned frame, so
-no ``Exchange SinglePartition`` of the grouped rows, however many groups there are.
+The grand total is a scalar subquery over the already grouped frame (partial
+sums per task, one row shuffled per task; AQE reuses the grouping exchange).
+No ``Window`` over an unpartitioned frame, so the grouped rows are never
+gathered in one task, however many groups there are.
 """
 
 from __future__ import annotations
@@ -13,14 +13,16 @@ from pyspark.sql import functions as F
 
 
 def pct_of(num: Column, total: Column, scale: int) -> Column:
-    return F.round(num.cast("decimal(38,6)") * F.lit(100) / F.nullif(total, F.lit(0)), scale).cast("double")
+    """``ROUND(num * 100.0 / NULLIF(total, 0), scale)`` for counts, as DOUBLE.
+
+    Exact decimal division (18 digits of scale) then one HALF_UP rounding, like
+    NUMERIC arithmetic; no intermediate rounding that could move a .x5 boundary."""
+    q = (num * F.lit(100)).cast("decimal(20,0)") / F.nullif(total, F.lit(0)).cast("decimal(20,0)")
+    return F.round(q, scale).cast("double")
 
 
 def with_share(grouped: DataFrame, count_col: str, out_col: str, scale: int = 1,
                total_of: str | None = None) -> DataFrame:
     """Add ``out_col`` = share of ``count_col`` in the total of ``total_of`` (default: same column)."""
-    src = total_of or count_col
-    total = grouped.agg(F.sum(src).alias("_grand_total"))
-    return (grouped.crossJoin(F.broadcast(total))
-            .withColumn(out_col, pct_of(F.col(count_col), F.col("_grand_total"), scale))
-            .drop("_grand_total"))
+    total = grouped.select(F.sum(total_of or count_col)).scalar()
+    return grouped.withColumn(out_col, pct_of(F.col(count_col), total, scale))

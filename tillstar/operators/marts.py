@@ -14,7 +14,7 @@ Conventions (mart contracts):
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillstar.functions.share import pct_of, with_share
@@ -63,20 +63,25 @@ def _top(df: DataFrame, n: int, *order: Column) -> DataFrame:
 
 # ------------------------------------------------------------ Q1 - Q3
 def q1_mom(star: Star) -> DataFrame:
+    """Latest month vs the one before (by year, month), conflicts excluded.
+
+    The two latest months are a distributed top-2 (each task keeps two rows),
+    then one aggregate puts them side by side; no global window, no cross join.
+    No row when fewer than two months exist, like the SQL's rank 1 x rank 2."""
     monthly = (_with_date(_cf(star.fact), star.date, ["year", "month", "month_name"])
                .groupBy("year", "month", "month_name")
-               .agg(F.round(F.sum("amount"), 0).alias("volume_mru")))
-    # One row per month (bounded by the calendar): a global rank is cheap here.
-    ranked = monthly.withColumn("rk", F.rank().over(Window.orderBy(F.desc("year"), F.desc("month"))))
-    cur = ranked.filter("rk = 1").select(F.col("month_name").alias("mois_courant"),
-                                         F.col("volume_mru").alias("_cur"))
-    pre = ranked.filter("rk = 2").select(F.col("month_name").alias("mois_precedent"),
-                                         F.col("volume_mru").alias("_pre"))
-    return cur.crossJoin(pre).select(
-        "mois_courant", F.col("_cur").cast("double").alias("volume_mois_courant_mru"),
-        "mois_precedent", F.col("_pre").cast("double").alias("volume_mois_precedent_mru"),
-        (F.col("_cur") - F.col("_pre")).cast("double").alias("variation_absolue_mru"),
-        r((F.col("_cur") - F.col("_pre")) * 100 / F.nullif(F.col("_pre"), F.lit(0)), 1).alias("variation_pct"))
+               .agg(F.round(F.sum("amount"), 0).alias("volume_mru"))
+               .withColumn("_m", F.col("year").cast("int") * 12 + F.col("month").cast("int")))
+    last_two = monthly.orderBy(F.desc("_m")).limit(2)
+    row = F.struct("month_name", "volume_mru")
+    pair = last_two.agg(F.max_by(row, "_m").alias("cur"), F.min_by(row, "_m").alias("pre"),
+                        F.count(F.lit(1)).alias("_n")).filter(F.col("_n") == 2)
+    cur, pre = F.col("cur.volume_mru"), F.col("pre.volume_mru")
+    return pair.select(
+        F.col("cur.month_name").alias("mois_courant"), cur.cast("double").alias("volume_mois_courant_mru"),
+        F.col("pre.month_name").alias("mois_precedent"), pre.cast("double").alias("volume_mois_precedent_mru"),
+        (cur - pre).cast("double").alias("variation_absolue_mru"),
+        r((cur - pre) * 100 / F.nullif(pre, F.lit(0)), 1).alias("variation_pct"))
 
 
 def q2_success(star: Star) -> DataFrame:
@@ -140,14 +145,14 @@ def q6_opportunity(star: Star) -> DataFrame:
     ratio = (F.col("nb_transactions").cast("decimal(20,0)")
              / F.nullif(F.col("nb_utilisateurs"), F.lit(0)).cast("decimal(20,0)"))
     ws = ws.withColumn("_ratio", ratio)
-    nat = ws.agg(F.round(F.avg("_ratio"), 2).alias("_mean"))
-    cls = (F.when(F.col("_ratio") < F.col("_mean") * F.lit(0.75), "Fort potentiel")
-           .when(F.col("_ratio") < F.col("_mean"), "Potentiel modéré")
+    nat = ws.select(F.round(F.avg("_ratio"), 2)).scalar()   # national mean, rounded (as compared)
+    cls = (F.when(F.col("_ratio") < nat * F.lit(0.75), "Fort potentiel")
+           .when(F.col("_ratio") < nat, "Potentiel modéré")
            .otherwise("Déjà performante"))
-    return ws.crossJoin(F.broadcast(nat)).select(
+    return ws.select(
         "wilaya_name", "nb_utilisateurs", "nb_transactions",
         r(F.col("_ratio"), 2).alias("tx_par_user"),
-        F.col("_mean").cast("double").alias("moy_nationale_tx_par_user"),
+        nat.cast("double").alias("moy_nationale_tx_par_user"),
         cls.alias("opportunite"))
 
 

@@ -51,8 +51,8 @@ def split_hot_archive(fact: DataFrame, base_path: str, months: int = 6,
     """Rows older than ``months`` before the latest date go to the archive store.
 
     Returns the (hot, archive) folders."""
-    cut = F.broadcast(archive_cutoff(fact, months, date_col))
-    tagged = fact.crossJoin(cut).withColumn("_is_archive", F.col(date_col) < F.col("_cutoff")).drop("_cutoff")
+    cut = archive_cutoff(fact, months, date_col).scalar()
+    tagged = fact.withColumn("_is_archive", F.col(date_col) < cut)
     # Single pass over the input, two output folders: write once partitioned by the
     # flag, then each store is one partition folder.
     tagged.write.mode("errorifexists").partitionBy("_is_archive").parquet(base_path)
