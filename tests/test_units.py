@@ -195,3 +195,29 @@ def test_export_anomaly_flags_spike(spark):
     out = {r["jour"]: r["anomalie"] for r in gov.export_anomaly(df).collect()}
     assert out[dt.date(2024, 1, 9)] is True
     assert not any(v for d, v in out.items() if d != dt.date(2024, 1, 9))
+
+
+def test_build_fact_unknowns_and_spread_null_keys(spark):
+    from tillstar.operators.star import build_dim_node, build_fact, lookup_key
+    stg = spark.createDataFrame(
+        [(1, "10", None, None, "NDB-NODE-1", "DC-NDB", "SYNCED", "5.00", "", "2024-01-02", "SUCCESS"),
+         (2, "99", "7", "3", "NKC-NODE-1", "DC-NDB", "CONFLICT", "6.00", "1.00", "2024-01-03", "FAILED"),
+         (3, "10", None, None, "XX-NODE-9", "DC-NDB", "SYNCED", "7.00", None, "2024-01-04", "SUCCESS")],
+        "id long, source_user_id string, merchant_id string, agency_id string, node_id string, datacenter string, "
+        "sync_status string, amount string, fee string, transaction_date string, status string")
+    for c in ("reference", "idempotency_key", "transaction_type", "total_amount", "balance_before", "balance_after",
+              "risk_score", "failure_reason", "channel", "device_type", "amount_node_a", "amount_node_b",
+              "transaction_time", "created_at", "updated_at", "completed_at", "last_synced_at"):
+        stg = stg.withColumn(c, F.lit(None).cast("string"))
+    user = spark.createDataFrame([(10, 10, True)], "user_key long, user_id long, is_current boolean")
+    merchant = spark.createDataFrame([(7, 7), (-1, -1)], "merchant_key long, merchant_id long")
+    agency = spark.createDataFrame([(-1, -1)], "agency_key long, agency_id long")
+    f = {r["tx_pk"]: r for r in build_fact(stg, user, merchant, agency, build_dim_node(spark)).collect()}
+    assert set(f) == {1, 2}                              # unknown node: row dropped by the inner join
+    assert f[1]["merchant_key"] == -1 and f[1]["agency_key"] == -1 and f[1]["user_key"] == 10
+    assert f[2]["user_key"] == -1 and f[2]["merchant_key"] == 7 and f[2]["agency_key"] == -1
+    assert str(f[1]["fee"]) == "0.00" and f[2]["is_conflict"] and f[2]["is_cross_dc"]
+    assert f[1]["date_key"] == 20240102
+    # NULL keys are spread over many distinct never-matching values
+    keys = spark.range(1000).withColumn("m", F.lit(None).cast("string")).select(lookup_key("m").alias("k"))
+    assert keys.filter("k >= -1").count() == 0 and keys.distinct().count() > 900

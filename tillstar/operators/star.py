@@ -218,11 +218,27 @@ def cross_dc_flag(datacenter: str = "datacenter", node_id: str = "node_id"):
             | (dc.startswith("DC-NKC") & node.startswith("NDB")))
 
 
+NULL_KEY_SPREAD = 1 << 20
+
+
+def lookup_key(natural: str, row_id: str = "id"):
+    """Join key for a dimension lookup: the natural id, or - when the row has none -
+    a negative key that no dimension row carries, spread by the row id.
+
+    Most transactions have no merchant or agency; with a plain NULL key a shuffle
+    join would send all of them to the one task that owns NULL's hash. Spread
+    keys land on every task, find no match and become the -1 member like NULL.
+    """
+    spread = F.lit(-2).cast("bigint") - F.pmod(F.xxhash64(F.col(row_id)), F.lit(NULL_KEY_SPREAD))
+    return F.coalesce(F.col(natural).cast("bigint"), spread)
+
+
 def build_fact(stg_tx: DataFrame, user: DataFrame, merchant: DataFrame, agency: DataFrame,
                node: DataFrame, strategy: str = "node_a") -> DataFrame:
     """One fact row per staging row whose node is known (inner join on node).
 
-    Unknown user / merchant / agency map to the -1 member.
+    Unknown user / merchant / agency map to the -1 member. Dimension natural ids
+    are non-negative, so the spread keys of ``lookup_key`` never match.
     """
     t = stg_tx
     users = (user.filter(F.col("is_current"))
@@ -232,9 +248,9 @@ def build_fact(stg_tx: DataFrame, user: DataFrame, merchant: DataFrame, agency:
     nodes = F.broadcast(node.select(F.col("node_id").alias("_nid"), "node_key"))
 
     j = (t.join(nodes, t["node_id"] == nodes["_nid"], "inner")
-         .join(users, F.col("source_user_id").cast("bigint") == users["_uid"], "left")
-         .join(merchants, F.col("merchant_id").cast("bigint") == merchants["_mid"], "left")
-         .join(agencies, F.col("agency_id").cast("bigint") == agencies["_aid"], "left"))
+         .join(users, lookup_key("source_user_id") == users["_uid"], "left")
+         .join(merchants, lookup_key("merchant_id") == merchants["_mid"], "left")
+         .join(agencies, lookup_key("agency_id") == agencies["_aid"], "left"))
 
     fact = j.select(
         F.col("id").alias("tx_pk"),
