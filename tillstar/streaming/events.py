@@ -48,24 +48,30 @@ def committed(tx: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------ landing
 def land_events(spark: SparkSession, sf_dir: str, path: str, late_every: int | None = None) -> str:
-    """Write the events table as successive Parquet files in time order (one file
-    per time slice, slices sized to ~ROWS_PER_FILE rows). With ``late_every``,
+    """Write the events table as successive Parquet files in time order, one file per
+    slice of ~ROWS_PER_FILE rows (slice bounds are approximate quantiles of the event
+    time, so a busy hour does not make one huge slice). A file is one micro-batch
+    (``maxFilesPerTrigger=1``), so batches arrive in time order. With ``late_every``,
     events whose id is a multiple of it are held back and written last: they
     arrive late."""
     ev = load(spark, sf_dir, "events")
     held = (F.col("event_id") % late_every == 0) if late_every else F.lit(False)
-    b = ev.agg(F.min("ts").alias("lo"), F.max("ts").alias("hi"), F.count(F.lit(1)).alias("n")).first()
-    k = max(4, -(-int(b["n"]) // ROWS_PER_FILE))
-    lo, hi = b["lo"], b["hi"]
-    step = (hi - lo) / k
-    for i in range(k):
-        start = lo + step * i
-        cond = (F.col("ts") >= F.lit(start)) if i else F.lit(True)
-        if i < k - 1:
-            cond = cond & (F.col("ts") < F.lit(lo + step * (i + 1)))
-        ev.filter(cond & ~held).coalesce(1).write.mode("append").parquet(path)
+    on_time = ev.filter(~held)
+    t = F.unix_micros(F.col("ts").cast("timestamp"))
+    n = on_time.count()
+    k = max(4, -(-n // ROWS_PER_FILE))
+    cuts = on_time.select(F.percentile_approx(t, [i / k for i in range(1, k)], 10_000)).first()[0]
+    edges = [None] + sorted(set(cuts)) + [None]
+    for lo, hi in zip(edges[:-1], edges[1:]):
+        cond = F.lit(True)
+        if lo is not None:
+            cond = cond & (t >= F.lit(lo))
+        if hi is not None:
+            cond = cond & (t < F.lit(hi))
+        on_time.filter(cond).coalesce(1).write.mode("append").parquet(path)
     if late_every:
-        ev.filter(held).coalesce(1).write.mode("append").parquet(path)
+        late = ev.filter(held)
+        late.repartition(max(1, -(-late.count() // ROWS_PER_FILE))).write.mode("append").parquet(path)
     return path
 
 
