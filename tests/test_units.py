@@ -221,3 +221,17 @@ def test_build_fact_unknowns_and_spread_null_keys(spark):
     # NULL keys are spread over many distinct never-matching values
     keys = spark.range(1000).withColumn("m", F.lit(None).cast("string")).select(lookup_key("m").alias("k"))
     assert keys.filter("k >= -1").count() == 0 and keys.distinct().count() > 900
+
+
+@pytest.mark.parametrize("max_distinct", [0, 10_000_000])
+def test_exact_percentile_both_plans(spark, max_distinct):
+    from tillstar.operators.percentile import exact_percentile
+    rnd = random.Random(3)
+    rows = [("a" if i % 3 else "b", round(rnd.lognormvariate(4, 1.5), 2), 1 + i % 4) for i in range(3000)]
+    rows += [("a", None, 5)]
+    df = spark.createDataFrame(rows, "g string, x double, w long")
+    got = {r["g"]: r["m"] for r in exact_percentile(df, ["g"], "x", 0.5, "m", weight_col="w",
+                                                    max_distinct=max_distinct).collect()}
+    for g in ("a", "b"):
+        vals = [x for gg, x, w in rows if gg == g and x is not None for _ in range(w)]
+        assert got[g] == pytest.approx(float(np.quantile(vals, 0.5)), rel=1e-12)

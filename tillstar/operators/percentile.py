@@ -104,11 +104,13 @@ def exact_percentile(df: DataFrame, group_cols: list[str], value_col: str, p: fl
     """
     g = list(group_cols)
     w = F.col(weight_col) if weight_col else F.lit(1)
-    weighted = (df.filter(F.col(value_col).isNotNull())
-                .groupBy(*g, F.col(value_col).cast("double").alias("_v"))
+    # No NULL filter here: ``percentile`` skips NULL values itself, and an extra
+    # predicate would be pushed into this branch's scan only, so the input
+    # subtree would no longer match the caller's (no exchange reuse).
+    weighted = (df.groupBy(*g, F.col(value_col).cast("double").alias("_v"))
                 .agg(F.sum(w).cast("bigint").alias("_w")))
     widest = (weighted.groupBy(*g).agg(F.count(F.lit(1)).alias("_d"))
               .agg(F.max("_d").alias("_m")).first()["_m"]) if g else None
     if g and (widest or 0) <= max_distinct:
         return weighted.groupBy(*g).agg(F.percentile("_v", F.lit(p), F.col("_w")).alias(out_col))
-    return percentile_cont(weighted, g, "_v", p, out_col, weight_col="_w")
+    return percentile_cont(weighted.filter(F.col("_v").isNotNull()), g, "_v", p, out_col, weight_col="_w")
