@@ -23,6 +23,11 @@ from tillstar.sources.tables import load
 EVENT_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 WATERMARK = "10 minutes"
 ROWS_PER_FILE = 200_000
+# State partitions of counter streams. A stateful query fixes its partition count at
+# its first start (from spark.sql.shuffle.partitions); counters hold a few keys
+# (windows, regions), so a cluster-sized default would schedule thousands of
+# near-empty state tasks every micro-batch.
+COUNTER_STATE_PARTITIONS = 8
 
 
 def as_transactions(events: DataFrame) -> DataFrame:
@@ -80,8 +85,18 @@ def read_stream(spark: SparkSession, path: str) -> DataFrame:
 
 
 # ------------------------------------------------------------------ running
-def run_available_now(writer, checkpoint: str) -> StreamingQuery:
-    q = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+def run_available_now(writer, checkpoint: str, state_partitions: int | None = None) -> StreamingQuery:
+    """Run a query over everything available and stop. ``state_partitions`` sets the
+    query's shuffle/state partition count at start (restarts keep the count stored
+    in the checkpoint)."""
+    spark = SparkSession.getActiveSession()
+    saved = spark.conf.get("spark.sql.shuffle.partitions")
+    if state_partitions:
+        spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+    try:
+        q = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", saved)
     q.awaitTermination()
     if q.exception():
         raise q.exception()
@@ -108,7 +123,7 @@ def run_counter(spark: SparkSession, stream: DataFrame, keys: list[str], name: s
     """Run an aggregating stream in update mode into a counter log; return the counter table."""
     log = fresh_path(spark, f"{name}-log")
     run_available_now(stream.writeStream.outputMode("update").foreachBatch(counter_log_sink(log)),
-                      fresh_path(spark, f"{name}-ckpt"))
+                      fresh_path(spark, f"{name}-ckpt"), COUNTER_STATE_PARTITIONS)
     return read_counters(spark, log, keys)
 
 

@@ -82,7 +82,7 @@ def stream_daily_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count(F.lit(1)).alias("nb_transactions"), F.sum("amount").alias("volume"))
     out = fresh_path(spark, "daily-snapshot")
     ev.run_available_now(daily.writeStream.format("parquet").option("path", out).outputMode("append"),
-                         fresh_path(spark, "daily-snapshot-ckpt"))
+                         fresh_path(spark, "daily-snapshot-ckpt"), ev.COUNTER_STATE_PARTITIONS)
     snap = spark.read.parquet(out)
     return ev.flat_window(snap).withColumn("volume", F.col("volume").cast("double"))
 
