@@ -18,7 +18,7 @@ def test_restart_from_checkpoint_equals_batch(spark):
 
     def run_once():
         tx = ev.as_transactions(ev.read_stream(spark, landing_dir))
-        ev.run_available_now(ev.windowed_count(tx, "1 day").writeStream.outputMode("update")
+        ev.run_available_now(spark, ev.windowed_count(tx, "1 day").writeStream.outputMode("update")
                              .foreachBatch(ev.counter_log_sink(log)), ckpt)
 
     run_once()

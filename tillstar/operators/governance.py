@@ -126,7 +126,7 @@ def export_probe(df: DataFrame, name: str, user: str, alert: int = EXPORT_ALERT_
 def guarded_export(df: DataFrame, name: str, user: str, path: str, alert: int = EXPORT_ALERT_ROWS,
                    refuse: int = EXPORT_REFUSE_ROWS) -> DataFrame:
     """Write ``df`` as CSV unless it exceeds the refuse threshold; return the audit row."""
-    audit = export_probe(df, name, user, alert, refuse).cache()
+    audit = export_probe(df, name, user, alert, refuse)
     decision = audit.select("decision").first()[0]
     written = decision != "REFUSE"
     if written:

@@ -85,11 +85,11 @@ def read_stream(spark: SparkSession, path: str) -> DataFrame:
 
 
 # ------------------------------------------------------------------ running
-def run_available_now(writer, checkpoint: str, state_partitions: int | None = None) -> StreamingQuery:
+def run_available_now(spark: SparkSession, writer, checkpoint: str,
+                      state_partitions: int | None = None) -> StreamingQuery:
     """Run a query over everything available and stop. ``state_partitions`` sets the
     query's shuffle/state partition count at start (restarts keep the count stored
     in the checkpoint)."""
-    spark = SparkSession.getActiveSession()
     saved = spark.conf.get("spark.sql.shuffle.partitions")
     if state_partitions:
         spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
@@ -122,7 +122,7 @@ def read_counters(spark: SparkSession, log_path: str, keys: list[str]) -> DataFr
 def run_counter(spark: SparkSession, stream: DataFrame, keys: list[str], name: str) -> DataFrame:
     """Run an aggregating stream in update mode into a counter log; return the counter table."""
     log = fresh_path(spark, f"{name}-log")
-    run_available_now(stream.writeStream.outputMode("update").foreachBatch(counter_log_sink(log)),
+    run_available_now(spark, stream.writeStream.outputMode("update").foreachBatch(counter_log_sink(log)),
                       fresh_path(spark, f"{name}-ckpt"), COUNTER_STATE_PARTITIONS)
     return read_counters(spark, log, keys)
 

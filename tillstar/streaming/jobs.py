@@ -24,7 +24,7 @@ def stream_cdc_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     src = ev.committed(ev.as_transactions(ev.read_stream(spark, _landed(spark, sf_dir))))
     clean = src.withWatermark("ts", ev.WATERMARK).dropDuplicatesWithinWatermark(["transaction_id"])
     out = fresh_path(spark, "nrt-transactions")
-    ev.run_available_now(clean.writeStream.format("parquet").option("path", out).outputMode("append"),
+    ev.run_available_now(spark, clean.writeStream.format("parquet").option("path", out).outputMode("append"),
                          fresh_path(spark, "nrt-ckpt"))
     return spark.read.parquet(out)
 
@@ -81,7 +81,7 @@ def stream_daily_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     daily = tx.withWatermark("ts", ev.WATERMARK).groupBy(F.window("ts", "1 day").alias("w")).agg(
         F.count(F.lit(1)).alias("nb_transactions"), F.sum("amount").alias("volume"))
     out = fresh_path(spark, "daily-snapshot")
-    ev.run_available_now(daily.writeStream.format("parquet").option("path", out).outputMode("append"),
+    ev.run_available_now(spark, daily.writeStream.format("parquet").option("path", out).outputMode("append"),
                          fresh_path(spark, "daily-snapshot-ckpt"), ev.COUNTER_STATE_PARTITIONS)
     snap = spark.read.parquet(out)
     return ev.flat_window(snap).withColumn("volume", F.col("volume").cast("double"))
