@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from tillstar.functions.share import pct_of, with_share
 from tillstar.operators.percentile import exact_percentile
 from tillstar.operators.star import Star
+from tillstar.session import checkpointed
 
 SUCCESS, FAILED = "SUCCESS", "FAILED"
 
@@ -304,8 +305,11 @@ def q14_basket(star: Star) -> DataFrame:
     ok = _merchant_fact(star).filter(F.col("status") == SUCCESS)
     # Per (merchant, amount) counts first: the join carries distinct amounts, not rows.
     per_amount = ok.groupBy("merchant_key", "amount").agg(F.count(F.lit(1)).alias("_w"))
-    rows = per_amount.join(_categories(star), "merchant_key").select(
-        F.col("category_label").alias("categorie"), "amount", "_w")
+    # Written once to the checkpoint folder: the size check of the median and both
+    # result branches read these (category, amount, count) rows, the fact is
+    # aggregated a single time.
+    rows = checkpointed(per_amount.join(_categories(star), "merchant_key").select(
+        F.col("category_label").alias("categorie"), "amount", "_w"))
     stats = rows.groupBy("categorie").agg(
         F.sum("_w").alias("nb_transactions"), F.sum(F.col("amount") * F.col("_w")).alias("_vol"),
         F.min("amount").alias("_min"), F.max("amount").alias("_max"))

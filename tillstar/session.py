@@ -11,7 +11,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on: UTC for date arithmetic, AQE for runtime
 # re-planning (partition coalescing, skew splitting, runtime broadcast of
@@ -68,3 +68,12 @@ def work_root(spark: SparkSession) -> str:
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A new, never-used path under the work root (write-once; never overwritten while read)."""
     return f"{work_root(spark)}/tillstar/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint (files in the shared checkpoint folder): computes ``df``
+    once, cuts its lineage, and lets several later jobs read the result."""
+    sc = df.sparkSession.sparkContext
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(work_root(df.sparkSession))
+    return df.checkpoint(eager=True)
