@@ -92,10 +92,15 @@ def scd2_apply(history: DataFrame, snapshot: DataFrame, key: str, sk: str, track
                 out.append(F.col(f"s_{c}").alias(c))
         return out
 
-    kept = j.filter(in_cur & ~changed).select(*from_current(False))
-    closed_now = j.filter(changed).select(*from_current(True))
-    new_versions = j.filter((in_snap & ~in_cur) | changed).select(*opened())
-    return reduce(DataFrame.unionByName, [closed_before.select(*hist_cols), kept, closed_now, new_versions])
+    # One pass over the join: each key emits its kept, closed and/or opened version.
+    versions = F.array(
+        F.when(in_cur & ~changed, F.struct(*from_current(False))),
+        F.when(changed, F.struct(*from_current(True))),
+        F.when((in_snap & ~in_cur) | changed, F.struct(*opened())),
+    )
+    applied = (j.select(F.explode(F.filter(versions, lambda v: v.isNotNull())).alias("_v"))
+               .select(*[F.col(f"_v.{c}").alias(c) for c in hist_cols]))
+    return reduce(DataFrame.unionByName, [closed_before.select(*hist_cols), applied])
 
 
 def current_view(history: DataFrame) -> DataFrame:
