@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -50,6 +51,23 @@ def apply_job_conf(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers of every executor (once per application)."""
+    sc = spark.sparkContext
+    if getattr(sc, "_tillstar_shipped", False):
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="tillstar-"), "tillstar.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for folder, _, files in os.walk(package):
+            for f in files:
+                if f.endswith(".py"):
+                    path = os.path.join(folder, f)
+                    z.write(path, os.path.relpath(path, os.path.dirname(package)))
+    sc.addPyFile(archive)
+    sc._tillstar_shipped = True
+
+
 def work_root(spark: SparkSession) -> str:
     """Shared folder for intermediate tables, stream checkpoints and sinks.
 
