@@ -28,4 +28,44 @@ FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN sets USING (doc_id) LEFT J
 LEFT JOIN low ON low.x = class.rep
 """
 
-SQL = {"op6_minhash_near_dedup": NEAR_DEDUP}
+QUALITY_RULES = r"""
+WITH base AS (
+  SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+line AS (
+  SELECT r, sum(c - 1) AS dup FROM (
+    SELECT r, l, count(*) AS c FROM (SELECT r, unnest(string_split(t, chr(10))) AS l FROM base)
+    WHERE regexp_matches(l, '[^\x20\x09-\x0D]') GROUP BY r, l) GROUP BY r),
+win AS (SELECT r, i, ws[i:i + 2] AS w FROM (SELECT r, ws, unnest(range(1, len(ws) - 1)) AS i FROM base WHERE len(ws) >= 3)),
+hit AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, w) AS c FROM win) WHERE c > 1),
+rep AS (SELECT r, count(DISTINCT i + d) AS n FROM hit, (VALUES (0), (1), (2)) AS o(d) GROUP BY r),
+m AS (
+  SELECT doc_id, source, len(ws) AS n_words, coalesce(list_sum(list_transform(ws, lambda w: length(w))), 0)::BIGINT AS word_chars,
+         length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(dup, 0)::BIGINT AS n_dup_lines,
+         coalesce(rep.n, 0) AS n_repeat_words
+  FROM base LEFT JOIN line USING (r) LEFT JOIN rep USING (r)),
+f AS (
+  SELECT *, n_words < 50 AS few_words, 100 * n_repeat_words > 50 * n_words AS repetition,
+         10 * n_symbols > n_words AND n_symbols > 0 AS symbols, n_dup_lines > 20 AS dup_lines FROM m),
+long AS (
+  SELECT source, rule, count(*) AS n, sum(bad::INT) AS k
+  FROM (SELECT source, unnest([{'rule': 'a', 'bad': few_words}, {'rule': 'b', 'bad': repetition},
+                               {'rule': 'c', 'bad': symbols}, {'rule': 'd', 'bad': dup_lines}], recursive := true) FROM f)
+  GROUP BY source, rule),
+prior AS (
+  SELECT rule, sum(k) / sum(n) AS mean, count(*) / sum(n) AS chance,
+         (sum(k * k / n) / sum(n) - (sum(k) / sum(n)) ** 2) / nullif(sum(k) / sum(n) * (1 - sum(k) / sum(n)), 0) AS spread
+  FROM long GROUP BY rule),
+host AS (
+  SELECT source, max(n) AS host_docs,
+         bool_or((k + mean * s) / (n + s) > 0.5) AS host_rejected
+  FROM long JOIN (SELECT rule, mean, CASE WHEN spread IS NULL THEN 1
+                                          WHEN spread <= chance THEN 1e6
+                                          ELSE least(1e6, greatest(0, (1 - spread) / (spread - chance))) END AS s FROM prior) USING (rule)
+  GROUP BY source)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, few_words OR repetition AS base_failed,
+       host_docs, host_rejected, NOT (few_words OR repetition OR host_rejected) AS kept
+FROM f JOIN host ON f.source IS NOT DISTINCT FROM host.source
+"""
+
+SQL = {"op1_quality_rules": QUALITY_RULES, "op6_minhash_near_dedup": NEAR_DEDUP}

@@ -4,22 +4,45 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tillstar.llm.near_dedup import near_duplicates
 from tillstar.llm.oracles import SQL
+from tillstar.llm.quality_rules import MEASURES, quality_rules
+from tillstar.llm.token_count import token_counts
+from tillstar.llm.token_output import read_documents, write_token_files
+from tillstar.session import fresh_path
+
+TOKENIZER = "word_bpe_49k.json"
+END_ID = 1
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = quality_rules(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", *MEASURES, "base_failed", "host_docs", "host_rejected", "kept")
+
+
 def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), shingle=2, num=80, den=100)
 
 
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(_table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), limit=2048)
+
+
+def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = fresh_path(spark, "tokens")
+    write_token_files(_table(spark, sf_dir, "documents"), folder, public_tokenizers.path(TOKENIZER), END_ID)
+    return read_documents(spark, folder)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op6_minhash_near_dedup,)}
+    return {f.__name__: f for f in (op1_quality_rules, op6_minhash_near_dedup, op7_token_counts, op10_token_output)}
 
 
 def oracle_sql() -> dict[str, str]:
