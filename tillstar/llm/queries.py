@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from tillstar.llm.mixing import mix
 from tillstar.llm.near_dedup import near_duplicates
 from tillstar.llm.oracles import SQL
 from tillstar.llm.quality_rules import MEASURES, quality_rules
@@ -35,6 +36,10 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(_table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), limit=2048)
 
 
+def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(_table(spark, sf_dir, "documents"), weights=(3, 1, 2), share=1.5, max_repeat=2)
+
+
 def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = fresh_path(spark, "tokens")
     write_token_files(_table(spark, sf_dir, "documents"), folder, public_tokenizers.path(TOKENIZER), END_ID)
@@ -42,7 +47,7 @@ def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_rules, op6_minhash_near_dedup, op7_token_counts, op10_token_output)}
+    return {f.__name__: f for f in (op1_quality_rules, op6_minhash_near_dedup, op7_token_counts, op8_source_mixing, op10_token_output)}
 
 
 def oracle_sql() -> dict[str, str]:
