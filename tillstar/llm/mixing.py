@@ -25,6 +25,7 @@ from tillstar.llm.storage import materialise
 DP_WORDS = 20_000
 HASH_BUCKETS = 1024
 WEIGHTS = (3, 1, 2)
+WORD = r"[^\x20\x09-\x0D]+"
 
 
 def targets(sizes: list[int], weights: list[float], share: float, max_repeat: int) -> list[float]:
@@ -112,7 +113,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     spark = docs.sparkSession
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"),
-                       F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")).cast("long").alias("size"))
+                       F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"))
     # Written once: "place" tells apart rows without id and breaks ties.
     rows = rows.withColumn("place", F.monotonically_increasing_id())
     rows = rows.withColumn("h", F.xxhash64(F.coalesce("id", "place"), F.lit(seed)))

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillstar.llm.bloom import might_contain
+from tillstar.llm.bloom import BloomFilter
 from tillstar.llm.components import components
 from tillstar.llm.shingles import binary_values, long_lists, mix, shingle_hashes
 from tillstar.llm.storage import materialise
@@ -126,7 +126,7 @@ def _near_links(docs: DataFrame, members: DataFrame, shingle: int, num: int, den
                           .filter("low < high").select("h", "size"), "dedup-buckets")
     if buckets.isEmpty():
         return None
-    shared = materialise(bands.filter(might_contain(buckets, "h")(F.col("h"))).join(buckets, "h").distinct(), "dedup-shared")
+    shared = materialise(bands.filter(BloomFilter(buckets, "h").column(F.col("h"))).join(buckets, "h").distinct(), "dedup-shared")
 
     meets = materialise(shared.groupBy("rep").agg(F.sum(F.col("size") - 1).alias("meets")), "dedup-nodes")
     centres = (shared.join(meets, "rep").groupBy("h")
@@ -135,7 +135,8 @@ def _near_links(docs: DataFrame, members: DataFrame, shingle: int, num: int, den
     shared = materialise(shared.join(materialise(centres, "dedup-centres"), "h").select("h", "rep", "c", "size"), "dedup-stars")
 
     # Sets of the documents in buckets; a document with several texts keeps each of them.
-    sets = docs.filter(might_contain(meets, "rep")(F.col("id"))).join(meets.select(F.col("rep").alias("id")), "id", "left_semi")
+    listed = BloomFilter(meets.select(F.xxhash64("rep").alias("k")), "k")
+    sets = docs.filter(F.col("id").isNotNull() & listed.column(F.xxhash64("id"))).join(meets.select(F.col("rep").alias("id")), "id", "left_semi")
     sets = materialise(_sets(sets, shingle).filter("size(set) > 0").distinct(), "dedup-sets")
     star = _compare(shared.filter("rep <> c").select("c", F.col("rep").alias("m")).distinct(), sets, num, den, differences=True)
     star = materialise(star, "dedup-star")

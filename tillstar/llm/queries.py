@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from tillstar.llm.decontaminate import contaminated
 from tillstar.llm.mixing import mix
 from tillstar.llm.near_dedup import near_duplicates
 from tillstar.llm.oracles import SQL
@@ -28,6 +29,11 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", *MEASURES, "base_failed", "host_docs", "host_rejected", "kept")
 
 
+def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", "item_id", "coverage", "n_tiles", "longest")
+
+
 def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), shingle=2, num=80, den=100)
 
@@ -47,7 +53,7 @@ def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_rules, op6_minhash_near_dedup, op7_token_counts, op8_source_mixing, op10_token_output)}
+    return {f.__name__: f for f in (op1_quality_rules, op3_benchmark_decontamination, op6_minhash_near_dedup, op7_token_counts, op8_source_mixing, op10_token_output)}
 
 
 def oracle_sql() -> dict[str, str]:
