@@ -17,22 +17,21 @@ def components(edges: DataFrame) -> DataFrame:
     factor a round. Only grouped minima and equi-joins are used, so a node with very many
     links is pre-aggregated, or split by the skew join. Empty input: empty result.
     """
-    left = edges.select(F.xxhash64("a").alias("u"), F.xxhash64("b").alias("v")).filter("u <> v").distinct()
-    left = materialise(left, "cc-edges")
+    left = edges.select(F.xxhash64("a").alias("u"), F.xxhash64("b").alias("v")).filter("u <> v")
     nodes = (edges.select(F.col("a").alias("node")).union(edges.select("b")).distinct()
              .select("node", F.xxhash64("node").alias("at")))
     while True:
         both = left.union(left.select(F.col("v").alias("u"), F.col("u").alias("v")))
         step = materialise(both.groupBy("u").agg(F.min("v").alias("v"))
-                           .select(F.col("u").alias("at"), F.least("u", "v").alias("to")), "cc-step")
+                           .select(F.col("u").alias("at"), F.least("u", "v").alias("to")), "cc-step", narrow=True)
         nodes = (nodes.join(step, "at", "left")
                  .select("node", F.coalesce("to", "at").alias("at")))
         to_u = step.select(F.col("at").alias("u"), F.col("to").alias("pu"))
         to_v = step.select(F.col("at").alias("v"), F.col("to").alias("pv"))
         left = materialise(left.join(to_u, "u").join(to_v, "v").filter("pu <> pv")
-                           .select(F.col("pu").alias("u"), F.col("pv").alias("v")).distinct(), "cc-edges")
+                           .select(F.col("pu").alias("u"), F.col("pv").alias("v")).distinct(), "cc-edges", narrow=True)
         if left.isEmpty():
             break
-    nodes = materialise(nodes, "cc-nodes")
+    nodes = materialise(nodes, "cc-nodes", narrow=True)
     smallest = nodes.groupBy("at").agg(F.min("node").alias("comp"))
-    return materialise(nodes.join(smallest, "at").select("node", "comp"), "cc")
+    return nodes.join(smallest, "at").select("node", "comp")

@@ -97,55 +97,63 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """One row per row of ``docs``: id, n_shingles, component_id (smallest id of its group), kept (id = component_id).
 
     Null or wordless text: no shingles, alone in its group. Fewer words than a shingle: the
-    whole sequence is the one shingle. Rows that share an id count as one document (a link
-    of any of them is a link of all); rows without id stay alone, with a null component_id,
-    and are kept. Extra columns are ignored. An empty table gives an empty result.
+    whole sequence is the one shingle. Repeated rows get the same answer each; rows that share
+    an id but not the text are judged each by its own text, but classes that have the
+    same smallest id are one. Rows without id stay alone, with a null component_id, and
+    are kept. Extra columns are ignored. An empty table gives an empty result.
     """
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     sketches = materialise(_sketches(docs, shingle, num, den), "dedup-sketch")
     named = sketches.filter("id is not null and n > 0")
-    classes = materialise(named.groupBy("d1", "d2").agg(F.min("id").alias("rep")), "dedup-classes")
+    classes = materialise(named.groupBy("d1", "d2").agg(F.min("id").alias("rep")), "dedup-classes", narrow=True)
     members = materialise(
         named.join(classes, ["d1", "d2"])
-        .select("id", "rep", F.when(F.col("id") == F.col("rep"), F.col("bands")).alias("bands")), "dedup-members")
-    links = members.filter("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b"))
-    near = _near_links(docs, members, shingle, num, den)
-    if near is not None:
-        links = links.union(near)
-    groups = components(links)
-    grouped = sketches.join(groups.withColumnRenamed("node", "id"), "id", "left")
-    component = F.when(F.col("id").isNotNull(), F.coalesce("comp", "id"))
-    return grouped.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"),
-                          F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"))
-
-
-def _near_links(docs: DataFrame, members: DataFrame, shingle: int, num: int, den: int) -> DataFrame | None:
-    """Confirmed links (a, b) between class representatives, enough to connect every group; None without candidates."""
+        .select("id", "n", "rep", F.when(F.col("id") == F.col("rep"), F.col("bands")).alias("bands")), "dedup-members", narrow=True)
+    out = members.select("id", "n", "rep")
+    groups = _groups(docs, members, shingle, num, den)
+    if groups is not None:
+        out = out.join(groups, "rep", "left").select("id", "n", F.coalesce("comp", "rep").alias("rep"))
+    alone = sketches.filter("id is null or n = 0").select("id", "n", F.col("id").alias("rep"))
+    return out.unionByName(alone).select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("rep").alias("component_id"),
+                                         F.coalesce(F.col("id") == F.col("rep"), F.lit(True)).alias("kept"))
+
+
+def _groups(docs: DataFrame, members: DataFrame, shingle: int, num: int, den: int) -> DataFrame | None:
+    """(rep, comp) of the class representatives that have confirmed links; None without candidates."""
     bands = members.filter("bands is not null").select("rep", F.explode("bands").alias("h"))
     buckets = materialise(bands.groupBy("h").agg(F.min("rep").alias("low"), F.max("rep").alias("high"), F.count("*").alias("size"))
-                          .filter("low < high").select("h", "size"), "dedup-buckets")
+                          .filter("low < high").select("h", "size"), "dedup-buckets", narrow=True)
     if buckets.isEmpty():
         return None
-    shared = materialise(bands.filter(BloomFilter(buckets, "h").column(F.col("h"))).join(buckets, "h").distinct(), "dedup-shared")
+    shared = materialise(bands.filter(BloomFilter(buckets, "h").column(F.col("h"))).join(buckets, "h"), "dedup-shared", narrow=True)
 
-    meets = materialise(shared.groupBy("rep").agg(F.sum(F.col("size") - 1).alias("meets")), "dedup-nodes")
+    meets = materialise(shared.groupBy("rep").agg(F.sum(F.col("size") - 1).alias("meets")), "dedup-nodes", narrow=True)
     centres = (shared.join(meets, "rep").groupBy("h")
                .agg(F.max(F.struct("meets", (-F.col("rep")).alias("low"))).alias("top"))
                .select("h", (-F.col("top.low")).alias("c")))
-    shared = materialise(shared.join(materialise(centres, "dedup-centres"), "h").select("h", "rep", "c", "size"), "dedup-stars")
+    shared = materialise(shared.join(materialise(centres, "dedup-centres", narrow=True), "h").select("h", "rep", "c", "size"), "dedup-stars", narrow=True)
 
     # Sets of the documents in buckets; a document with several texts keeps each of them.
     listed = BloomFilter(meets.select(F.xxhash64("rep").alias("k")), "k")
     sets = docs.filter(F.col("id").isNotNull() & listed.column(F.xxhash64("id"))).join(meets.select(F.col("rep").alias("id")), "id", "left_semi")
-    sets = materialise(_sets(sets, shingle).filter("size(set) > 0").distinct(), "dedup-sets")
+    sets = materialise(_sets(sets, shingle).filter("size(set) > 0"), "dedup-sets")
     star = _compare(shared.filter("rep <> c").select("c", F.col("rep").alias("m")).distinct(), sets, num, den, differences=True)
-    star = materialise(star, "dedup-star")
+    star = materialise(star, "dedup-star", narrow=True)
     links = star.filter("linked").select(F.col("c").alias("a"), F.col("m").alias("b"))
 
-    groups = components(links)
-    rest = _hidden_pairs(shared, star, groups, num, den)
-    rest = _compare(rest, sets, num, den).filter("linked").select(F.col("c").alias("a"), F.col("m").alias("b"))
-    return links.union(materialise(rest, "dedup-rest"))
+    groups = materialise(components(links).select(F.col("node").alias("rep"), "comp"), "dedup-groups", narrow=True)
+    rest = _compare(_hidden_pairs(shared, star, groups, num, den), sets, num, den).filter("linked")
+    rest = materialise(rest.select(F.col("c").alias("a"), F.col("m").alias("b")), "dedup-rest", narrow=True)
+    if rest.isEmpty():
+        return groups
+    # Groups that a hidden link joins: components of the groups.
+    of_a, of_b = (groups.select(F.col("rep").alias(x), F.col("comp").alias(f"{x}_comp")) for x in ("a", "b"))
+    bridges = (rest.join(of_a, "a", "left").join(of_b, "b", "left")
+               .select(F.coalesce("a_comp", "a").alias("a"), F.coalesce("b_comp", "b").alias("b")))
+    joined = components(materialise(bridges, "dedup-bridges", narrow=True)).toDF("comp", "to")
+    named = groups.join(joined, "comp", "left").select("rep", F.coalesce("to", "comp").alias("comp"))
+    lone = joined.join(groups.select(F.col("rep").alias("comp")), "comp", "left_anti").select(F.col("comp").alias("rep"), F.col("to").alias("comp"))
+    return named.unionByName(lone)
 
 
 def _compare(pairs: DataFrame, sets: DataFrame, num: int, den: int, differences: bool = False) -> DataFrame:
@@ -163,24 +171,23 @@ def _compare(pairs: DataFrame, sets: DataFrame, num: int, den: int, differences:
 
 def _hidden_pairs(shared: DataFrame, star: DataFrame, groups: DataFrame, num: int, den: int) -> DataFrame:
     """Candidate pairs (c, m) of two members of a bucket in different components, by prefixes of their differences."""
-    comp = groups.select(F.col("node").alias("rep"), "comp")
-    placed = (shared.filter("size > 2").join(comp, "rep", "left")
+    placed = (shared.filter("size > 2").join(groups, "rep", "left")
               .select("h", "rep", "c", F.coalesce("comp", "rep").alias("comp")))
     mixed = (placed.groupBy("h").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
              .filter("low < high").select("h"))
     todo = materialise(placed.join(mixed, "h", "left_semi").filter("rep <> c")
-                       .select("c", F.col("rep").alias("m"), "comp").distinct(), "dedup-mixed")
+                       .select("c", F.col("rep").alias("m"), "comp").distinct(), "dedup-mixed", narrow=True)
     rows = star.join(todo, ["c", "m"])
 
     # Elements frequent among a sample of a large centre's members go last.
     sizes = todo.groupBy("c").agg(F.count("*").alias("size")).filter(F.col("size") >= ORDER_SAMPLE)
-    frequent = (rows.join(materialise(sizes, "dedup-sizes"), "c")
+    frequent = (rows.join(materialise(sizes, "dedup-sizes", narrow=True), "c")
                 .filter(F.pmod(F.xxhash64("m"), F.ceil(F.col("size") / ORDER_SAMPLE)) == 0)
                 .select("c", F.explode(F.concat("extra", "lack")).alias("e"))
                 .groupBy("c", "e").agg(F.count("*").alias("df")).filter("df > 1")
                 .groupBy("c").agg(F.sort_array(F.collect_list(F.struct("df", "e"))).alias("often"))
                 .select("c", F.col("often.e").alias("often")))
-    rows = rows.join(materialise(frequent, "dedup-frequent"), "c", "left")
+    rows = rows.join(materialise(frequent, "dedup-frequent", narrow=True), "c", "left")
     often = F.coalesce("often", F.array().cast("array<long>"))
     ordered = F.concat(F.array_except(F.array_sort("extra"), often), F.array_except(F.array_sort("lack"), often),
                        F.array_intersect(often, F.concat("extra", "lack")))
@@ -193,7 +200,7 @@ def _hidden_pairs(shared: DataFrame, star: DataFrame, groups: DataFrame, num: in
     reach = F.greatest(F.least(reach, d), F.lit(0)).cast("int")
     elements = materialise(
         rows.select("c", "m", "comp", "linked", half.alias("half"), "nm", F.posexplode(F.slice(ordered, 1, reach)).alias("at", "e"))
-        .select("c", "e", "m", "comp", "linked", "nm", (F.col("at") < F.col("half")).alias("near")), "dedup-prefix")
+        .select("c", "e", "m", "comp", "linked", "nm", (F.col("at") < F.col("half")).alias("near")), "dedup-prefix", narrow=True)
     one = elements.select("c", "e", *[F.col(x).alias(f"{x}1") for x in ("m", "comp", "linked", "nm", "near")])
     two = elements.select("c", "e", *[F.col(x).alias(f"{x}2") for x in ("m", "comp", "linked", "nm", "near")])
     pairs = one.join(two, ["c", "e"]).filter(

@@ -7,8 +7,14 @@ from pyspark.sql import DataFrame
 from tillstar.session import fresh_path
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet under the session's checkpoint folder and read it back."""
-    path = fresh_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def materialise(df: DataFrame, name: str, narrow: bool = False) -> DataFrame:
+    """Write ``df`` as Parquet under the session's checkpoint folder and read it back.
+
+    ``narrow`` (light rows that come out of a shuffle): at most three tasks a core of the
+    cluster write it, each a few shuffle partitions, so that small tables make few files.
+    """
+    spark = df.sparkSession
+    path = fresh_path(spark, name)
+    out = df.coalesce(3 * spark.sparkContext.defaultParallelism) if narrow else df
+    out.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
