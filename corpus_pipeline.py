@@ -34,9 +34,9 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group linked by 5-word shingles at similarity 0.8."""
-    groups = materialise(near_duplicates(docs, shingle=5, num=80, den=100), "stage-groups")
-    repeated = groups.filter("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").select("doc_id")
-    return without(docs, "doc_id", groups.filter("not kept").select("doc_id"), repeated)
+    groups = materialise(near_duplicates(docs, shingle=5, num=80, den=100), "stage-groups", narrow=True)
+    ids = groups.filter("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n"), F.max("kept").alias("kept"))
+    return without(docs, "doc_id", ids.filter("not kept").select("doc_id"), ids.filter("n > 1").select("doc_id"))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

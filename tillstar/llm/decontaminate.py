@@ -154,7 +154,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                         .withColumn("row", F.monotonically_increasing_id()), "passages")
 
     # A pair that shares k seeds within the words that went on can still be covered outside of them, so all pairs stay.
-    pairs = materialise(found.select("row", F.explode("hits").alias("seed")).join(seeds, "seed").select("row", "item").distinct(), "pairs")
+    pairs = materialise(found.select("row", F.explode("hits").alias("seed")).join(seeds, "seed").select("row", "item").distinct(), "pairs", narrow=True)
     both = pairs.join(found.select("row", "id", "words", "places"), "row").join(items.select("item", "item_words"), "item")
 
     def run(batches):

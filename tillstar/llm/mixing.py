@@ -118,7 +118,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     rows = rows.withColumn("place", F.monotonically_increasing_id())
     rows = rows.withColumn("h", F.xxhash64(F.coalesce("id", "place"), F.lit(seed)))
     rows = materialise(rows.withColumn("bucket", F.pmod(F.shiftright("h", 20), F.lit(HASH_BUCKETS))), "mix-rows")
-    counts = materialise(rows.groupBy("source", "size").agg(F.count("*").alias("n")), "mix-counts")
+    counts = materialise(rows.groupBy("source", "size").agg(F.count("*").alias("n")), "mix-counts", narrow=True)
 
     totals = [tuple(r) for r in counts.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("total")).collect()]
     totals.sort(key=lambda r: (r[0] is None, r[0] or ""))
@@ -137,7 +137,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     same_source = F.col("source").eqNullSafe(F.col("of"))
     planned = materialise(
         counts.join(plans, same_source).drop("of").groupBy("source")
-        .applyInPandas(fitted, "source string, size long, source_size long, target double, n long, whole long, extra long"), "mix-plan")
+        .applyInPandas(fitted, "source string, size long, source_size long, target double, n long, whole long, extra long"), "mix-plan", narrow=True)
 
     # The bucket in which the planned number of a length runs out, and how many of it are taken there.
     partly = planned.filter("extra > 0 and extra < n").select(F.col("source").alias("of"), F.col("size").alias("len"), "extra")
@@ -148,7 +148,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
            .select(F.col("source").alias("of"), F.col("size").alias("len"), F.col("bucket").alias("last"),
                    (F.col("extra") - F.col("before")).alias("need")))
     planned = materialise(planned.join(cut, same, "left").select(
-        F.col("source").alias("of"), F.col("size").alias("len"), "source_size", "target", "n", "whole", "extra", "last", "need"), "mix-cut")
+        F.col("source").alias("of"), F.col("size").alias("len"), "source_size", "target", "n", "whole", "extra", "last", "need"), "mix-cut", narrow=True)
 
     placed = rows.join(planned, same)
     edge = F.coalesce(F.col("bucket") == F.col("last"), F.lit(False))

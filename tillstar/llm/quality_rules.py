@@ -83,7 +83,7 @@ def host_verdicts(rows: DataFrame, max_rate: float) -> DataFrame:
     m and strength s, fitted to the spread of all hosts; the shrunk rate is (k + m s) / (n + s).
     """
     hosts = materialise(rows.groupBy("host").agg(
-        F.count("*").alias("n"), *[F.sum(F.col(f"fails_{r}").cast("long")).alias(r) for r in HOST_RULES]), "hosts")
+        F.count("*").alias("n"), *[F.sum(F.col(f"fails_{r}").cast("long")).alias(r) for r in HOST_RULES]), "hosts", narrow=True)
     sums = hosts.agg(F.count("*").alias("hosts"), F.sum("n").alias("docs"),
                      *[F.sum(r).alias(r) for r in HOST_RULES],
                      *[F.sum(F.col(r) * F.col(r) / F.col("n")).alias(f"{r}_sq") for r in HOST_RULES]).first()

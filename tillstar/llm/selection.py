@@ -16,7 +16,7 @@ def without(docs: DataFrame, id_col: str, removed: DataFrame, repeated: DataFram
     A Bloom filter of bounded size parts the documents in a scan: what it does not hold stays as it
     is, and only the rest (the listed ones and few others) is shuffled for the exact anti-join.
     """
-    removed = materialise(removed.toDF("gone").filter("gone is not null").distinct(), "removed")
+    removed = materialise(removed.toDF("gone").filter("gone is not null").distinct(), "removed", narrow=True)
     listed = removed if repeated is None else removed.union(repeated.toDF("gone")).distinct()
     listed = BloomFilter(listed.select(F.xxhash64("gone").alias("k")), "k")
     may = F.col(id_col).isNotNull() & listed.column(F.xxhash64(F.col(id_col)))
