@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillstar.llm.bloom import BloomFilter
-from tillstar.llm.shingles import binary_values, long_lists, shingle_hashes, word_hashes
+from tillstar.llm.shingles import binary_values, folded_words, long_lists, shingle_hashes, word_hashes
 from tillstar.llm.storage import materialise
 
 SEED_WORDS, MIN_MATCH, MARGIN, THRESHOLD = 5, 3, 100, 0.5
@@ -29,14 +29,6 @@ SEED_WORDS, MIN_MATCH, MARGIN, THRESHOLD = 5, 3, 100, 0.5
 _BASE = np.uint64(0x9E3779B97F4A7C15)  # odd, so its powers can be divided out modulo 2 ** 64
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 
-#: ASCII capitals to small letters, other ASCII that is no letter or digit to a space; bytes of longer characters stay.
-FOLD = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c > 127 else 32 for c in range(256))
-
-
-def words_of(text: bytes | None) -> list[bytes]:
-    return text.translate(FOLD).split() if text else []
-
-
 class _Free:
     """The words of one side that no tile covers yet, with Karp-Rabin hashes of their windows of any length."""
 
@@ -100,7 +92,7 @@ def _passages(docs: DataFrame, seeds: BloomFilter, seed_words: int, margin: int)
         for batch in batches:
             rows, hits, words, places = [], [], [], []
             for row, text in enumerate(binary_values(batch.column(1))):
-                split = words_of(text)
+                split = folded_words(text)
                 if len(split) < seed_words:
                     continue
                 windows = shingle_hashes(split, seed_words)
@@ -126,7 +118,7 @@ def _passages(docs: DataFrame, seeds: BloomFilter, seed_words: int, margin: int)
 def _items(benchmark: DataFrame, seed_words: int) -> DataFrame:
     def run(batches):
         for batch in batches:
-            split = [words_of(t) for t in binary_values(batch.column(1))]
+            split = [folded_words(t) for t in binary_values(batch.column(1))]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), long_lists([word_hashes(w) for w in split]),
                  long_lists([np.unique(shingle_hashes(w, seed_words)) if len(w) >= seed_words else np.empty(0, np.uint64)

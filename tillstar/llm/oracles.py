@@ -68,4 +68,30 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, few_
 FROM f JOIN host ON f.source IS NOT DISTINCT FROM host.source
 """
 
-SQL = {"op1_quality_rules": QUALITY_RULES, "op6_minhash_near_dedup": NEAR_DEDUP}
+URL_FILTER = r"""
+WITH part AS (
+  SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) END AS rest FROM pages),
+p AS (
+  SELECT page_id, rest,
+         coalesce(translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+         coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path FROM part),
+q AS (
+  SELECT *, list_sort(list_filter(string_split(regexp_extract(regexp_replace(rest, '#.*$', '', 's'), '^[^?]*\?(.*)$', 1, 's'), '&'),
+                                  lambda x: x <> '' AND NOT regexp_matches(x, '^(ref|utm_[^=]*|fbclid|gclid)(=|$)'))) AS kept,
+         regexp_replace(host, '^www\.|:(80|443)$', '', 'g') AS bare FROM p),
+c AS (
+  SELECT *, CASE WHEN bare <> '' THEN bare || regexp_replace(path, '/+$', '')
+                 || CASE WHEN len(kept) > 0 THEN '?' || array_to_string(kept, '&') ELSE '' END END AS canonical FROM q),
+listed AS (SELECT canonical FROM c WHERE canonical IS NOT NULL GROUP BY canonical HAVING count(*) > 1),
+r(decision, name, start) AS (VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'),
+                                    ('allow', 'com', '/fr/'), ('block', 'com', '/de/')),
+best AS (
+  SELECT page_id, max_by(name || start, length(name || start)) AS rule, max_by(decision, length(name || start)) AS decision
+  FROM c JOIN r ON (host = name OR ends_with(host, '.' || name)) AND starts_with(path, start) GROUP BY page_id)
+SELECT page_id, host, path, rule,
+       coalesce(decision, CASE WHEN listed.canonical IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict,
+       listed.canonical IS NOT NULL AS listed
+FROM c LEFT JOIN best USING (page_id) LEFT JOIN listed ON listed.canonical = c.canonical
+"""
+
+SQL = {"op1_quality_rules": QUALITY_RULES, "op5_url_filter": URL_FILTER, "op6_minhash_near_dedup": NEAR_DEDUP}

@@ -8,17 +8,25 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tillstar.llm.decontaminate import contaminated
+from tillstar.llm.license_scan import license_scan
 from tillstar.llm.mixing import mix
 from tillstar.llm.near_dedup import near_duplicates
 from tillstar.llm.oracles import SQL
+from tillstar.llm.passage_dedup import repeated_passages
+from tillstar.llm.quality_model import quality_scores
 from tillstar.llm.quality_rules import MEASURES, quality_rules
 from tillstar.llm.token_count import token_counts
 from tillstar.llm.token_output import read_documents, write_token_files
+from tillstar.llm.url_filter import judge_urls, repeated_urls
 from tillstar.session import fresh_path
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
 
+# Verdict, host, path.
+URL_RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
+             ("allow", "com", "/fr/"), ("block", "com", "/de/"))
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -29,11 +37,25 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", *MEASURES, "base_failed", "host_docs", "host_rejected", "kept")
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan(_table(spark, sf_dir, "documents"))
+
+
 def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     return out.select("doc_id", "item_id", "coverage", "n_tiles", "longest")
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The list: canonical URLs under which several pages stand."""
+    pages = _table(spark, sf_dir, "pages")
+    return judge_urls(pages, repeated_urls(pages), URL_RULES)
+
+
 def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), shingle=2, num=80, den=100)
 
@@ -46,6 +68,10 @@ def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(_table(spark, sf_dir, "documents"), weights=(3, 1, 2), share=1.5, max_repeat=2)
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(_table(spark, sf_dir, "documents"))
+
+
 def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = fresh_path(spark, "tokens")
     write_token_files(_table(spark, sf_dir, "documents"), folder, public_tokenizers.path(TOKENIZER), END_ID)
@@ -53,7 +79,9 @@ def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_rules, op3_benchmark_decontamination, op6_minhash_near_dedup, op7_token_counts, op8_source_mixing, op10_token_output)}
+    return {f.__name__: f for f in (
+        op1_quality_rules, op2_license_scan, op3_benchmark_decontamination, op4_quality_classifier, op5_url_filter,
+        op6_minhash_near_dedup, op7_token_counts, op8_source_mixing, op9_substring_dedup, op10_token_output)}
 
 
 def oracle_sql() -> dict[str, str]:

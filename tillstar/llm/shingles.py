@@ -8,6 +8,9 @@ import xxhash
 
 MAX_CACHED_WORDS = 1_000_000
 
+#: ASCII capitals to small letters; other ASCII that is no letter or digit to a space; bytes of longer characters stay.
+FOLD = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c > 127 else 32 for c in range(256))
+
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _LEFT = np.uint64(0x9E3779B97F4A7C15)
 _S30, _S27, _S31 = np.uint64(30), np.uint64(27), np.uint64(31)
@@ -33,6 +36,11 @@ class WordHashes(dict):
 _hashes = WordHashes()
 
 
+def folded_words(text: bytes | None) -> list[bytes]:
+    """Runs of letters and digits, ASCII in lower case; null has none."""
+    return text.translate(FOLD).split() if text else []
+
+
 def word_hashes(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
 
