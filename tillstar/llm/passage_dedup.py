@@ -91,17 +91,18 @@ def remove_passages(docs: DataFrame, passages: DataFrame, id_col: str = "doc_id"
     """``docs`` with the passages cut out of their texts; ids must be unique. Documents without a passage are as before."""
     cuts = passages.groupBy(F.col(id_col).alias("cut_id")).agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("cuts"))
 
-    @F.pandas_udf("string")
-    def cut(text, cuts):
-        out = []
-        for t, spans in zip(text, cuts):
-            at, parts = 0, []
-            for span in spans:
-                parts.append(t[at:span["start"]])
-                at = span["end"]
-            out.append("".join(parts) + t[at:])
-        return type(text)(out)
-
-    columns = [F.col(c) if c != text_col else F.when(F.col("cuts").isNotNull(), cut(F.col(text_col), F.col("cuts"))).otherwise(F.col(text_col)).alias(c)
-               for c in docs.columns]
-    return docs.join(cuts, F.col(id_col) == F.col("cut_id"), "left").select(*columns)
+    def run(batches):
+        for batch in batches:
+            texts = []
+            for text, spans in zip(batch.column(at).to_pylist(), batch.column(batch.num_columns - 1).to_pylist()):
+                start, parts = 0, []
+                for span in spans or ():
+                    parts.append(text[start:span["start"]])
+                    start = span["end"]
+                texts.append("".join(parts) + text[start:] if spans else text)
+            columns = list(batch.columns[:-1])
+            columns[at] = pa.array(texts, columns[at].type)
+            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names[:-1])
+
+    at = docs.columns.index(text_col)
+    return docs.join(cuts, F.col(id_col) == F.col("cut_id"), "left").drop("cut_id").mapInArrow(run, docs.schema)

@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 
-MAX_CACHED_WORDS = 1_000_000
+MAX_CACHED_WORDS = 500_000
 
 #: ASCII capitals to small letters; other ASCII that is no letter or digit to a space; bytes of longer characters stay.
 FOLD = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c > 127 else 32 for c in range(256))
