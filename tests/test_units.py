@@ -81,7 +81,7 @@ def test_percentile_cont_matches_numpy(spark, p):
             rows.append((g, round(rnd.lognormvariate(5, 2), 2)))
     rows.append(("hot", None))
     df = spark.createDataFrame(rows, "g string, x double")
-    got = {r["g"]: r["q"] for r in percentile_cont(df, ["g"], "x", p, "q", buckets=16, rounds=2).collect()}
+    got = {r["g"]: r["q"] for r in percentile_cont(df, ["g"], "x", p, "q").collect()}
     for g in ("hot", "small", "one", "two"):
         vals = np.array([x for gg, x in rows if gg == g and x is not None])
         assert got[g] == pytest.approx(float(np.quantile(vals, p)), rel=1e-12, abs=1e-9)
@@ -93,9 +93,10 @@ def test_percentile_weighted_equals_expanded(spark):
     assert got == pytest.approx(float(np.quantile([1, 1, 1, 2, 10, 10], 0.5)))
 
 
-def test_with_share_has_no_single_partition_exchange(spark):
+def test_unbounded_share_has_no_single_partition_exchange(spark):
     g = spark.range(100).groupBy((F.col("id") % 7).alias("k")).agg(F.count(F.lit(1)).alias("n"))
-    out = with_share(g, "n", "pct", 1)
+    out = with_share(g, "n", "pct", 1, bounded=False)
+    assert sorted(map(tuple, out.collect())) == sorted(map(tuple, with_share(g, "n", "pct", 1).collect()))
     assert sum(r["pct"] for r in out.collect()) == pytest.approx(100, abs=0.5)
     plan = out._jdf.queryExecution().executedPlan().toString()
     # Only the one-row grand total (partial sums, one per task) is gathered; the
@@ -223,15 +224,16 @@ def test_build_fact_unknowns_and_spread_null_keys(spark):
     assert keys.filter("k >= -1").count() == 0 and keys.distinct().count() > 900
 
 
-@pytest.mark.parametrize("max_distinct", [0, 10_000_000])
-def test_exact_percentile_both_plans(spark, max_distinct):
-    from tillstar.operators.percentile import exact_percentile
+@pytest.mark.parametrize("n", [3, 40, 3000])
+def test_percentile_keeps_null_groups_at_any_size(spark, n):
+    from tillstar.operators.percentile import percentile_stats
     rnd = random.Random(3)
-    rows = [("a" if i % 3 else "b", round(rnd.lognormvariate(4, 1.5), 2), 1 + i % 4) for i in range(3000)]
-    rows += [("a", None, 5)]
+    rows = [(("a", "b", None)[i % 3], round(rnd.lognormvariate(4, 1.5) - 20, 2), 1 + i % 4) for i in range(n)]
+    rows += [("a", None, 5), ("empty", None, 2), ("one", 7.5, 1)]
     df = spark.createDataFrame(rows, "g string, x double, w long")
-    got = {r["g"]: r["m"] for r in exact_percentile(df, ["g"], "x", 0.5, "m", weight_col="w",
-                                                    max_distinct=max_distinct).collect()}
-    for g in ("a", "b"):
+    got = {r["g"]: r for r in percentile_stats(df, ["g"], "x", 0.5, "m", weight_col="w").collect()}
+    assert set(got) == {r[0] for r in rows}
+    for g in got:
         vals = [x for gg, x, w in rows if gg == g and x is not None for _ in range(w)]
-        assert got[g] == pytest.approx(float(np.quantile(vals, 0.5)), rel=1e-12)
+        assert got[g]["_rows"] == sum(w for gg, _, w in rows if gg == g) and got[g]["_n"] == len(vals)
+        assert got[g]["m"] == (pytest.approx(float(np.quantile(vals, 0.5)), rel=1e-12) if vals else None)

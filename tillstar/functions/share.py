@@ -1,14 +1,14 @@
 """Share of total over grouped rows: ``ROUND(n * 100.0 / SUM(n) OVER (), scale)``.
 
-The grand total is a scalar subquery over the already grouped frame (partial
-sums per task, one row shuffled per task; AQE reuses the grouping exchange).
-No ``Window`` over an unpartitioned frame, so the grouped rows are never
-gathered in one task, however many groups there are.
+The total is taken over the already grouped rows. Groups of a code list (types, regions,
+hours, categories, statuses: tens of rows) meet in one small window, so the input
+is read and shuffled once. For groups without such a bound ``bounded=False`` takes the total as
+a scalar subquery over the grouped frame, which never gathers the groups in one task.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -21,8 +21,8 @@ def pct_of(num: Column, total: Column, scale: int) -> Column:
     return F.round(q, scale).cast("double")
 
 
-def with_share(grouped: DataFrame, count_col: str, out_col: str, scale: int = 1,
-               total_of: str | None = None) -> DataFrame:
-    """Add ``out_col`` = share of ``count_col`` in the total of ``total_of`` (default: same column)."""
-    total = grouped.select(F.sum(total_of or count_col)).scalar()
+def with_share(grouped: DataFrame, count_col: str, out_col: str, scale: int = 1, bounded: bool = True) -> DataFrame:
+    """Add ``out_col`` = share of ``count_col`` in its total over all rows of ``grouped``."""
+    total = (F.sum(count_col).over(Window.partitionBy(F.lit(0))) if bounded
+             else grouped.select(F.sum(count_col)).scalar())
     return grouped.withColumn(out_col, pct_of(F.col(count_col), total, scale))

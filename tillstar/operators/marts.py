@@ -10,6 +10,7 @@ Conventions (mart contracts):
   merchant category, agency) aggregate the fact by the foreign key first, so the
   join and its shuffle see one row per key instead of one per transaction.
 - ``dim_date`` is a calendar (bounded by its day range) and is broadcast.
+- Every mart is ordered as its contract says; ties and equal ranks go by the label.
 """
 
 from __future__ import annotations
@@ -18,9 +19,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillstar.functions.share import pct_of, with_share
-from tillstar.operators.percentile import exact_percentile
+from tillstar.operators.percentile import percentile_stats
 from tillstar.operators.star import Star
-from tillstar.session import checkpointed
 
 SUCCESS, FAILED = "SUCCESS", "FAILED"
 
@@ -58,6 +58,10 @@ def _per_user(fact: DataFrame) -> DataFrame:
     return fact.groupBy("user_key").agg(F.count(F.lit(1)).alias("_n"), F.sum("amount").alias("_vol"))
 
 
+def _by_count(df: DataFrame, count: str, label: str) -> DataFrame:
+    return df.orderBy(F.desc(count), F.asc_nulls_last(label))
+
+
 def _top(df: DataFrame, n: int, *order: Column) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
@@ -129,11 +133,11 @@ def q5_top_agency(star: Star, top: int = 10) -> DataFrame:
                        F.sum("fee").alias("_fee"), n_success().alias("nb_succes")))
     a = star.agency.filter(F.col("agency_key") != -1).select("agency_key", "name", "wilaya_name", "tier")
     out = per_agency.join(a, "agency_key").select(
-        F.col("name").alias("agence"), F.col("wilaya_name").alias("wilaya"), "tier", "nb_transactions",
+        "agency_key", F.col("name").alias("agence"), F.col("wilaya_name").alias("wilaya"), "tier", "nb_transactions",
         r0(F.col("_vol")).alias("volume_mru"), r0(F.col("_fee")).alias("frais_generes_mru"),
         r0(mean(F.col("_vol"), F.col("nb_transactions"))).alias("panier_moyen_mru"), "nb_succes",
         pct_of(F.col("nb_succes"), F.col("nb_transactions"), 1).alias("taux_succes_pct"))
-    return _top(out, top, F.desc("volume_mru"), F.asc("agence"))
+    return _top(out, top, F.desc("volume_mru"), F.asc("agency_key")).drop("agency_key")
 
 
 def q6_opportunity(star: Star) -> DataFrame:
@@ -150,11 +154,12 @@ def q6_opportunity(star: Star) -> DataFrame:
     cls = (F.when(F.col("_ratio") < nat * F.lit(0.75), "Fort potentiel")
            .when(F.col("_ratio") < nat, "Potentiel modéré")
            .otherwise("Déjà performante"))
+    rank = F.when(F.col("opportunite") == "Fort potentiel", 1).when(F.col("opportunite") == "Potentiel modéré", 2).otherwise(3)
     return ws.select(
         "wilaya_name", "nb_utilisateurs", "nb_transactions",
         r(F.col("_ratio"), 2).alias("tx_par_user"),
         nat.cast("double").alias("moy_nationale_tx_par_user"),
-        cls.alias("opportunite"))
+        cls.alias("opportunite")).orderBy(rank, F.desc("nb_utilisateurs"), F.asc("wilaya_name"))
 
 
 # ------------------------------------------------------------ Q7 - Q9
@@ -195,13 +200,13 @@ def q8_retention(star: Star) -> DataFrame:
     return per_month.select(
         F.floor(F.col("m") / 12).cast("int").alias("year"), (F.col("m") % 12 + 1).cast("int").alias("month"),
         "actifs_mois_courant", "retenus_du_mois_precedent",
-        pct_of(F.col("retenus_du_mois_precedent"), F.col("actifs_mois_courant"), 1).alias("taux_retention_pct"))
+        pct_of(F.col("retenus_du_mois_precedent"), F.col("actifs_mois_courant"), 1).alias("taux_retention_pct")).orderBy("year", "month")
 
 
 def _user_share(star: Star, label: Column, name: str) -> DataFrame:
     g = (star.user.filter(F.col("is_current")).groupBy(label.alias(name))
          .agg(F.count(F.lit(1)).alias("nb_utilisateurs")))
-    return with_share(g, "nb_utilisateurs", "pourcentage", 1)
+    return _by_count(with_share(g, "nb_utilisateurs", "pourcentage", 1), "nb_utilisateurs", name)
 
 
 def q9_kyc(star: Star) -> DataFrame:
@@ -231,9 +236,9 @@ def type_label(code: Column) -> Column:
 def q10_type_mix(star: Star) -> DataFrame:
     g = (_cf(star.fact).groupBy(F.col("transaction_type").alias("type_tx"))
          .agg(F.count(F.lit(1)).alias("nb_transactions"), F.sum("amount").alias("_vol")))
-    return with_share(g, "nb_transactions", "pct_volume_transactions", 1).select(
+    return _by_count(with_share(g, "nb_transactions", "pct_volume_transactions", 1).select(
         "type_tx", type_label(F.col("type_tx")).alias("libelle"), "nb_transactions",
-        r0(F.col("_vol")).alias("volume_mru"), "pct_volume_transactions")
+        r0(F.col("_vol")).alias("volume_mru"), "pct_volume_transactions"), "nb_transactions", "type_tx")
 
 
 def q11_peak_hours(tx: DataFrame) -> DataFrame:
@@ -242,7 +247,7 @@ def q11_peak_hours(tx: DataFrame) -> DataFrame:
          .agg(F.count(F.lit(1)).alias("nb_transactions"), F.sum("amount").alias("_vol")))
     return with_share(g, "nb_transactions", "pct", 1).select(
         "heure", F.concat(F.lpad(F.col("heure").cast("string"), 2, "0"), F.lit("h")).alias("plage_horaire"),
-        "nb_transactions", r0(F.col("_vol")).alias("volume_mru"), "pct")
+        "nb_transactions", r0(F.col("_vol")).alias("volume_mru"), "pct").orderBy("heure")
 
 
 def failure_label(c: Column) -> Column:
@@ -265,7 +270,8 @@ def _failures(star: Star, label: Column, name: str, count_name: str, pct_name: s
               top: int) -> DataFrame:
     g = (star.fact.filter(F.col("status") == FAILED).groupBy(label.alias(name))
          .agg(F.count(F.lit(1)).alias(count_name)))
-    return _top(with_share(g, count_name, pct_name, scale), top, F.desc(count_name), F.asc(name))
+    # Reasons are free text: their number has no bound.
+    return _top(with_share(g, count_name, pct_name, scale, bounded=False), top, F.desc(count_name), F.asc(name))
 
 
 def q12_failure_reasons(star: Star, top: int = 10) -> DataFrame:
@@ -296,36 +302,29 @@ def q13_category_mix(star: Star) -> DataFrame:
          .groupBy(F.col("category_label").alias("categorie"))
          .agg(F.sum("_n").alias("nb_transactions"), F.sum("_vol").alias("_vol"),
               F.sum("_fee").alias("_fee"), F.count(F.lit(1)).alias("nb_marchands_actifs")))
-    return with_share(g, "nb_transactions", "pct_transactions", 1).select(
+    return _by_count(with_share(g, "nb_transactions", "pct_transactions", 1).select(
         "categorie", "nb_transactions", r0(F.col("_vol")).alias("volume_mru"),
-        r0(F.col("_fee")).alias("frais_generes_mru"), "nb_marchands_actifs", "pct_transactions")
+        r0(F.col("_fee")).alias("frais_generes_mru"), "nb_marchands_actifs", "pct_transactions"), "nb_transactions", "categorie")
 
 
 def q14_basket(star: Star) -> DataFrame:
     ok = _merchant_fact(star).filter(F.col("status") == SUCCESS)
     # Per (merchant, amount) counts first: the join carries distinct amounts, not rows.
     per_amount = ok.groupBy("merchant_key", "amount").agg(F.count(F.lit(1)).alias("_w"))
-    # Written once to the checkpoint folder: the size check of the median and both
-    # result branches read these (category, amount, count) rows, the fact is
-    # aggregated a single time.
-    rows = checkpointed(per_amount.join(_categories(star), "merchant_key").select(
-        F.col("category_label").alias("categorie"), "amount", "_w"))
-    stats = rows.groupBy("categorie").agg(
-        F.sum("_w").alias("nb_transactions"), F.sum(F.col("amount") * F.col("_w")).alias("_vol"),
-        F.min("amount").alias("_min"), F.max("amount").alias("_max"))
-    med = exact_percentile(rows, ["categorie"], "amount", 0.5, "_median", weight_col="_w")
-    return stats.join(med, "categorie").select(
-        "categorie", "nb_transactions",
-        r0(mean(F.col("_vol"), F.col("nb_transactions"))).alias("panier_moyen_mru"),
+    rows = per_amount.join(_categories(star), "merchant_key").select(F.col("category_label").alias("categorie"), "amount", "_w")
+    stats = percentile_stats(rows, ["categorie"], "amount", 0.5, "_median", weight_col="_w")
+    return stats.select(
+        "categorie", F.col("_rows").alias("nb_transactions"),
+        r0(mean(F.col("_sum"), F.col("_n"))).alias("panier_moyen_mru"),
         r0(F.col("_min")).alias("montant_min_mru"), r0(F.col("_max")).alias("montant_max_mru"),
-        F.round(F.col("_median"), 0).alias("mediane_mru"))
+        F.round(F.col("_median"), 0).alias("mediane_mru")).orderBy(F.desc_nulls_first("panier_moyen_mru"), F.asc_nulls_last("categorie"))
 
 
 def q15_merchant_status(star: Star) -> DataFrame:
     g = (star.merchant.filter(F.col("merchant_key") != -1)
          .groupBy(F.col("status").alias("statut_marchand"))
          .agg(F.count(F.lit(1)).alias("nb_marchands")))
-    return with_share(g, "nb_marchands", "pourcentage", 1)
+    return _by_count(with_share(g, "nb_marchands", "pourcentage", 1), "nb_marchands", "statut_marchand")
 
 
 def q15_merchant_activity(star: Star) -> DataFrame:
@@ -356,12 +355,13 @@ def kpi_success_rate(star: Star) -> DataFrame:
 def viz_monthly_volume(star: Star) -> DataFrame:
     return (_with_date(_cf(star.fact), star.date, ["month", "month_name"])
             .groupBy(F.col("month").cast("int").alias("num_mois"), F.col("month_name").alias("mois"))
-            .agg(F.count(F.lit(1)).alias("nb_transactions"), r0(F.sum("amount")).alias("volume_mru")))
+            .agg(F.count(F.lit(1)).alias("nb_transactions"), r0(F.sum("amount")).alias("volume_mru"))
+            .orderBy("num_mois"))
 
 
 def viz_status_share(star: Star) -> DataFrame:
     g = star.fact.groupBy("status").agg(F.count(F.lit(1)).alias("nb"))
-    return with_share(g, "nb", "pourcentage", 2)
+    return _by_count(with_share(g, "nb", "pourcentage", 2), "nb", "status")
 
 
 def viz_top_wilaya(star: Star, top: int = 10) -> DataFrame:
@@ -373,13 +373,14 @@ def viz_top_wilaya(star: Star, top: int = 10) -> DataFrame:
 
 def viz_peak_hours(tx: DataFrame) -> DataFrame:
     return (tx.filter(F.col("transaction_time").isNotNull())
-            .groupBy(F.col("tx_hour").alias("heure")).agg(F.count(F.lit(1)).alias("nb_transactions")))
+            .groupBy(F.col("tx_hour").alias("heure")).agg(F.count(F.lit(1)).alias("nb_transactions"))
+            .orderBy("heure"))
 
 
 def viz_type_share(star: Star) -> DataFrame:
     g = (star.fact.groupBy(F.col("transaction_type").alias("type_tx"))
          .agg(F.count(F.lit(1)).alias("nb"), F.sum("amount").alias("_vol")))
-    return with_share(g, "nb", "pct", 2).select("type_tx", "nb", r0(F.col("_vol")).alias("volume_mru"), "pct")
+    return _by_count(with_share(g, "nb", "pct", 2).select("type_tx", "nb", r0(F.col("_vol")).alias("volume_mru"), "pct"), "nb", "type_tx")
 
 
 def viz_failure_reasons(star: Star, top: int = 10) -> DataFrame:

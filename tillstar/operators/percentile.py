@@ -1,116 +1,81 @@
-"""Exact ``PERCENTILE_CONT(p) WITHIN GROUP (ORDER BY x)`` per group, distributed.
-
-Spark's ``percentile`` aggregate keeps a map of every distinct value of a
-group in one task, so a group holding a third of the data (and many distinct
-amounts) would sit in one task's memory. This operator instead:
-
-1. counts rows per (group, value) - an aggregate with map-side combine;
-2. narrows, per group and target rank, the value interval that holds the rank
-   with ``rounds`` equal-width histograms of ``buckets`` bins each (small
-   aggregates: groups x bins rows), keeping the exact count of rows below the
-   interval;
-3. ranks only the distinct values left in the final interval with a window.
-
-Bins are equal-width on a signed-log scale, ``sign(x) * log1p(|x|)``, so
-heavy-tailed amounts (most values small, a few huge) still spread over many
-bins. Bucket numbers are a monotone function of the value, so every bin is a
-contiguous value range and the narrowing is exact. All steps are lazy
-DataFrame operations: no driver loop over data, no sampling.
+"""Exact ``PERCENTILE_CONT(p) WITHIN GROUP (ORDER BY x)`` per group, distributed, in one code path.
+
+Spark's ``percentile`` aggregate keeps a map of every distinct value of a group in one
+task. Here rows are first counted per (group, value); a histogram over fixed bins tells which
+bins hold the two ranks needed, and only the distinct values of those bins are ordered. A bin is
+a fixed monotone function of the value (a step of a signed logarithm, about 0.02 % wide), so a
+group has a bounded number of bins and the narrowing is exact. Nothing is sampled or
+capped, and the same plan runs at every size.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+BINS_PER_UNIT = 4096  # bins per unit of ln(1 + |x|)
 
-def percentile_cont(df: DataFrame, group_cols: list[str], value_col: str, p: float = 0.5,
-                    out_col: str = "percentile", buckets: int = 1024, rounds: int = 2,
-                    weight_col: str | None = None) -> DataFrame:
-    """One row per group: ``group_cols`` + ``out_col`` (DOUBLE), linear interpolation.
 
-    Rows with a NULL value are ignored, like the SQL aggregate. ``weight_col``
-    (a positive integer count) lets pre-aggregated (value, count) rows stand for
-    that many rows.
+def _bin(v: Column) -> Column:
+    return F.floor(F.signum(v) * F.log1p(F.abs(v)) * BINS_PER_UNIT)
+
+
+def _same(left: list[str], right: list[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(x).eqNullSafe(F.col(y)) for x, y in zip(left, right)], F.lit(True))
+
+
+def percentile_stats(df: DataFrame, group_cols: list[str], value_col: str, p: float = 0.5, out_col: str = "percentile",
+                     weight_col: str | None = None) -> DataFrame:
+    """One row per group: group columns, ``out_col`` (DOUBLE, linear interpolation), and the plain aggregates of the same
+    pass: ``_rows``, ``_n`` (rows with a value), ``_sum``, ``_min``, ``_max``.
+
+    NULL values are ignored by the percentile, like the SQL aggregate; a NULL group is a group, and a group
+    of NULL values alone has a NULL percentile. ``weight_col`` (a positive count) lets (value, count)
+    rows stand for that many rows.
     """
     if not 0.0 <= p <= 1.0:
         raise ValueError("p must be in [0, 1]")
-    g = list(group_cols)
-    if not g:
-        df, g = df.withColumn("_all", F.lit(0)), ["_all"]
-    v = F.col("_v")
-    weighted = (df.filter(F.col(value_col).isNotNull())
-                .groupBy(*g, F.col(value_col).cast("double").alias("_v"))
-                .agg((F.sum(weight_col) if weight_col else F.count(F.lit(1))).cast("bigint").alias("_w")))
-
-    stats = weighted.groupBy(*g).agg(F.sum("_w").alias("_n"), F.min("_v").alias("_lo"),
-                                     F.max("_v").alias("_hi"))
+    g = [f"_g{i}" for i in range(len(group_cols))]
+    w = F.col(weight_col).cast("bigint") if weight_col else F.lit(1).cast("bigint")
+    weighted = (df.groupBy(*[F.col(c).alias(a) for c, a in zip(group_cols, g)], F.col(value_col).alias("_v"))
+                .agg(F.sum(w).alias("_w")))
+    v = F.col("_v").cast("double")
+
+    # NULL values have the NULL bin, which keeps their group and weighs nothing in the ranks.
+    hist = weighted.groupBy(*g, _bin(v).alias("_bin")).agg(
+        F.sum("_w").alias("_rows"), F.sum(F.when(v.isNotNull(), F.col("_w")).otherwise(0)).alias("_c"),
+        F.sum(F.col("_v") * F.col("_w")).alias("_s"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+    group = Window.partitionBy(*g)
+    up_to = group.orderBy(F.asc_nulls_first("_bin")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    hist = hist.select(*g, "_bin", "_rows", "_s", "_lo", "_hi", "_c", F.sum("_c").over(up_to).alias("_cum"), F.sum("_c").over(group).alias("_n"))
     pos = (F.col("_n") - 1) * F.lit(p)
-    # Two target ranks per group (0-based): floor and ceil of the position.
-    targets = stats.select(
-        *g, F.col("_lo").alias("_a"), F.col("_hi").alias("_b"), F.lit(0).cast("bigint").alias("_below"),
-        (pos - F.floor(pos)).alias("_frac"),
-        F.explode(F.array(F.struct(F.lit(0).alias("t"), F.floor(pos).cast("bigint").alias("r")),
-                          F.struct(F.lit(1).alias("t"), F.ceil(pos).cast("bigint").alias("r")))).alias("_tr"))
-    targets = targets.select(*g, "_a", "_b", "_below", "_frac",
-                             F.col("_tr.t").alias("_t"), F.col("_tr.r").alias("_r"))
-
-    def slog(c):
-        return F.signum(c) * F.log1p(F.abs(c))
-
-    for _ in range(rounds):
-        cand = weighted.join(targets, g).filter((v >= F.col("_a")) & (v <= F.col("_b")))
-        lo_s, width = slog(F.col("_a")), slog(F.col("_b")) - slog(F.col("_a"))
-        bkt = F.when(width > 0, F.least(F.floor((slog(v) - lo_s) / width * buckets),
-                                        F.lit(buckets - 1))).otherwise(F.lit(0)).cast("int")
-        hist = (cand.groupBy(*g, "_t", "_r", "_below", "_frac", bkt.alias("_k"))
-                .agg(F.sum("_w").alias("_cnt"), F.min("_v").alias("_kmin"), F.max("_v").alias("_kmax")))
-        w = Window.partitionBy(*g, "_t").orderBy("_k").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        hist = hist.withColumn("_cum", F.sum("_cnt").over(w))
-        # The bin holding rank r: first bin whose cumulative count passes r - below.
-        hit = hist.filter((F.col("_below") + F.col("_cum") > F.col("_r"))
-                          & (F.col("_below") + F.col("_cum") - F.col("_cnt") <= F.col("_r")))
-        targets = hit.select(*g, F.col("_kmin").alias("_a"), F.col("_kmax").alias("_b"),
-                             (F.col("_below") + F.col("_cum") - F.col("_cnt")).alias("_below"),
-                             "_frac", "_t", "_r")
-
-    cand = weighted.join(targets, g).filter((v >= F.col("_a")) & (v <= F.col("_b")))
-    w = Window.partitionBy(*g, "_t").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = cand.withColumn("_cum", F.col("_below") + F.sum("_w").over(w))
-    picked = (ranked.filter((F.col("_cum") > F.col("_r")) & (F.col("_cum") - F.col("_w") <= F.col("_r")))
-              .select(*g, "_t", "_frac", "_v"))
-    lo = picked.filter(F.col("_t") == 0).select(*g, "_frac", F.col("_v").alias("_vlo"))
-    hi = picked.filter(F.col("_t") == 1).select(*g, F.col("_v").alias("_vhi"))
-    out = (lo.join(hi, g)
-           .select(*g, (F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * F.col("_frac")).alias(out_col)))
-    return out.drop("_all") if g == ["_all"] else out
-
-
-# Distinct values one task may hold for one group in Spark's own percentile
-# aggregate (a value -> count map, ~50 bytes per entry).
-MAX_DISTINCT_PER_GROUP = 2_000_000
-
-
-def exact_percentile(df: DataFrame, group_cols: list[str], value_col: str, p: float = 0.5,
-                     out_col: str = "percentile", weight_col: str | None = None,
-                     max_distinct: int = MAX_DISTINCT_PER_GROUP) -> DataFrame:
-    """Exact percentile per group, choosing the plan by a checked size.
-
-    One scalar is read first: the largest number of distinct values in any group.
-    Within ``max_distinct`` Spark's ``percentile`` with a frequency column runs over
-    the (group, value, count) rows - its per-group map is bounded by that check.
-    Beyond it, the histogram narrowing of ``percentile_cont`` is used, which never
-    holds a group's values in one task.
-    """
-    g = list(group_cols)
-    w = F.col(weight_col) if weight_col else F.lit(1)
-    # No NULL filter here: ``percentile`` skips NULL values itself, and an extra
-    # predicate would be pushed into this branch's scan only, so the input
-    # subtree would no longer match the caller's (no exchange reuse).
-    weighted = (df.groupBy(*g, F.col(value_col).cast("double").alias("_v"))
-                .agg(F.sum(w).cast("bigint").alias("_w")))
-    widest = (weighted.groupBy(*g).agg(F.count(F.lit(1)).alias("_d"))
-              .agg(F.max("_d").alias("_m")).first()["_m"]) if g else None
-    if g and (widest or 0) <= max_distinct:
-        return weighted.groupBy(*g).agg(F.percentile("_v", F.lit(p), F.col("_w")).alias(out_col))
-    return percentile_cont(weighted.filter(F.col("_v").isNotNull()), g, "_v", p, out_col, weight_col="_w")
+    low, high = F.floor(pos), F.ceil(pos)
+
+    def holds(rank: Column, end: Column, size: Column) -> Column:
+        return (rank < end) & (rank >= end - size)
+
+    wanted = holds(low, F.col("_cum"), F.col("_c")) | holds(high, F.col("_cum"), F.col("_c"))
+    stats = hist.groupBy(*g).agg(F.sum("_rows").alias("_rows"), F.max("_n").alias("_n"), F.sum("_s").alias("_sum"),
+                                 F.min("_lo").alias("_min"), F.max("_hi").alias("_max"))
+    target = hist.filter(wanted).select(*[F.col(c).alias(f"_t{c}") for c in g], F.col("_bin").alias("_tbin"),
+                                        (F.col("_cum") - F.col("_c")).alias("_before"), low.alias("_low"), high.alias("_high"),
+                                        (pos - low).alias("_frac"))
+
+    values = weighted.join(target, _same(g, [f"_t{c}" for c in g]) & (_bin(v) == F.col("_tbin")))
+    end = F.col("_before") + F.sum("_w").over(Window.partitionBy(*g, "_tbin").orderBy(v).rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    values = values.withColumn("_end", end)
+    picked = values.groupBy(*[F.col(c).alias(f"_p{c}") for c in g]).agg(
+        F.max(F.when(holds(F.col("_low"), F.col("_end"), F.col("_w")), v)).alias("_vlow"),
+        F.max(F.when(holds(F.col("_high"), F.col("_end"), F.col("_w")), v)).alias("_vhigh"), F.max("_frac").alias("_frac"))
+    out = stats.join(picked, _same(g, [f"_p{c}" for c in g]), "left")
+    return out.select(*[F.col(a).alias(c) for c, a in zip(group_cols, g)],
+                      (F.col("_vlow") + (F.col("_vhigh") - F.col("_vlow")) * F.col("_frac")).alias(out_col),
+                      "_rows", "_n", "_sum", "_min", "_max")
+
+
+def percentile_cont(df: DataFrame, group_cols: list[str], value_col: str, p: float = 0.5, out_col: str = "percentile",
+                    weight_col: str | None = None) -> DataFrame:
+    """One row per group: ``group_cols`` and ``out_col`` (see ``percentile_stats``)."""
+    return percentile_stats(df, group_cols, value_col, p, out_col, weight_col).select(*group_cols, out_col)

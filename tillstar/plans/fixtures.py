@@ -11,11 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillstar.operators.dedup import latest_per_key
-from tillstar.operators.star import (Star, build_dim_date, build_dim_node, build_fact)
+from tillstar.operators.star import (Star, build_calendar, build_dim_node, build_fact, calendar_bounds_of)
 from tillstar.sources.tables import load
 
 MONEY = "decimal(18,2)"
-FACT_CALENDAR = ("1995-01-01", "2001-12-31")
 
 
 def _s(c) -> F.Column:
@@ -26,6 +25,11 @@ def fx_node(spark: SparkSession) -> DataFrame:
     return build_dim_node(spark).select("node_key", "node_id", "datacenter")
 
 
+def fx_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole years from the first to the last order date (the dates of all transactions)."""
+    return build_calendar(calendar_bounds_of(load(spark, sf_dir, "orders"), "o_orderdate"))
+
+
 def fx_user(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = load(spark, sf_dir, "customer")
     n = F.broadcast(load(spark, sf_dir, "nation"))  # 25 rows, fixed
@@ -53,7 +57,7 @@ def fx_merchant(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = load(spark, sf_dir, "part")
     known = p.select(
         F.col("p_partkey").alias("merchant_key"), F.col("p_partkey").alias("merchant_id"),
-        F.col("p_name").alias("name"), F.col("p_type").alias("category_label"),
+        F.col("p_name").alias("name"), F.when(F.col("p_partkey") % 40 != 0, F.col("p_type")).alias("category_label"),
         F.when(F.col("p_size") % 8 == 0, "INACTIVE").otherwise("ACTIVE").alias("status"))
     unknown = spark.range(1).select(
         F.lit(-1).cast("bigint").alias("merchant_key"), F.lit(-1).cast("bigint").alias("merchant_id"),
@@ -186,7 +190,7 @@ def fixture_star(spark: SparkSession, sf_dir: str, strategy: str = "node_a") ->
     agency = fx_agency(spark, sf_dir)
     node = fx_node(spark)
     fact = build_fact(stg_transactions(spark, sf_dir), user, merchant, agency, node, strategy)
-    date = build_dim_date(spark, *FACT_CALENDAR)
+    date = fx_date(spark, sf_dir)
     return Star(fact=fact, user=user, merchant=merchant, agency=agency, node=node, date=date)
 
 
@@ -235,7 +239,7 @@ def stg_merchants(spark: SparkSession, sf_dir: str) -> DataFrame:
     none = F.lit(None).cast("string")
     return p.select(
         k.alias("id"), F.concat(F.lit("M"), _s(k)).alias("code"), blank.alias("mcc"), _pad(F.col("p_name")).alias("name"),
-        F.col("p_brand").alias("category_code"), F.col("p_type").alias("category_label"),
+        F.col("p_brand").alias("category_code"), F.when(k % 40 != 0, F.col("p_type")).otherwise(blank).alias("category_label"),
         *[none.alias(c) for c in ("owner_first_name", "owner_last_name", "owner_full_name", "owner_gender",
                                   "owner_ethnicity", "phone", "email")],
         F.lit(None).cast("int").alias("wilaya_id"), none.alias("wilaya_name"),

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 FX = {}
 
+# The replication nodes.
 FX["fx_node"] = """SELECT * FROM (VALUES (1,'NDB-NODE-1','DC-NDB'),(2,'NDB-NODE-2','DC-NDB'),
   (3,'NKC-NODE-1','DC-NKC-PRIMARY'),(4,'NKC-NODE-2','DC-NKC-PRIMARY'),(5,'NKC-NODE-3','DC-NKC-SECONDARY'))
   AS t(node_key, node_id, datacenter)"""
@@ -23,7 +24,7 @@ FX["fx_user"] = """SELECT c_custkey AS user_key, c_custkey AS user_id, c_name AS
   TRUE AS is_current
 FROM customer JOIN nation ON c_nationkey = n_nationkey"""
 
-FX["fx_merchant"] = """SELECT p_partkey AS merchant_key, p_partkey AS merchant_id, p_name AS name, p_type AS category_label,
+FX["fx_merchant"] = """SELECT p_partkey AS merchant_key, p_partkey AS merchant_id, p_name AS name, CASE WHEN p_partkey % 40 <> 0 THEN p_type END AS category_label,
   CASE WHEN p_size % 8 = 0 THEN 'INACTIVE' ELSE 'ACTIVE' END AS status
 FROM part
 UNION ALL SELECT -1, -1, 'Sans marchand', CAST(NULL AS VARCHAR(20)), 'N/A'"""
@@ -75,7 +76,7 @@ FX["fx_date"] = """SELECT CAST(year(d) * 10000 + month(d) * 100 + day(d) AS INT)
   CAST(year(d) AS INT) AS year, CAST(quarter(d) AS INT) AS quarter, CAST(month(d) AS INT) AS month,
   monthname(d) AS month_name,
   CAST(day(d) AS INT) AS day_of_month
-FROM (SELECT CAST(unnest(generate_series(DATE '1995-01-01', DATE '2001-12-31', INTERVAL 1 DAY)) AS DATE) AS d) s"""
+FROM (SELECT CAST(unnest(generate_series((SELECT make_date(year(MIN(o_orderdate)), 1, 1) FROM orders), (SELECT make_date(year(MAX(o_orderdate)), 12, 31) FROM orders), INTERVAL 1 DAY)) AS DATE) AS d) s"""
 
 # The live stream bound to events.
 FX["fx_events"] = """SELECT event_id AS transaction_id, CAST(ts AS TIMESTAMP) AS ts, user_id, event_type,
