@@ -1,11 +1,15 @@
 """Streaming: a restarted query resumes from its checkpoint and loses nothing."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
+from tillstar.plans.check import duck
+from tillstar.plans.registry import oracle_sql
 from tillstar.session import fresh_path
 from tillstar.sources.tables import load
 from tillstar.streaming import events as ev
+from tillstar.streaming import jobs
 
 
 def test_restart_from_checkpoint_equals_batch(spark):
@@ -14,29 +18,44 @@ def test_restart_from_checkpoint_equals_batch(spark):
     mid = src.agg(F.percentile_approx("event_id", 0.5)).first()[0]
     # first drop
     src.filter(F.col("event_id") <= mid).coalesce(1).write.parquet(landing_dir, mode="append")
-    log, ckpt = fresh_path(spark, "t-log"), fresh_path(spark, "t-ckpt")
+    root, ckpt = fresh_path(spark, "t-counters"), fresh_path(spark, "t-ckpt")
 
     def run_once():
-        tx = ev.as_transactions(ev.read_stream(spark, landing_dir))
-        ev.run_available_now(spark, ev.windowed_count(tx, "1 day").writeStream.outputMode("update")
-                             .foreachBatch(ev.counter_log_sink(log)), ckpt)
+        tx = ev.as_transactions(ev.read_stream(spark, landing_dir, max_files=1))
+        ev.run(ev.windowed_count(tx, "1 day").writeStream.outputMode("update")
+               .foreachBatch(ev.counter_table_sink(root, ["w"])), ckpt)
 
     run_once()
     # second drop arrives after the driver "restarted": same checkpoint, only new files are read
     src.filter(F.col("event_id") > mid).coalesce(1).write.parquet(landing_dir, mode="append")
     run_once()
     got = {r["window_start"].date(): r["nb_transactions"]
-           for r in ev.flat_window(ev.read_counters(spark, log, ["w"])).collect()}
+           for r in ev.flat_window(ev.read_counters(spark, root)).collect()}
     want = {r["jour"]: r["nb"] for r in ev.daily_counts(ev.as_transactions(src)).collect()}
     assert got == want
 
 
 def test_replayed_batch_is_harmless(spark):
-    log = fresh_path(spark, "t-replay")
-    sink = ev.counter_log_sink(log)
-    batch = spark.createDataFrame([("a", 1), ("b", 2)], "k string, n long")
-    sink(batch, 0)
-    sink(spark.createDataFrame([("a", 5)], "k string, n long"), 1)
-    sink(spark.createDataFrame([("a", 5)], "k string, n long"), 1)     # the same batch written twice
-    got = {r["k"]: r["n"] for r in ev.read_counters(spark, log, ["k"]).collect()}
-    assert got == {"a": 5, "b": 2}
+    root = fresh_path(spark, "t-replay")
+    sink = ev.counter_table_sink(root, ["k"])
+    sink(spark.createDataFrame([("a", 1), ("b", 2)], "k string, n long"), 0)
+    for _ in range(2):  # the same batch written twice
+        sink(spark.createDataFrame([("a", 5)], "k string, n long"), 1)
+    sink(spark.createDataFrame([("c", 7)], "k string, n long"), 2)
+    assert {r["k"]: r["n"] for r in ev.read_counters(spark, root).collect()} == {"a": 5, "b": 2, "c": 7}
+
+
+def test_interval_trigger_runs_as_a_service(spark):
+    path = ev.land_events(load(spark, SF_SMALL, "events"), fresh_path(spark, "t-service"))
+    root = fresh_path(spark, "t-service-counters")
+    daily = ev.windowed_count(ev.as_transactions(ev.read_stream(ev.counter_session(spark), path)), "1 day")
+    ev.run(daily.writeStream.outputMode("update").foreachBatch(ev.counter_table_sink(root, ["w"])),
+           fresh_path(spark, "t-service-ckpt"), interval="1 second", timeout=25)
+    assert sum(r["nb_transactions"] for r in ev.read_counters(spark, root).collect()) == load(spark, SF_SMALL, "events").count()
+
+
+@pytest.mark.parametrize("rows_per_file", [50, 1_000_000])
+def test_late_rows_do_not_depend_on_files(spark, monkeypatch, rows_per_file):
+    monkeypatch.setattr(ev, "ROWS_PER_FILE", rows_per_file)
+    got = sorted(map(tuple, jobs.stream_late_report(spark, SF_SMALL).collect()))
+    assert got == sorted(duck(SF_SMALL).sql(oracle_sql()["stream_late_report"]).fetchall())

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillstar.session import fresh_path
 from tillstar.sources.schemas import CLASSIFICATION
 
 CLEAR_ROLES = ("directeur_general", "dpo")
@@ -26,10 +27,16 @@ def rls_filter(fact: DataFrame, users: DataFrame, profiles: DataFrame, login: st
     """
     if role in BYPASS_ROLES:
         return fact
+    visible = rls_users(users.filter(F.col("is_current")), profiles, login, role).select("user_key")
+    return fact.join(visible, "user_key", "left_semi")
+
+
+def rls_users(users: DataFrame, profiles: DataFrame, login: str, role: str) -> DataFrame:
+    """Rows of the user dimension the login may see: those of the login's region (bypass roles see all)."""
+    if role in BYPASS_ROLES:
+        return users
     me = profiles.filter(F.col("login") == login).select("wilaya_id")
-    visible_users = (users.filter(F.col("is_current")).select("user_key", "wilaya_id")
-                     .join(F.broadcast(me), "wilaya_id", "left_semi").select("user_key"))
-    return fact.join(visible_users, "user_key", "left_semi")
+    return users.join(me, "wilaya_id", "left_semi")
 
 
 # ------------------------------------------------------------ G3 masks
@@ -58,8 +65,10 @@ def masked_users(users: DataFrame, role: str) -> DataFrame:
 # Detection patterns (Java and RE2 compatible).
 PII_PATTERNS = {
     "EMAIL": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}",
-    "PHONE": r"\+[0-9]{1,3} ?\(?[0-9]{2,3}\)?[ -]?[0-9]{3}[ -][0-9]{4}\b",
-    "NNI": r"\b[0-9]{10}\b",
+    # International with separators, the country's +222 and eight digits in pairs or together, and the internal P form.
+    "PHONE": r"(\+[0-9]{1,3} ?\(?[0-9]{2,3}\)?[ -]?[0-9]{3}[ -][0-9]{4}|\+222[ -]?[0-9]{2}[ -]?[0-9]{2}[ -]?[0-9]{2}[ -]?[0-9]{2}|\b[234][0-9]{7}|\bP[0-9]{8})\b",
+    # Ten digits, and the internal N form.
+    "NNI": r"\b([0-9]{10}|N[0-9]{8})\b",
     "IBAN": r"\b[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}\b",
 }
 
@@ -114,25 +123,23 @@ def export_decision(n: Column, alert: int = EXPORT_ALERT_ROWS, refuse: int = EXP
     return (F.when(n > refuse, "REFUSE").when(n > alert, "ALERT").otherwise("OK"))
 
 
-def export_probe(df: DataFrame, name: str, user: str, alert: int = EXPORT_ALERT_ROWS,
-                 refuse: int = EXPORT_REFUSE_ROWS) -> DataFrame:
-    """One audit row for a requested export: rows counted up to refuse+1 (the scan
-    stops early), and the decision."""
-    n = df.limit(refuse + 1).agg(F.count(F.lit(1)).alias("nb_lignes"))
-    return n.select(F.lit(name).alias("export_name"), F.lit(user).alias("demandeur"), "nb_lignes",
-                    export_decision(F.col("nb_lignes"), alert, refuse).alias("decision"))
-
-
 def guarded_export(df: DataFrame, name: str, user: str, path: str, alert: int = EXPORT_ALERT_ROWS,
                    refuse: int = EXPORT_REFUSE_ROWS) -> DataFrame:
-    """Write ``df`` as CSV unless it exceeds the refuse threshold; return the audit row."""
-    audit = export_probe(df, name, user, alert, refuse)
-    decision = audit.select("decision").first()[0]
-    written = decision != "REFUSE"
-    if written:
-        df.write.mode("errorifexists").option("header", True).csv(path)
-    out = audit.withColumn("fichier", F.lit(path if written else None).cast("string"))
-    return out
+    """Write ``df`` as CSV unless it exceeds the refuse threshold; return the audit row with its true row count.
+
+    The rows are computed once, into a fresh folder: the count, the decision and the file come from the same data.
+    """
+    spark = df.sparkSession
+    staged = fresh_path(spark, "export")
+    df.write.parquet(staged)
+    rows = spark.read.schema(df.schema).parquet(staged)
+    n = rows.count()
+    if n <= refuse:
+        rows.write.mode("errorifexists").option("header", True).csv(path)
+    return spark.range(1).select(F.lit(name).alias("export_name"), F.lit(user).alias("demandeur"),
+                                 F.lit(n).cast("bigint").alias("nb_lignes"),
+                                 export_decision(F.lit(n), alert, refuse).alias("decision"),
+                                 F.lit(path if n <= refuse else None).cast("string").alias("fichier"))
 
 
 # ------------------------------------------------------------ G7 audit rules
@@ -156,17 +163,8 @@ def audit_rules(log: DataFrame) -> DataFrame:
                                                                          F.col("_n").alias("nb_queries"))
 
 
-def flag_rules(log: DataFrame) -> DataFrame:
-    """The log with one boolean column per rule (row-level view of ``audit_rules``)."""
-    return log.withColumns({
-        "kill_long_queries": F.col("elapsed_s") > LONG_QUERY_S,
-        "limit_full_scan": F.col("scanned_rows") > FULL_SCAN_ROWS,
-        "alert_no_filter": (F.col("scanned_rows") > NO_FILTER_SCAN_ROWS) & (F.col("returned_rows") > NO_FILTER_RETURN_ROWS),
-    })
-
-
 # ------------------------------------------------------------ G8 export anomaly
-def export_anomaly(exports: DataFrame, user_col: str = "user_id", day_col: str = "jour",
+def export_anomaly(exports: DataFrame, user_col: str = "user_id", day_col: str = "jour", rows_col: str = "returned_rows",
                    k: float = 3.0, history: int = 7, min_history: int = 3) -> DataFrame:
     """Per user and day: exported rows vs the mean +- k * stddev of the previous
     ``history`` active days.
@@ -174,14 +172,14 @@ def export_anomaly(exports: DataFrame, user_col: str = "user_id", day_col: str =
     Daily totals first (one row per user and day), so the per-user window holds
     at most one row per calendar day whatever the user's volume.
     """
-    daily = exports.groupBy(user_col, day_col).agg(F.count(F.lit(1)).alias("nb_exports"))
+    daily = exports.groupBy(user_col, day_col).agg(F.sum(rows_col).cast("bigint").alias("lignes_exportees"))
     w = Window.partitionBy(user_col).orderBy(day_col).rowsBetween(-history, -1)
-    out = (daily.withColumn("_m", F.avg("nb_exports").over(w))
-           .withColumn("_s", F.stddev_samp("nb_exports").over(w))
+    out = (daily.withColumn("_m", F.avg("lignes_exportees").over(w))
+           .withColumn("_s", F.stddev_samp("lignes_exportees").over(w))
            .withColumn("_h", F.count(F.lit(1)).over(w)))
-    anomaly = ((F.col("_h") >= min_history)
-               & (F.col("nb_exports") > F.col("_m") + F.lit(k) * F.coalesce(F.col("_s"), F.lit(0.0))))
-    return out.select(user_col, day_col, "nb_exports",
+    away = F.abs(F.col("lignes_exportees") - F.col("_m"))
+    anomaly = (F.col("_h") >= min_history) & (away > F.lit(k) * F.coalesce(F.col("_s"), F.lit(0.0)))
+    return out.select(user_col, day_col, "lignes_exportees",
                       F.round("_m", 4).alias("moyenne_7j"), F.round("_s", 4).alias("ecart_type_7j"),
                       anomaly.alias("anomalie"))
 

@@ -41,28 +41,27 @@ def volume_totals(fact: DataFrame) -> DataFrame:
 
 
 def orphans(star: Star) -> DataFrame:
-    """DQ4: per foreign key, rows on the unknown member (-1) and rows whose key has
-    no dimension row at all (-1 excluded: that member exists only for merchants
-    and agencies).
+    """DQ4: per foreign key, rows on the unknown member (-1) and rows whose key has no dimension row
+    at all (-1 excluded: that member exists only for some dimensions).
 
-    One pass over the fact: every row emits (foreign key name, key value); one
-    aggregate counts rows per distinct key (map-side combine), then a single
-    anti join against the union of dimension keys finds the orphans.
+    The fact is read once: rows are counted per combination of the five keys (a partial aggregate in each task),
+    unpivoted to (foreign key, key, count) and summed per key; one left join with the dimension
+    keys then yields both counts in one aggregate.
     """
     specs = [("user_key", star.user), ("merchant_key", star.merchant), ("agency_key", star.agency),
              ("node_key", star.node), ("date_key", star.date)]
-    pairs = star.fact.select(F.explode(F.array(*[
-        F.struct(F.lit(k).alias("foreign_key"), F.col(k).cast("bigint").alias("key")) for k, _ in specs])).alias("x"))
-    per_key = pairs.groupBy("x.foreign_key", "x.key").agg(F.count(F.lit(1)).alias("_n"))
+    combos = star.fact.groupBy(*[F.col(k).cast("bigint").alias(k) for k, _ in specs]).agg(F.count(F.lit(1)).alias("_n"))
+    per_key = (combos.unpivot(["_n"], [k for k, _ in specs], "foreign_key", "key")
+               .groupBy("foreign_key", "key").agg(F.sum("_n").alias("_n")))
     dim_keys = reduce(DataFrame.unionByName, [
-        d.select(F.lit(k).alias("foreign_key"), F.col(k).cast("bigint").alias("key")) for k, d in specs])
-    missing = (per_key.filter(F.col("key") != -1).join(dim_keys, ["foreign_key", "key"], "left_anti")
-               .groupBy("foreign_key").agg(F.sum("_n").alias("_orph")))
-    unknown = per_key.groupBy("foreign_key").agg(
-        F.sum(F.when(F.col("key") == -1, F.col("_n")).otherwise(0)).cast("bigint").alias("nb_unknown_member"))
-    return (unknown.join(missing, "foreign_key", "left")
-            .select("foreign_key", "nb_unknown_member",
-                    F.coalesce(F.col("_orph"), F.lit(0)).cast("bigint").alias("nb_orphans")))
+        d.select(F.lit(k).alias("foreign_key"), F.col(k).cast("bigint").alias("key")) for k, d in specs]).distinct()
+    known = per_key.join(dim_keys.withColumn("_known", F.lit(True)), ["foreign_key", "key"], "left")
+
+    def rows(condition: Column) -> Column:
+        return F.sum(F.when(condition, F.col("_n")).otherwise(0)).cast("bigint")
+
+    return known.groupBy("foreign_key").agg(rows(F.col("key") == -1).alias("nb_unknown_member"),
+                                            rows(F.col("_known").isNull() & (F.col("key") != -1)).alias("nb_orphans"))
 
 
 def conflict_strategy_totals(stg_fact_base: DataFrame) -> DataFrame:
@@ -112,9 +111,9 @@ def node_reconciliation(ledger: DataFrame, fact: DataFrame, node: DataFrame, tol
     )
 
 
-def sync_before_create(fact: DataFrame, sync_col: str = "updated_at", create_col: str = "transaction_date") -> DataFrame:
+def sync_before_create(fact: DataFrame, sync_col: str = "last_synced_at", create_col: str = "created_at") -> DataFrame:
     """DQ8: rows synchronized before they were created, per year of creation."""
-    early = F.col(sync_col).cast("date") < F.col(create_col)
+    early = F.col(sync_col) < F.col(create_col)
     g = fact.groupBy(F.year(create_col).alias("annee")).agg(
         F.count(F.lit(1)).alias("nb_transactions"),
         F.sum(F.when(early, 1).otherwise(0)).cast("bigint").alias("nb_sync_avant_creation"))
@@ -174,7 +173,3 @@ def assert_unique(df: DataFrame, keys: list[str], name: str) -> None:
     dup = df.groupBy(*keys).count().filter("count > 1").limit(1).count()
     if dup:
         raise AssertionError(f"{name}: key {keys} is not unique")
-
-
-def flag(c: Column) -> Column:
-    return F.when(c, 1).otherwise(0)

@@ -17,8 +17,8 @@ OPEN_END = "9999-12-31"
 def version_key(natural_key: Column, effective_from: Column) -> Column:
     """Surrogate key of a version: natural id x 100000 + day number of its start.
 
-    Deterministic and unique (one version per id and day), no global sort or
-    sequence needed."""
+    Deterministic and unique (``scd2_apply`` keeps one version per id and day), no
+    global sort or sequence needed."""
     return natural_key.cast("bigint") * F.lit(100000) + F.unix_date(effective_from).cast("bigint")
 
 
@@ -48,6 +48,8 @@ def scd2_apply(history: DataFrame, snapshot: DataFrame, key: str, sk: str, track
     Changed rows: the current version is closed (effective_to = as_of) and a new
     one opened. New keys: a version is opened. Unchanged keys and keys absent
     from the snapshot: the current version stays. Closed history is untouched.
+    A second change on the day a version began replaces that version in place; an
+    ``as_of`` before the start of a current version fails the job.
     """
     d = F.lit(as_of).cast("date")
     attrs = [c for c in snapshot.columns if c != key]
@@ -60,7 +62,10 @@ def scd2_apply(history: DataFrame, snapshot: DataFrame, key: str, sk: str, track
     j = cur.join(snap, cur["_k"] == snap["_k2"], "full_outer").withColumn("_key", F.coalesce("_k", "_k2"))
 
     in_cur, in_snap = F.col("_k").isNotNull(), F.col("_k2").isNotNull()
-    changed = in_cur & in_snap & ~_same(tracked)
+    late = F.when(in_cur & (F.col("c_effective_from") > d),
+                  F.raise_error(F.lit(f"as_of {as_of} lies before a current version"))).otherwise(F.lit(True))
+    changed = late.cast("boolean") & in_cur & in_snap & ~_same(tracked)
+    same_day = changed & (F.col("c_effective_from") == d)
 
     def from_current(closing: bool) -> list[Column]:
         out = []
@@ -95,7 +100,7 @@ def scd2_apply(history: DataFrame, snapshot: DataFrame, key: str, sk: str, track
     # One pass over the join: each key emits its kept, closed and/or opened version.
     versions = F.array(
         F.when(in_cur & ~changed, F.struct(*from_current(False))),
-        F.when(changed, F.struct(*from_current(True))),
+        F.when(changed & ~same_day, F.struct(*from_current(True))),
         F.when((in_snap & ~in_cur) | changed, F.struct(*opened())),
     )
     applied = (j.select(F.explode(F.filter(versions, lambda v: v.isNotNull())).alias("_v"))
@@ -103,10 +108,6 @@ def scd2_apply(history: DataFrame, snapshot: DataFrame, key: str, sk: str, track
     return reduce(DataFrame.unionByName, [closed_before.select(*hist_cols), applied])
 
 
-def current_view(history: DataFrame) -> DataFrame:
-    return history.filter(F.col("is_current"))
-
-
 def asof_join(fact: DataFrame, history: DataFrame, fact_key: str, hist_key: str, fact_date: str,
               how: str = "inner") -> DataFrame:
     """Point-in-time join: the version valid on the fact's date

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillstar.functions.clean import (blank_to_null, date_key, fee_or_zero, guarded_cast,
-                                      iso_day_of_week, money)
+                                      hour_of_time_text, iso_day_of_week, money)
 
 UNKNOWN_KEY = -1
 
@@ -126,12 +126,9 @@ def build_dim_user(stg_users: DataFrame, as_of: str | _dt.date) -> DataFrame:
     )
 
 
-def unknown_user_row(spark: SparkSession, like: DataFrame) -> DataFrame:
+def unknown_user_row(like: DataFrame) -> DataFrame:
     """Unknown member (key -1) for facts whose user is not in the dimension."""
-    row = {f.name: None for f in like.schema.fields}
-    row.update(user_key=UNKNOWN_KEY, user_id=UNKNOWN_KEY, full_name="Utilisateur inconnu",
-               is_current=True)
-    return spark.createDataFrame([row], like.schema)
+    return _unknown_like(like, user_key=UNKNOWN_KEY, user_id=UNKNOWN_KEY, full_name="Utilisateur inconnu", is_current=True)
 
 
 # ------------------------------------------------------------ dim_merchant
@@ -280,7 +277,7 @@ def build_fact(stg_tx: DataFrame, user: DataFrame, merchant: DataFrame, agency:
         cross_dc_flag("datacenter", "_nid").alias("is_cross_dc"),
         F.col("transaction_date").cast("date").alias("transaction_date"),
         blank_to_null("transaction_time").alias("transaction_time"),
-        F.split_part(blank_to_null("transaction_time"), F.lit(":"), F.lit(1)).cast("int").alias("tx_hour"),
+        hour_of_time_text("transaction_time").alias("tx_hour"),
         guarded_cast("created_at", "timestamp").alias("created_at"),
         guarded_cast("updated_at", "timestamp").alias("updated_at"),
         guarded_cast("completed_at", "timestamp").alias("completed_at"),

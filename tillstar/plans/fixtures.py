@@ -101,7 +101,7 @@ def _lineitem_tx(li: DataFrame) -> DataFrame:
         F.when(pk % 50 == 0, "DC-NDB").when(sk % 5 < 2, "DC-NDB").when(sk % 5 < 4, "DC-NKC-PRIMARY")
          .otherwise("DC-NKC-SECONDARY").alias("datacenter"),
         amount.alias("amount"),
-        (amount * F.col("l_tax").cast("decimal(4,2)")).cast(MONEY).alias("fee"),
+        F.when((ok * 8 + ln) % 29 != 0, (amount * F.col("l_tax").cast("decimal(4,2)")).cast(MONEY)).alias("fee"),
         F.when(returned, "FAILED").otherwise("SUCCESS").alias("status"),
         F.when(~returned, F.lit(None).cast("string"))
          .when(sk % 20 < 16, "INSUFFICIENT_BALANCE").when(sk % 20 == 16, "INSUF_BAL")
@@ -158,27 +158,28 @@ def stg_transactions(spark: SparkSession, sf_dir: str, dedup: bool = True) -> Da
     return t.join(n, "node_key").select(
         F.col("tx_id").alias("id"),
         F.lit(None).cast("string").alias("reference"),
-        F.lit(None).cast("string").alias("idempotency_key"),
+        F.when(F.col("tx_id") % 3 != 0, F.concat(F.lit("K"), _s(F.floor(F.col("tx_id") / 2)))).alias("idempotency_key"),
         F.col("transaction_type"),
         _s(F.col("amount")).alias("amount"),
-        _s(F.col("fee")).alias("fee"),
-        F.lit(None).cast("string").alias("total_amount"),
+        F.coalesce(_s(F.col("fee")), F.lit("  ")).alias("fee"),
+        _s(F.col("amount") + F.coalesce("fee", F.lit(0))).alias("total_amount"),
         _s(F.col("user_key")).alias("source_user_id"),
         natural("merchant_key").alias("merchant_id"),
         natural("agency_key").alias("agency_id"),
         F.col("status"), F.col("failure_reason"),
-        F.lit(None).cast("string").alias("balance_before"),
-        F.lit(None).cast("string").alias("balance_after"),
+        F.when(F.col("tx_id") % 5 == 0, _s(F.col("amount") * 2)).otherwise("").alias("balance_before"),
+        F.when(F.col("tx_id") % 5 == 0, _s(F.col("amount"))).otherwise("").alias("balance_after"),
         F.col("node_id"), F.col("datacenter"), F.col("sync_status"),
-        F.lit(None).cast("string").alias("last_synced_at"),
+        F.date_format(F.when(F.col("tx_id") % 37 == 0, F.date_sub("transaction_date", 1)).otherwise(F.date_add("transaction_date", 1)),
+                      "yyyy-MM-dd 12:00:00").alias("last_synced_at"),
         _s(F.col("amount_node_a")).alias("amount_node_a"),
         _s(F.col("amount_node_b")).alias("amount_node_b"),
         F.lit(None).cast("string").alias("channel"),
         F.lit(None).cast("string").alias("device_type"),
-        F.lit(None).cast("string").alias("risk_score"),
+        F.when(F.col("tx_id") % 4 == 0, _s((F.col("tx_id") % 1000 / 10).cast("decimal(5,2)"))).otherwise(" ").alias("risk_score"),
         _s(F.col("transaction_date")).alias("transaction_date"),
-        F.lit(None).cast("string").alias("transaction_time"),
-        F.lit(None).cast("string").alias("created_at"),
+        F.when(F.col("tx_id") % 11 != 0, F.format_string("%02d:30:00", F.col("tx_id") % 24)).otherwise("").alias("transaction_time"),
+        F.date_format("transaction_date", "yyyy-MM-dd 08:00:00").alias("created_at"),
         _s(F.col("updated_at")).alias("updated_at"),
         F.lit(None).cast("string").alias("completed_at"),
     )
@@ -279,6 +280,16 @@ def stg_transactions_with_defects(spark: SparkSession, sf_dir: str) -> DataFrame
     })
 
 
+def staging_with_gaps(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The four staging tables, with unknown users (id % 71 = 0) and unknown nodes (id % 83 = 0) among the transactions."""
+    t = stg_transactions(spark, sf_dir)
+    i = F.col("id")
+    t = t.withColumns({"source_user_id": F.when(i % 71 == 0, F.lit("999999999999")).otherwise(F.col("source_user_id")),
+                       "node_id": F.when(i % 83 == 0, F.lit("NKC-NODE-9")).otherwise(F.col("node_id"))})
+    return {"users": stg_users(spark, sf_dir), "merchants": stg_merchants(spark, sf_dir),
+            "agencies": stg_agencies(spark, sf_dir), "transactions": t}
+
+
 def node_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-node totals reported by the replication nodes: staging amounts per node,
     node 1 off by 1300.88 (the deliberate ledger gap)."""

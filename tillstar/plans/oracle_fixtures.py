@@ -42,7 +42,7 @@ FX["fx_tx_raw"] = """SELECT l_orderkey * 8 + l_linenumber AS tx_id, o_custkey AS
   1 + CAST(l_suppkey % 5 AS INT) AS node_key,
   CASE WHEN l_partkey % 50 = 0 THEN 'DC-NDB' WHEN l_suppkey % 5 < 2 THEN 'DC-NDB' WHEN l_suppkey % 5 < 4 THEN 'DC-NKC-PRIMARY' ELSE 'DC-NKC-SECONDARY' END AS datacenter,
   CAST(l_extendedprice AS DECIMAL(18,2)) AS amount,
-  CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_tax AS DECIMAL(4,2)) AS DECIMAL(18,2)) AS fee,
+  CASE WHEN (l_orderkey * 8 + l_linenumber) % 29 <> 0 THEN CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_tax AS DECIMAL(4,2)) AS DECIMAL(18,2)) END AS fee,
   CASE WHEN l_returnflag = 'R' THEN 'FAILED' ELSE 'SUCCESS' END AS status,
   CASE WHEN l_returnflag <> 'R' THEN CAST(NULL AS VARCHAR(40)) WHEN l_suppkey % 20 < 16 THEN 'INSUFFICIENT_BALANCE'
     WHEN l_suppkey % 20 = 16 THEN 'INSUF_BAL' WHEN l_suppkey % 20 = 17 THEN 'LIMIT_DAY' WHEN l_suppkey % 20 = 18 THEN 'WRONG_PIN' ELSE '  ' END AS failure_reason,
@@ -68,6 +68,12 @@ FX["fx_fact"] = """SELECT t.tx_id AS tx_pk, t.tx_id AS transaction_id,
   t.sync_status, t.sync_status = 'CONFLICT' AS is_conflict, t.sync_status = 'LAGGING' AS is_lagging,
   t.sync_status = 'PENDING' AS is_pending_sync,
   ((t.datacenter = 'DC-NDB' AND n.node_id LIKE 'NKC%') OR (t.datacenter LIKE 'DC-NKC%' AND n.node_id LIKE 'NDB%')) AS is_cross_dc,
+  CASE WHEN t.tx_id % 11 <> 0 THEN CAST(t.tx_id % 24 AS INT) END AS tx_hour,
+  CAST(t.transaction_date AS TIMESTAMP) + INTERVAL 8 HOUR AS created_at,
+  CAST(t.transaction_date AS TIMESTAMP) + INTERVAL 12 HOUR + CASE WHEN t.tx_id % 37 = 0 THEN INTERVAL (-1) DAY ELSE INTERVAL 1 DAY END AS last_synced_at,
+  CASE WHEN t.tx_id % 3 <> 0 THEN 'K' || CAST(t.tx_id // 2 AS VARCHAR) END AS idempotency_key,
+  CASE WHEN t.tx_id % 4 = 0 THEN CAST((t.tx_id % 1000) / 10.0 AS DECIMAL(5,2)) END AS risk_score,
+  CASE WHEN t.tx_id % 5 = 0 THEN t.amount END AS balance_after, t.amount + COALESCE(t.fee, 0) AS total_amount,
   t.transaction_date, t.updated_at, t.amount_node_a, t.amount_node_b, t.amount AS base_amount, t.datacenter
 FROM fx_tx t JOIN fx_node n ON t.node_key = n.node_key"""
 

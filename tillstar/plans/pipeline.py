@@ -1,44 +1,77 @@
-"""Batch load job: raw tables -> checked star schema written as Parquet.
+"""Batch load job: text staging -> checked star schema written as Parquet.
 
-The run order of the source warehouse's scripts (staging, dimensions, fact,
-validation) as one Spark driver program: dimension keys are asserted unique
-before the fact is built (a repeated key would fan the fact out), the fact is
-written in its month-partitioned layout, and the table counts are written
-next to the tables as the load report.
+The run order of the source warehouse's scripts as one Spark driver program: staging files are
+written and read back with their declared schemas and counted; dimensions are built with their
+unknown members; natural keys (what the fact joins on) and transaction ids are asserted
+unique, as a repeated key would fan the fact out; the fact is written in its month layout;
+rows dropped for an unknown node are counted, and one fact row per kept staging row is asserted.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tillstar.operators import quality
-from tillstar.operators.star import Star
+from tillstar.operators.star import (Star, build_dim_agency, build_dim_merchant, build_dim_node, build_dim_user,
+                                     build_fact, unknown_user_row)
 from tillstar.plans import fixtures as fx
-from tillstar.sources import landing
+from tillstar.sources import csv_staging, landing, schemas
 
 DIMENSIONS = ("user", "merchant", "agency", "node", "date")
-KEYS = {"user": "user_key", "merchant": "merchant_key", "agency": "agency_key", "node": "node_key",
-        "date": "date_key"}
-
-
-def load_star(spark: SparkSession, sf_dir: str, out_root: str, check_keys: bool = True) -> Star:
-    """Build the star from the input tables, write it under ``out_root`` (a new
-    path) and return it read back from there."""
-    s = fx.fixture_star(spark, sf_dir)
-    dims = {"user": s.user, "merchant": s.merchant, "agency": s.agency, "node": s.node, "date": s.date}
-    if check_keys:
-        for name, df in dims.items():
-            quality.assert_unique(df, [KEYS[name]], f"dim_{name}")
+NATURAL_KEYS = {"user": "user_id", "merchant": "merchant_id", "agency": "agency_id", "node": "node_id", "date": "date_key"}
+STAGING = {"users": schemas.STG_USERS, "merchants": schemas.STG_MERCHANTS, "agencies": schemas.STG_AGENCIES,
+           "transactions": schemas.STG_TRANSACTIONS}
+LOAD_DATE = "2024-01-01"
+
+
+def stage(spark: SparkSession, tables: dict[str, DataFrame], root: str) -> dict[str, DataFrame]:
+    """Write staging tables as text files and read them with the declared schemas (absent columns are empty)."""
+    out = {}
+    for name, df in tables.items():
+        schema = STAGING[name]
+        full = df.select(*[F.col(f.name) if f.name in df.columns else F.lit(None).cast("string").alias(f.name) for f in schema.fields])
+        out[name] = csv_staging.read_staging(spark, csv_staging.write_staging_csv(full, f"{root}/_staging/{name}"), schema)
+    return out
+
+
+def load_star(spark: SparkSession, sf_dir: str, out_root: str, staging: dict[str, DataFrame] | None = None) -> Star:
+    """Load ``staging`` (default: the fixture tables) under ``out_root`` (a new path); returns the written star."""
+    given = staging or {"users": fx.stg_users(spark, sf_dir), "merchants": fx.stg_merchants(spark, sf_dir),
+                        "agencies": fx.stg_agencies(spark, sf_dir), "transactions": fx.stg_transactions(spark, sf_dir)}
+    stg = stage(spark, given, out_root)
+
+    users = build_dim_user(stg["users"], LOAD_DATE)
+    dims = {"user": users.unionByName(unknown_user_row(users)), "merchant": build_dim_merchant(stg["merchants"]),
+            "agency": build_dim_agency(stg["agencies"]), "node": build_dim_node(spark), "date": fx.fx_date(spark, sf_dir)}
     for name, df in dims.items():
         df.write.mode("errorifexists").parquet(f"{out_root}/{name}")
-    landing.write_fact_layout(s.fact, f"{out_root}/fact")
+    dims = {name: spark.read.parquet(f"{out_root}/{name}") for name in dims}
+    for name, df in dims.items():
+        current = df.filter("is_current") if name == "user" else df
+        quality.assert_unique(current, [NATURAL_KEYS[name]], f"dim_{name}")
+
+    fact = build_fact(stg["transactions"], *(dims[d] for d in ("user", "merchant", "agency", "node")))
+    landing.write_fact_layout(fact, f"{out_root}/fact")
     star = read_star(spark, out_root)
-    report = quality.table_counts({f"dim_{n}": getattr(star, n) for n in DIMENSIONS} | {"fact_transactions": star.fact})
-    report.coalesce(1).write.mode("errorifexists").parquet(f"{out_root}/_load_report")
+    quality.assert_unique(star.fact, ["tx_pk"], "fact_transactions")
+
+    counts = quality.table_counts(
+        {f"stg_{n}": df for n, df in stg.items()} | {f"dim_{n}": getattr(star, n) for n in DIMENSIONS} | {"fact_transactions": star.fact}
+        | {"dropped_unknown_node": stg["transactions"].join(dims["node"], "node_id", "left_anti")})
+    counts.coalesce(1).write.mode("errorifexists").parquet(f"{out_root}/_load_report")
+    n = {r["table_name"]: r["nb"] for r in load_report(spark, out_root).collect()}
+    if n["fact_transactions"] + n["dropped_unknown_node"] != n["stg_transactions"]:
+        raise AssertionError(f"fact rows and dropped rows do not add up to the staged ones: {n}")
     return star
 
 
+def load_report(spark: SparkSession, root: str) -> DataFrame:
+    """(table_name, nb): rows staged, loaded and dropped."""
+    return spark.read.parquet(f"{root}/_load_report")
+
+
 def read_star(spark: SparkSession, root: str) -> Star:
+    """The written star; the fact keeps its month column, so that month filters prune partitions."""
     rd = lambda n: spark.read.parquet(f"{root}/{n}")
-    return Star(fact=rd("fact").drop("tx_month"), user=rd("user"), merchant=rd("merchant"), agency=rd("agency"),
-                node=rd("node"), date=rd("date"))
+    return Star(fact=rd("fact"), user=rd("user"), merchant=rd("merchant"), agency=rd("agency"), node=rd("node"), date=rd("date"))

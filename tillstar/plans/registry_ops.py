@@ -20,6 +20,7 @@ from tillstar.operators.star import (build_calendar, build_dim_agency, build_dim
                                      build_dim_user, build_fact, calendar_bounds_of, cross_dc_flag,
                                      insert_if_absent, resolve_amount)
 from tillstar.plans import fixtures as fx
+from tillstar.plans import pipeline
 from tillstar.plans.oracle_fixtures import with_fixtures as W
 from tillstar.plans.oracle_marts import SQL as MART_SQL
 from tillstar.session import fresh_path
@@ -94,7 +95,7 @@ def dim_user(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @reg("dim_merchant", """
 SELECT p_partkey AS merchant_key, p_partkey AS merchant_id, 'M' || CAST(p_partkey AS VARCHAR) AS code, p_name AS name,
-  p_brand AS category_code, p_type AS category_label, CAST(NULL AS VARCHAR) AS mcc, CAST(NULL AS INTEGER) AS wilaya_id,
+  p_brand AS category_code, CASE WHEN p_partkey % 40 <> 0 THEN p_type END AS category_label, CAST(NULL AS VARCHAR) AS mcc, CAST(NULL AS INTEGER) AS wilaya_id,
   CAST(NULL AS VARCHAR) AS wilaya_name, CAST(NULL AS INTEGER) AS moughataa_id, CAST(NULL AS VARCHAR) AS moughataa_name,
   CAST((p_size % 10) / 100.0 AS DECIMAL(5,4)) AS commission_rate,
   CASE WHEN p_size % 8 = 0 THEN 'INACTIVE' ELSE 'ACTIVE' END AS status, CAST(NULL AS DATE) AS registration_date
@@ -147,6 +148,54 @@ def csv_staging_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
         guarded_cast("transaction_date", "date").alias("transaction_date"), money("amount_node_a").alias("amount_node_a"))
 
 
+_LOADED = """
+SELECT *, CASE WHEN tx_pk % 71 = 0 THEN -1 ELSE user_key END AS loaded_user FROM fx_fact WHERE tx_pk % 83 <> 0"""
+
+
+@reg("star_load", W("""
+SELECT f.transaction_type, COALESCE(u.wilaya_name, '?') AS wilaya, COUNT(*) AS nb, COUNT(*) FILTER (WHERE loaded_user = -1) AS nb_unknown_user,
+  COUNT(*) FILTER (WHERE fee = 0) AS nb_no_fee, COUNT(tx_hour) AS nb_timed, CAST(SUM(tx_hour) AS BIGINT) AS hours,
+  CAST(ROUND(SUM(amount), 0) AS DOUBLE) AS volume_mru, CAST(SUM(total_amount) AS DOUBLE) AS total_mru,
+  CAST(SUM(balance_after) AS DOUBLE) AS balances, COUNT(risk_score) AS nb_risk
+FROM loaded f LEFT JOIN fx_user u ON u.user_key = f.loaded_user GROUP BY ALL""", "fx_fact", "fx_user", extra=[("loaded", _LOADED)]))
+def star_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole load from declared text staging to the written star, with unknown users and nodes,
+    blank fees, times, balances and risks; read back by the fact and its user dimension."""
+    star = pipeline.load_star(spark, sf_dir, fresh_path(spark, "star-load"), fx.staging_with_gaps(spark, sf_dir))
+    j = star.fact.join(star.user.select("user_key", "wilaya_name"), "user_key", "left")
+    return j.groupBy("transaction_type", F.coalesce("wilaya_name", F.lit("?")).alias("wilaya")).agg(
+        F.count(F.lit(1)).alias("nb"), F.sum((F.col("user_key") == -1).cast("bigint")).alias("nb_unknown_user"),
+        F.sum((F.col("fee") == 0).cast("bigint")).alias("nb_no_fee"), F.count("tx_hour").alias("nb_timed"),
+        F.sum("tx_hour").cast("bigint").alias("hours"), marts.r0(F.sum("amount")).alias("volume_mru"),
+        F.sum("total_amount").cast("double").alias("total_mru"), F.sum("balance_after").cast("double").alias("balances"),
+        F.count("risk_score").alias("nb_risk"))
+
+
+@reg("star_load_report", W("""
+SELECT 'stg_users' AS table_name, COUNT(*) AS nb FROM customer UNION ALL SELECT 'stg_merchants', COUNT(*) FROM part
+UNION ALL SELECT 'stg_agencies', COUNT(*) FROM supplier UNION ALL SELECT 'stg_transactions', COUNT(*) FROM fx_fact
+UNION ALL SELECT 'dim_user', COUNT(*) + 1 FROM customer UNION ALL SELECT 'dim_merchant', COUNT(*) + 1 FROM part
+UNION ALL SELECT 'dim_agency', COUNT(*) + 1 FROM supplier UNION ALL SELECT 'dim_node', COUNT(*) FROM fx_node
+UNION ALL SELECT 'dim_date', COUNT(*) FROM fx_date UNION ALL SELECT 'fact_transactions', COUNT(*) FROM fx_fact WHERE tx_pk % 83 <> 0
+UNION ALL SELECT 'dropped_unknown_node', COUNT(*) FROM fx_fact WHERE tx_pk % 83 = 0""", "fx_fact", "fx_node", "fx_date"))
+def star_load_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S8 DQ1 T4: rows staged, loaded and dropped by the load."""
+    root = fresh_path(spark, "star-report")
+    pipeline.load_star(spark, sf_dir, root, fx.staging_with_gaps(spark, sf_dir))
+    return pipeline.load_report(spark, root)
+
+
+@reg("dq_idempotency", W("""
+SELECT COUNT(*) AS nb_cles_dupliquees, CAST(COALESCE(SUM(n - 1), 0) AS BIGINT) AS nb_lignes_en_trop
+FROM (SELECT idempotency_key, COUNT(*) AS n FROM fx_fact WHERE idempotency_key IS NOT NULL GROUP BY ALL HAVING COUNT(*) > 1)""", "fx_fact"))
+def dq_idempotency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DQ13: idempotency keys carried by more than one transaction (rows without a key are no duplicates)."""
+    keyed = fx.fixture_star(spark, sf_dir).fact.filter(F.col("idempotency_key").isNotNull())
+    d = duplicate_keys(keyed, ["idempotency_key"])
+    return d.agg(F.count(F.lit(1)).alias("nb_cles_dupliquees"),
+                 F.coalesce(F.sum(F.col("nb_versions") - 1), F.lit(0)).cast("bigint").alias("nb_lignes_en_trop"))
+
+
 @reg("insert_if_absent", """
 SELECT DISTINCT CAST(year(d) * 10000 + month(d) * 100 + day(d) AS INTEGER) AS date_key, d AS full_date
 FROM (SELECT CAST(o_orderdate AS DATE) AS d FROM orders) s""")
@@ -191,12 +240,12 @@ def landing_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 @reg("layout_pruned_scan", W("""
 SELECT CAST(year(transaction_date) * 100 + month(transaction_date) AS INTEGER) AS tx_month, status,
   COUNT(*) AS nb_transactions, CAST(ROUND(SUM(amount), 0) AS DOUBLE) AS volume_mru
-FROM fx_fact GROUP BY 1, 2""", "fx_fact"))
+FROM fx_fact WHERE year(transaction_date) = 1996 GROUP BY 1, 2""", "fx_fact"))
 def layout_pruned_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fact written in its layout (month partitions, sorted by date/status/type),
-    read back with only the needed columns."""
+    read back with only the needed columns and the month partitions of one year."""
     path = landing.write_fact_layout(fx.fixture_star(spark, sf_dir).fact, fresh_path(spark, "fact-layout"))
-    f = spark.read.parquet(path)
+    f = spark.read.parquet(path).filter(landing.month_filter("tx_month", 199601, 199612))
     return f.groupBy("tx_month", "status").agg(F.count(F.lit(1)).alias("nb_transactions"),
                                                marts.r0(F.sum("amount")).alias("volume_mru"))
 
@@ -210,8 +259,8 @@ FROM fx_fact GROUP BY 1""", "fx_fact"))
 def archive_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows older than 6 months before the latest day go to the archive store;
     both stores read back as one frame."""
-    hot, arch = landing.split_hot_archive(fx.fixture_star(spark, sf_dir).fact, fresh_path(spark, "stores"))
-    both = landing.read_both(spark, hot, arch)
+    fact = fx.fixture_star(spark, sf_dir).fact
+    both = landing.read_both(spark, landing.split_hot_archive(fact, fresh_path(spark, "stores")), fact.schema)
     return both.groupBy("store").agg(F.count(F.lit(1)).alias("nb_transactions"),
                                      marts.r0(F.sum("amount")).alias("volume_mru"),
                                      F.min("transaction_date").alias("first_date"),
@@ -240,11 +289,11 @@ FROM req""", "fx_fact", "fx_user", extra=[("req", """
 SELECT 'top_wilaya' AS export_name, 'analyste_junior' AS demandeur,
   LEAST((SELECT COUNT(DISTINCT u.wilaya_name) FROM fx_fact f JOIN fx_user u ON f.user_key = u.user_key
          WHERE f.is_conflict = FALSE AND u.is_current AND u.wilaya_name IS NOT NULL), 10) AS nb_lignes
-UNION ALL SELECT 'dim_user_masque', 'analyste_junior', LEAST(COUNT(*), 50001) FROM fx_user
-UNION ALL SELECT 'fact_transactions', 'analyste_junior', LEAST(COUNT(*), 50001) FROM fx_fact""")]))
+UNION ALL SELECT 'dim_user_masque', 'analyste_junior', COUNT(*) FROM fx_user
+UNION ALL SELECT 'fact_transactions', 'analyste_junior', COUNT(*) FROM fx_fact""")]))
 def export_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Guarded CSV exports with an audit row each (alert above 10,000 rows,
-    refused above 50,000; the probe stops reading at 50,001)."""
+    refused above 50,000; the audit row has the true count)."""
     s = fx.fixture_star(spark, sf_dir)
     reqs = [("top_wilaya", marts.q4_top_wilaya(s)),
             ("dim_user_masque", gov.masked_users(s.user, "analyste_junior")),
@@ -499,9 +548,9 @@ def conflict_fill_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @reg("dq_sync_before_create", W("""
-SELECT CAST(year(transaction_date) AS INTEGER) AS annee, COUNT(*) AS nb_transactions,
-  CAST(SUM(CASE WHEN CAST(updated_at AS DATE) < transaction_date THEN 1 ELSE 0 END) AS BIGINT) AS nb_sync_avant_creation,
-  CAST(ROUND(SUM(CASE WHEN CAST(updated_at AS DATE) < transaction_date THEN 1 ELSE 0 END) * 100.0 / COUNT(*), 2) AS DOUBLE) AS pct
+SELECT CAST(year(created_at) AS INTEGER) AS annee, COUNT(*) AS nb_transactions,
+  COUNT(*) FILTER (WHERE last_synced_at < created_at) AS nb_sync_avant_creation,
+  CAST(ROUND(COUNT(*) FILTER (WHERE last_synced_at < created_at) * 100.0 / COUNT(*), 2) AS DOUBLE) AS pct
 FROM fx_fact GROUP BY 1""", "fx_fact"))
 def dq_sync_before_create(spark: SparkSession, sf_dir: str) -> DataFrame:
     """DQ8: rows synchronized before their creation date, per year."""
@@ -585,6 +634,20 @@ def nightly_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     return refresh.read_gold(spark, gold)
 
 
+@reg("refresh_emptied_month", MART_SQL["mv_daily_kpis"].replace("WHERE is_conflict IS FALSE", "WHERE is_conflict IS FALSE AND NOT (date_key BETWEEN 19970301 AND 19970331)"))
+def refresh_emptied_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST10/S11: all rows of a month are withdrawn from the written fact; the refresh of that month reads its partition
+    only and drops the gold month that came back empty."""
+    star = fx.fixture_star(spark, sf_dir)
+    root = landing.write_fact_layout(star.fact, fresh_path(spark, "refresh-fact"))
+    star = star.with_fact(spark.read.parquet(root))
+    gold = fresh_path(spark, "gold-emptied")
+    refresh.write_gold(marts.mv_daily_kpis(star), gold)
+    left = star.with_fact(star.fact.filter(F.col("tx_month") != 199703))
+    refresh.refresh_gold(left, marts.mv_daily_kpis, gold, refresh.touched_months(spark.range(1).select(F.lit(19970315).alias("date_key"))))
+    return refresh.read_gold(spark, gold)
+
+
 # =================================================================== SCD
 _D1, _D2 = "1998-01-01", "1999-01-01"
 _V1 = "SELECT user_id, full_name, wilaya_id, wilaya_name, status FROM fx_user WHERE user_id % 97 <> 0"
@@ -633,6 +696,21 @@ def scd2_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
                                           "effective_from", "effective_to", "is_current")
 
 
+@reg("scd2_same_day", W(f"""
+SELECT {_vk(_D2)} AS user_key, user_id, wilaya_id, status, DATE '{_D2}' AS effective_from, CAST(NULL AS DATE) AS effective_to, TRUE AS is_current
+FROM (SELECT user_id, wilaya_id, 'FROZEN' AS status FROM v2 WHERE user_id % 10 = 0 OR user_id % 97 = 0)
+UNION ALL
+SELECT {_vk(_D1)}, user_id, wilaya_id, status, DATE '{_D1}', DATE '{_D2}', FALSE FROM v1
+UNION ALL
+SELECT {_vk(_D2)}, user_id, wilaya_id, 'FROZEN', DATE '{_D2}', CAST(NULL AS DATE), TRUE FROM v2 WHERE user_id % 10 <> 0 AND user_id % 97 <> 0""",
+                        "fx_user", extra=[("v1", _V1), ("v2", _V2)]))
+def scd2_same_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """H3: a second change on the same day replaces the versions begun that day; every id keeps one version per day."""
+    frozen = fx.user_snapshot(spark, sf_dir, 2).withColumn("status", F.lit("FROZEN"))
+    h = scd.scd2_apply(_history(spark, sf_dir), frozen, "user_id", "user_key", fx.SCD_TRACKED, _D2)
+    return h.select("user_key", "user_id", "wilaya_id", "status", "effective_from", "effective_to", "is_current")
+
+
 @reg("scd2_asof_join", W("""
 SELECT h.wilaya_name, COUNT(*) AS nb_transactions, CAST(ROUND(SUM(f.amount), 0) AS DOUBLE) AS volume_mru
 FROM fx_fact f JOIN hist h ON f.user_key = h.user_id AND h.effective_from <= f.transaction_date
@@ -649,6 +727,14 @@ def scd2_asof_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # =================================================================== governance
+@reg("rls_users", W("""
+SELECT user_id, wilaya_id, status FROM fx_user
+WHERE wilaya_id = (SELECT n_nationkey FROM nation WHERE 'chef_wilaya_' || CAST(n_nationkey AS VARCHAR) = 'chef_wilaya_7')""", "fx_user"))
+def rls_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G1: the row policy on the user dimension itself."""
+    return gov.rls_users(fx.fx_user(spark, sf_dir), fx.profiles(spark, sf_dir), "chef_wilaya_7", "chef_agence").select("user_id", "wilaya_id", "status")
+
+
 @reg("mask_pii", W("""
 SELECT user_id, '***-****-' || right(phone, 4) AS phone, '**********' AS nni,
   '****@' || split_part(email, '@', 2) AS email FROM fx_user""", "fx_user"))
@@ -669,15 +755,21 @@ def _pii_sql(table: str, col: str) -> str:
         n = f"len(regexp_extract_all({col}, '{pat}'))"
         parts.append(f"SELECT '{table}' AS table_name, '{col}' AS column_name, '{kind}' AS pii_type, "
                      f"CAST(SUM(CASE WHEN {n} > 0 THEN 1 ELSE 0 END) AS BIGINT) AS nb_rows, "
-                     f"CAST(SUM({n}) AS BIGINT) AS nb_hits FROM {table}")
+                     f"CAST(SUM(COALESCE({n}, 0)) AS BIGINT) AS nb_hits FROM {table}")
     return "\nUNION ALL ".join(parts)
 
 
-@reg("pii_scan", _pii_sql("documents", "text") + "\nUNION ALL " + _pii_sql("conversations", "text"))
+_PII_COLUMNS = [("documents", "text"), ("conversations", "text"), ("pages", "html"), ("pages", "url"),
+                ("fx_user", "full_name"), ("fx_user", "phone"), ("fx_user", "nni"), ("fx_user", "email")]
+
+
+@reg("pii_scan", W("\nUNION ALL ".join(_pii_sql(t, c) for t, c in _PII_COLUMNS).replace("'fx_user' AS", "'dim_user' AS"), "fx_user"))
 def pii_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """PII detection over whole texts (documents, conversations)."""
-    return (gov.pii_scan(load(spark, sf_dir, "documents"), "documents", ["text"])
-            .unionByName(gov.pii_scan(load(spark, sf_dir, "conversations"), "conversations", ["text"])))
+    """PII detection over whole texts (documents, conversations, pages) and the user dimension."""
+    tables = {"documents": load(spark, sf_dir, "documents"), "conversations": load(spark, sf_dir, "conversations"),
+              "pages": load(spark, sf_dir, "pages"), "fx_user": fx.fx_user(spark, sf_dir)}
+    return gov.union_all([
+        gov.pii_scan(df, "dim_user" if t == "fx_user" else t, [c for name, c in _PII_COLUMNS if name == t]) for t, df in tables.items()])
 
 
 @reg("project_by_class", W("SELECT user_key, user_id, wilaya_id, wilaya_name, profile_type, status FROM fx_user",
@@ -704,15 +796,14 @@ def audit_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @reg("export_anomaly", W("""
-SELECT user_id, jour, nb_exports, ROUND(m, 4) AS moyenne_7j, ROUND(s, 4) AS ecart_type_7j,
-  (h >= 3 AND nb_exports > m + 3.0 * COALESCE(s, 0.0)) AS anomalie
-FROM (SELECT user_id, jour, nb_exports,
-        AVG(nb_exports) OVER w AS m, STDDEV_SAMP(nb_exports) OVER w AS s, COUNT(*) OVER w AS h
-      FROM (SELECT user_id, CAST(ts AS DATE) AS jour, COUNT(*) AS nb_exports FROM qlog GROUP BY 1, 2) d
+SELECT user_id, jour, v AS lignes_exportees, ROUND(m, 4) AS moyenne_7j, ROUND(s, 4) AS ecart_type_7j,
+  (h >= 3 AND ABS(v - m) > 3.0 * COALESCE(s, 0.0)) AS anomalie
+FROM (SELECT user_id, jour, v, AVG(v) OVER w AS m, STDDEV_SAMP(v) OVER w AS s, COUNT(*) OVER w AS h
+      FROM (SELECT user_id, CAST(ts AS DATE) AS jour, CAST(SUM(returned_rows) AS BIGINT) AS v FROM qlog GROUP BY 1, 2) d
       WINDOW w AS (PARTITION BY user_id ORDER BY jour ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING)) x""",
                          extra=[("qlog", _LOG)]))
 def export_anomaly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per user and day, exported rows vs the trailing 7-day mean + 3 sigma."""
+    """Per user and day, exported rows vs the trailing 7-day mean +- 3 sigma."""
     log = fx.query_log(spark, sf_dir).withColumn("jour", F.to_date("ts"))
     return gov.export_anomaly(log)
 
@@ -787,7 +878,11 @@ def stream_daily_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _win_out(jobs.stream_daily_snapshot(spark, sf_dir))
 
 
-@reg("stream_late_report")
+@reg("stream_late_report", W("""
+SELECT CAST(ts AS DATE) AS jour, COUNT(*) FILTER (WHERE seen) AS nb_stream, COUNT(*) AS nb_batch, COUNT(*) FILTER (WHERE NOT seen) AS nb_tardives
+FROM (SELECT ts, transaction_id % 50 <> 0 OR date_trunc('day', ts) + INTERVAL 1 DAY
+        > (SELECT MAX(ts) - INTERVAL 10 MINUTE FROM fx_events WHERE transaction_id % 50 <> 0) AS seen FROM fx_events)
+GROUP BY ALL""", _EV))
 def stream_late_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jobs.stream_late_report(spark, sf_dir)
 

@@ -12,7 +12,7 @@ import tempfile
 import uuid
 import zipfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 # Settings every job relies on: UTC for date arithmetic, AQE for runtime
 # re-planning (partition coalescing, skew splitting, runtime broadcast of
@@ -71,13 +71,15 @@ def ship_package(spark: SparkSession) -> None:
 def work_root(spark: SparkSession) -> str:
     """Shared folder for intermediate tables, stream checkpoints and sinks.
 
-    Uses ``spark.checkpoint.dir`` as configured for the cluster; only when it
-    is unset (local runs, tests) a private temporary folder is created.
+    Uses ``spark.checkpoint.dir`` as configured for the cluster; only when it is
+    unset and the master is local (tests) a private temporary folder is created.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tillstar-"))
         root = spark.sparkContext.getCheckpointDir()
     return root.rstrip("/")
@@ -88,10 +90,7 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{work_root(spark)}/tillstar/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint (files in the shared checkpoint folder): computes ``df``
-    once, cuts its lineage, and lets several later jobs read the result."""
-    sc = df.sparkSession.sparkContext
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(work_root(df.sparkSession))
-    return df.checkpoint(eager=True)
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder of Spark's file system, if it exists."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

@@ -13,6 +13,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
+
+STORE = "store"
 
 
 def write_landing(df: DataFrame, path: str, ts_col: str = "ts", id_col: str = "transaction_id") -> str:
@@ -46,23 +49,19 @@ def archive_cutoff(fact: DataFrame, months: int = 6, date_col: str = "transactio
     return fact.agg(F.add_months(F.max(date_col), -months).alias("_cutoff"))
 
 
-def split_hot_archive(fact: DataFrame, base_path: str, months: int = 6,
-                      date_col: str = "transaction_date") -> tuple[str, str]:
-    """Rows older than ``months`` before the latest date go to the archive store.
-
-    Returns the (hot, archive) folders."""
+def split_hot_archive(fact: DataFrame, base_path: str, months: int = 6, date_col: str = "transaction_date") -> str:
+    """Rows older than ``months`` before the latest date go to the archive store, all others (also
+    those without a date) to the hot one: two partition folders of ``base_path``, one pass."""
     cut = archive_cutoff(fact, months, date_col).scalar()
-    tagged = fact.withColumn("_is_archive", F.col(date_col) < cut)
-    # Single pass over the input, two output folders: write once partitioned by the
-    # flag, then each store is one partition folder.
-    tagged.write.mode("errorifexists").partitionBy("_is_archive").parquet(base_path)
-    return f"{base_path}/_is_archive=false", f"{base_path}/_is_archive=true"
+    tagged = fact.withColumn(STORE, F.coalesce(F.when(F.col(date_col) < cut, F.lit("archive")), F.lit("hot")))
+    tagged.write.mode("errorifexists").partitionBy(STORE).parquet(base_path)
+    return base_path
 
 
-def read_both(spark: SparkSession, hot: str, archive: str) -> DataFrame:
-    """Hot and archive stores as one frame (same schema, by name)."""
-    return (spark.read.parquet(hot).withColumn("store", F.lit("hot"))
-            .unionByName(spark.read.parquet(archive).withColumn("store", F.lit("archive"))))
+def read_both(spark: SparkSession, base_path: str, schema: StructType) -> DataFrame:
+    """Hot and archive stores as one frame with a ``store`` column; either may be empty. A filter on
+    ``store`` reads only that folder."""
+    return spark.read.schema(StructType([*schema.fields, StructField(STORE, StringType())])).parquet(base_path)
 
 
 def month_filter(col: str, first: int, last: int) -> Column:

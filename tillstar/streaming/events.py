@@ -5,28 +5,27 @@ definition of "live", "near-real-time" and "batch"), so the stream can be
 checked against the batch result on the same rows.
 
 Sources are Parquet files landed in a folder (the CDC tool's drops; Kafka in a
-deployment); queries run with ``trigger(availableNow=True)`` for tests and
-``processingTime`` in service. Checkpoints and sinks live under the shared
+deployment); queries run over what is available (tests, catch-up) or every interval
+(``run(..., interval="5 minutes")``, a service). Checkpoints and sinks live under the shared
 work folder (``spark.checkpoint.dir``), so a restarted driver resumes.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tillstar.operators.dedup import latest_per_key
-from tillstar.session import fresh_path
-from tillstar.sources.tables import load
+from tillstar.session import BASE_CONF, fresh_path, remove_path
 
 EVENT_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 WATERMARK = "10 minutes"
 ROWS_PER_FILE = 200_000
 # State partitions of counter streams. A stateful query fixes its partition count at
 # its first start (from spark.sql.shuffle.partitions); counters hold a few keys
-# (windows, regions), so a cluster-sized default would schedule thousands of
-# near-empty state tasks every micro-batch.
+# (windows), so a cluster-sized default would schedule thousands of near-empty state
+# tasks every micro-batch. Streams with a join keep the session's count.
 COUNTER_STATE_PARTITIONS = 8
 
 
@@ -52,79 +51,84 @@ def committed(tx: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------ landing
-def land_events(spark: SparkSession, sf_dir: str, path: str, late_every: int | None = None) -> str:
-    """Write the events table as successive Parquet files in time order, one file per
-    slice of ~ROWS_PER_FILE rows (slice bounds are approximate quantiles of the event
-    time, so a busy hour does not make one huge slice). A file is one micro-batch
-    (``maxFilesPerTrigger=1``), so batches arrive in time order. With ``late_every``,
-    events whose id is a multiple of it are held back and written last: they
-    arrive late."""
-    ev = load(spark, sf_dir, "events")
-    held = (F.col("event_id") % late_every == 0) if late_every else F.lit(False)
-    on_time = ev.filter(~held)
-    t = F.unix_micros(F.col("ts").cast("timestamp"))
-    n = on_time.count()
-    k = max(4, -(-n // ROWS_PER_FILE))
-    cuts = on_time.select(F.percentile_approx(t, [i / k for i in range(1, k)], 10_000)).first()[0]
-    edges = [None] + sorted(set(cuts)) + [None]
-    for lo, hi in zip(edges[:-1], edges[1:]):
-        cond = F.lit(True)
-        if lo is not None:
-            cond = cond & (t >= F.lit(lo))
-        if hi is not None:
-            cond = cond & (t < F.lit(hi))
-        on_time.filter(cond).coalesce(1).write.mode("append").parquet(path)
-    if late_every:
-        late = ev.filter(held)
-        late.repartition(max(1, -(-late.count() // ROWS_PER_FILE))).write.mode("append").parquet(path)
+def held_back(late_every: int) -> Column:
+    """Events that arrive late in the late-data job."""
+    return F.col("event_id") % late_every == 0
+
+
+def land_events(events: DataFrame, path: str) -> str:
+    """Add events to a landing folder in one pass: range-partitioned on (time, id), so a busy moment is split
+    over tasks, with at most ``ROWS_PER_FILE`` rows a file. Results do not depend on how files are cut."""
+    (events.repartitionByRange("ts", "event_id").write.mode("append").option("maxRecordsPerFile", ROWS_PER_FILE).parquet(path))
     return path
 
 
-def read_stream(spark: SparkSession, path: str) -> DataFrame:
-    return (spark.readStream.schema(EVENT_SCHEMA).option("maxFilesPerTrigger", 1).parquet(path))
+def read_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
+    """The landing folder as a stream; ``max_files`` bounds a micro-batch of a service that catches up."""
+    reader = spark.readStream.schema(EVENT_SCHEMA)
+    return (reader.option("maxFilesPerTrigger", max_files) if max_files else reader).parquet(path)
 
 
 # ------------------------------------------------------------------ running
-def run_available_now(spark: SparkSession, writer, checkpoint: str,
-                      state_partitions: int | None = None) -> StreamingQuery:
-    """Run a query over everything available and stop. ``state_partitions`` sets the
-    query's shuffle/state partition count at start (restarts keep the count stored
-    in the checkpoint)."""
-    saved = spark.conf.get("spark.sql.shuffle.partitions")
-    if state_partitions:
-        spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
-    try:
-        q = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", saved)
-    q.awaitTermination()
+def counter_session(spark: SparkSession) -> SparkSession:
+    """A session of the same application with a counter-sized state; the caller's settings stay as they are."""
+    own = spark.newSession()
+    for k, v in BASE_CONF.items():
+        own.conf.set(k, v)
+    own.conf.set("spark.sql.shuffle.partitions", str(COUNTER_STATE_PARTITIONS))
+    return own
+
+
+def run(writer, checkpoint: str, interval: str | None = None, timeout: int | None = None) -> StreamingQuery:
+    """Start a query: over everything available, then stop (default), or every ``interval`` (a service, e.g.
+    "5 minutes" for change capture, "5 seconds" for live counters) until stopped or for ``timeout`` seconds."""
+    trigger = {"processingTime": interval} if interval else {"availableNow": True}
+    q = writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()
+    q.awaitTermination(timeout) if timeout else q.awaitTermination()
+    if interval and q.isActive:
+        q.stop()
     if q.exception():
         raise q.exception()
     return q
 
 
-def counter_log_sink(log_path: str):
-    """foreachBatch sink: append each micro-batch's updated counters with its batch id.
+def _versions(spark: SparkSession, root: str) -> list[int]:
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(path)]
+    return sorted(int(n[1:]) for n in names if n.startswith("v") and fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{n}/_SUCCESS")))
+
 
-    The counter table is the latest row per key (``read_counters``); a replayed
-    batch writes identical rows, so replays are harmless."""
+def counter_table_sink(root: str, keys: list[str]):
+    """foreachBatch sink: a keyed counter table. Each micro-batch writes the next version of the table (its updated
+    rows, and the other rows of the version before) and drops older ones, so a reader opens one small
+    table. A replayed batch builds the same version from the same predecessor."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.mode("append").parquet(log_path)
+        spark = batch.sparkSession
+        versions = _versions(spark, root)
+        before = [v for v in versions if v < batch_id]
+        rows = latest_per_key(batch, keys, [])
+        if before:
+            old = spark.read.schema(batch.schema).parquet(f"{root}/v{before[-1]}")
+            rows = rows.unionByName(old.join(rows.select(*keys), keys, "left_anti").select(*batch.columns))
+        rows.coalesce(1).write.mode("overwrite").parquet(f"{root}/v{batch_id}")
+        for v in before[:-1]:
+            remove_path(spark, f"{root}/v{v}")
     return write
 
 
-def read_counters(spark: SparkSession, log_path: str, keys: list[str]) -> DataFrame:
-    log = spark.read.parquet(log_path)
-    latest = latest_per_key(log, keys, [("batch_id", True)])
-    return latest.drop("batch_id")
+def read_counters(spark: SparkSession, root: str) -> DataFrame:
+    """The newest version of a counter table."""
+    return spark.read.parquet(f"{root}/v{_versions(spark, root)[-1]}")
 
 
 def run_counter(spark: SparkSession, stream: DataFrame, keys: list[str], name: str) -> DataFrame:
-    """Run an aggregating stream in update mode into a counter log; return the counter table."""
-    log = fresh_path(spark, f"{name}-log")
-    run_available_now(spark, stream.writeStream.outputMode("update").foreachBatch(counter_log_sink(log)),
-                      fresh_path(spark, f"{name}-ckpt"), COUNTER_STATE_PARTITIONS)
-    return read_counters(spark, log, keys)
+    """Run an aggregating stream in update mode into a counter table; return the table."""
+    root = fresh_path(spark, f"{name}-counters")
+    run(stream.writeStream.outputMode("update").foreachBatch(counter_table_sink(root, keys)), fresh_path(spark, f"{name}-ckpt"))
+    return read_counters(spark, root)
 
 
 # ------------------------------------------------------------------ counters (batch or stream)
