@@ -190,14 +190,6 @@ def test_asof_join_picks_valid_version(spark):
     assert got == [(dt.date(2024, 1, 15), 1), (dt.date(2024, 2, 1), 2)]
 
 
-def test_export_anomaly_flags_spike(spark):
-    rows = [(1, dt.date(2024, 1, d)) for d in range(1, 9) for _ in range(2)] + [(1, dt.date(2024, 1, 9))] * 40
-    df = spark.createDataFrame(rows, "user_id int, jour date")
-    out = {r["jour"]: r["anomalie"] for r in gov.export_anomaly(df).collect()}
-    assert out[dt.date(2024, 1, 9)] is True
-    assert not any(v for d, v in out.items() if d != dt.date(2024, 1, 9))
-
-
 def test_build_fact_unknowns_and_spread_null_keys(spark):
     from tillstar.operators.star import build_dim_node, build_fact, lookup_key
     stg = spark.createDataFrame(
@@ -237,3 +229,76 @@ def test_percentile_keeps_null_groups_at_any_size(spark, n):
         vals = [x for gg, x, w in rows if gg == g and x is not None for _ in range(w)]
         assert got[g]["_rows"] == sum(w for gg, _, w in rows if gg == g) and got[g]["_n"] == len(vals)
         assert got[g]["m"] == (pytest.approx(float(np.quantile(vals, 0.5)), rel=1e-12) if vals else None)
+
+
+def test_scd2_same_day_and_older_as_of(spark):
+    from tillstar.operators import scd
+    snap = spark.createDataFrame([(1, "a"), (2, "b")], "user_id long, region string")
+    h = scd.scd2_initial(snap, "user_id", "user_key", "2024-01-01")
+    day2 = spark.createDataFrame([(1, "c"), (2, "b")], "user_id long, region string")
+    h = scd.scd2_apply(h, day2, "user_id", "user_key", ["region"], "2024-01-02")
+    again = spark.createDataFrame([(1, "d"), (2, "b")], "user_id long, region string")
+    h = scd.scd2_apply(h, again, "user_id", "user_key", ["region"], "2024-01-02")
+    rows = sorted((r.user_id, str(r.effective_from), str(r.effective_to), r.region, r.is_current) for r in h.collect())
+    assert rows == [(1, "2024-01-01", "2024-01-02", "a", False), (1, "2024-01-02", "None", "d", True), (2, "2024-01-01", "None", "b", True)]
+    assert h.select("user_key").distinct().count() == 3
+    with pytest.raises(Exception, match="before a current version"):
+        scd.scd2_apply(h, snap, "user_id", "user_key", ["region"], "2023-12-31").collect()
+
+
+@pytest.mark.parametrize("dates", [["2020-01-01", "2024-05-01", None], ["2024-05-01", "2024-04-01", None], [None]])
+def test_archive_keeps_every_row(spark, dates):
+    from tillstar.session import fresh_path
+    from tillstar.sources import landing
+    df = spark.createDataFrame([(i, d) for i, d in enumerate(dates)], "id long, transaction_date string").withColumn(
+        "transaction_date", F.col("transaction_date").cast("date"))
+    both = landing.read_both(spark, landing.split_hot_archive(df, fresh_path(spark, "t-store")), df.schema)
+    got = {r["id"]: r["store"] for r in both.collect()}
+    assert got == {i: "archive" if d == "2020-01-01" else "hot" for i, d in enumerate(dates)}
+
+
+def test_guarded_export_counts_truly(spark):
+    from tillstar.operators import governance as gov
+    from tillstar.session import fresh_path
+    df = spark.range(120)
+    path = fresh_path(spark, "t-export")
+    ok = gov.guarded_export(df, "x", "me", path, alert=50, refuse=200).collect()[0]
+    assert (ok.nb_lignes, ok.decision, ok.fichier) == (120, "ALERT", path)
+    assert spark.read.option("header", True).csv(path).count() == 120
+    no = gov.guarded_export(df, "x", "me", fresh_path(spark, "t-export"), alert=10, refuse=50).collect()[0]
+    assert (no.nb_lignes, no.decision, no.fichier) == (120, "REFUSE", None)
+
+
+@pytest.mark.parametrize("text,kind", [("+222 45 25 12 34", "PHONE"), ("+22245251234", "PHONE"), ("call 45251234 now", "PHONE"),
+                                       ("+1 (168) 555-5254", "PHONE"), ("P10000012", "PHONE"), ("N20000012", "NNI"), ("1234567890", "NNI")])
+def test_local_formats_are_found(spark, text, kind):
+    from tillstar.operators import governance as gov
+    hits = {r.pii_type: r.nb_hits for r in gov.pii_scan(spark.createDataFrame([(text,)], "t string"), "x").collect()}
+    assert hits[kind] == 1
+
+
+def test_export_anomaly_sums_rows_both_ways(spark):
+    from tillstar.operators import governance as gov
+    days = [("u", d, n) for d, n in [(1, 100), (2, 101), (3, 99), (4, 100), (5, 2000)]] + [("v", d, n) for d, n in [(1, 100), (2, 101), (3, 99), (4, 1)]]
+    log = spark.createDataFrame(days, "user_id string, jour int, returned_rows long")
+    flagged = {(r.user_id, r.jour) for r in gov.export_anomaly(log).filter("anomalie").collect()}
+    assert flagged == {("u", 5), ("v", 4)}
+
+
+def test_a_cluster_needs_a_shared_folder(monkeypatch):
+    from tillstar import session
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            get = staticmethod(lambda key, default=None: None)
+
+    with pytest.raises(RuntimeError, match="checkpoint"):
+        session.work_root(Session())

@@ -5,7 +5,9 @@ encode the requested order, so it is an aggregate with a map-side partial
 step: every task first reduces its rows to one candidate per key before the
 shuffle. A key that holds a large share of all rows therefore ships one row
 per map task, unlike ``row_number()`` over a window, which sends every row of
-the key to one task and sorts them there.
+the key to one task and sorts them there. The trade: a ``min`` of a struct sorts
+(it has no hash aggregation), so ids with few versions each are sorted twice, on
+both sides of one shuffle.
 """
 
 from __future__ import annotations

@@ -230,24 +230,28 @@ def lookup_key(natural: str, row_id: str = "id"):
     return F.coalesce(F.col(natural).cast("bigint"), spread)
 
 
+LOOKUPS = ("user", "merchant", "agency")
+
+
 def build_fact(stg_tx: DataFrame, user: DataFrame, merchant: DataFrame, agency: DataFrame,
-               node: DataFrame, strategy: str = "node_a") -> DataFrame:
+               node: DataFrame, strategy: str = "node_a", lookups: tuple[str, ...] = LOOKUPS) -> DataFrame:
     """One fact row per staging row whose node is known (inner join on node).
 
+    ``lookups`` names the dimensions whose keys the caller needs; the others are not joined, and
+    their key columns are left out.
+
     Unknown user / merchant / agency map to the -1 member. Dimension natural ids
     are non-negative, so the spread keys of ``lookup_key`` never match.
     """
     t = stg_tx
-    users = (user.filter(F.col("is_current"))
-             .select(F.col("user_id").alias("_uid"), F.col("user_key")))
-    merchants = merchant.select(F.col("merchant_id").alias("_mid"), F.col("merchant_key"))
-    agencies = agency.select(F.col("agency_id").alias("_aid"), F.col("agency_key"))
+    dims = {"user": (user.filter(F.col("is_current")), "user_id", "source_user_id"),
+            "merchant": (merchant, "merchant_id", "merchant_id"), "agency": (agency, "agency_id", "agency_id")}
     nodes = F.broadcast(node.select(F.col("node_id").alias("_nid"), "node_key"))
-
-    j = (t.join(nodes, t["node_id"] == nodes["_nid"], "inner")
-         .join(users, lookup_key("source_user_id") == users["_uid"], "left")
-         .join(merchants, lookup_key("merchant_id") == merchants["_mid"], "left")
-         .join(agencies, lookup_key("agency_id") == agencies["_aid"], "left"))
+    j = t.join(nodes, t["node_id"] == nodes["_nid"], "inner")
+    for name in lookups:
+        dim, natural, of = dims[name]
+        keys = dim.select(F.col(natural).alias(f"_{name}"), F.col(f"{name}_key"))
+        j = j.join(keys, lookup_key(of) == keys[f"_{name}"], "left")
 
     fact = j.select(
         F.col("id").alias("tx_pk"),
@@ -255,9 +259,7 @@ def build_fact(stg_tx: DataFrame, user: DataFrame, merchant: DataFrame, agency:
         F.col("reference"),
         F.col("idempotency_key"),
         date_key(F.col("transaction_date").cast("date")).alias("date_key"),
-        F.coalesce("user_key", F.lit(UNKNOWN_KEY).cast("bigint")).alias("user_key"),
-        F.coalesce("merchant_key", F.lit(UNKNOWN_KEY).cast("bigint")).alias("merchant_key"),
-        F.coalesce("agency_key", F.lit(UNKNOWN_KEY).cast("bigint")).alias("agency_key"),
+        *[F.coalesce(f"{name}_key", F.lit(UNKNOWN_KEY).cast("bigint")).alias(f"{name}_key") for name in LOOKUPS if name in lookups],
         F.col("node_key"),
         resolve_amount(strategy).alias("amount"),
         fee_or_zero("fee").alias("fee"),

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillstar.operators.dedup import latest_per_key
-from tillstar.operators.star import (Star, build_calendar, build_dim_node, build_fact, calendar_bounds_of)
+from tillstar.operators.star import (LOOKUPS, Star, build_calendar, build_dim_node, build_fact, calendar_bounds_of)
 from tillstar.sources.tables import load
 
 MONEY = "decimal(18,2)"
@@ -185,12 +185,13 @@ def stg_transactions(spark: SparkSession, sf_dir: str, dedup: bool = True) -> Da
     )
 
 
-def fixture_star(spark: SparkSession, sf_dir: str, strategy: str = "node_a") -> Star:
+def fixture_star(spark: SparkSession, sf_dir: str, strategy: str = "node_a", lookups: tuple[str, ...] = LOOKUPS) -> Star:
+    """The star over the input tables; ``lookups`` names the dimension keys the fact needs."""
     user = fx_user(spark, sf_dir)
     merchant = fx_merchant(spark, sf_dir)
     agency = fx_agency(spark, sf_dir)
     node = fx_node(spark)
-    fact = build_fact(stg_transactions(spark, sf_dir), user, merchant, agency, node, strategy)
+    fact = build_fact(stg_transactions(spark, sf_dir), user, merchant, agency, node, strategy, lookups)
     date = fx_date(spark, sf_dir)
     return Star(fact=fact, user=user, merchant=merchant, agency=agency, node=node, date=date)
 

@@ -22,9 +22,15 @@ _STAR_MARTS = [
 _EVENT_MARTS = ["q11_peak_hours", "viz_peak_hours"]
 
 
+# Dimension keys of the fact that a mart uses; the other lookups are not joined.
+_KEYS = {"user": ("q4_top_wilaya", "q6_opportunity", "q8_retention", "viz_top_wilaya", "mv_wilaya_volume"),
+         "merchant": ("q13_category_mix", "q14_basket", "q15_merchant_activity"), "agency": ("q5_top_agency",)}
+
+
 def _star_query(name: str) -> Query:
     fn = getattr(marts, name)
-    return lambda spark, sf_dir: fn(fx.fixture_star(spark, sf_dir))
+    keys = tuple(k for k, users in _KEYS.items() if name in users)
+    return lambda spark, sf_dir: fn(fx.fixture_star(spark, sf_dir, lookups=keys))
 
 
 def _event_query(name: str) -> Query:

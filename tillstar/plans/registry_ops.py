@@ -190,7 +190,7 @@ SELECT COUNT(*) AS nb_cles_dupliquees, CAST(COALESCE(SUM(n - 1), 0) AS BIGINT) A
 FROM (SELECT idempotency_key, COUNT(*) AS n FROM fx_fact WHERE idempotency_key IS NOT NULL GROUP BY ALL HAVING COUNT(*) > 1)""", "fx_fact"))
 def dq_idempotency(spark: SparkSession, sf_dir: str) -> DataFrame:
     """DQ13: idempotency keys carried by more than one transaction (rows without a key are no duplicates)."""
-    keyed = fx.fixture_star(spark, sf_dir).fact.filter(F.col("idempotency_key").isNotNull())
+    keyed = fx.fixture_star(spark, sf_dir, lookups=()).fact.filter(F.col("idempotency_key").isNotNull())
     d = duplicate_keys(keyed, ["idempotency_key"])
     return d.agg(F.count(F.lit(1)).alias("nb_cles_dupliquees"),
                  F.coalesce(F.sum(F.col("nb_versions") - 1), F.lit(0)).cast("bigint").alias("nb_lignes_en_trop"))
@@ -244,7 +244,7 @@ FROM fx_fact WHERE year(transaction_date) = 1996 GROUP BY 1, 2""", "fx_fact"))
 def layout_pruned_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fact written in its layout (month partitions, sorted by date/status/type),
     read back with only the needed columns and the month partitions of one year."""
-    path = landing.write_fact_layout(fx.fixture_star(spark, sf_dir).fact, fresh_path(spark, "fact-layout"))
+    path = landing.write_fact_layout(fx.fixture_star(spark, sf_dir, lookups=()).fact, fresh_path(spark, "fact-layout"))
     f = spark.read.parquet(path).filter(landing.month_filter("tx_month", 199601, 199612))
     return f.groupBy("tx_month", "status").agg(F.count(F.lit(1)).alias("nb_transactions"),
                                                marts.r0(F.sum("amount")).alias("volume_mru"))
@@ -275,9 +275,10 @@ SELECT l.type_id, l.code, COUNT(*) AS nb_transactions, CAST(ROUND(SUM(f.amount),
 FROM fx_fact f JOIN (SELECT * FROM (VALUES {_TYPES_VALUES}) AS t(type_id, code)) l ON f.transaction_type = l.code
 GROUP BY l.type_id, l.code""", "fx_fact"))
 def lookup_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fact joined to the transaction-type lookup (broadcast: one row per code)."""
-    f = fx.fixture_star(spark, sf_dir).fact
-    t = F.broadcast(lookups.tx_types(spark).select("type_id", "code"))
+    """Fact joined to the transaction-type lookup, scanned from its CSV file."""
+    f = fx.fixture_star(spark, sf_dir, lookups=()).fact
+    path = lookups.write_lookup(spark, "tx_types", fresh_path(spark, "lookup-types"))
+    t = lookups.read_lookup(spark, "tx_types", path).select(F.col("id").alias("type_id"), "code")
     return (f.join(t, f["transaction_type"] == t["code"]).groupBy("type_id", "code")
             .agg(F.count(F.lit(1)).alias("nb_transactions"), marts.r0(F.sum("amount")).alias("volume_mru")))
 
@@ -369,7 +370,7 @@ SELECT sync_status, is_conflict, is_lagging, is_pending_sync, COUNT(*) AS nb FRO
                      "fx_fact"))
 def sync_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P10: quality flags derived from the sync status."""
-    return (fx.fixture_star(spark, sf_dir).fact
+    return (fx.fixture_star(spark, sf_dir, lookups=()).fact
             .groupBy("sync_status", "is_conflict", "is_lagging", "is_pending_sync")
             .agg(F.count(F.lit(1)).alias("nb")))
 
@@ -405,7 +406,7 @@ SELECT d.year, d.quarter, COUNT(*) AS nb_transactions, CAST(ROUND(SUM(f.amount),
 FROM fx_fact f JOIN fx_date d ON f.date_key = d.date_key GROUP BY 1, 2""", "fx_fact", "fx_date"))
 def join_fact_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fact joined to the calendar (broadcast), volume per quarter."""
-    s = fx.fixture_star(spark, sf_dir)
+    s = fx.fixture_star(spark, sf_dir, lookups=())
     d = F.broadcast(s.date.select("date_key", F.col("year").cast("int").alias("year"),
                                   F.col("quarter").cast("int").alias("quarter")))
     return (s.fact.join(d, "date_key").groupBy("year", "quarter")
@@ -463,7 +464,7 @@ FULL OUTER JOIN (SELECT n.node_id, SUM(f.amount) AS fact_total FROM fx_fact f JO
                  GROUP BY n.node_id) f ON l.node_id = f.node_id""", "fx_tx", "fx_fact", "fx_node"))
 def recon_node_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """DQ7/J15: node ledger vs fact totals per node (full outer join), gap and tolerance."""
-    s = fx.fixture_star(spark, sf_dir)
+    s = fx.fixture_star(spark, sf_dir, lookups=())
     return quality.node_reconciliation(fx.node_ledger(spark, sf_dir), s.fact, s.node)
 
 
@@ -473,13 +474,13 @@ SELECT sync_status, COUNT(*) AS nb, CAST(ROUND(COUNT(*) * 100.0 / SUM(COUNT(*))
 FROM fx_fact GROUP BY sync_status""", "fx_fact"))
 def dq_sync_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
     """DQ2: sync status distribution with share."""
-    return quality.distribution(fx.fixture_star(spark, sf_dir).fact, "sync_status", "nb", "pct", 2)
+    return quality.distribution(fx.fixture_star(spark, sf_dir, lookups=()).fact, "sync_status", "nb", "pct", 2)
 
 
 @reg("dq_status_distribution", W("SELECT status, COUNT(*) AS nb FROM fx_fact GROUP BY status", "fx_fact"))
 def dq_status_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
     """DQ3: status distribution."""
-    return quality.distribution(fx.fixture_star(spark, sf_dir).fact, "status", "nb", None)
+    return quality.distribution(fx.fixture_star(spark, sf_dir, lookups=()).fact, "status", "nb", None)
 
 
 @reg("dq_volume", W("""
@@ -487,7 +488,7 @@ SELECT CAST(ROUND(SUM(amount), 0) AS DOUBLE) AS volume_total_mru, CAST(ROUND(SUM
 FROM fx_fact""", "fx_fact"))
 def dq_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
     """DQ3: total volume and fees (every row)."""
-    return quality.volume_totals(fx.fixture_star(spark, sf_dir).fact)
+    return quality.volume_totals(fx.fixture_star(spark, sf_dir, lookups=()).fact)
 
 
 @reg("share_of_total", W("""
@@ -495,7 +496,7 @@ SELECT n.node_id, COUNT(*) AS nb, CAST(ROUND(COUNT(*) * 100.0 / SUM(COUNT(*)) OV
 FROM fx_fact f JOIN fx_node n ON f.node_key = n.node_key GROUP BY n.node_id""", "fx_fact", "fx_node"))
 def share_of_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Share of total over grouped rows (grand total joined back, no single-partition window)."""
-    s = fx.fixture_star(spark, sf_dir)
+    s = fx.fixture_star(spark, sf_dir, lookups=())
     g = (s.fact.join(F.broadcast(s.node.select("node_key", "node_id")), "node_key")
          .groupBy("node_id").agg(F.count(F.lit(1)).alias("nb")))
     return with_share(g, "nb", "pct", 2)
@@ -554,7 +555,7 @@ SELECT CAST(year(created_at) AS INTEGER) AS annee, COUNT(*) AS nb_transactions,
 FROM fx_fact GROUP BY 1""", "fx_fact"))
 def dq_sync_before_create(spark: SparkSession, sf_dir: str) -> DataFrame:
     """DQ8: rows synchronized before their creation date, per year."""
-    return quality.sync_before_create(fx.fixture_star(spark, sf_dir).fact)
+    return quality.sync_before_create(fx.fixture_star(spark, sf_dir, lookups=()).fact)
 
 
 _NULL_COLS = ["user_key", "full_name", "wilaya_name", "phone", "nni", "email", "kyc_level", "status",
@@ -581,7 +582,7 @@ SELECT statut, COUNT(*) AS nb_transactions, CAST(ROUND(SUM(COALESCE(fact_fee, le
   ON l.transaction_id = f.transaction_id) x GROUP BY statut""", "fx_tx", "fx_fact"))
 def recon_fees(spark: SparkSession, sf_dir: str) -> DataFrame:
     """DQ10: fee ledger vs fact fees per transaction."""
-    return quality.fee_reconciliation(fx.fee_ledger(spark, sf_dir), fx.fixture_star(spark, sf_dir).fact)
+    return quality.fee_reconciliation(fx.fee_ledger(spark, sf_dir), fx.fixture_star(spark, sf_dir, lookups=()).fact)
 
 
 _LIVE_NRT = """

@@ -1,6 +1,6 @@
 """Reference lookup tables (categories, transaction types, regions).
 
-Small by construction (one row per code); joined by broadcast.
+Small by construction (one row per code): Spark broadcasts them by the size of their files.
 """
 
 from __future__ import annotations
@@ -50,27 +50,26 @@ WILAYAS = [
 ]
 
 
-def categories(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(CATEGORIES, "category_id int, code string, mcc string, avg_min int, avg_max int")
+# Declared schemas of the lookup files, in the order of the values above.
+SCHEMAS = {
+    "categories": "id int, code string, mcc string, avg_min int, avg_max int",
+    "tx_types": "id int, code string, label string, requires_destination boolean, requires_merchant boolean, "
+                "requires_agency boolean, is_credit boolean",
+    "wilayas": "id int, code string, name string, capital string, population int, economic_weight double",
+}
+ROWS = {
+    "categories": CATEGORIES,
+    "tx_types": [(i, code, None, False, False, False, False) for i, code in TX_TYPES],
+    "wilayas": WILAYAS,
+}
 
 
-def tx_types(spark: SparkSession) -> DataFrame:
-    df = spark.createDataFrame(TX_TYPES, "type_id int, code string")
-    return df.selectExpr("type_id", "code", "CAST(NULL AS STRING) AS label", "FALSE AS requires_destination",
-                         "FALSE AS requires_merchant", "FALSE AS requires_agency", "FALSE AS is_credit")
+def write_lookup(spark: SparkSession, name: str, path: str) -> str:
+    """The lookup as a CSV file with a header (an empty field is NULL)."""
+    spark.createDataFrame(ROWS[name], SCHEMAS[name]).coalesce(1).write.option("header", True).csv(path)
+    return path
 
 
-def wilayas(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
-        WILAYAS, "wilaya_id int, code string, name string, capital string, population int, economic_weight double")
-
-
-def lookup_csv_schema(name: str) -> str:
-    """Declared schemas of the lookup CSV files (read with ``read.schema(...).csv``)."""
-    return {
-        "categories": "id int, code string, mcc string, label string, description string, avg_min int, avg_max int",
-        "tx_types": "id int, code string, label string, description string, requires_destination boolean, "
-                    "requires_merchant boolean, requires_agency boolean, is_credit boolean",
-        "wilayas": "id int, code string, name string, capital string, latitude double, longitude double, "
-                   "population int, economic_weight double",
-    }[name]
+def read_lookup(spark: SparkSession, name: str, path: str) -> DataFrame:
+    """Scan a lookup file with its declared schema; a malformed row fails."""
+    return spark.read.schema(SCHEMAS[name]).option("header", True).option("nullValue", "").option("mode", "FAILFAST").csv(path)
