@@ -85,7 +85,7 @@ def fact_scans(df) -> int:
 
 
 def test_shares_and_orphans_read_the_fact_once(spark):
-    for name in ("q4_top_wilaya", "q10_type_mix", "q13_category_mix", "viz_type_share"):
+    for name in ("q4_top_wilaya", "q10_type_mix", "q13_category_mix", "q14_basket", "viz_type_share"):
         assert fact_scans(getattr(marts, name)(fx.fixture_star(spark, SF_SMALL))) == 1, name
     from tillstar.operators import quality
     star = fx.fixture_star(spark, SF_SMALL)

@@ -63,7 +63,7 @@ def percentile_stats(df: DataFrame, group_cols: list[str], value_col: str, p: fl
                                         (F.col("_cum") - F.col("_c")).alias("_before"), low.alias("_low"), high.alias("_high"),
                                         (pos - low).alias("_frac"))
 
-    values = weighted.join(target, _same(g, [f"_t{c}" for c in g]) & (_bin(v) == F.col("_tbin")))
+    values = weighted.join(target, _same(g, [f"_t{c}" for c in g]) & _bin(v).eqNullSafe(F.col("_tbin")))  # null-safe: no extra filter, so both uses of the counts share one exchange
     end = F.col("_before") + F.sum("_w").over(Window.partitionBy(*g, "_tbin").orderBy(v).rowsBetween(Window.unboundedPreceding, Window.currentRow))
     values = values.withColumn("_end", end)
     picked = values.groupBy(*[F.col(c).alias(f"_p{c}") for c in g]).agg(
