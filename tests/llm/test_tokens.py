@@ -2,6 +2,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -17,7 +18,7 @@ PATH = public_tokenizers.path("word_bpe_49k.json")
 SMALL = "/root/testdata/sf0.001"
 LIBRARY = Tokenizer.from_file(PATH)
 
-TEXT = st.text(alphabet=st.sampled_from(list("aábB ̱'s.,!\n\t\x1c  é<|>endoftxŁ字1")), max_size=80)
+TEXT = st.text(alphabet=st.sampled_from(list("aábBHT ̱̈'s.,!\n\t\x1c  é<|>endoftxŁ字1K")), max_size=80)
 
 
 def direct(text):
@@ -27,8 +28,9 @@ def direct(text):
 @settings(max_examples=300, deadline=None)
 @given(TEXT)
 def test_word_encoder_equals_library(text):
-    ids = np.frombuffer(word_encoder(PATH).encode([text.encode()])[0], "<u4")
-    assert ids.tolist() == direct(text)
+    texts = pa.array([text, None, "", text + " x"])
+    assert [ids.tolist() for ids in word_encoder(PATH).encode(texts)] == [direct(t) for t in texts.to_pylist()]
+    assert word_encoder(PATH).counts(texts).tolist() == [len(direct(t)) for t in texts.to_pylist()]
 
 
 @settings(max_examples=200, deadline=None)

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillstar.llm.bloom import BloomFilter
-from tillstar.llm.shingles import binary_values, folded_words, long_lists, shingle_hashes, word_hashes
+from tillstar.llm.shingles import binary_values, folded_words, long_lists, shingle_hashes, word_hashes, slices
 from tillstar.llm.storage import materialise
 
 SEED_WORDS, MIN_MATCH, MARGIN, THRESHOLD = 5, 3, 100, 0.5
@@ -89,7 +89,7 @@ def tile(doc: np.ndarray, item: np.ndarray, min_match: int) -> list[tuple[int, i
 def _passages(docs: DataFrame, seeds: BloomFilter, seed_words: int, margin: int) -> DataFrame:
     """Documents with a possible seed: the windows passed, and the words near them with their places; 0 stands in gaps."""
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches, 1):
             rows, hits, words, places = [], [], [], []
             for row, text in enumerate(binary_values(batch.column(1))):
                 split = folded_words(text)
@@ -117,7 +117,7 @@ def _passages(docs: DataFrame, seeds: BloomFilter, seed_words: int, margin: int)
 
 def _items(benchmark: DataFrame, seed_words: int) -> DataFrame:
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches, 1):
             split = [folded_words(t) for t in binary_values(batch.column(1))]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), long_lists([word_hashes(w) for w in split]),

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillstar.llm.shingles import binary_values, folded_words
+from tillstar.llm.shingles import binary_values, folded_words, slices
 
 # Phrases (words in a row) and their labels.
 BASE_PHRASES = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
@@ -144,7 +144,7 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     names = ("n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "permitted")
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches, 1):
             rows = list(zip(*map(scan, binary_values(batch.column(1))))) or [()] * len(kinds)
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, k) for c, k in zip(rows, kinds))], names=["id", *names])
 

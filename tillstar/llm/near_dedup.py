@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from tillstar.llm.bloom import BloomFilter
 from tillstar.llm.components import components
-from tillstar.llm.shingles import binary_values, long_lists, mix, shingle_hashes
+from tillstar.llm.shingles import binary_values, long_lists, mix, shingle_hashes, slices
 from tillstar.llm.storage import materialise
 
 BINS, ROWS = 240, 6
@@ -66,7 +66,7 @@ def _sketches(docs: DataFrame, shingle: int, num: int, den: int) -> DataFrame:
     least = -(-num // (den - num)) if num < den else 1 << 30  # smaller sets link only when equal
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches, 1):
             sets = [shingle_set(t, shingle) for t in binary_values(batch.column(1))]
             digests = b"".join(xxhash.xxh3_128_digest(s.tobytes()) for s in sets)
             halves = np.frombuffer(digests, np.int64).reshape(-1, 2)
@@ -81,7 +81,7 @@ def _sketches(docs: DataFrame, shingle: int, num: int, den: int) -> DataFrame:
 
 def _sets(docs: DataFrame, shingle: int) -> DataFrame:
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches, 1):
             sets = [shingle_set(t, shingle) for t in binary_values(batch.column(1))]
             yield pa.RecordBatch.from_arrays([batch.column(0), long_lists(sets)], names=["rep", "set"])
 
@@ -108,7 +108,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = materialise(named.groupBy("d1", "d2").agg(F.min("id").alias("rep")), "dedup-classes", narrow=True)
     members = materialise(
         named.join(classes, ["d1", "d2"])
-        .select("id", "n", "rep", F.when(F.col("id") == F.col("rep"), F.col("bands")).alias("bands")), "dedup-members", narrow=True)
+        .select("id", "n", "rep", F.when(F.col("id") == F.col("rep"), F.col("bands")).alias("bands")), "dedup-members")
     out = members.select("id", "n", "rep")
     groups = _groups(docs, members, shingle, num, den)
     if groups is not None:
@@ -138,7 +138,7 @@ def _groups(docs: DataFrame, members: DataFrame, shingle: int, num: int, den: in
     sets = docs.filter(F.col("id").isNotNull() & listed.column(F.xxhash64("id"))).join(meets.select(F.col("rep").alias("id")), "id", "left_semi")
     sets = materialise(_sets(sets, shingle).filter("size(set) > 0"), "dedup-sets")
     star = _compare(shared.filter("rep <> c").select("c", F.col("rep").alias("m")).distinct(), sets, num, den, differences=True)
-    star = materialise(star, "dedup-star", narrow=True)
+    star = materialise(star, "dedup-star")
     links = star.filter("linked").select(F.col("c").alias("a"), F.col("m").alias("b"))
 
     groups = materialise(components(links).select(F.col("node").alias("rep"), "comp"), "dedup-groups", narrow=True)

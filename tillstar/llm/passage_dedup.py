@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillstar.llm.bloom import BloomFilter
-from tillstar.llm.shingles import folded_words, long_lists
+from tillstar.llm.shingles import folded_words, long_lists, slices
 from tillstar.llm.storage import materialise
 
 MIN_WORDS = 25
@@ -45,7 +45,7 @@ def _unit_rows(docs: DataFrame) -> DataFrame:
     names = ("starts", "ends", "words", "d1", "d2")
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches, 1):
             columns = [[] for _ in names]
             for text in batch.column(1).to_pylist():
                 found = units(text) if text else []
@@ -72,7 +72,7 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     # The earliest occurrence by id; min of longs keeps the aggregation in hash maps.
     often = materialise(flat.select("d1", "d2", "id").groupBy("d1", "d2").agg(F.min("id").alias("keep"), F.count("*").alias("n"))
-                        .filter("n > 1").select("d1", "d2", "keep"), "often", narrow=True)
+                        .filter("n > 1").select("d1", "d2", "keep"), "often")
     hits = materialise(flat.filter(BloomFilter(often, "d1").column(F.col("d1"))).join(often, ["d1", "d2"]), "hits", narrow=True)
     # Within the keeping document the first place stays.
     first = hits.filter("id = keep").groupBy("d1", "d2").agg(F.min(F.struct("row", "place")).alias("at"))
@@ -92,7 +92,7 @@ def remove_passages(docs: DataFrame, passages: DataFrame, id_col: str = "doc_id"
     cuts = passages.groupBy(F.col(id_col).alias("cut_id")).agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("cuts"))
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches, at):
             texts = []
             for text, spans in zip(batch.column(at).to_pylist(), batch.column(batch.num_columns - 1).to_pylist()):
                 start, parts = 0, []

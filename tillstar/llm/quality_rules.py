@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillstar.llm.shingles import slices
 from tillstar.llm.storage import materialise
 
 SYMBOLS = "#*$%&|<>"
@@ -65,8 +66,8 @@ def measured(docs: DataFrame, text_col: str, keep_text: bool) -> DataFrame:
     kept = [i for i in range(len(docs.columns)) if keep_text or i != at]
 
     def run(batches):
-        for batch in batches:
-            columns = zip(*map(measure, batch.column(at).to_pylist())) if batch.num_rows else [[]] * len(MEASURES)
+        for batch in slices(batches, at):
+            columns = zip(*map(measure, batch.column(at).to_pylist()))
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(i) for i in kept), *(pa.array(c, pa.int64()) for c in columns)],
                 names=[*(batch.schema.names[i] for i in kept), *MEASURES])

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 
-MAX_CACHED_WORDS = 500_000
+MAX_CACHED_WORDS = 250_000
+SLICE_BYTES = 4 << 20
 
 #: ASCII capitals to small letters; other ASCII that is no letter or digit to a space; bytes of longer characters stay.
 FOLD = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c > 127 else 32 for c in range(256))
@@ -57,6 +59,18 @@ def shingle_hashes(words: list[bytes], size: int) -> np.ndarray:
     return acc
 
 
+def slices(batches, text_column: int, size: int = SLICE_BYTES):
+    """The batches cut into runs of rows with about ``size`` bytes of text, one row at least, so that what
+    Python holds at a time does not depend on the batch size."""
+    for batch in batches:
+        ends = np.cumsum(pc.binary_length(batch.column(text_column)).fill_null(0).to_numpy(zero_copy_only=False), dtype=np.int64)
+        start, done = 0, 0
+        while start < batch.num_rows:
+            stop = max(start + 1, int(np.searchsorted(ends, done + size, "right")))
+            yield batch.slice(start, stop - start)
+            start, done = stop, ends[stop - 1]
+
+
 def binary_values(column: pa.Array) -> list[bytes | None]:
     """The UTF-8 bytes of a string column."""
     return column.cast(pa.binary()).to_pylist()

@@ -11,11 +11,12 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillstar.llm.shingles import binary_values
-from tillstar.llm.tokens import SPACES, tokenizer, word_encoder
+from tillstar.llm.shingles import slices
+from tillstar.llm.tokens import RUN_BYTES, SPACES, tokenizer, word_encoder
 
 HUGE_CHARS = 32_768
 CHUNK_CHARS = 16_384
@@ -74,20 +75,14 @@ def token_counts(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", t
     """
     def run(batches):
         encoder = word_encoder(tokenizer_path)
-        for batch in batches:
-            texts = binary_values(batch.column(1))
-            tokens = [0] * len(texts)
-            usual = []
-            for i, t in enumerate(texts):
-                if t and len(t) > huge_chars and len(whole := t.decode()) > huge_chars:
-                    tokens[i] = count_chunked(encoder.library, whole)
-                else:
-                    usual.append(i)
-            for i, ids in zip(usual, encoder.encode([texts[i] for i in usual])):
-                tokens[i] = len(ids) // 4
+        for batch in slices(batches, 1, RUN_BYTES):
+            texts = batch.column(1).fill_null("")
+            huge = pc.greater(pc.utf8_length(texts), huge_chars)
+            tokens = encoder.counts(pc.if_else(huge, "", texts))
+            for i in np.flatnonzero(huge.to_numpy(zero_copy_only=False)).tolist():
+                tokens[i] = count_chunked(encoder.library, texts[i].as_py())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([len(t or b"") for t in texts], pa.int64()), pa.array(tokens, pa.int64())],
-                names=["id", "n_bytes", "n_tokens"])
+                [batch.column(0), pc.binary_length(texts).cast(pa.int64()), pa.array(tokens, pa.int64())], names=["id", "n_bytes", "n_tokens"])
 
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     counted = docs.mapInArrow(run, "id long, n_bytes long, n_tokens long")

@@ -17,15 +17,14 @@ blocks (``read_range``), and unpacking is a vectorised reshape of bits.
 from __future__ import annotations
 
 import zlib
-from array import array
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstar.llm.shingles import binary_values
-from tillstar.llm.tokens import word_encoder
+from tillstar.llm.shingles import slices
+from tillstar.llm.tokens import RUN_BYTES, word_encoder
 
 BLOCK_IDS = 65_536
 
@@ -58,25 +57,23 @@ def _blocks(path: str, end_id: int, block_ids: int):
     def run(batches):
         encoder = word_encoder(path)
         bits = max(1, (max(encoder.library.get_vocab_size(), end_id + 1) - 1).bit_length())
-        end = array("I", [end_id]).tobytes()
+        end = np.array([end_id], "<u4")
         block = first = size = 0
         pieces, doc_ids, doc_ends = [], [], []
 
         def closed(shard):
             nonlocal block, first, size
-            ids = np.frombuffer(b"".join(pieces), "<u4")
-            row = [shard], [block], [first], [size], [bits], [pack(ids, bits)], [list(doc_ids)], [list(doc_ends)]
+            row = [shard], [block], [first], [size], [bits], [pack(np.concatenate(pieces), bits)], [list(doc_ids)], [list(doc_ends)]
             block, first, size = block + 1, first + size, 0
             pieces.clear(), doc_ids.clear(), doc_ends.clear()
             return pa.RecordBatch.from_arrays([pa.array(v, t.type) for v, t in zip(row, ARROW)], schema=ARROW)
 
         shard = None
-        for batch in batches:
-            for at, doc, ids in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(),
-                                    encoder.encode(binary_values(batch.column(2)))):
+        for batch in slices(batches, 2, RUN_BYTES):
+            for at, doc, ids in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), encoder.encode(batch.column(2))):
                 shard = at
                 pieces += (ids, end)
-                size += len(ids) // 4 + 1
+                size += len(ids) + 1
                 doc_ids.append(doc)
                 doc_ends.append(size)
                 if size >= block_ids:
