@@ -7,7 +7,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 
-MAX_CACHED_WORDS = 250_000
+MAX_CACHED_WORDS = 150_000
 SLICE_BYTES = 4 << 20
 
 #: ASCII capitals to small letters; other ASCII that is no letter or digit to a space; bytes of longer characters stay.
@@ -69,6 +69,7 @@ def slices(batches, text_column: int, size: int = SLICE_BYTES):
             stop = max(start + 1, int(np.searchsorted(ends, done + size, "right")))
             yield batch.slice(start, stop - start)
             start, done = stop, ends[stop - 1]
+            pa.default_memory_pool().release_unused()  # else Arrow keeps the largest run's memory for good
 
 
 def binary_values(column: pa.Array) -> list[bytes | None]:
