@@ -13,7 +13,7 @@ import pyarrow.compute as pc
 SPACES = " \t\n\v\f\r"
 MAX_CACHED_WORDS = 2_000_000  # about 40 bytes each
 LIBRARY_BATCH = 5_000
-RUN_BYTES = 16 << 20  # of text whose words are numbered at a time
+RUN_BYTES = 8 << 20  # of text whose words are numbered at a time
 SEPARATORS = ("§", "¶", "†", "※", "•", "|")
 
 
@@ -25,10 +25,20 @@ def tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+def _parts(words: pa.Array) -> list[pa.Array]:
+    """Words as a part to look up and a mark after it (or nothing). ASCII words are folded to small letters, as the
+    tokenizer does itself, and lose one final mark after a letter, which is always a token of its own. Words that
+    may hold a special string, and all others, stay whole."""
+    plain = pc.and_(pc.equal(pc.utf8_length(words), pc.binary_length(words)), pc.invert(pc.match_substring(words, "<|")))
+    words = pc.if_else(plain, pc.ascii_lower(words), words)
+    marked = pc.and_(plain, pc.match_substring_regex(words, "[a-z][.,!?;:]$"))
+    return [pc.if_else(marked, pc.utf8_slice_codeunits(words, 0, -1), words), pc.if_else(marked, pc.utf8_slice_codeunits(words, -1), "")]
+
+
 class WordEncoder:
     """Encodes texts word by word, each distinct word once.
 
-    Right for tokenizers that drop white space (no token holds any, and none depends on its
+    Right for tokenizers that fold case and drop white space (no token holds any, and none depends on its
     neighbours across it), as the word-level BPE does: the ids of a text are then those of
     its words in turn. Words stand between ASCII white space. Arrow numbers the words of a run of
     texts and finds the remembered ones; new words go to the library many at a time, as one text
@@ -68,38 +78,47 @@ class WordEncoder:
         self.words = pa.concat_arrays([self.words, plain, rest])
         self.flat, self.sizes = np.concatenate(flat), np.concatenate(sizes)
 
-    def _numbered(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """The remembered number of every word of the texts in turn, and the end of each text among them (null: no words)."""
+    def _numbered(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The number of every word of the texts in turn, the end of each text among them (null: no words), and for
+        each number the remembered places of its two parts."""
         split = pc.ascii_split_whitespace(texts.fill_null(""))
         words = split.flatten().dictionary_encode()
-        distinct = words.dictionary
+        parts = pa.concat_arrays(_parts(words.dictionary)).dictionary_encode()
+        distinct = parts.dictionary
         if len(self.words) + len(distinct) > MAX_CACHED_WORDS:
             self._forget()
-        new = distinct.filter(pc.is_null(pc.index_in(distinct, value_set=self.words)))
-        if len(new):
-            self._learn(new)
-        place = pc.index_in(distinct, value_set=self.words).to_numpy(zero_copy_only=False)
+        found = pc.index_in(distinct, value_set=self.words)
+        if found.null_count:
+            self._learn(distinct.filter(pc.is_null(found)))
+            found = pc.index_in(distinct, value_set=self.words)
+        places = found.to_numpy(zero_copy_only=False)[parts.indices.to_numpy(zero_copy_only=False)]
         ends = np.cumsum(pc.list_value_length(split).to_numpy(zero_copy_only=False))
-        return place[words.indices.to_numpy(zero_copy_only=False)], ends
+        return words.indices.to_numpy(zero_copy_only=False), ends, places.reshape(2, -1).T
 
     def counts(self, texts: pa.Array) -> np.ndarray:
         """Tokens of each text."""
-        numbers, ends = self._numbered(texts)
-        sums = np.concatenate([[0], np.cumsum(self.sizes[numbers])])
+        numbers, ends, places = self._numbered(texts)
+        sums = np.concatenate([[0], np.cumsum(self.sizes[places].sum(axis=1)[numbers])])
         return np.diff(sums[ends], prepend=0)
 
     def encode(self, texts: pa.Array) -> Iterator[np.ndarray]:
         """The ids of each text in turn (unsigned 32-bit)."""
-        numbers, ends = self._numbered(texts)
-        flat, sizes, begin = self.flat, self.sizes, 0
+        numbers, ends, places = self._numbered(texts)
+        flat = _gather(self.flat, self.sizes, places.ravel())  # the ids of each distinct word
+        sizes, begin = self.sizes[places].sum(axis=1), 0
         starts = np.cumsum(sizes) - sizes
         for end in ends.tolist():
-            own = numbers[begin:end]
-            size = sizes[own]
-            yield flat[np.arange(size.sum()) + np.repeat(starts[own] - (np.cumsum(size) - size), size)]
+            yield _gather(flat, sizes, numbers[begin:end], starts)
             begin = end
 
 
+def _gather(flat: np.ndarray, sizes: np.ndarray, rows: np.ndarray, starts: np.ndarray | None = None) -> np.ndarray:
+    """Rows of a flat array of lists, one after the other."""
+    starts = np.cumsum(sizes) - sizes if starts is None else starts
+    size = sizes[rows]
+    return flat[np.arange(size.sum()) + np.repeat(starts[rows] - (np.cumsum(size) - size), size)]
+
+
 @lru_cache(maxsize=4)
 def word_encoder(path: str) -> WordEncoder:
     return WordEncoder(path)
