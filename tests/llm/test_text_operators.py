@@ -189,6 +189,39 @@ def test_passages_equal_brute_force(spark):
     assert repeated_passages(docs.limit(0)).count() == 0
 
 
+def brute_window_words(rows, size):
+    """(doc, place) of every word in a window of ``size`` words that occurred before and does not overlap its first occurrence."""
+    seen, out = {}, set()
+    for doc, text in sorted((r for r in rows if r[1]), key=lambda r: r[0]):
+        words = [w.lower() for w in re.findall(r"[0-9A-Za-z\x80-\U0010ffff]+", text)]
+        for i in range(len(words) - size + 1):
+            first = seen.setdefault(tuple(words[i:i + size]), (doc, i))
+            if first[0] != doc or i >= first[1] + size:
+                out |= {(doc, i + k) for k in range(size)}
+    return out
+
+
+def test_passages_wherever_they_start(spark):
+    rng = random.Random(5)
+    word = lambda: f"w{rng.randrange(10**6)}" if rng.random() < 0.9 else f"ä{rng.randrange(10**6)}"
+    fill = lambda n: [word() for _ in range(n)]
+    passage = fill(60)
+    rows = [(1, " ".join(fill(9) + passage + fill(7)) + "."),
+            (2, " ".join(fill(30) + passage[5:45] + fill(30)) + "."),  # begins and ends inside a sentence
+            (3, " ".join(fill(3)) + "\n" + "\n".join(", ".join(passage[i:i + 7]).replace("w", "W") for i in range(0, 60, 7))),  # wrapped and punctuated otherwise
+            (4, " ".join(fill(20) + passage[10:35] + fill(20))), (5, " ".join(fill(20) + passage[10:34] + fill(20))),  # 25 and 24 words
+            (6, "same " * 80), (7, " ".join((p := fill(26)) + fill(4) + p)), (8, " ".join(passage[40:] + passage[:20]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = repeated_passages(docs).collect()
+    texts, got = dict(rows), set()
+    for r in found:
+        before = len(re.findall(r"\w+", texts[r.doc_id][:r.start]))
+        assert len(re.findall(r"\w+", texts[r.doc_id][r.start:r.end])) == r.n_words
+        got |= {(r.doc_id, before + k) for k in range(r.n_words)}
+    assert got == brute_window_words(rows, 25)
+    assert sorted((r.doc_id, r.n_words, r.keep_doc_id) for r in found) == [(2, 40, 1), (3, 60, 1), (4, 25, 1), (6, 55, 6), (7, 26, 7)]
+
+
 def test_repeated_rows_and_rows_without_id(spark):
     text = " ".join(f"w{i}" for i in range(30)) + "."
     docs = spark.createDataFrame([(1, text), (1, text), (None, text), (2, text)], "doc_id long, text string")

@@ -1,4 +1,4 @@
-"""Substring dedup by line hashing: repeated passages are removed, the earliest ranked occurrence stays.
+"""Substring dedup by hashing lines, sentences and word windows: repeated passages are removed, the earliest ranked occurrence stays.
 
 1.  Every text is cut into units: its lines, and the sentences within them. A unit is normalised (words of
     letters and digits, ASCII in lower case) and hashed to 128 bits; its original offsets are kept.
@@ -8,6 +8,11 @@
 3.  A Bloom filter of the digests that occur twice or more passes the units that may repeat; only they
     are shuffled to the exact join. Neighbouring repeated units of a document form a run, and
     runs of at least ``min_words`` words are removed. Shorter runs (a stock phrase, a common first line) stay.
+4.  So that a passage is found wherever it starts and ends, all windows of ``min_words`` words are compared as well.
+    The anchor of a window is the least hash of the half as long windows in it. Following windows with one
+    anchor form a stretch. Anchors of one stretch only cannot repeat and are left out. Stretches that repeat
+    as a whole are found like units; single windows are only compared where different stretches have the same anchor
+    (the ends of a passage), and only those of the earliest of equal stretches.
 """
 
 from __future__ import annotations
@@ -21,12 +26,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillstar.llm.bloom import BloomFilter
-from tillstar.llm.shingles import folded_words, long_lists, slices
+from tillstar.llm.shingles import FOLD, binary_values, folded_words, long_lists, mix, slices, word_hashes
 from tillstar.llm.storage import materialise
 
 MIN_WORDS = 25
 
 _BREAK = re.compile(r"[.!?]+(?=\s)|\n")
+_BASE = 0x9E3779B97F4A7C15  # odd, so its powers can be divided out modulo 2 ** 64
+_UNIT, _STRETCH, _WINDOW = 0, 1, 2
 
 
 def units(text: str) -> list[tuple[int, int, int, bytes]]:
@@ -40,35 +47,116 @@ def units(text: str) -> list[tuple[int, int, int, bytes]]:
     return out
 
 
-def _unit_rows(docs: DataFrame) -> DataFrame:
-    """id and, per unit in order: places, starts, ends, words, and the two halves of the digest (arrays)."""
-    names = ("starts", "ends", "words", "d1", "d2")
+def _word_spans(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Start and end of every word of ``folded_words`` in characters of the original text."""
+    inside = np.zeros(len(text) + 2, np.int8)
+    inside[1:-1] = np.frombuffer(text.translate(FOLD), np.uint8) != 32
+    edges = np.flatnonzero(np.diff(inside))
+    if not text.isascii():
+        characters = np.zeros(len(text) + 1, np.int64)
+        np.cumsum((np.frombuffer(text, np.uint8) & 0xC0) != 0x80, out=characters[1:])
+        edges = characters[edges]
+    return edges[::2], edges[1::2]
 
+
+def _rolling(hashes: np.ndarray, size: int) -> np.ndarray:
+    """Mixed Karp-Rabin hash of every window of ``size`` word hashes."""
+    powers, inverse = (np.full(len(hashes) + 1, b, np.uint64) for b in (_BASE, pow(_BASE, -1, 1 << 64)))
+    powers[0] = inverse[0] = 1
+    powers, inverse = np.cumprod(powers), np.cumprod(inverse)
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * powers[:-1])])
+    return mix((sums[size:] - sums[:-size]) * inverse[:len(hashes) - size + 1])
+
+
+def stretches(words: list[bytes], size: int) -> tuple[np.ndarray, ...]:
+    """Hashes of all windows of ``size`` words; and of every stretch its anchor, hash, first window and number of windows.
+
+    One place of an anchor reaches ``size - size // 2 + 1`` windows; longer stretches (the anchor again and again) are
+    cut there, so windows that repeat within one stretch overlap.
+    """
+    if len(words) < size:
+        return (np.empty(0, np.uint64),) * 5
+    hashes, short = word_hashes(words), max(1, size // 2)
+    found, anchors, span, wide = _rolling(hashes, size), _rolling(hashes, short), 1, size - short + 1
+    while 2 * span <= wide:
+        anchors = np.minimum(anchors[:-span], anchors[span:])
+        span *= 2
+    if span < wide:
+        anchors = np.minimum(anchors[:span - wide], anchors[wide - span:])
+    changes = np.concatenate([[0], np.flatnonzero(anchors[1:] != anchors[:-1]) + 1])
+    since = np.arange(len(found)) - np.repeat(changes, np.diff(changes, append=len(found)))
+    first = np.flatnonzero(since % wide == 0)
+    count = np.diff(first, append=len(found)).astype(np.uint64)
+    return found, anchors[first], mix(found[first] * np.uint64(_BASE) + found[np.append(first[1:], len(found)) - 1] + count), first.astype(np.uint64), count
+
+
+def _anchors(docs: DataFrame, size: int) -> DataFrame:
+    """Anchors of two stretches or more, and whether these differ."""
     def run(batches):
         for batch in slices(batches, 1):
-            columns = [[] for _ in names]
-            for text in batch.column(1).to_pylist():
-                found = units(text) if text else []
+            found = [stretches(folded_words(text), size)[1:3] for text in binary_values(batch.column(1))]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).view(np.int64)) for x in zip(*found)], names=["anchor", "stretch"])
+
+    counted = docs.mapInArrow(run, "anchor long, stretch long").groupBy("anchor").agg(
+        F.count("*").alias("n"), F.min("stretch").alias("low"), F.max("stretch").alias("high"))
+    return materialise(counted.filter("n > 1").select("anchor", (F.col("low") < F.col("high")).alias("differ")), "anchors", narrow=True)
+
+
+def _repeats(values: np.ndarray) -> np.ndarray:
+    """Which of the values occur more than once."""
+    _, back, n = np.unique(values, return_inverse=True, return_counts=True)
+    return n[back] > 1
+
+
+_UNIT_ARRAYS = ("starts", "ends", "befores", "words", "d1", "d2")
+_STRETCH_ARRAYS = ("anchor", "stretch", "before", "count", "start", "end")
+
+
+def _unit_rows(docs: DataFrame, repeated: BloomFilter, differing: BloomFilter, size: int) -> DataFrame:
+    """id and, per unit in order: starts, ends, words before it, words, and the two halves of the digest (arrays). Per stretch that
+    may repeat: anchor, hash, words before it, windows, start, end, and, where single windows are compared, their hashes and offsets
+    (from the start of the stretch; start in the upper, end in the lower half)."""
+    def run(batches):
+        for batch in slices(batches, 1):
+            columns, hashes, offsets, lengths = [[] for _ in (*_UNIT_ARRAYS, *_STRETCH_ARRAYS)], [], [], []
+            for raw in binary_values(batch.column(1)):
+                found = units(raw.decode()) if raw else []
                 halves = np.frombuffer(b"".join(u[3] for u in found), np.uint64).reshape(-1, 2)
-                for column, values in zip(columns, (*(np.array([u[k] for u in found], np.uint64) for k in range(3)), halves[:, 0], halves[:, 1])):
+                begin, end, words = (np.array([u[k] for u in found], np.uint64) for k in range(3))
+                rows = [begin, end, np.cumsum(words) - words, words, halves[:, 0], halves[:, 1]]
+                windows, anchor, stretch, first, count = stretches(folded_words(raw), size)
+                at = np.sort(repeated.probe(anchor))
+                if len(at):
+                    begin, end = _word_spans(raw)
+                    apart = _repeats(stretch)
+                    apart[differing.probe(anchor)] = True
+                    anchor, stretch, first, count, apart = (x[at] for x in (anchor, stretch, first, count, apart))
+                    a, n = first.astype(np.int64), count.astype(np.int64)
+                    rows += [anchor, stretch, first, count, begin[a].astype(np.uint64), end[a + n + size - 2].astype(np.uint64)]
+                    n[~apart] = 0
+                    base = np.repeat(a, n)
+                    single = base + np.arange(len(base)) - np.repeat(np.cumsum(n) - n, n)
+                    hashes.append(windows[single])
+                    offsets.append((begin[single] - begin[base] << 32) + end[single + size - 1] - begin[base])
+                    lengths.append(n)
+                else:
+                    rows += [np.empty(0, np.uint64)] * len(_STRETCH_ARRAYS)
+                for column, values in zip(columns, rows):
                     column.append(values)
-            yield pa.RecordBatch.from_arrays([batch.column(0), *map(long_lists, columns)], names=["id", *names])
-
-    return docs.mapInArrow(run, "id long, " + ", ".join(f"{n} array<long>" for n in names))
+            outer = pa.array(np.cumsum([0, *map(len, columns[-1])]), pa.int32())
+            inner = pa.array(np.cumsum(np.concatenate([[0], *lengths])), pa.int32())
+            flat = (np.concatenate([np.empty(0, np.int64), *(x.view(np.int64) for x in xs)]) for xs in (hashes, offsets))
+            lists = [pa.ListArray.from_arrays(outer, pa.ListArray.from_arrays(inner, pa.array(x))) for x in flat]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *map(long_lists, columns), *lists],
+                                             names=["id", *_UNIT_ARRAYS, *_STRETCH_ARRAYS, "hashes", "offsets"])
 
+    arrays = ", ".join(f"{n} array<long>" for n in (*_UNIT_ARRAYS, *_STRETCH_ARRAYS))
+    return docs.mapInArrow(run, f"id long, {arrays}, hashes array<array<long>>, offsets array<array<long>>")
 
-def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
-    """One row per removed passage: id, start, end (characters of the original text), n_units, n_words, and the
-    id that keeps its first unit (``keep_<id>``).
 
-    Null, empty and wordless texts have no units. Of repeated rows (the same id and text) all occurrences but one
-    are removed, told apart by their place. Rows without id are left out. Extra columns are ignored; an empty
-    table gives an empty result.
-    """
-    docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).filter("id is not null")
-    rows = materialise(_unit_rows(docs).filter("size(d1) > 0").withColumn("row", F.monotonically_increasing_id()), "units")
-    flat = rows.select("id", "row", F.posexplode(F.arrays_zip("starts", "ends", "words", "d1", "d2")).alias("place", "u"))
-    flat = flat.select("id", "row", "place", "u.starts", "u.ends", "u.words", "u.d1", "u.d2")
+def _repeated_runs(rows: DataFrame, min_words: int) -> DataFrame:
+    """Runs of repeated units with at least ``min_words`` words."""
+    flat = rows.select("id", "row", F.posexplode(F.arrays_zip(*_UNIT_ARRAYS)).alias("place", "u")).select("id", "row", "place", "u.*")
 
     # The earliest occurrence by id; min of longs keeps the aggregation in hash maps.
     often = materialise(flat.select("d1", "d2", "id").groupBy("d1", "d2").agg(F.min("id").alias("keep"), F.count("*").alias("n"))
@@ -81,10 +169,74 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     in_row = Window.partitionBy("row").orderBy("place")
     runs = (again.withColumn("run", F.col("place") - F.row_number().over(in_row))
-            .groupBy("row", "run").agg(F.min("id").alias("id"), F.min("starts").alias("start"), F.max("ends").alias("end"),
+            .groupBy("row", "run").agg(F.min("id").alias("id"), F.min("starts").alias("start"), F.max("ends").alias("end"), F.min("befores").alias("before"),
                                        F.count("*").alias("n_units"), F.sum("words").alias("n_words"), F.min_by("keep", "place").alias("keep")))
     return (runs.filter(F.col("n_words") >= min_words)
-            .select(F.col("id").alias(id_col), "start", "end", "n_units", "n_words", F.col("keep").alias(f"keep_{id_col}")))
+            .select("id", "row", "before", (F.col("before") + F.col("n_words")).alias("after"), "start", "end", "n_units", "keep", F.lit(_UNIT).alias("kind")))
+
+
+def _repeated_windows(rows: DataFrame, size: int) -> DataFrame:
+    """Stretches and single windows that occurred before, without overlap."""
+    zipped = F.arrays_zip(*_STRETCH_ARRAYS, "hashes", "offsets")
+    flat = rows.select("id", "row", F.explode(zipped).alias("s")).select("id", "row", "s.*")
+    keys = ["anchor", "stretch"]
+    often = materialise(flat.select(*keys, "id").groupBy(*keys).agg(F.min("id").alias("keep"), F.count("*").alias("n"))
+                        .filter("n > 1").select(*keys, "keep"), "often-stretches", narrow=True)
+    may = BloomFilter(often, "stretch").column(F.col("stretch"))
+    hits = materialise(flat.filter(may).join(often, keys, "left"), "hit-stretches", narrow=True)
+    # In the keeping document the first place stays; a stretch that stands there once is the first.
+    own = hits.filter("id = keep")
+    first = own.groupBy(*keys).agg(F.min(F.struct("row", "before")).alias("first"), F.count("*").alias("n")).filter("n > 1").select(*keys, "first")
+    first = materialise(first, "first-stretches", narrow=True)
+    own = own.join(first, keys, "left").withColumn("later", F.expr(f"first is not null and (row <> first.row or before >= first.before + {size})")).drop("first")
+    later = hits.filter("id <> keep").unionByName(own.filter("later").drop("later"))
+
+    # Single windows of the stretches that are the earliest of their kind; by hash alone first, as few repeat.
+    earliest = flat.filter(~may).withColumn("keep", F.lit(None).cast("long")).unionByName(hits.filter("keep is null")).unionByName(own.filter("not later").drop("later"))
+    earliest = earliest.filter("size(hashes) > 0")
+    twice = materialise(earliest.select(F.explode("hashes").alias("hash")).groupBy("hash").agg(F.count("*").alias("n")).filter("n > 1").select("hash"), "twice", narrow=True)
+    single = earliest.select("id", "row", "anchor", "before", "start", F.posexplode(F.arrays_zip("hashes", "offsets")).alias("place", "w"))
+    single = single.select("id", "row", "anchor", F.col("w.hashes").alias("hash"), (F.col("before") + F.col("place")).alias("before"),
+                           (F.col("start") + F.shiftright("w.offsets", 32)).alias("start"), (F.col("start") + F.col("w.offsets").bitwiseAND(F.lit(0xFFFFFFFF))).alias("end"))
+    single = materialise(single.filter(BloomFilter(twice, "hash").column(F.col("hash"))), "single-windows")
+    top = (single.groupBy("anchor", "hash").agg(F.min(F.struct("id", "row", "before")).alias("top"), F.count("*").alias("n"))
+           .filter("n > 1").select("anchor", "hash", "top"))
+    top = materialise(top, "first-windows", narrow=True)
+    single = (single.join(top, ["anchor", "hash"]).filter(f"row <> top.row or before >= top.before + {size}")
+              .select("id", "row", "before", (F.col("before") + size).alias("after"), "start", "end", F.lit(0).cast("long").alias("n_units"),
+                      F.col("top.id").alias("keep"), F.lit(_WINDOW).alias("kind")))
+    # The first window of a stretch may stand in an earlier document than the stretch.
+    span = ("id", "row", "before", (F.col("before") + F.col("count") + (size - 1)).alias("after"), "start", "end", F.lit(0).cast("long").alias("n_units"))
+    whole = later.filter("size(hashes) = 0").select(*span, "keep", F.lit(_STRETCH).alias("kind"))
+    mixed = later.filter("size(hashes) > 0").withColumn("hash", F.col("hashes")[0]).drop("hashes", "offsets").join(top, ["anchor", "hash"], "left")
+    return single.unionByName(whole).unionByName(mixed.select(*span, F.coalesce("top.id", "keep").alias("keep"), F.lit(_STRETCH).alias("kind")))
+
+
+def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
+    """One row per removed passage: id, start, end (characters of the original text), n_units (repeated units in
+    runs of ``min_words`` words), n_words, and the id that keeps its first unit or window (``keep_<id>``).
+
+    Every word of a window of ``min_words`` words that occurred before is in a passage, wherever the window begins
+    and however it is wrapped or punctuated; a window that overlaps its own first occurrence does not count. Null, empty and
+    wordless texts have no units. Of repeated rows (the same id and text) all occurrences but one
+    are removed, told apart by their place. Rows without id are left out. Extra columns are ignored; an empty
+    table gives an empty result.
+    """
+    docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).filter("id is not null")
+    anchors = _anchors(docs, min_words)
+    found = _unit_rows(docs, BloomFilter(anchors, "anchor"), BloomFilter(anchors.filter("differ"), "anchor"), min_words)
+    rows = materialise(found.filter("size(d1) > 0").withColumn("row", F.monotonically_increasing_id()), "units")
+    spans = _repeated_runs(rows, min_words).unionByName(_repeated_windows(rows, min_words))
+
+    # Spans that overlap or touch are one passage.
+    ordered = Window.partitionBy("row").orderBy("before", "kind")
+    reached = F.max("after").over(ordered.rowsBetween(Window.unboundedPreceding, -1))
+    spans = spans.withColumn("opens", F.coalesce(F.col("before") > reached, F.lit(True)).cast("int"))
+    spans = spans.withColumn("passage", F.sum("opens").over(ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    out = spans.groupBy("row", "passage").agg(
+        F.min("id").alias("id"), F.min("start").alias("start"), F.max("end").alias("end"), F.sum("n_units").alias("n_units"),
+        (F.max("after") - F.min("before")).alias("n_words"), F.min_by("keep", F.struct("before", "kind")).alias("keep"))
+    return out.select(F.col("id").alias(id_col), "start", "end", "n_units", "n_words", F.col("keep").alias(f"keep_{id_col}"))
 
 
 def remove_passages(docs: DataFrame, passages: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
