@@ -222,6 +222,20 @@ def test_passages_wherever_they_start(spark):
     assert sorted((r.doc_id, r.n_words, r.keep_doc_id) for r in found) == [(2, 40, 1), (3, 60, 1), (4, 25, 1), (6, 55, 6), (7, 26, 7)]
 
 
+def test_repeated_lines_and_texts_without_spaces(spark):
+    rng = random.Random(6)
+    fill = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    notice, short = fill(12) + ". " + fill(8) + ".", fill(9)
+    han = "".join(chr(0x4E00 + rng.randrange(20000)) for _ in range(40))
+    other = lambda n: "".join(chr(0x4E00 + rng.randrange(20000)) for _ in range(n))
+    rows = [(i, f"{fill(30)}\n{notice}\n{fill(30)}\n{short}\n{fill(30)}") for i in range(3)]
+    rows += [(5, other(9) + "。" + han + "。" + other(9)), (6, other(30) + han[:20] + "，" + han[20:] + "ab " + other(9)), (7, other(50) + han[:24] + other(30))]
+    found = repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    got = sorted((r.doc_id, dict(rows)[r.doc_id][r.start:r.end], r.n_words, r.keep_doc_id) for r in found)
+    assert got == [(1, notice + "\n", 20, 0), (2, notice + "\n", 20, 0), (6, han[:20] + "，" + han[20:], 40, 5)]
+    assert [u[2] for u in units(han[:7] + "。" + han[7:12] + "！end")] == [7, 5, 1]
+
+
 def test_repeated_rows_and_rows_without_id(spark):
     text = " ".join(f"w{i}" for i in range(30)) + "."
     docs = spark.createDataFrame([(1, text), (1, text), (None, text), (2, text)], "doc_id long, text string")

@@ -7,7 +7,8 @@
     documents costs one row a task.
 3.  A Bloom filter of the digests that occur twice or more passes the units that may repeat; only they
     are shuffled to the exact join. Neighbouring repeated units of a document form a run, and
-    runs of at least ``min_words`` words are removed. Shorter runs (a stock phrase, a common first line) stay.
+    runs of at least ``min_words`` words are removed, and so are whole lines of ``LINE_WORDS`` words or more.
+    Shorter ones (a stock phrase, a heading) stay. A Han or kana character counts as a word.
 4.  So that a passage is found wherever it starts and ends, all windows of ``min_words`` words are compared as well.
     The anchor of a window is the least hash of the half as long windows in it. Following windows with one
     anchor form a stretch. Anchors of one stretch only cannot repeat and are left out. Stretches that repeat
@@ -26,29 +27,58 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillstar.llm.bloom import BloomFilter
-from tillstar.llm.shingles import FOLD, binary_values, folded_words, long_lists, mix, slices, word_hashes
+from tillstar.llm.shingles import FOLD, folded_words, long_lists, mix, slices, word_hashes
 from tillstar.llm.storage import materialise
 
 MIN_WORDS = 25
 
-_BREAK = re.compile(r"[.!?]+(?=\s)|\n")
+LINE_WORDS = 10  # whole lines from here on go when they repeat; shorter ones are mostly headings, greetings and list items
+
+_BREAK = re.compile(r"[.!?]+(?=\s)|[。！？｡]+|\n")
+#: Han and kana are written without spaces: each such character is a word. Their punctuation parts words.
+_WIDE_WORD = "々-〇ぁ-ゟァ-ヺー-ヿ㐀-䶿一-鿿豈-﫿ｦ-ﾟ\U00020000-\U0003ffff"
+_WIDE_GAP = "\u3000-〄〈-〿・！-／：-＠［-｀｛-･"
+_WIDE = re.compile(f"[{_WIDE_WORD}{_WIDE_GAP}]")
+_WIDE_TOKEN = re.compile(f"[{_WIDE_WORD}]|[^\x00-/:-@\\[-`{{-\x7f{_WIDE_WORD}{_WIDE_GAP}]+")
 _BASE = 0x9E3779B97F4A7C15  # odd, so its powers can be divided out modulo 2 ** 64
-_UNIT, _STRETCH, _WINDOW = 0, 1, 2
+_UNIT, _LINE, _STRETCH, _WINDOW = range(4)
+
+
+def passage_words(text: str) -> list[bytes]:
+    """``folded_words``, and each Han or kana character a word."""
+    if text.isascii() or not _WIDE.search(text):
+        return folded_words(text.encode())
+    return [found.group().encode().translate(FOLD) for found in _WIDE_TOKEN.finditer(text)]
 
 
 def units(text: str) -> list[tuple[int, int, int, bytes]]:
     """(start, end, words, digest) of every unit that has a word; offsets in characters of the original text."""
     out, start = [], 0
     for end in (*(found.end() for found in _BREAK.finditer(text)), len(text)):
-        words = folded_words(text[start:end].encode())
+        words = passage_words(text[start:end])
         if words:
             out.append((start, end, len(words), xxhash.xxh3_128_digest(b" ".join(words))))
         start = end
     return out
 
 
-def _word_spans(text: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Start and end of every word of ``folded_words`` in characters of the original text."""
+def lines(text: str, size: int) -> list[tuple[int, int, int, int, bytes]]:
+    """(start, end, words before it, words, digest) of every whole line of ``LINE_WORDS`` words or more but less than ``size``."""
+    out, start, before = [], 0, 0
+    for line in text.split("\n"):
+        words = passage_words(line)
+        if LINE_WORDS <= len(words) < size:
+            out.append((start, min(start + len(line) + 1, len(text)), before, len(words), xxhash.xxh3_128_digest(b" ".join(words), 1)))
+        start, before = start + len(line) + 1, before + len(words)
+    return out
+
+
+def _word_spans(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Start and end of every word of ``passage_words`` in characters of the original text."""
+    if not text.isascii() and _WIDE.search(text):
+        spans = np.array([found.span() for found in _WIDE_TOKEN.finditer(text)], np.int64).reshape(-1, 2)
+        return spans[:, 0], spans[:, 1]
+    text = text.encode()
     inside = np.zeros(len(text) + 2, np.int8)
     inside[1:-1] = np.frombuffer(text.translate(FOLD), np.uint8) != 32
     edges = np.flatnonzero(np.diff(inside))
@@ -94,12 +124,12 @@ def _anchors(docs: DataFrame, size: int) -> DataFrame:
     """Anchors of two stretches or more, and whether these differ."""
     def run(batches):
         for batch in slices(batches, 1):
-            found = [stretches(folded_words(text), size)[1:3] for text in binary_values(batch.column(1))]
+            found = [stretches(passage_words(text or ""), size)[1:3] for text in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).view(np.int64)) for x in zip(*found)], names=["anchor", "stretch"])
 
     counted = docs.mapInArrow(run, "anchor long, stretch long").groupBy("anchor").agg(
         F.count("*").alias("n"), F.min("stretch").alias("low"), F.max("stretch").alias("high"))
-    return materialise(counted.filter("n > 1").select("anchor", (F.col("low") < F.col("high")).alias("differ")), "anchors", narrow=True)
+    return materialise(counted.filter("n > 1").select("anchor", (F.col("low") < F.col("high")).alias("differ")), "anchors", narrow=True, tidy=True)
 
 
 def _repeats(values: np.ndarray) -> np.ndarray:
@@ -108,26 +138,29 @@ def _repeats(values: np.ndarray) -> np.ndarray:
     return n[back] > 1
 
 
-_UNIT_ARRAYS = ("starts", "ends", "befores", "words", "d1", "d2")
+_UNIT_ARRAYS = ("starts", "ends", "befores", "words", "alone", "d1", "d2")
 _STRETCH_ARRAYS = ("anchor", "stretch", "before", "count", "start", "end")
 
 
 def _unit_rows(docs: DataFrame, repeated: BloomFilter, differing: BloomFilter, size: int) -> DataFrame:
-    """id and, per unit in order: starts, ends, words before it, words, and the two halves of the digest (arrays). Per stretch that
+    """id and, per unit in order and then per whole line: starts, ends, words before it, words, 1 for a line, and the two halves of the digest (arrays). Per stretch that
     may repeat: anchor, hash, words before it, windows, start, end, and, where single windows are compared, their hashes and offsets
     (from the start of the stretch; start in the upper, end in the lower half)."""
     def run(batches):
         for batch in slices(batches, 1):
             columns, hashes, offsets, lengths = [[] for _ in (*_UNIT_ARRAYS, *_STRETCH_ARRAYS)], [], [], []
-            for raw in binary_values(batch.column(1)):
-                found = units(raw.decode()) if raw else []
-                halves = np.frombuffer(b"".join(u[3] for u in found), np.uint64).reshape(-1, 2)
+            for text in batch.column(1).to_pylist():
+                found, whole = (units(text), lines(text, size)) if text else ([], [])
+                halves = np.frombuffer(b"".join(u[-1] for u in (*found, *whole)), np.uint64).reshape(-1, 2)
                 begin, end, words = (np.array([u[k] for u in found], np.uint64) for k in range(3))
-                rows = [begin, end, np.cumsum(words) - words, words, halves[:, 0], halves[:, 1]]
-                windows, anchor, stretch, first, count = stretches(folded_words(raw), size)
+                rows = [begin, end, np.cumsum(words) - words, words]
+                rows = [np.concatenate([x, np.array([line[k] for line in whole], np.uint64)]) for k, x in enumerate(rows)]
+                rows += [np.arange(len(halves)) >= len(found), halves[:, 0], halves[:, 1]]
+                rows[4] = rows[4].astype(np.uint64)
+                windows, anchor, stretch, first, count = stretches(passage_words(text or ""), size)
                 at = np.sort(repeated.probe(anchor))
                 if len(at):
-                    begin, end = _word_spans(raw)
+                    begin, end = _word_spans(text)
                     apart = _repeats(stretch)
                     apart[differing.probe(anchor)] = True
                     anchor, stretch, first, count, apart = (x[at] for x in (anchor, stretch, first, count, apart))
@@ -155,24 +188,27 @@ def _unit_rows(docs: DataFrame, repeated: BloomFilter, differing: BloomFilter, s
 
 
 def _repeated_runs(rows: DataFrame, min_words: int) -> DataFrame:
-    """Runs of repeated units with at least ``min_words`` words."""
+    """Runs of repeated units with at least ``min_words`` words, and repeated whole lines."""
     flat = rows.select("id", "row", F.posexplode(F.arrays_zip(*_UNIT_ARRAYS)).alias("place", "u")).select("id", "row", "place", "u.*")
 
     # The earliest occurrence by id; min of longs keeps the aggregation in hash maps.
     often = materialise(flat.select("d1", "d2", "id").groupBy("d1", "d2").agg(F.min("id").alias("keep"), F.count("*").alias("n"))
-                        .filter("n > 1").select("d1", "d2", "keep"), "often")
-    hits = materialise(flat.filter(BloomFilter(often, "d1").column(F.col("d1"))).join(often, ["d1", "d2"]), "hits", narrow=True)
+                        .filter("n > 1").select("d1", "d2", "keep"), "often", tidy=True)
+    hits = materialise(flat.filter(BloomFilter(often, "d1").column(F.col("d1"))).join(often, ["d1", "d2"]), "hits", narrow=True, tidy=True)
     # Within the keeping document the first place stays.
     first = hits.filter("id = keep").groupBy("d1", "d2").agg(F.min(F.struct("row", "place")).alias("at"))
-    first = materialise(first.select(F.col("at.row").alias("row"), F.col("at.place").alias("place"), F.lit(True).alias("first")), "first", narrow=True)
+    first = materialise(first.select(F.col("at.row").alias("row"), F.col("at.place").alias("place"), F.lit(True).alias("first")), "first", narrow=True, tidy=True)
     again = hits.join(first, ["row", "place"], "left").filter("first is null")
 
     in_row = Window.partitionBy("row").orderBy("place")
-    runs = (again.withColumn("run", F.col("place") - F.row_number().over(in_row))
+    runs = (again.filter("alone = 0").withColumn("run", F.col("place") - F.row_number().over(in_row))
             .groupBy("row", "run").agg(F.min("id").alias("id"), F.min("starts").alias("start"), F.max("ends").alias("end"), F.min("befores").alias("before"),
                                        F.count("*").alias("n_units"), F.sum("words").alias("n_words"), F.min_by("keep", "place").alias("keep")))
-    return (runs.filter(F.col("n_words") >= min_words)
+    runs = (runs.filter(F.col("n_words") >= min_words)
             .select("id", "row", "before", (F.col("before") + F.col("n_words")).alias("after"), "start", "end", "n_units", "keep", F.lit(_UNIT).alias("kind")))
+    return runs.unionByName(again.filter("alone = 1").select(
+        "id", "row", F.col("befores").alias("before"), (F.col("befores") + F.col("words")).alias("after"), F.col("starts").alias("start"),
+        F.col("ends").alias("end"), F.lit(0).cast("long").alias("n_units"), "keep", F.lit(_LINE).alias("kind")))
 
 
 def _repeated_windows(rows: DataFrame, size: int) -> DataFrame:
@@ -181,27 +217,27 @@ def _repeated_windows(rows: DataFrame, size: int) -> DataFrame:
     flat = rows.select("id", "row", F.explode(zipped).alias("s")).select("id", "row", "s.*")
     keys = ["anchor", "stretch"]
     often = materialise(flat.select(*keys, "id").groupBy(*keys).agg(F.min("id").alias("keep"), F.count("*").alias("n"))
-                        .filter("n > 1").select(*keys, "keep"), "often-stretches", narrow=True)
+                        .filter("n > 1").select(*keys, "keep"), "often-stretches", narrow=True, tidy=True)
     may = BloomFilter(often, "stretch").column(F.col("stretch"))
-    hits = materialise(flat.filter(may).join(often, keys, "left"), "hit-stretches", narrow=True)
+    hits = materialise(flat.filter(may).join(often, keys, "left"), "hit-stretches", narrow=True, tidy=True)
     # In the keeping document the first place stays; a stretch that stands there once is the first.
     own = hits.filter("id = keep")
     first = own.groupBy(*keys).agg(F.min(F.struct("row", "before")).alias("first"), F.count("*").alias("n")).filter("n > 1").select(*keys, "first")
-    first = materialise(first, "first-stretches", narrow=True)
+    first = materialise(first, "first-stretches", narrow=True, tidy=True)
     own = own.join(first, keys, "left").withColumn("later", F.expr(f"first is not null and (row <> first.row or before >= first.before + {size})")).drop("first")
     later = hits.filter("id <> keep").unionByName(own.filter("later").drop("later"))
 
     # Single windows of the stretches that are the earliest of their kind; by hash alone first, as few repeat.
     earliest = flat.filter(~may).withColumn("keep", F.lit(None).cast("long")).unionByName(hits.filter("keep is null")).unionByName(own.filter("not later").drop("later"))
     earliest = earliest.filter("size(hashes) > 0")
-    twice = materialise(earliest.select(F.explode("hashes").alias("hash")).groupBy("hash").agg(F.count("*").alias("n")).filter("n > 1").select("hash"), "twice", narrow=True)
+    twice = materialise(earliest.select(F.explode("hashes").alias("hash")).groupBy("hash").agg(F.count("*").alias("n")).filter("n > 1").select("hash"), "twice", narrow=True, tidy=True)
     single = earliest.select("id", "row", "anchor", "before", "start", F.posexplode(F.arrays_zip("hashes", "offsets")).alias("place", "w"))
     single = single.select("id", "row", "anchor", F.col("w.hashes").alias("hash"), (F.col("before") + F.col("place")).alias("before"),
                            (F.col("start") + F.shiftright("w.offsets", 32)).alias("start"), (F.col("start") + F.col("w.offsets").bitwiseAND(F.lit(0xFFFFFFFF))).alias("end"))
-    single = materialise(single.filter(BloomFilter(twice, "hash").column(F.col("hash"))), "single-windows")
+    single = materialise(single.filter(BloomFilter(twice, "hash").column(F.col("hash"))), "single-windows", tidy=True)
     top = (single.groupBy("anchor", "hash").agg(F.min(F.struct("id", "row", "before")).alias("top"), F.count("*").alias("n"))
            .filter("n > 1").select("anchor", "hash", "top"))
-    top = materialise(top, "first-windows", narrow=True)
+    top = materialise(top, "first-windows", narrow=True, tidy=True)
     single = (single.join(top, ["anchor", "hash"]).filter(f"row <> top.row or before >= top.before + {size}")
               .select("id", "row", "before", (F.col("before") + size).alias("after"), "start", "end", F.lit(0).cast("long").alias("n_units"),
                       F.col("top.id").alias("keep"), F.lit(_WINDOW).alias("kind")))
@@ -216,6 +252,7 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """One row per removed passage: id, start, end (characters of the original text), n_units (repeated units in
     runs of ``min_words`` words), n_words, and the id that keeps its first unit or window (``keep_<id>``).
 
+    Whole lines of ``LINE_WORDS`` words or more go by themselves; lines and windows count as no unit.
     Every word of a window of ``min_words`` words that occurred before is in a passage, wherever the window begins
     and however it is wrapped or punctuated; a window that overlaps its own first occurrence does not count. Null, empty and
     wordless texts have no units. Of repeated rows (the same id and text) all occurrences but one

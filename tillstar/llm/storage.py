@@ -7,14 +7,25 @@ from pyspark.sql import DataFrame
 from tillstar.session import fresh_path
 
 
-def materialise(df: DataFrame, name: str, narrow: bool = False) -> DataFrame:
+TIDY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def materialise(df: DataFrame, name: str, narrow: bool = False, tidy: bool = False) -> DataFrame:
     """Write ``df`` as Parquet under the session's checkpoint folder and read it back.
 
     ``narrow`` (light rows that come out of a shuffle): at most three tasks a core of the
     cluster write it, each a few shuffle partitions, so that small tables make few files.
+    ``tidy``: Spark deletes the shuffle files of the write when it is done, not when the driver collects garbage.
     """
     spark = df.sparkSession
     path = fresh_path(spark, name)
     out = df.coalesce(3 * spark.sparkContext.defaultParallelism) if narrow else df
-    out.write.parquet(path)
+    before = spark.conf.get(TIDY) if tidy else None
+    try:
+        if tidy:
+            spark.conf.set(TIDY, "true")
+        out.write.parquet(path)
+    finally:
+        if tidy:
+            spark.conf.set(TIDY, before)
     return spark.read.schema(df.schema).parquet(path)
