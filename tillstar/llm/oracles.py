@@ -94,4 +94,54 @@ SELECT page_id, host, path, rule,
 FROM c LEFT JOIN best USING (page_id) LEFT JOIN listed ON listed.canonical = c.canonical
 """
 
-SQL = {"op1_quality_rules": QUALITY_RULES, "op5_url_filter": URL_FILTER, "op6_minhash_near_dedup": NEAR_DEDUP}
+LEXICAL_SEARCH = r"""
+WITH term(kind, r, id, t) AS (
+  SELECT 'doc', r, doc_id, unnest(regexp_extract_all(t, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'))
+  FROM (SELECT row_number() OVER () AS r, doc_id, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents)
+  UNION ALL
+  SELECT 'item', r, item_id, unnest(regexp_extract_all(t, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'))
+  FROM (SELECT row_number() OVER () AS r, item_id, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM benchmark)),
+size AS (SELECT r, count(*) AS n FROM term WHERE kind = 'doc' GROUP BY r),
+total AS (SELECT count(*) AS n_docs, sum(n)::BIGINT AS n_terms FROM size),
+tf AS (SELECT r, id AS doc_id, t, count(*) AS tf FROM term WHERE kind = 'doc' GROUP BY r, id, t),
+item AS (SELECT id AS item_id, t, count(*) AS times FROM term WHERE kind = 'item' GROUP BY id, t),
+w AS (SELECT t, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM tf, total GROUP BY t, n_docs),
+score AS (
+  SELECT item_id, r, doc_id,
+         sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * n_docs) // n_terms))))::BIGINT AS score
+  FROM item JOIN tf USING (t) JOIN w USING (t) JOIN size USING (r), total GROUP BY item_id, r, doc_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank FROM score WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
+CONVERSATION_TRIE = r"""
+WITH RECURSIVE low(n, i, c) AS (  -- the table of CRC-32, bit by bit
+  SELECT b, 0, b::BIGINT FROM range(256) AS t(b)
+  UNION ALL SELECT n, i + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM low WHERE i < 8),
+crc(id, s, i, c) AS (
+  SELECT conv_id, conv_id::VARCHAR, 0, 4294967295::BIGINT FROM (SELECT DISTINCT conv_id FROM conversations WHERE conv_id IS NOT NULL)
+  UNION ALL SELECT id, s, crc.i + 1, xor(crc.c >> 8, low.c) FROM crc JOIN low ON low.i = 8 AND low.n = xor(crc.c, ascii(s[crc.i + 1])) & 255
+  WHERE crc.i < length(s)),
+head AS (SELECT id AS conv_id, xor(c, 4294967295) % 9 AS h FROM crc WHERE i = length(s)),
+own AS (
+  SELECT conv_id, list({'r': coalesce(role, ''), 't': coalesce(text, '')} ORDER BY turn NULLS FIRST) AS ts
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+full_conv AS (
+  SELECT own.conv_id, list_concat(coalesce(base.ts, [])[1:h], own.ts[h + 1:]) AS ts
+  FROM own JOIN head USING (conv_id) LEFT JOIN own base ON base.conv_id = own.conv_id - own.conv_id % 5),
+pre AS (SELECT conv_id, d, ts[1:d] AS p, len(ts) = d AS ends FROM (SELECT conv_id, ts, unnest(range(len(ts) + 1)) AS d FROM full_conv)),
+node AS (
+  SELECT p, d, min(conv_id) AS conv_id, count(*) AS n_convs, coalesce(octet_length(encode(p[d].t)), 0) AS bytes,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE ends), '')) AS ends_sha256
+  FROM pre GROUP BY p, d),
+child AS (SELECT p[1:d - 1] AS p, d - 1 AS d, count(*) AS n_children FROM node WHERE d > 0 GROUP BY ALL),
+n AS (SELECT node.*, coalesce(n_children, 0) AS n_children FROM node LEFT JOIN child USING (p, d)),
+up AS (SELECT unnest(range(d + 1)) AS a, p, n_children, (n_convs - 1) * bytes AS saved FROM n),
+sub AS (SELECT p[1:a] AS p, a AS d, sum((n_children = 0)::INT) AS n_leaves, sum(saved) AS saved_tokens FROM up GROUP BY ALL)
+SELECT n.conv_id, n.d AS depth, parent.conv_id AS parent_conv_id, n.n_convs, n.n_children, n_leaves::BIGINT AS n_leaves,
+       saved_tokens::BIGINT AS saved_tokens, n.ends_sha256
+FROM n JOIN sub USING (p, d) LEFT JOIN n parent ON parent.d = n.d - 1 AND parent.p = n.p[1:n.d - 1]
+"""
+
+SQL = {"op1_quality_rules": QUALITY_RULES, "op5_url_filter": URL_FILTER, "op6_minhash_near_dedup": NEAR_DEDUP,
+       "op11_lexical_search": LEXICAL_SEARCH, "op13_conversation_trie": CONVERSATION_TRIE}

@@ -6,8 +6,12 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tillstar.llm.bpe import decode_ids, encode_texts
+from tillstar.llm.conversation_trie import ordered_turns, prefix_trie, rebuilt
 from tillstar.llm.decontaminate import contaminated
+from tillstar.llm.lexical_search import ranked_search
 from tillstar.llm.license_scan import license_scan
 from tillstar.llm.mixing import mix
 from tillstar.llm.near_dedup import near_duplicates
@@ -78,10 +82,27 @@ def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_documents(spark, folder)
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), k=10)
+
+
+def op12_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path(TOKENIZER)
+    out = decode_ids(encode_texts(_table(spark, sf_dir, "documents"), path), path)
+    return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                      F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+                      F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(*rebuilt(ordered_turns(_table(spark, sf_dir, "conversations")), group=5, keep=9))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_quality_rules, op2_license_scan, op3_benchmark_decontamination, op4_quality_classifier, op5_url_filter,
-        op6_minhash_near_dedup, op7_token_counts, op8_source_mixing, op9_substring_dedup, op10_token_output)}
+        op6_minhash_near_dedup, op7_token_counts, op8_source_mixing, op9_substring_dedup, op10_token_output,
+        op11_lexical_search, op12_bpe_codec, op13_conversation_trie)}
 
 
 def oracle_sql() -> dict[str, str]:
