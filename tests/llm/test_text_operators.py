@@ -10,10 +10,11 @@ from hypothesis import strategies as st
 
 from tillstar.llm.decontaminate import contaminated, tile
 from tillstar.llm.license_scan import BASE_PHRASES, evaluate, license_scan, scan, to_postfix
-from tillstar.llm.passage_dedup import remove_passages, repeated_passages, units
+from tillstar.llm.passage_dedup import remove_passages, repeated_passages
 from tillstar.llm.quality_model import PreferenceModel, quality_scores
 from tillstar.llm.queries import URL_RULES, op2_license_scan, op3_benchmark_decontamination, op4_quality_classifier
 from tillstar.llm.quality_rules import beta_prior, measure, quality_rules
+from tillstar.llm.shingles import mix, word_hashes
 from tillstar.llm.url_filter import judge_urls, repeated_urls
 
 SMALL, MEDIUM = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
@@ -158,88 +159,109 @@ def test_decontamination_query_equals_brute_force(spark):
 
 # ---- passages
 
-def brute_passages(rows, least):
-    seen, out = {}, []
-    for row, (doc, text) in enumerate(sorted(rows, key=lambda r: r[0])):
-        run = None
-        for place, (start, end, n, digest) in enumerate(units(text or "")):
-            if digest not in seen:
-                seen[digest] = doc
-                run = None
-                continue
-            if run is None:
-                run = [doc, start, end, 0, 0, seen[digest]]
-                out.append(run)
-            run[2], run[3], run[4] = end, run[3] + 1, run[4] + n
-    return sorted(tuple(r) for r in out if r[4] >= least)
-
-
-def test_passages_equal_brute_force(spark):
+WIDE = "\u3005-\u3007\u3041-\u309f\u30a1-\u30fa\u30fc-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff"
+WORD = re.compile(f"[{WIDE}]|[0-9A-Za-z\x80-\u2fff\u3100-\u33ff\uac00-\ud7af]+")
+
+
+def brute_units(text, line_words, break_every):
+    """(start, end, place of its first word, words) of sentence pieces, and of lines, by walking the text."""
+    found = list(WORD.finditer(text))
+    words = [m.group().translate({c: c + 32 for c in range(65, 91)}) for m in found]
+    hashes = mix(word_hashes([w.encode() for w in words])) if words else []
+    groups, lines = [], {}
+    for i, m in enumerate(found):
+        stop = i and re.search(r"[.!?][ \t\n\v\f\r]|[\u3002\uff01\uff1f\uff61]", text[found[i - 1].end():m.start()])
+        if not i or stop or int(hashes[i - 1]) % break_every == 0:
+            groups.append([])
+        groups[-1].append(i)
+        lines.setdefault(text.count("\n", 0, m.start()), []).append(i)
+    out = []
+    for g in groups:
+        after = found[g[-1] + 1].start() if g[-1] + 1 < len(found) else len(text)
+        out.append((found[g[0]].start(), after, g[0], tuple(words[i] for i in g)))
+    whole, ends = [], [m.end() for m in re.finditer("\n", text)]
+    for n, g in lines.items():
+        if len(g) >= line_words:
+            whole.append(([0, *ends][n], [*ends, len(text)][n], g[0], tuple(words[i] for i in g)))
+    return out, whole
+
+
+def brute_passages(rows, least=25, line_words=10, break_every=8):
+    seen, spans = {}, []
+    for doc, text in sorted(rows, key=lambda r: (r[0] is None, r[0] or 0)):
+        pieces, whole = brute_units(text or "", line_words, break_every)
+        for kind, found in ((0, pieces), (1, whole)):
+            run, here = None, []
+            for start, end, before, words in found:
+                first = seen.setdefault((kind, words), doc)
+                if (kind, words) not in here and first is doc and (kind, words, doc) not in seen:
+                    seen[kind, words, doc] = True
+                    run = None
+                    continue
+                if run is None or kind:
+                    run = [before, start, end, 0, 0, first, kind]
+                    here.append(run)
+                run[2], run[3], run[4] = end, run[3] + 1, run[4] + len(words)
+            spans += [(doc, id(text), *r) for r in here if kind or r[4] >= least]
+    out = []
+    for doc, at, before, start, end, n, words, keep, kind in sorted(spans, key=lambda s: (s[0] is None, s[0] or 0, s[1], s[2], s[8], s[6])):
+        if out and out[-1][:2] == [doc, at] and before <= out[-1][3]:
+            last = out[-1]
+            last[3], last[5], last[6] = max(last[3], before + words), max(last[5], end), last[6] + n * (1 - kind)
+        else:
+            out.append([doc, at, before, before + words, start, end, n * (1 - kind), keep])
+    return sorted(((d, s, e, n, high - low, k) for d, _, low, high, s, e, n, k in out), key=str)
+
+
+def found_passages(found):
+    return sorted(((r.doc_id, r.start, r.end, r.n_units, r.n_words, r.keep_doc_id) for r in found.collect()), key=str)
+
+
+@pytest.mark.parametrize("table", [SMALL, MEDIUM])
+def test_passages_of_a_given_table_equal_brute_force(spark, table):
+    docs = spark.read.parquet(f"{table}/documents.parquet")
+    got = found_passages(repeated_passages(docs))
+    assert len(got) > 5 and got == brute_passages([(r.doc_id, r.text) for r in docs.collect()])
+
+
+@pytest.mark.parametrize("least, line_words, break_every", [(25, 10, 8), (5, 1, 3), (1, 4, 1000)])
+def test_passages_equal_brute_force(spark, least, line_words, break_every):
     rng = random.Random(3)
     sentence = lambda: " ".join(f"w{rng.randrange(10**6)}" for _ in range(rng.randrange(4, 14))).capitalize() + "."
     passage = [sentence() for _ in range(7)]
     rows = [(i, " ".join([sentence() for _ in range(5)] + passage * (i % 3 == 0) + [sentence() for _ in range(3)])) for i in range(40)]
-    rows += [(50, "\n".join(passage).upper()), (51, None), (52, ""), (53, rows[4][1]), (54, "Short line.\nShort line.")]
+    rows += [(50, "\n".join(passage).upper()), (51, None), (52, ""), (53, rows[4][1]), (54, "Short line.\nShort line."), (None, "a lost id " * 9),
+             (55, "!!! ...\n\n"), (56, " ".join(passage[2:5]) + " あいう漢字。" * 9), (57, "x " * 90 + "\n" + " ".join(passage)), (58, "漢字" * 40 + "。" + "漢字" * 40)]
     docs = spark.createDataFrame([(t, d, 1, 2) for d, t in rows], "text string, doc_id long, start int, keep int")
-    found = repeated_passages(docs)
-    got = sorted((r.doc_id, r.start, r.end, r.n_units, r.n_words, r.keep_doc_id) for r in found.collect())
-    assert got == brute_passages(rows, 25) and len(got) > 13
-    texts = {r.doc_id: r.text for r in remove_passages(docs, found).collect()}
-    assert texts[1] == rows[1][1] and passage[2] not in texts[3] and passage[2] in texts[0] and texts[51] is None
+    options = dict(min_words=least, line_words=line_words, break_every=break_every)
+    found = repeated_passages(docs, **options)
+    got = found_passages(found)
+    assert got == brute_passages(rows, least, line_words, break_every) and len(got) > 13
+    if least == 25:
+        texts = {r.doc_id: r.text for r in remove_passages(docs, found).collect()}
+        assert texts[1] == rows[1][1] and passage[2] not in texts[3] and passage[2] in texts[0] and texts[51] is None
     assert repeated_passages(docs.limit(0)).count() == 0
 
 
-def brute_window_words(rows, size):
-    """(doc, place) of every word in a window of ``size`` words that occurred before and does not overlap its first occurrence."""
-    seen, out = {}, set()
-    for doc, text in sorted((r for r in rows if r[1]), key=lambda r: r[0]):
-        words = [w.lower() for w in re.findall(r"[0-9A-Za-z\x80-\U0010ffff]+", text)]
-        for i in range(len(words) - size + 1):
-            first = seen.setdefault(tuple(words[i:i + size]), (doc, i))
-            if first[0] != doc or i >= first[1] + size:
-                out |= {(doc, i + k) for k in range(size)}
-    return out
+def test_repeated_rows_and_missing_ids(spark):
+    text = " ".join(f"w{i}" for i in range(60)) + "."
+    docs = spark.createDataFrame([(None, text), (5, text), (5, text), (None, text), (9, "y" * 100_000 + " " + text)], "doc_id long, text string")
+    got = found_passages(repeated_passages(docs))
+    assert sorted((str(d), k) for d, _, _, _, _, k in got) == [("5", 5), ("9", 5), ("None", 5), ("None", 5)]
+    assert [n for d, _, _, _, n, _ in got if d == 5] == [60]
 
 
-def test_passages_wherever_they_start(spark):
+def test_a_passage_is_found_wherever_it_starts(spark):
     rng = random.Random(5)
-    word = lambda: f"w{rng.randrange(10**6)}" if rng.random() < 0.9 else f"ä{rng.randrange(10**6)}"
-    fill = lambda n: [word() for _ in range(n)]
-    passage = fill(60)
-    rows = [(1, " ".join(fill(9) + passage + fill(7)) + "."),
-            (2, " ".join(fill(30) + passage[5:45] + fill(30)) + "."),  # begins and ends inside a sentence
-            (3, " ".join(fill(3)) + "\n" + "\n".join(", ".join(passage[i:i + 7]).replace("w", "W") for i in range(0, 60, 7))),  # wrapped and punctuated otherwise
-            (4, " ".join(fill(20) + passage[10:35] + fill(20))), (5, " ".join(fill(20) + passage[10:34] + fill(20))),  # 25 and 24 words
-            (6, "same " * 80), (7, " ".join((p := fill(26)) + fill(4) + p)), (8, " ".join(passage[40:] + passage[:20]))]
-    docs = spark.createDataFrame(rows, "doc_id long, text string")
-    found = repeated_passages(docs).collect()
-    texts, got = dict(rows), set()
-    for r in found:
-        before = len(re.findall(r"\w+", texts[r.doc_id][:r.start]))
-        assert len(re.findall(r"\w+", texts[r.doc_id][r.start:r.end])) == r.n_words
-        got |= {(r.doc_id, before + k) for k in range(r.n_words)}
-    assert got == brute_window_words(rows, 25)
-    assert sorted((r.doc_id, r.n_words, r.keep_doc_id) for r in found) == [(2, 40, 1), (3, 60, 1), (4, 25, 1), (6, 55, 6), (7, 26, 7)]
-
-
-def test_repeated_lines_and_texts_without_spaces(spark):
-    rng = random.Random(6)
-    fill = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
-    notice, short = fill(12) + ". " + fill(8) + ".", fill(9)
-    han = "".join(chr(0x4E00 + rng.randrange(20000)) for _ in range(40))
-    other = lambda n: "".join(chr(0x4E00 + rng.randrange(20000)) for _ in range(n))
-    rows = [(i, f"{fill(30)}\n{notice}\n{fill(30)}\n{short}\n{fill(30)}") for i in range(3)]
-    rows += [(5, other(9) + "。" + han + "。" + other(9)), (6, other(30) + han[:20] + "，" + han[20:] + "ab " + other(9)), (7, other(50) + han[:24] + other(30))]
+    fill = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    rows, copies = [], 60
+    for i in range(copies):  # 120 words inside long sentences, wrapped otherwise, cut anywhere
+        passage = fill(120)
+        rows.append((i, " ".join(fill(9) + passage + fill(7)) + "."))
+        rows.append((1000 + i, " ".join(fill(rng.randrange(40))) + "\n" + "\n".join(", ".join(passage[k:k + 7]).upper() for k in range(0, 120, 7)) + " " + " ".join(fill(30))))
     found = repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
-    got = sorted((r.doc_id, dict(rows)[r.doc_id][r.start:r.end], r.n_words, r.keep_doc_id) for r in found)
-    assert got == [(1, notice + "\n", 20, 0), (2, notice + "\n", 20, 0), (6, han[:20] + "，" + han[20:], 40, 5)]
-    assert [u[2] for u in units(han[:7] + "。" + han[7:12] + "！end")] == [7, 5, 1]
-
-
-def test_repeated_rows_and_rows_without_id(spark):
-    text = " ".join(f"w{i}" for i in range(30)) + "."
-    docs = spark.createDataFrame([(1, text), (1, text), (None, text), (2, text)], "doc_id long, text string")
-    assert sorted((r.doc_id, r.keep_doc_id, r.n_words) for r in repeated_passages(docs).collect()) == [(1, 1, 30), (2, 1, 30)]
+    assert {r.doc_id for r in found} == {1000 + i for i in range(copies)}
+    assert sum(r.n_words for r in found) > 0.7 * 120 * copies
 
 
 # ---- quality scores

@@ -1,19 +1,16 @@
-"""Substring dedup by hashing lines, sentences and word windows: repeated passages are removed, the earliest ranked occurrence stays.
-
-1.  Every text is cut into units: its lines, and the sentences within them. A unit is normalised (words of
-    letters and digits, ASCII in lower case) and hashed to 128 bits; its original offsets are kept.
-2.  Digests are grouped over the whole corpus; the earliest occurrence, by document id and then place, is
-    the one to keep. Counting is pre-aggregated in each task, so a unit in a third of all
-    documents costs one row a task.
-3.  A Bloom filter of the digests that occur twice or more passes the units that may repeat; only they
-    are shuffled to the exact join. Neighbouring repeated units of a document form a run, and
-    runs of at least ``min_words`` words are removed, and so are whole lines of ``LINE_WORDS`` words or more.
-    Shorter ones (a stock phrase, a heading) stay. A Han or kana character counts as a word.
-4.  So that a passage is found wherever it starts and ends, all windows of ``min_words`` words are compared as well.
-    The anchor of a window is the least hash of the half as long windows in it. Following windows with one
-    anchor form a stretch. Anchors of one stretch only cannot repeat and are left out. Stretches that repeat
-    as a whole are found like units; single windows are only compared where different stretches have the same anchor
-    (the ends of a passage), and only those of the earliest of equal stretches.
+"""Substring dedup by hashing units of text: repeated passages are removed, the earliest ranked occurrence stays.
+
+1.  Every text is cut into units: sentences, and long sentences further at content-defined breaks (after a word
+    whose hash is 0 modulo ``break_every``), so that a passage falls into the same units again shortly after its
+    start wherever it begins and however it is wrapped. Whole lines of ``line_words`` words or more are units too.
+    A unit is normalised (words of letters and digits, ASCII in lower case; a Han or kana character is a word) and
+    hashed to 128 bits; its original offsets are kept.
+2.  Digests are grouped over the whole corpus. Counting is pre-aggregated in each task, so a unit in a third
+    of all documents costs one row a task. A Bloom filter of the digests that occur twice or more passes the units
+    that may repeat; only they are shuffled to the exact grouping, which ranks occurrences by document id (missing
+    ids last) and place and keeps the first.
+3.  Neighbouring repeated units of a text form a run. Runs of at least ``min_words`` words are removed, and so are
+    repeated whole lines. Shorter ones (a stock phrase, a heading) stay.
 """
 
 from __future__ import annotations
@@ -22,26 +19,28 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillstar.llm.bloom import BloomFilter
-from tillstar.llm.shingles import FOLD, folded_words, long_lists, mix, slices, word_hashes
+from tillstar.llm.shingles import FOLD, folded_words, mix, slices, word_hashes
 from tillstar.llm.storage import materialise
 
 MIN_WORDS = 25
-
 LINE_WORDS = 10  # whole lines from here on go when they repeat; shorter ones are mostly headings, greetings and list items
+BREAK_EVERY = 8
 
-_BREAK = re.compile(r"[.!?]+(?=\s)|[。！？｡]+|\n")
+_STOP = re.compile(r"[.!?](?=[ \t\n\v\f\r])|[。！？｡]")
+_WIDE_STOP = re.compile("[。！？｡]")
+_NEWLINE = re.compile("\n")
 #: Han and kana are written without spaces: each such character is a word. Their punctuation parts words.
 _WIDE_WORD = "々-〇ぁ-ゟァ-ヺー-ヿ㐀-䶿一-鿿豈-﫿ｦ-ﾟ\U00020000-\U0003ffff"
 _WIDE_GAP = "\u3000-〄〈-〿・！-／：-＠［-｀｛-･"
 _WIDE = re.compile(f"[{_WIDE_WORD}{_WIDE_GAP}]")
 _WIDE_TOKEN = re.compile(f"[{_WIDE_WORD}]|[^\x00-/:-@\\[-`{{-\x7f{_WIDE_WORD}{_WIDE_GAP}]+")
-_BASE = 0x9E3779B97F4A7C15  # odd, so its powers can be divided out modulo 2 ** 64
-_UNIT, _LINE, _STRETCH, _WINDOW = range(4)
+_STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
 def passage_words(text: str) -> list[bytes]:
@@ -51,28 +50,6 @@ def passage_words(text: str) -> list[bytes]:
     return [found.group().encode().translate(FOLD) for found in _WIDE_TOKEN.finditer(text)]
 
 
-def units(text: str) -> list[tuple[int, int, int, bytes]]:
-    """(start, end, words, digest) of every unit that has a word; offsets in characters of the original text."""
-    out, start = [], 0
-    for end in (*(found.end() for found in _BREAK.finditer(text)), len(text)):
-        words = passage_words(text[start:end])
-        if words:
-            out.append((start, end, len(words), xxhash.xxh3_128_digest(b" ".join(words))))
-        start = end
-    return out
-
-
-def lines(text: str, size: int) -> list[tuple[int, int, int, int, bytes]]:
-    """(start, end, words before it, words, digest) of every whole line of ``LINE_WORDS`` words or more but less than ``size``."""
-    out, start, before = [], 0, 0
-    for line in text.split("\n"):
-        words = passage_words(line)
-        if LINE_WORDS <= len(words) < size:
-            out.append((start, min(start + len(line) + 1, len(text)), before, len(words), xxhash.xxh3_128_digest(b" ".join(words), 1)))
-        start, before = start + len(line) + 1, before + len(words)
-    return out
-
-
 def _word_spans(text: str) -> tuple[np.ndarray, np.ndarray]:
     """Start and end of every word of ``passage_words`` in characters of the original text."""
     if not text.isascii() and _WIDE.search(text):
@@ -89,190 +66,142 @@ def _word_spans(text: str) -> tuple[np.ndarray, np.ndarray]:
     return edges[::2], edges[1::2]
 
 
-def _rolling(hashes: np.ndarray, size: int) -> np.ndarray:
-    """Mixed Karp-Rabin hash of every window of ``size`` word hashes."""
-    powers, inverse = (np.full(len(hashes) + 1, b, np.uint64) for b in (_BASE, pow(_BASE, -1, 1 << 64)))
-    powers[0] = inverse[0] = 1
-    powers, inverse = np.cumprod(powers), np.cumprod(inverse)
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * powers[:-1])])
-    return mix((sums[size:] - sums[:-size]) * inverse[:len(hashes) - size + 1])
-
-
-def stretches(words: list[bytes], size: int) -> tuple[np.ndarray, ...]:
-    """Hashes of all windows of ``size`` words; and of every stretch its anchor, hash, first window and number of windows.
-
-    One place of an anchor reaches ``size - size // 2 + 1`` windows; longer stretches (the anchor again and again) are
-    cut there, so windows that repeat within one stretch overlap.
-    """
-    if len(words) < size:
-        return (np.empty(0, np.uint64),) * 5
-    hashes, short = word_hashes(words), max(1, size // 2)
-    found, anchors, span, wide = _rolling(hashes, size), _rolling(hashes, short), 1, size - short + 1
-    while 2 * span <= wide:
-        anchors = np.minimum(anchors[:-span], anchors[span:])
-        span *= 2
-    if span < wide:
-        anchors = np.minimum(anchors[:span - wide], anchors[wide - span:])
-    changes = np.concatenate([[0], np.flatnonzero(anchors[1:] != anchors[:-1]) + 1])
-    since = np.arange(len(found)) - np.repeat(changes, np.diff(changes, append=len(found)))
-    first = np.flatnonzero(since % wide == 0)
-    count = np.diff(first, append=len(found)).astype(np.uint64)
-    return found, anchors[first], mix(found[first] * np.uint64(_BASE) + found[np.append(first[1:], len(found)) - 1] + count), first.astype(np.uint64), count
-
-
-def _anchors(docs: DataFrame, size: int) -> DataFrame:
-    """Anchors of two stretches or more, and whether these differ."""
+def _digests(hashes: np.ndarray, first: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """128 bits over (place, word) of every range of words."""
+    if not len(first):
+        return np.empty(0, np.uint64), np.empty(0, np.uint64)
+    place = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+    words = hashes[np.repeat(first, count) + place]
+    keys = mix((place + 1).astype(np.uint64) * _STEP)
+    at = np.cumsum(count) - count
+    return tuple(mix(np.add.reduceat(mix(x), at)) for x in (words + keys, words * _STEP ^ mix(keys)))
+
+
+_STOPS = np.isin(np.arange(256), list(b".!?"))
+_SPACES = np.isin(np.arange(256), list(b" \t\n\v\f\r"))
+
+
+def _all_hashes(texts: list[str]) -> list[np.ndarray]:
+    """The hashes of the words of each text. Arrow numbers the words of all texts, each distinct word is hashed once."""
+    wide = [bool(not text.isascii() and _WIDE.search(text)) for text in texts]
+    folded = pa.array([b"" if w else text.encode().translate(FOLD) for text, w in zip(texts, wide)], pa.binary()).cast(pa.string())
+    split = pc.ascii_split_whitespace(folded)
+    words = split.flatten()
+    real = pc.greater(pc.binary_length(words), 0).to_numpy(zero_copy_only=False)
+    ends = np.append(0, np.cumsum(real))[np.append(0, np.cumsum(split.value_lengths().to_numpy(zero_copy_only=False)))]
+    numbered = words.filter(pa.array(real)).dictionary_encode()
+    hashes = np.array([xxhash.xxh3_64_intdigest(w) for w in numbered.dictionary.cast(pa.binary()).to_pylist()], np.uint64)
+    hashes = hashes[numbered.indices.to_numpy(zero_copy_only=False)] if len(hashes) else hashes
+    return [word_hashes(passage_words(text)) if w else hashes[low:high] for text, w, low, high in zip(texts, wide, ends, ends[1:])]
+
+
+def _breaks(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Places (in characters) right after sentence ends and right after newlines."""
+    if not text.isascii() and (_WIDE.search(text) or _WIDE_STOP.search(text)):
+        return (np.array([f.end() for f in found.finditer(text)], np.int64) for found in (_STOP, _NEWLINE))
+    raw = np.frombuffer(text.encode(), np.uint8)
+    stops = np.flatnonzero(_STOPS[raw[:-1]] & _SPACES[raw[1:]]) + 1
+    lines = np.flatnonzero(raw == 10) + 1
+    if text.isascii():
+        return stops, lines
+    characters = np.append(0, np.cumsum((raw & 0xC0) != 0x80))
+    return characters[stops], characters[lines]
+
+
+def units(text: str, hashes: np.ndarray, line_words: int = LINE_WORDS, break_every: int = BREAK_EVERY) -> list[np.ndarray]:
+    """Columns of the sentence units in order and then of the whole lines: start, end (in characters), words before it,
+    words, whether it is a line, and the halves of the digest. ``hashes``: those of the text's words. A text without words has none."""
+    begin, _ = _word_spans(text)
+    n = len(hashes)
+    stops, lines = _breaks(text)
+    opens = np.zeros(n + 1, bool)
+    opens[0] = opens[np.searchsorted(begin, stops)] = True
+    opens[1:] |= mix(hashes) % np.uint64(break_every) == 0
+    first = np.flatnonzero(opens[:n])
+    lines = np.concatenate([[0], lines, [len(text)]])
+    edges = np.searchsorted(begin, lines)
+    whole = np.flatnonzero(np.diff(edges) >= max(1, line_words))
+    firsts = np.concatenate([first, edges[whole]])
+    counts = np.concatenate([np.diff(first, append=n), np.diff(edges)[whole]])
+    bounds = np.append(begin, len(text))
+    starts, ends = bounds[firsts], bounds[firsts + counts]
+    starts[len(first):], ends[len(first):] = lines[whole], lines[whole + 1]
+    return [starts, ends, firsts, counts, np.arange(len(firsts)) >= len(first), *_digests(hashes, firsts, counts)]
+
+
+def _halves(docs: DataFrame, line_words: int, break_every: int) -> DataFrame:
+    """One half of the digest of every unit: enough to find what may repeat."""
     def run(batches):
         for batch in slices(batches, 1):
-            found = [stretches(passage_words(text or ""), size)[1:3] for text in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).view(np.int64)) for x in zip(*found)], names=["anchor", "stretch"])
-
-    counted = docs.mapInArrow(run, "anchor long, stretch long").groupBy("anchor").agg(
-        F.count("*").alias("n"), F.min("stretch").alias("low"), F.max("stretch").alias("high"))
-    return materialise(counted.filter("n > 1").select("anchor", (F.col("low") < F.col("high")).alias("differ")), "anchors", narrow=True, tidy=True)
-
+            texts = [text for text in batch.column(1).to_pylist() if text]
+            found = [units(text, hashes, line_words, break_every)[5] for text, hashes in zip(texts, _all_hashes(texts))]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.empty(0, np.uint64), *found]).view(np.int64))], names=["d1"])
 
-def _repeats(values: np.ndarray) -> np.ndarray:
-    """Which of the values occur more than once."""
-    _, back, n = np.unique(values, return_inverse=True, return_counts=True)
-    return n[back] > 1
+    return docs.select("row", "text").mapInArrow(run, "d1 long")
 
 
-_UNIT_ARRAYS = ("starts", "ends", "befores", "words", "alone", "d1", "d2")
-_STRETCH_ARRAYS = ("anchor", "stretch", "before", "count", "start", "end")
+HIT = "id long, row long, place int, starts int, ends int, befores int, words int, alone boolean, d1 long, d2 long"
 
 
-def _unit_rows(docs: DataFrame, repeated: BloomFilter, differing: BloomFilter, size: int) -> DataFrame:
-    """id and, per unit in order and then per whole line: starts, ends, words before it, words, 1 for a line, and the two halves of the digest (arrays). Per stretch that
-    may repeat: anchor, hash, words before it, windows, start, end, and, where single windows are compared, their hashes and offsets
-    (from the start of the stretch; start in the upper, end in the lower half)."""
+def _hits(docs: DataFrame, often: BloomFilter, line_words: int, break_every: int) -> DataFrame:
+    """The units that may repeat."""
     def run(batches):
-        for batch in slices(batches, 1):
-            columns, hashes, offsets, lengths = [[] for _ in (*_UNIT_ARRAYS, *_STRETCH_ARRAYS)], [], [], []
-            for text in batch.column(1).to_pylist():
-                found, whole = (units(text), lines(text, size)) if text else ([], [])
-                halves = np.frombuffer(b"".join(u[-1] for u in (*found, *whole)), np.uint64).reshape(-1, 2)
-                begin, end, words = (np.array([u[k] for u in found], np.uint64) for k in range(3))
-                rows = [begin, end, np.cumsum(words) - words, words]
-                rows = [np.concatenate([x, np.array([line[k] for line in whole], np.uint64)]) for k, x in enumerate(rows)]
-                rows += [np.arange(len(halves)) >= len(found), halves[:, 0], halves[:, 1]]
-                rows[4] = rows[4].astype(np.uint64)
-                windows, anchor, stretch, first, count = stretches(passage_words(text or ""), size)
-                at = np.sort(repeated.probe(anchor))
-                if len(at):
-                    begin, end = _word_spans(text)
-                    apart = _repeats(stretch)
-                    apart[differing.probe(anchor)] = True
-                    anchor, stretch, first, count, apart = (x[at] for x in (anchor, stretch, first, count, apart))
-                    a, n = first.astype(np.int64), count.astype(np.int64)
-                    rows += [anchor, stretch, first, count, begin[a].astype(np.uint64), end[a + n + size - 2].astype(np.uint64)]
-                    n[~apart] = 0
-                    base = np.repeat(a, n)
-                    single = base + np.arange(len(base)) - np.repeat(np.cumsum(n) - n, n)
-                    hashes.append(windows[single])
-                    offsets.append((begin[single] - begin[base] << 32) + end[single + size - 1] - begin[base])
-                    lengths.append(n)
-                else:
-                    rows += [np.empty(0, np.uint64)] * len(_STRETCH_ARRAYS)
-                for column, values in zip(columns, rows):
-                    column.append(values)
-            outer = pa.array(np.cumsum([0, *map(len, columns[-1])]), pa.int32())
-            inner = pa.array(np.cumsum(np.concatenate([[0], *lengths])), pa.int32())
-            flat = (np.concatenate([np.empty(0, np.int64), *(x.view(np.int64) for x in xs)]) for xs in (hashes, offsets))
-            lists = [pa.ListArray.from_arrays(outer, pa.ListArray.from_arrays(inner, pa.array(x))) for x in flat]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *map(long_lists, columns), *lists],
-                                             names=["id", *_UNIT_ARRAYS, *_STRETCH_ARRAYS, "hashes", "offsets"])
-
-    arrays = ", ".join(f"{n} array<long>" for n in (*_UNIT_ARRAYS, *_STRETCH_ARRAYS))
-    return docs.mapInArrow(run, f"id long, {arrays}, hashes array<array<long>>, offsets array<array<long>>")
-
-
-def _repeated_runs(rows: DataFrame, min_words: int) -> DataFrame:
-    """Runs of repeated units with at least ``min_words`` words, and repeated whole lines."""
-    flat = rows.select("id", "row", F.posexplode(F.arrays_zip(*_UNIT_ARRAYS)).alias("place", "u")).select("id", "row", "place", "u.*")
-
-    # The earliest occurrence by id; min of longs keeps the aggregation in hash maps.
-    often = materialise(flat.select("d1", "d2", "id").groupBy("d1", "d2").agg(F.min("id").alias("keep"), F.count("*").alias("n"))
-                        .filter("n > 1").select("d1", "d2", "keep"), "often", tidy=True)
-    hits = materialise(flat.filter(BloomFilter(often, "d1").column(F.col("d1"))).join(often, ["d1", "d2"]), "hits", narrow=True, tidy=True)
-    # Within the keeping document the first place stays.
-    first = hits.filter("id = keep").groupBy("d1", "d2").agg(F.min(F.struct("row", "place")).alias("at"))
-    first = materialise(first.select(F.col("at.row").alias("row"), F.col("at.place").alias("place"), F.lit(True).alias("first")), "first", narrow=True, tidy=True)
-    again = hits.join(first, ["row", "place"], "left").filter("first is null")
+        for batch in slices(batches, 2):
+            parts = []
+            texts = [text or "" for text in batch.column(2).to_pylist()]
+            for doc, row, text, hashes in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), texts, _all_hashes(texts)):
+                if len(hashes):
+                    found = units(text, hashes, line_words, break_every)
+                    at = np.sort(often.probe(found[5]))
+                    if len(at):
+                        parts.append((np.full(len(at), doc or 0), np.full(len(at), doc is None), np.full(len(at), row), at, *(c[at] for c in found)))
+            if parts:
+                ids, none, *columns = (np.concatenate(c) for c in zip(*parts))
+                columns = [c.view(np.int64) if c.dtype == np.uint64 else c for c in columns]
+                names = [c.split()[0] for c in HIT.split(", ")]
+                arrays = [pa.array(c).cast(t) for c, t in zip(columns, (pa.int64(), *(pa.int32(),) * 5, pa.bool_(), pa.int64(), pa.int64()))]
+                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64(), mask=none), *arrays], names=names)
+
+    return docs.mapInArrow(run, HIT)
+
+
+def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS,
+                      line_words: int = LINE_WORDS, break_every: int = BREAK_EVERY) -> DataFrame:
+    """One row per removed passage: id, start, end (characters of the original text), n_units (sentence units in it), n_words,
+    and the id that keeps its first unit (``keep_<id>``).
+
+    Null, empty and wordless texts have no units. Of repeated rows (the same id and text) all occurrences but one
+    are removed, told apart by their place. Rows without id rank last, their passages have a null id. Texts are
+    taken in slices of bounded size, a very long one alone. Extra columns are ignored; an empty table gives an empty result.
+    """
+    docs = docs.select(F.col(id_col).cast("long").alias("id"), F.monotonically_increasing_id().alias("row"), F.col(text_col).cast("string").alias("text"))
+    often = _halves(docs, line_words, break_every).groupBy("d1").agg(F.count("*").alias("n")).filter("n > 1").select("d1")
+    often = BloomFilter(materialise(often, "often", tidy=True), "d1")
+    hits = materialise(_hits(docs, often, line_words, break_every), "hits")
+    rank = F.struct(F.col("id").isNull().alias("none"), "id", "row", "place")
+    first = hits.groupBy("d1", "d2", "alone").agg(F.min(rank).alias("first"), F.count("*").alias("n")).filter("n > 1")
+    first = materialise(first.select("d1", "d2", "alone", "first"), "first", tidy=True)
+    again = hits.join(first, ["d1", "d2", "alone"]).filter("row <> first.row or place <> first.place").withColumn("keep", F.col("first.id"))
+    again = materialise(again.drop("first", "d1", "d2"), "again", tidy=True)
 
     in_row = Window.partitionBy("row").orderBy("place")
-    runs = (again.filter("alone = 0").withColumn("run", F.col("place") - F.row_number().over(in_row))
+    runs = (again.filter("not alone").withColumn("run", F.col("place") - F.row_number().over(in_row))
             .groupBy("row", "run").agg(F.min("id").alias("id"), F.min("starts").alias("start"), F.max("ends").alias("end"), F.min("befores").alias("before"),
                                        F.count("*").alias("n_units"), F.sum("words").alias("n_words"), F.min_by("keep", "place").alias("keep")))
-    runs = (runs.filter(F.col("n_words") >= min_words)
-            .select("id", "row", "before", (F.col("before") + F.col("n_words")).alias("after"), "start", "end", "n_units", "keep", F.lit(_UNIT).alias("kind")))
-    return runs.unionByName(again.filter("alone = 1").select(
-        "id", "row", F.col("befores").alias("before"), (F.col("befores") + F.col("words")).alias("after"), F.col("starts").alias("start"),
-        F.col("ends").alias("end"), F.lit(0).cast("long").alias("n_units"), "keep", F.lit(_LINE).alias("kind")))
-
-
-def _repeated_windows(rows: DataFrame, size: int) -> DataFrame:
-    """Stretches and single windows that occurred before, without overlap."""
-    zipped = F.arrays_zip(*_STRETCH_ARRAYS, "hashes", "offsets")
-    flat = rows.select("id", "row", F.explode(zipped).alias("s")).select("id", "row", "s.*")
-    keys = ["anchor", "stretch"]
-    often = materialise(flat.select(*keys, "id").groupBy(*keys).agg(F.min("id").alias("keep"), F.count("*").alias("n"))
-                        .filter("n > 1").select(*keys, "keep"), "often-stretches", narrow=True, tidy=True)
-    may = BloomFilter(often, "stretch").column(F.col("stretch"))
-    hits = materialise(flat.filter(may).join(often, keys, "left"), "hit-stretches", narrow=True, tidy=True)
-    # In the keeping document the first place stays; a stretch that stands there once is the first.
-    own = hits.filter("id = keep")
-    first = own.groupBy(*keys).agg(F.min(F.struct("row", "before")).alias("first"), F.count("*").alias("n")).filter("n > 1").select(*keys, "first")
-    first = materialise(first, "first-stretches", narrow=True, tidy=True)
-    own = own.join(first, keys, "left").withColumn("later", F.expr(f"first is not null and (row <> first.row or before >= first.before + {size})")).drop("first")
-    later = hits.filter("id <> keep").unionByName(own.filter("later").drop("later"))
-
-    # Single windows of the stretches that are the earliest of their kind; by hash alone first, as few repeat.
-    earliest = flat.filter(~may).withColumn("keep", F.lit(None).cast("long")).unionByName(hits.filter("keep is null")).unionByName(own.filter("not later").drop("later"))
-    earliest = earliest.filter("size(hashes) > 0")
-    twice = materialise(earliest.select(F.explode("hashes").alias("hash")).groupBy("hash").agg(F.count("*").alias("n")).filter("n > 1").select("hash"), "twice", narrow=True, tidy=True)
-    single = earliest.select("id", "row", "anchor", "before", "start", F.posexplode(F.arrays_zip("hashes", "offsets")).alias("place", "w"))
-    single = single.select("id", "row", "anchor", F.col("w.hashes").alias("hash"), (F.col("before") + F.col("place")).alias("before"),
-                           (F.col("start") + F.shiftright("w.offsets", 32)).alias("start"), (F.col("start") + F.col("w.offsets").bitwiseAND(F.lit(0xFFFFFFFF))).alias("end"))
-    single = materialise(single.filter(BloomFilter(twice, "hash").column(F.col("hash"))), "single-windows", tidy=True)
-    top = (single.groupBy("anchor", "hash").agg(F.min(F.struct("id", "row", "before")).alias("top"), F.count("*").alias("n"))
-           .filter("n > 1").select("anchor", "hash", "top"))
-    top = materialise(top, "first-windows", narrow=True, tidy=True)
-    single = (single.join(top, ["anchor", "hash"]).filter(f"row <> top.row or before >= top.before + {size}")
-              .select("id", "row", "before", (F.col("before") + size).alias("after"), "start", "end", F.lit(0).cast("long").alias("n_units"),
-                      F.col("top.id").alias("keep"), F.lit(_WINDOW).alias("kind")))
-    # The first window of a stretch may stand in an earlier document than the stretch.
-    span = ("id", "row", "before", (F.col("before") + F.col("count") + (size - 1)).alias("after"), "start", "end", F.lit(0).cast("long").alias("n_units"))
-    whole = later.filter("size(hashes) = 0").select(*span, "keep", F.lit(_STRETCH).alias("kind"))
-    mixed = later.filter("size(hashes) > 0").withColumn("hash", F.col("hashes")[0]).drop("hashes", "offsets").join(top, ["anchor", "hash"], "left")
-    return single.unionByName(whole).unionByName(mixed.select(*span, F.coalesce("top.id", "keep").alias("keep"), F.lit(_STRETCH).alias("kind")))
-
-
-def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
-    """One row per removed passage: id, start, end (characters of the original text), n_units (repeated units in
-    runs of ``min_words`` words), n_words, and the id that keeps its first unit or window (``keep_<id>``).
-
-    Whole lines of ``LINE_WORDS`` words or more go by themselves; lines and windows count as no unit.
-    Every word of a window of ``min_words`` words that occurred before is in a passage, wherever the window begins
-    and however it is wrapped or punctuated; a window that overlaps its own first occurrence does not count. Null, empty and
-    wordless texts have no units. Of repeated rows (the same id and text) all occurrences but one
-    are removed, told apart by their place. Rows without id are left out. Extra columns are ignored; an empty
-    table gives an empty result.
-    """
-    docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).filter("id is not null")
-    anchors = _anchors(docs, min_words)
-    found = _unit_rows(docs, BloomFilter(anchors, "anchor"), BloomFilter(anchors.filter("differ"), "anchor"), min_words)
-    rows = materialise(found.filter("size(d1) > 0").withColumn("row", F.monotonically_increasing_id()), "units")
-    spans = _repeated_runs(rows, min_words).unionByName(_repeated_windows(rows, min_words))
+    spans = runs.filter(F.col("n_words") >= min_words).select(
+        "id", "row", "before", (F.col("before") + F.col("n_words")).alias("after"), "start", "end", "n_units", "keep", F.lit(0).alias("kind"))
+    spans = spans.unionByName(again.filter("alone").select(
+        "id", "row", F.col("befores").alias("before"), (F.col("befores") + F.col("words")).cast("long").alias("after"), F.col("starts").alias("start"),
+        F.col("ends").alias("end"), F.lit(0).cast("long").alias("n_units"), "keep", F.lit(1).alias("kind")))
 
     # Spans that overlap or touch are one passage.
-    ordered = Window.partitionBy("row").orderBy("before", "kind")
+    ordered = Window.partitionBy("row").orderBy("before", "kind", "after")
     reached = F.max("after").over(ordered.rowsBetween(Window.unboundedPreceding, -1))
     spans = spans.withColumn("opens", F.coalesce(F.col("before") > reached, F.lit(True)).cast("int"))
     spans = spans.withColumn("passage", F.sum("opens").over(ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     out = spans.groupBy("row", "passage").agg(
-        F.min("id").alias("id"), F.min("start").alias("start"), F.max("end").alias("end"), F.sum("n_units").alias("n_units"),
-        (F.max("after") - F.min("before")).alias("n_words"), F.min_by("keep", F.struct("before", "kind")).alias("keep"))
+        F.min("id").alias("id"), F.min("start").cast("long").alias("start"), F.max("end").cast("long").alias("end"), F.sum("n_units").alias("n_units"),
+        (F.max("after") - F.min("before")).alias("n_words"), F.min_by("keep", F.struct("before", "kind", "after")).alias("keep"))
     return out.select(F.col("id").alias(id_col), "start", "end", "n_units", "n_words", F.col("keep").alias(f"keep_{id_col}"))
 
 
