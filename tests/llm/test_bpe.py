@@ -22,9 +22,9 @@ def direct(text):
 
 
 @settings(max_examples=400, deadline=None)
-@given(st.lists(PIECES, max_size=60).map("".join), st.integers(1, 9), st.integers(1, 4))
-def test_tree_equals_library_wherever_it_cuts(text, leaf, window):
-    assert TreeEncoder(PATH, leaf, window).encode(text).ids.tolist() == direct(text)
+@given(st.lists(st.lists(PIECES, max_size=60).map("".join), max_size=3), st.integers(1, 20), st.integers(1, 4), st.integers(1, 6))
+def test_tree_equals_library_wherever_it_cuts(texts, leaf, window, edge):
+    assert [e.ids.tolist() for e in TreeEncoder(PATH, leaf, window, edge).encode(texts)] == [direct(t) for t in texts]
 
 
 @pytest.mark.parametrize("text", [
@@ -32,7 +32,7 @@ def test_tree_equals_library_wherever_it_cuts(text, leaf, window):
     "".join(random.Random(5).choices("abcdefgh", k=6000)), "".join(random.Random(6).choices("the in'sre!", k=6000))])
 def test_unsplit_text_of_any_length(text):
     tree = TreeEncoder(PATH, 64, 1)
-    assert tree.encode(text).ids.tolist() == direct(text)
+    assert tree.encode([text])[0].ids.tolist() == direct(text)
     assert tree.joins > 0
 
 
@@ -44,6 +44,8 @@ ROWS = [(1, None), (2, ""), (3, "The Cat's <|endoftext|> naïve"), (None, "no id
 def test_rows_and_segments(spark, leaf, segment):
     docs = spark.createDataFrame([(i, t, 1, "d") for i, t in ROWS], "doc_id long, text string, ids int, decoded string")
     out = decode_ids(encode_texts(docs, PATH, leaf_chars=leaf, segment_chars=segment), PATH).collect()
+    once = encode_texts(docs, PATH, leaf_chars=leaf, segment_chars=segment, decoded=True).collect()
+    assert sorted(map(str, once)) == sorted(map(str, out))
     want = [(i, direct(t), LIBRARY.decode(direct(t), skip_special_tokens=False)) for i, t in ROWS]
     assert sorted(((r.doc_id, r.ids, r.decoded) for r in out), key=str) == sorted(want, key=str)
 

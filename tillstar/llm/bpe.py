@@ -16,6 +16,7 @@ the join of their encodings is the upper part of the same tree.
 
 from __future__ import annotations
 
+import re
 import unicodedata
 from dataclasses import dataclass
 
@@ -27,17 +28,20 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tillstar.llm.shingles import slices
-from tillstar.llm.tokens import RUN_BYTES, tokenizer, word_encoder
+from tillstar.llm.tokens import RUN_BYTES, SPACES, tokenizer, word_encoder
 
-LEAF_CHARS = 8_192
+LEAF_CHARS = 4_096
+EDGE_CHARS = 128
 SEGMENT_CHARS = 1 << 20
 WINDOW_TOKENS = 4
 DECODED_IDS = 1 << 20
+SPACE = re.compile(f"[{SPACES}]")
 
 
 @dataclass
 class Encoded:
-    """The tokens of ``text[start:stop]`` on its own: ids and the places (in the whole text) where they begin and end."""
+    """The tokens of ``text[start:stop]`` on its own: ids and the places (in the whole text) where they begin and end.
+    Tokens far from the cuts may lack their places (-1)."""
     start: int
     stop: int
     ids: np.ndarray
@@ -49,10 +53,13 @@ class Encoded:
 
 
 class TreeEncoder:
-    """Encodes with the library, long texts in a tree of halves (see the module)."""
+    """Encodes long texts in a tree of halves (see the module). Of a leaf, the ``edge_chars`` at either side up to white space go to the
+    library with the tokens' places; what lies between is encoded by its words. A leaf without such white space
+    goes to the library whole."""
 
-    def __init__(self, path: str, leaf_chars: int = LEAF_CHARS, window: int = WINDOW_TOKENS):
-        self.library, self.leaf_chars, self.window = tokenizer(path), max(1, leaf_chars), max(1, window)
+    def __init__(self, path: str, leaf_chars: int = LEAF_CHARS, window: int = WINDOW_TOKENS, edge_chars: int = EDGE_CHARS):
+        self.library, self.words, self.edge_chars = tokenizer(path), word_encoder(path), max(1, edge_chars)
+        self.leaf_chars, self.window = max(1, leaf_chars), max(1, window)
         self.specials = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.joins = self.grown = 0
 
@@ -76,6 +83,12 @@ class TreeEncoder:
         width = self.window
         while True:
             low, high = max(0, len(left.ids) - width), min(len(right.ids), width)
+            if low and left.begins[low] < 0:  # the window has outgrown the edge
+                left = self.direct(text, left.start, left.stop)
+                continue
+            if (right.begins[:high] < 0).any():
+                right = self.direct(text, right.start, right.stop)
+                continue
             whole_left, whole_right = low == 0, high == len(right.ids)
             start = left.start if whole_left else int(left.begins[low])
             stop = right.stop if whole_right else int(right.ends[high - 1])
@@ -102,13 +115,50 @@ class TreeEncoder:
                 return i, j
         return None
 
-    def encode(self, text: str, start: int = 0, stop: int | None = None) -> Encoded:
-        """The encoding of ``text[start:stop]``: halves first, then their join."""
-        stop = len(text) if stop is None else stop
+    def leaves(self, start: int, stop: int) -> list[tuple[int, int]]:
         if stop - start <= self.leaf_chars:
-            return self.direct(text, start, stop)
+            return [(start, stop)]
         half = (start + stop) // 2
-        return self.joined(text, self.encode(text, start, half), self.encode(text, half, stop))
+        return self.leaves(start, half) + self.leaves(half, stop)
+
+    def _inner(self, text: str, start: int, stop: int) -> tuple[int, int] | None:
+        """The white space nearest to both edges of a leaf, if there are two such places."""
+        first = SPACE.search(text, start + self.edge_chars, max(start, stop - self.edge_chars))
+        last = first and max(text.rfind(c, first.start() + 1, stop - self.edge_chars) for c in SPACES)
+        return (first.start(), last) if first and last > 0 else None
+
+    def _encode_leaves(self, texts: list[str], leaves: list[list[tuple[int, int]]]) -> list[list[Encoded]]:
+        """The leaves of several texts, with one call of the library for all edges and one run of words for all that lies between."""
+        spans = [(t, at, self._inner(text, *at)) for t, text in enumerate(texts) for at in leaves[t]]
+        edges = [(t, a, b) for t, (start, stop), inner in spans for a, b in ([(start, inner[0]), (inner[1], stop)] if inner else [(start, stop)])]
+        found = iter(self.library.encode_batch([texts[t][a:b] for t, a, b in edges], add_special_tokens=False))
+        between = self.words.encode(pa.array([texts[t][inner[0]:inner[1]] for t, _, inner in spans if inner], pa.string()))
+
+        def edge(at: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            encoding = next(found)
+            places = np.array(encoding.offsets, np.int64).reshape(-1, 2) + at
+            return np.array(encoding.ids, np.uint32), places[:, 0], places[:, 1]
+
+        out = [[] for _ in texts]
+        for t, (start, stop), inner in spans:
+            parts = [edge(start)]
+            if inner:
+                ids = next(between)
+                unknown = np.full(len(ids), -1, np.int64)
+                parts += (ids, unknown, unknown), edge(inner[1])
+            out[t].append(Encoded(start, stop, *(np.concatenate(c) for c in zip(*parts))))
+        return out
+
+    def _joined_leaves(self, text: str, start: int, stop: int, leaves) -> Encoded:
+        if stop - start <= self.leaf_chars:
+            return next(leaves)
+        half = (start + stop) // 2
+        return self.joined(text, self._joined_leaves(text, start, half, leaves), self._joined_leaves(text, half, stop, leaves))
+
+    def encode(self, texts: list[str]) -> list[Encoded]:
+        """The encoding of each text: halves down to the leaves, then their joins."""
+        leaves = self._encode_leaves(texts, [self.leaves(0, len(text)) for text in texts])
+        return [self._joined_leaves(text, 0, len(text), iter(own)) for text, own in zip(texts, leaves)]
 
     def join_all(self, text: str, parts: list[Encoded]) -> Encoded:
         """Neighbouring encodings joined in pairs, level by level."""
@@ -132,8 +182,9 @@ def _encode_texts(path: str, leaf_chars: int):
             texts = batch.column(1).fill_null("")
             long = pc.greater(pc.utf8_length(texts), leaf_chars)
             ids = list(words.encode(pc.if_else(long, "", texts)))
-            for i in np.flatnonzero(long.to_numpy(zero_copy_only=False)).tolist():
-                ids[i] = tree.encode(texts[i].as_py()).ids
+            places = np.flatnonzero(long.to_numpy(zero_copy_only=False)).tolist()
+            for i, found in zip(places, tree.encode(texts.filter(long).to_pylist())):
+                ids[i] = found.ids
             yield pa.RecordBatch.from_arrays([batch.column(0), _lists(ids)], names=["id", "ids"])
 
     return run
@@ -144,7 +195,7 @@ def _encode_segments(path: str, leaf_chars: int):
     def run(batches):
         tree = TreeEncoder(path, leaf_chars)
         for batch in slices(batches, 4, RUN_BYTES):
-            found = [tree.encode(text) for text in batch.column(4).to_pylist()]
+            found = tree.encode(batch.column(4).to_pylist())
             columns = [_lists([getattr(f, c) for f in found]) for c in ("ids", "begins", "ends")]
             yield pa.RecordBatch.from_arrays([*batch.columns, *columns], names=[*batch.schema.names, "ids", "begins", "ends"])
 
@@ -159,7 +210,8 @@ def _join_segments(path: str, leaf_chars: int, segment_chars: int):
         text, parts, at = "".join(texts), [], 0
         for i, piece in enumerate(texts):
             ids, begins, ends = (np.array(table[c][i].values) for c in ("ids", "begins", "ends"))
-            parts.append(Encoded(at, at + len(piece), ids.astype(np.uint32), begins.astype(np.int64) + at, ends.astype(np.int64) + at))
+            begins, ends = (np.where(places < 0, -1, places.astype(np.int64) + at) for places in (begins, ends))
+            parts.append(Encoded(at, at + len(piece), ids.astype(np.uint32), begins, ends))
             at += len(piece)
         ids = TreeEncoder(path, leaf_chars).join_all(text, parts).ids
         return pa.table({"id": table["id"][:1], "copies": table["copies"][:1], "ids": pa.chunked_array([_lists([ids])])})
@@ -168,8 +220,9 @@ def _join_segments(path: str, leaf_chars: int, segment_chars: int):
 
 
 def encode_texts(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
-                 leaf_chars: int = LEAF_CHARS, segment_chars: int = SEGMENT_CHARS) -> DataFrame:
-    """One row per row of ``docs``: id and ids (array<int>), as the library gives them without begin and end tokens.
+                 leaf_chars: int = LEAF_CHARS, segment_chars: int = SEGMENT_CHARS, decoded: bool = False) -> DataFrame:
+    """One row per row of ``docs``: id and ids (array<int>), as the library gives them without begin and end tokens;
+    with ``decoded`` also the text that ``decode_ids`` gives for them, from the same Python workers.
 
     For tokenizers that compose (NFC), fold case, drop white space and split into contractions, runs of letters,
     single digits and runs of other marks, then merge within those. Null texts are empty and have no ids; ids of rows may be null
@@ -178,7 +231,13 @@ def encode_texts(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", t
     """
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     huge = F.coalesce(F.length("text"), F.lit(0)) > segment_chars
-    plain = docs.filter(~huge).mapInArrow(_encode_texts(tokenizer_path, leaf_chars), "id long, ids array<int>")
+    encode, schema = _encode_texts(tokenizer_path, leaf_chars), "id long, ids array<int>"
+    if decoded:
+        _refuse_decoder(tokenizer_path)
+        decode = _decoder(tokenizer_path, ["id", "ids"], 1)
+        plain = docs.filter(~huge).mapInArrow(lambda batches: decode(encode(batches)), f"{schema}, decoded string")
+    else:
+        plain = docs.filter(~huge).mapInArrow(encode, schema)
     texts = docs.filter(huge).groupBy("id", "text").agg(F.count("*").alias("copies")).withColumn("digest", F.sha2("text", 256))
     last = F.floor((F.length("text") - 1) / segment_chars).cast("int")
     parts = texts.withColumn("part", F.explode(F.sequence(F.lit(0), last)))
@@ -188,6 +247,7 @@ def encode_texts(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", t
         "id long, digest string, copies long, part int, text string, ids array<int>, begins array<int>, ends array<int>")
     whole = encoded.groupBy("id", "digest").applyInArrow(_join_segments(tokenizer_path, leaf_chars, segment_chars), "id long, copies long, ids array<int>")
     again = whole.select("id", "ids", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select("id", "ids")
+    again = decode_ids(again, tokenizer_path) if decoded else again
     return plain.unionByName(again).withColumnRenamed("id", id_col)
 
 
@@ -212,11 +272,15 @@ def _decoder(path: str, columns: list[str], ids_at: int):
     return run
 
 
+def _refuse_decoder(path: str) -> None:
+    if tokenizer(path).decoder is not None:
+        raise ValueError("this tokenizer file has a decoder")
+
+
 def decode_ids(encoded: DataFrame, tokenizer_path: str, ids_col: str = "ids") -> DataFrame:
     """The rows of ``encoded`` with ``decoded``: the text that the library's decode gives for their ids, special tokens
     included. Null or empty ids give an empty text. Only for tokenizer files without a decoder (else a ValueError)."""
-    if tokenizer(tokenizer_path).decoder is not None:
-        raise ValueError("this tokenizer file has a decoder")
+    _refuse_decoder(tokenizer_path)
     columns = encoded.columns
     schema = StructType([*encoded.schema.fields, StructField("decoded", StringType())])
     return encoded.mapInArrow(_decoder(tokenizer_path, columns, columns.index(ids_col)), schema)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstar.llm.bpe import decode_ids, encode_texts
+from tillstar.llm.bpe import encode_texts
 from tillstar.llm.conversation_trie import ordered_turns, prefix_trie, rebuilt
 from tillstar.llm.decontaminate import contaminated
 from tillstar.llm.lexical_search import ranked_search
@@ -87,8 +87,7 @@ def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op12_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = public_tokenizers.path(TOKENIZER)
-    out = decode_ids(encode_texts(_table(spark, sf_dir, "documents"), path), path)
+    out = encode_texts(_table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), decoded=True)
     return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                       F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
                       F.sha2("decoded", 256).alias("decoded_sha256"))
