@@ -101,3 +101,34 @@ def test_queries_equal_the_library(spark):
     want = {r.doc_id: len(direct(r.text)) for r in docs}
     assert {r.doc_id: r.n_tokens for r in op7_token_counts(spark, SMALL).collect()} == want
     assert sorted(map(tuple, op10_token_output(spark, SMALL).collect()), key=lambda r: r[1]) == expected(docs)
+
+
+def test_tokenizers_that_keep_case_and_spaces_are_used_on_whole_texts():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    library, texts = Tokenizer.from_file(path), ["The  Cat's\n on it", "", "THE cat", None]
+    encoder = word_encoder(path)
+    want = [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert not encoder.by_words and word_encoder(PATH).by_words
+    assert [ids.tolist() for ids in encoder.encode(pa.array(texts))] == want
+    assert encoder.counts(pa.array(texts)).tolist() == [len(ids) for ids in want]
+
+
+def test_a_full_memory_starts_anew(monkeypatch):
+    import tillstar.llm.tokens as tokens
+    monkeypatch.setattr(tokens, "MAX_CACHED_BYTES", 200)
+    encoder = tokens.WordEncoder(PATH)
+    for text in ["one two three four five six", "seven eight nine ten " * 9, "one two 11 12 13 14 15", "x y z " * 40]:
+        assert [ids.tolist() for ids in encoder.encode(pa.array([text]))] == [direct(text)]
+
+
+def test_rows_of_one_id_are_dealt_over_shards(spark):
+    rows = [(None if i % 2 else 7, f"text number {i}") for i in range(400)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    folder = fresh_path(spark, "t")
+    write_token_files(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), folder, PATH, 1)
+    out = read_documents(spark, folder, with_ids=True).collect()
+    assert sorted((r.doc_id or -1, list(r.ids)) for r in out) == sorted((d or -1, direct(t) + [1]) for d, t in rows)
+    assert sorted(r.start for r in out) == np.cumsum([0] + [r.n_tokens for r in sorted(out, key=lambda r: r.start)])[:-1].tolist()
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    shards = spark.read.parquet(f"{folder}/shards")
+    assert shards.count() >= 4 and shards.agg({"n_ids": "max"}).first()[0] < 0.6 * sum(r.n_tokens for r in out)

@@ -88,11 +88,14 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, end_id:
                       id_col: str = "doc_id", text_col: str = "text", block_ids: int = BLOCK_IDS) -> None:
     """Encode every whole text and write the files of this format to ``folder`` (a path of Spark's file system).
 
-    Null texts are empty (the end id alone); null ids come first; rows of one id are ordered by
-    text. The documents are range-partitioned by id, so each task writes one shard in order.
+    Null texts are empty (the end id alone); null ids come first; rows of one id are ordered by a digest of
+    their text, then the text. The documents are range-partitioned by id and digest, so each task writes one shard in
+    order and rows that share an id, or lack one, are dealt over tasks too. Texts are taken in slices of bounded size, a
+    very long one alone; extra columns are left out; an empty table gives no block.
     """
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    placed = docs.repartitionByRange("id").sortWithinPartitions("id", "text")
+    docs = docs.withColumn("digest", F.xxhash64("text"))
+    placed = docs.repartitionByRange("id", "digest").sortWithinPartitions("id", "digest", "text")
     placed = placed.select(F.spark_partition_id().alias("shard"), "id", "text")
     placed.mapInArrow(_blocks(tokenizer_path, end_id, block_ids), BLOCK_SCHEMA).write.parquet(f"{folder}/blocks")
     spark = docs.sparkSession

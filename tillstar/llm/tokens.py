@@ -11,10 +11,11 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 SPACES = " \t\n\v\f\r"
-MAX_CACHED_WORDS = 2_000_000  # about 40 bytes each
+MAX_CACHED_BYTES = 12 << 20  # of remembered words and their ids; looking words up takes a few times that for a moment
 LIBRARY_BATCH = 5_000
 RUN_BYTES = 8 << 20  # of text whose words are numbered at a time
 SEPARATORS = ("§", "¶", "†", "※", "•", "|")
+PROBE = "the Cat's sat , on it . a1b2 (re)do don't 12 naïve 'll x! ?! zq"
 
 
 @lru_cache(maxsize=4)
@@ -43,18 +44,32 @@ class WordEncoder:
     its words in turn. Words stand between ASCII white space. Arrow numbers the words of a run of
     texts and finds the remembered ones; new words go to the library many at a time, as one text
     with a separator between them: a symbol that is one id and that no word of that text holds.
-    Remembered words (an Arrow array) and their ids (one flat array) are bounded; a full memory starts anew.
+    Remembered words (an Arrow array) and their ids (one flat array) are bounded in bytes; of a full memory the words of the run at hand stay.
+    A tokenizer that fails a probe of this property is used on whole texts instead.
     """
 
     def __init__(self, path: str):
         self.library = tokenizer(path)
         alone = ((mark, self._ids([mark])[0]) for mark in SEPARATORS)
-        self.mark, self.mark_id = next((m, ids[0]) for m, ids in alone if len(ids) == 1)
+        self.mark, self.mark_id = next(((m, ids[0]) for m, ids in alone if len(ids) == 1), (None, None))
+        self.by_words = self.mark is not None and self._splits_at_spaces()
         self._forget()
 
+    def _splits_at_spaces(self) -> bool:
+        """Whether the library gives a probe of many kinds of words the ids of its words in turn, folded or not."""
+        words = PROBE.split()
+        whole, upper, *alone = self._ids([PROBE.replace(" ", " \n\t "), PROBE.upper(), *words])
+        return whole == [i for ids in alone for i in ids] and upper == self._ids([PROBE.lower()])[0]
+
     def _forget(self) -> None:
         self.words, self.flat, self.sizes = pa.array([], pa.string()), np.empty(0, "<u4"), np.empty(0, np.int64)
 
+    def _keep(self, places: pa.Array) -> None:
+        """Forget all words but these: what a run of texts uses again is common, most others are not."""
+        rows = places.to_numpy(zero_copy_only=False)
+        self.words = pa.concat_arrays([self.words.take(places)])
+        self.flat, self.sizes = _gather(self.flat, self.sizes, rows), self.sizes[rows]
+
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [found.ids for found in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
@@ -69,7 +84,8 @@ class WordEncoder:
             ids = np.array(self._ids([f"{text} {self.mark}"])[0], "<u4")
             is_mark = ids == self.mark_id
             size = np.diff(np.flatnonzero(is_mark), prepend=-1) - 1
-            assert len(size) == len(part)
+            if len(size) != len(part):
+                raise ValueError("the ids of words depend on their neighbours")
             flat.append(ids[~is_mark])
             sizes.append(size)
         for ids in self._ids(rest.to_pylist()):
@@ -85,9 +101,10 @@ class WordEncoder:
         words = split.flatten().dictionary_encode()
         parts = pa.concat_arrays(_parts(words.dictionary)).dictionary_encode()
         distinct = parts.dictionary
-        if len(self.words) + len(distinct) > MAX_CACHED_WORDS:
-            self._forget()
         found = pc.index_in(distinct, value_set=self.words)
+        if self.words.nbytes + self.flat.nbytes + self.sizes.nbytes > MAX_CACHED_BYTES:
+            self._keep(found.drop_null())
+            found = pc.index_in(distinct, value_set=self.words)
         if found.null_count:
             self._learn(distinct.filter(pc.is_null(found)))
             found = pc.index_in(distinct, value_set=self.words)
@@ -97,12 +114,17 @@ class WordEncoder:
 
     def counts(self, texts: pa.Array) -> np.ndarray:
         """Tokens of each text."""
+        if not self.by_words:
+            return np.array([len(ids) for ids in self._ids(texts.fill_null("").to_pylist())], np.int64)
         numbers, ends, places = self._numbered(texts)
         sums = np.concatenate([[0], np.cumsum(self.sizes[places].sum(axis=1)[numbers])])
         return np.diff(sums[ends], prepend=0)
 
     def encode(self, texts: pa.Array) -> Iterator[np.ndarray]:
         """The ids of each text in turn (unsigned 32-bit)."""
+        if not self.by_words:
+            yield from (np.array(ids, "<u4") for ids in self._ids(texts.fill_null("").to_pylist()))
+            return
         numbers, ends, places = self._numbered(texts)
         flat = _gather(self.flat, self.sizes, places.ravel())  # the ids of each distinct word
         sizes, begin = self.sizes[places].sum(axis=1), 0
