@@ -5,6 +5,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -87,3 +88,38 @@ def test_stages_on_empty_and_odd_documents(spark):
             docs = spark.createDataFrame(result.collect(), result.schema)
         assert {r.doc_id for r in docs.collect()} <= {3}
         assert bool(rows) == bool(docs.count())
+
+
+CLASHING = "size int, id string, kept int, n_words int, gone string, copy int, row_key long, same int, p0 int, text_ string"
+
+
+def test_stages_carry_columns_with_any_name(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    names = [f.split()[0] for f in CLASHING.split(", ")]
+    wide = docs.select("*", *[F.lit(i).cast(f.split()[1]).alias(f.split()[0]) for i, f in enumerate(CLASHING.split(", "))])
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        plain, wide = (df.sparkSession.createDataFrame(stage(spark, df, SMALL).collect(), df.schema) for df in (docs, wide))
+        assert sorted(r.doc_id for r in plain.collect()) == sorted(r.doc_id for r in wide.collect())
+        assert {tuple(r[n] for n in names) for r in wide.collect()} == {tuple(str(i) if f.split()[1] == "string" else i for i, f in enumerate(CLASHING.split(", ")))}
+        docs = plain
+    assert corpus_pipeline.write_tokens(spark, wide, SMALL).count() == docs.count()
+
+
+def test_no_document_is_lost_for_its_id(spark):
+    schema = spark.read.parquet(f"{SMALL}/documents.parquet").schema
+    text = lambda n: " ".join(f"{chr(97 + n)}{i}x{i * 7 % 13}" for i in range(100))
+    rows = [(1, text(0), "en", "a", 1), (1, text(1), "en", "a", 1), (None, text(2), "en", "a", 1), (None, text(3), "en", "b", 1), (2, text(4), "en", None, 1),
+            (2, text(4), "en", None, 1), (None, text(0) + " more", "en", "a", 1), (3, None, "en", "a", 1)]
+    docs = spark.createDataFrame(rows, schema)
+    stage = dict(corpus_pipeline.STAGES)
+    kept = stage["near_dedup"](spark, docs, SMALL).collect()
+    assert sorted((str(r.doc_id), r.text or "") for r in kept) == sorted((str(d), t or "") for d, t, *_ in rows[:5] + rows[7:])
+    kept = stage["decontamination"](spark, docs, SMALL).collect()
+    assert len(kept) == len(rows)
+    leak = spark.read.parquet(f"{SMALL}/benchmark.parquet").first().text
+    leaky = spark.createDataFrame([(None, leak, "en", "a", 1), (7, leak, "en", "a", 1), (7, text(5), "en", "a", 1), (None, text(6), "en", "a", 1)], schema)
+    assert sorted(r.text for r in stage["decontamination"](spark, leaky, SMALL).collect()) == [text(5), text(6)]
+    mixed = stage["source_mix"](spark, docs.filter("text is not null"), SMALL).collect()
+    assert {str(r.doc_id) for r in mixed} == {"1", "2", "None"} and len({r.text for r in mixed}) >= 5
+    tokens = stage["token_output"](spark, docs, SMALL).collect()
+    assert sorted(str(r.doc_id) for r in tokens) == sorted(str(d) for d, *_ in rows)
