@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillstar.functions.identifiers import VALID
 from tillstar.session import fresh_path
 from tillstar.sources.schemas import CLASSIFICATION
 
@@ -69,26 +70,31 @@ PII_PATTERNS = {
     "PHONE": r"(\+[0-9]{1,3} ?\(?[0-9]{2,3}\)?[ -]?[0-9]{3}[ -][0-9]{4}|\+222[ -]?[0-9]{2}[ -]?[0-9]{2}[ -]?[0-9]{2}[ -]?[0-9]{2}|\b[234][0-9]{7}|\bP[0-9]{8})\b",
     # Ten digits, and the internal N form.
     "NNI": r"\b([0-9]{10}|N[0-9]{8})\b",
-    "IBAN": r"\b[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}\b",
+    # Together or in groups of four.
+    "IBAN": r"\b[A-Z]{2}[0-9]{2}(?:(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?|[A-Z0-9]{11,30})\b",
+    "CARD": r"\b(?:(?:[0-9]{4}[ -]){3}[0-9]{4}|[0-9]{13,19})\b",
 }
 
 
 def pii_scan(df: DataFrame, table_name: str, columns: list[str] | None = None) -> DataFrame:
-    """Per (column, pii_type): rows with at least one hit and total hits.
+    """Per (column, pii_type): rows with at least one hit, all hits, and the hits that are well formed (check digits,
+    lengths, numbering plans: ``functions/identifiers.py``); the rest is malformed.
 
-    One pass over the table: ``regexp_count`` per (column, pattern) inside a
+    One pass over the table: the matches of each (column, pattern) are extracted once and counted inside a
     single aggregate, unpivoted afterwards. Whole texts are scanned.
     """
     cols = columns or [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    aggs, rows = [], []
+    found, aggs, rows = [], [], []
     for i, c in enumerate(cols):
         for j, (kind, pat) in enumerate(PII_PATTERNS.items()):
-            n = F.coalesce(F.regexp_count(F.col(c), F.lit(pat)), F.lit(0))
-            aggs += [F.sum(F.when(n > 0, 1).otherwise(0)).cast("bigint").alias(f"r{i}_{j}"),
-                     F.sum(n).cast("bigint").alias(f"h{i}_{j}")]
-            rows.append(F.struct(F.lit(c).alias("column_name"), F.lit(kind).alias("pii_type"),
-                                 F.col(f"r{i}_{j}").alias("nb_rows"), F.col(f"h{i}_{j}").alias("nb_hits")))
-    return (df.agg(*aggs).select(F.explode(F.array(*rows)).alias("x"))
+            hits = F.coalesce(F.regexp_extract_all(F.col(c), F.lit(pat), F.lit(0)), F.array().cast("array<string>"))
+            found.append(F.struct(F.size(hits).alias("n"), F.size(F.filter(hits, VALID[kind])).alias("valid")).alias(f"f{i}_{j}"))
+            n = F.col(f"f{i}_{j}.n")
+            aggs += [F.sum(F.when(n > 0, 1).otherwise(0)).cast("bigint").alias(f"r{i}_{j}"), F.sum(n).cast("bigint").alias(f"h{i}_{j}"),
+                     F.sum(f"f{i}_{j}.valid").cast("bigint").alias(f"v{i}_{j}")]
+            rows.append(F.struct(F.lit(c).alias("column_name"), F.lit(kind).alias("pii_type"), F.col(f"r{i}_{j}").alias("nb_rows"),
+                                 F.col(f"h{i}_{j}").alias("nb_hits"), F.col(f"v{i}_{j}").alias("nb_valid")))
+    return (df.select(*found).agg(*aggs).select(F.explode(F.array(*rows)).alias("x"))
             .select(F.lit(table_name).alias("table_name"), "x.*"))
 
 
@@ -127,19 +133,26 @@ def guarded_export(df: DataFrame, name: str, user: str, path: str, alert: int =
                    refuse: int = EXPORT_REFUSE_ROWS) -> DataFrame:
     """Write ``df`` as CSV unless it exceeds the refuse threshold; return the audit row with its true row count.
 
-    The rows are computed once, into a fresh folder: the count, the decision and the file come from the same data.
+    The decision comes first: a limit of ``refuse + 1`` rows tells whether the request is too large, so a refused one is never written.
+    Its full count then reads the request's keys only (a count prunes all columns). An accepted request (at most
+    ``refuse`` rows) is computed once more into a fresh folder, and file and count come from there.
     """
     spark = df.sparkSession
-    staged = fresh_path(spark, "export")
-    df.write.parquet(staged)
-    rows = spark.read.schema(df.schema).parquet(staged)
-    n = rows.count()
-    if n <= refuse:
-        rows.write.mode("errorifexists").option("header", True).csv(path)
+    if df.limit(refuse + 1).count() > refuse:
+        n, written = df.count(), None
+    else:
+        staged = fresh_path(spark, "export")
+        df.limit(refuse + 1).write.parquet(staged)
+        rows = spark.read.schema(df.schema).parquet(staged)
+        n, written = rows.count(), path
+        if n <= refuse:
+            rows.write.mode("errorifexists").option("header", True).csv(path)
+        else:  # grown between the two reads
+            n, written = df.count(), None
     return spark.range(1).select(F.lit(name).alias("export_name"), F.lit(user).alias("demandeur"),
                                  F.lit(n).cast("bigint").alias("nb_lignes"),
                                  export_decision(F.lit(n), alert, refuse).alias("decision"),
-                                 F.lit(path if n <= refuse else None).cast("string").alias("fichier"))
+                                 F.lit(written).cast("string").alias("fichier"))
 
 
 # ------------------------------------------------------------ G7 audit rules

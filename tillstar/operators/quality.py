@@ -44,15 +44,14 @@ def orphans(star: Star) -> DataFrame:
     """DQ4: per foreign key, rows on the unknown member (-1) and rows whose key has no dimension row
     at all (-1 excluded: that member exists only for some dimensions).
 
-    The fact is read once: rows are counted per combination of the five keys (a partial aggregate in each task),
-    unpivoted to (foreign key, key, count) and summed per key; one left join with the dimension
-    keys then yields both counts in one aggregate.
+    The fact is read once: every row is unpivoted to its five (foreign key, key) pairs and counted per pair, so each task sends
+    the distinct keys it met (not the combinations, which are nearly as many as rows); one left join with the
+    dimension keys then yields both counts in one aggregate.
     """
     specs = [("user_key", star.user), ("merchant_key", star.merchant), ("agency_key", star.agency),
              ("node_key", star.node), ("date_key", star.date)]
-    combos = star.fact.groupBy(*[F.col(k).cast("bigint").alias(k) for k, _ in specs]).agg(F.count(F.lit(1)).alias("_n"))
-    per_key = (combos.unpivot(["_n"], [k for k, _ in specs], "foreign_key", "key")
-               .groupBy("foreign_key", "key").agg(F.sum("_n").alias("_n")))
+    keys = star.fact.select(*[F.col(k).cast("bigint").alias(k) for k, _ in specs])
+    per_key = keys.unpivot([], [k for k, _ in specs], "foreign_key", "key").groupBy("foreign_key", "key").agg(F.count(F.lit(1)).alias("_n"))
     dim_keys = reduce(DataFrame.unionByName, [
         d.select(F.lit(k).alias("foreign_key"), F.col(k).cast("bigint").alias("key")) for k, d in specs]).distinct()
     known = per_key.join(dim_keys.withColumn("_known", F.lit(True)), ["foreign_key", "key"], "left")

@@ -11,7 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillstar.operators.dedup import latest_per_key
-from tillstar.operators.star import (LOOKUPS, Star, build_calendar, build_dim_node, build_fact, calendar_bounds_of)
+from tillstar.operators.delta import signed
+from tillstar.operators.star import (LOOKUPS, Star, build_calendar, build_dim_node, build_fact, calendar_bounds_of, date_key)
+from tillstar.session import fresh_path
 from tillstar.sources.tables import load
 
 MONEY = "decimal(18,2)"
@@ -301,6 +303,47 @@ def node_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
                           .otherwise(F.col("ledger_total")))
 
 
+def ledger_replicas(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Two replicas of the ledger. The second lacks ids that are multiples of 4001, has 1300.88 more in multiples of 4003, another
+    status in 4007, the next day in 4013 and multiples of 4019 twice."""
+    i = F.col("transaction_id")
+    a = fx_tx(spark, sf_dir).join(F.broadcast(fx_node(spark).select("node_key", "node_id")), "node_key").select(
+        "node_id", F.col("transaction_date").alias("jour"), F.col("tx_id").alias("transaction_id"), F.col("amount").alias("montant"),
+        F.col("status").alias("statut"))
+    b = a.filter(i % 4001 != 0).withColumns({
+        "jour": F.when(i % 4013 == 0, F.date_add("jour", 1)).otherwise(F.col("jour")),
+        "montant": F.when(i % 4003 == 0, (F.col("montant") + F.lit(1300.88).cast(MONEY)).cast(MONEY)).otherwise(F.col("montant")),
+        "statut": F.when(i % 4007 == 0, "REVERSED").otherwise(F.col("statut"))})
+    return a, b.unionByName(b.filter(i % 4019 == 0))
+
+
+def changed_fact(spark: SparkSession, sf_dir: str, lookups: tuple[str, ...]) -> tuple[Star, DataFrame, list[DataFrame]]:
+    """The star as it is now, its fact as it was before, and the changes between in two batches of signed rows: ids that are multiples of
+    37 are inserted; multiples of 41 had five more and another day 40 days before; copies of multiples of 43 are deleted."""
+    star = fixture_star(spark, sf_dir, lookups=lookups)
+    keys = [c for c in ("user_key",) if c in star.fact.columns]
+    path = fresh_path(spark, "changed-fact")
+    star.fact.select("tx_pk", "date_key", "transaction_date", "amount", "fee", "status", "is_conflict", *keys).write.parquet(path)
+    now = spark.read.parquet(path)
+    i = F.col("tx_pk")
+    inserted, changed, copied = now.filter(i % 37 == 0), now.filter((i % 41 == 0) & (i % 37 != 0)), now.filter(i % 43 == 0)
+    day = F.date_sub("transaction_date", 40)
+    old = changed.withColumns({"amount": (F.col("amount") + 5).cast(MONEY), "transaction_date": day, "date_key": date_key(day).cast("int")})
+    before = now.filter((i % 37 != 0) & (i % 41 != 0)).unionByName(old).unionByName(copied)
+    return star.with_fact(now), before, [signed(old, changed.unionByName(inserted)), signed(copied, None)]
+
+
+def user_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Free text with the account number of each user: within a sentence for multiples of 3, in groups of four for multiples of 5; wrong
+    check digits for multiples of 13, a digit short for multiples of 17."""
+    k = F.col("user_id")
+    bban = F.concat(F.lit("0002000101"), F.lpad(_s(k + 10000000), 11, "0"), F.lpad(_s(k % 97), 2, "0"))
+    check = 98 - F.concat(bban, F.lit("222700")).cast("decimal(38,0)") % 97 + F.when(k % 13 == 0, 1).otherwise(0)
+    number = F.concat(F.lit("MR"), F.lpad(_s(check.cast("int")), 2, "0"), F.when(k % 17 == 0, F.left(bban, F.lit(22))).otherwise(bban))
+    return fx_user(spark, sf_dir).select("user_id", F.when(k % 3 == 0, F.concat(F.lit("Virement vers "), number, F.lit(".")))
+                                         .when(k % 5 == 0, F.trim(F.regexp_replace(number, "(.{4})", "$1 "))).otherwise(number).alias("compte"))
+
+
 def fee_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One fee row per transaction with a fee, except ids that are multiples of 101
     (missing from the ledger)."""

@@ -24,6 +24,14 @@ FX["fx_user"] = """SELECT c_custkey AS user_key, c_custkey AS user_id, c_name AS
   TRUE AS is_current
 FROM customer JOIN nation ON c_nationkey = n_nationkey"""
 
+# Free text with the account number of each user.
+FX["fx_account"] = r"""SELECT user_id, CASE WHEN user_id % 3 = 0 THEN 'Virement vers ' || x || '.'
+  WHEN user_id % 5 = 0 THEN trim(regexp_replace(x, '(.{4})', '\1 ', 'g')) ELSE x END AS compte
+FROM (SELECT user_id, 'MR' || lpad(CAST(98 - CAST(bban || '222700' AS HUGEINT) % 97 + CASE WHEN user_id % 13 = 0 THEN 1 ELSE 0 END AS VARCHAR), 2, '0')
+        || CASE WHEN user_id % 17 = 0 THEN left(bban, 22) ELSE bban END AS x
+      FROM (SELECT user_id, '0002000101' || lpad(CAST(10000000 + user_id AS VARCHAR), 11, '0') || lpad(CAST(user_id % 97 AS VARCHAR), 2, '0') AS bban
+            FROM fx_user))"""
+
 FX["fx_merchant"] = """SELECT p_partkey AS merchant_key, p_partkey AS merchant_id, p_name AS name, CASE WHEN p_partkey % 40 <> 0 THEN p_type END AS category_label,
   CASE WHEN p_size % 8 = 0 THEN 'INACTIVE' ELSE 'ACTIVE' END AS status
 FROM part
@@ -92,10 +100,11 @@ FX["fx_events"] = """SELECT event_id AS transaction_id, CAST(ts AS TIMESTAMP) AS
   CAST(hour(ts) AS INT) AS tx_hour
 FROM events"""
 
-ORDER = ["fx_node", "fx_user", "fx_merchant", "fx_agency", "fx_tx_raw", "fx_tx", "fx_fact", "fx_date",
+ORDER = ["fx_node", "fx_user", "fx_account", "fx_merchant", "fx_agency", "fx_tx_raw", "fx_tx", "fx_fact", "fx_date",
          "fx_events"]
 
 DEPS = {
+    "fx_account": ["fx_user"],
     "fx_tx": ["fx_tx_raw"],
     "fx_fact": ["fx_tx", "fx_node"],
 }

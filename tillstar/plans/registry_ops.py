@@ -12,9 +12,11 @@ from pyspark.sql import functions as F
 
 from tillstar.functions.clean import (blank_to_null, clean_text_columns, fee_or_zero, guarded_cast, lenient_cast,
                                       money)
+from tillstar.functions import identifiers as ids
 from tillstar.functions.share import with_share
 from tillstar.operators import governance as gov
 from tillstar.operators import marts, quality, refresh, scd
+from tillstar.operators.asof import merge_asof
 from tillstar.operators.dedup import duplicate_keys, latest_per_key
 from tillstar.operators.star import (build_calendar, build_dim_agency, build_dim_merchant, build_dim_node,
                                      build_dim_user, build_fact, calendar_bounds_of, cross_dc_flag,
@@ -618,12 +620,12 @@ def recon_nightly(spark: SparkSession, sf_dir: str) -> DataFrame:
 @reg("nightly_refresh", MART_SQL["mv_daily_kpis"])
 def nightly_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ST10/S11: the gold daily-KPI table is first built from a load that kept every
-    version of a transaction; the nightly batch deduplicates, finds the months it
-    touched and overwrites only those partitions. The result must equal a full
-    recompute."""
-    good = fx.fixture_star(spark, sf_dir)
+    version of a transaction; the nightly batch deduplicates, writes the fact in its month
+    layout, finds the months it touched, reads only their partitions and overwrites only those
+    of the gold table. The result must equal a full recompute."""
+    good = fx.fixture_star(spark, sf_dir, lookups=())
     stale = good.with_fact(build_fact(fx.stg_transactions(spark, sf_dir, dedup=False), good.user, good.merchant,
-                                      good.agency, good.node))
+                                      good.agency, good.node, lookups=()))
     gold = fresh_path(spark, "gold-daily-kpis")
     refresh.write_gold(marts.mv_daily_kpis(stale), gold)
     raw = fx.fx_tx_raw(spark, sf_dir)
@@ -631,7 +633,8 @@ def nightly_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     changed = (raw.join(dup_ids, "tx_id", "left_semi")
                .select(((F.year("transaction_date") * 10000 + F.month("transaction_date") * 100
                          + F.dayofmonth("transaction_date")).cast("int")).alias("date_key")))
-    refresh.refresh_gold(good, marts.mv_daily_kpis, gold, refresh.touched_months(changed))
+    root = landing.write_fact_layout(good.fact, fresh_path(spark, "nightly-fact"))
+    refresh.refresh_gold(good.with_fact(spark.read.parquet(root)), marts.mv_daily_kpis, gold, refresh.touched_months(changed))
     return refresh.read_gold(spark, gold)
 
 
@@ -718,11 +721,11 @@ FROM fx_fact f JOIN hist h ON f.user_key = h.user_id AND h.effective_from <= f.t
   AND f.transaction_date < COALESCE(h.effective_to, DATE '9999-12-31')
 GROUP BY h.wilaya_name""", "fx_fact", "fx_user", extra=[("v1", _V1), ("v2", _V2), ("hist", _HIST_SQL)]))
 def scd2_asof_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each transaction joined to the user version valid on its date; volume
+    """Each transaction with the user version valid on its date, by merging facts and versions in one sorted stream; volume
     per region as it was then."""
-    fact = fx.fixture_star(spark, sf_dir).fact
+    fact = fx.fixture_star(spark, sf_dir, lookups=("user",)).fact
     h = _history(spark, sf_dir).select("user_id", "wilaya_name", "effective_from", "effective_to")
-    j = scd.asof_join(fact, h, "user_key", "user_id", "transaction_date")
+    j = merge_asof(fact.select("user_key", "transaction_date", "amount"), h, "user_key", "user_id", "transaction_date", ["wilaya_name"])
     return j.groupBy("wilaya_name").agg(F.count(F.lit(1)).alias("nb_transactions"),
                                         marts.r0(F.sum("amount")).alias("volume_mru"))
 
@@ -750,25 +753,43 @@ def mask_pii_clear(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gov.masked_users(fx.fx_user(spark, sf_dir), "dpo").select("user_id", "phone", "nni", "email")
 
 
+# What makes a hit h well formed, for DuckDB.
+_DIGITS = "regexp_replace(h, '[^0-9]', '', 'g')"
+_PII_VALID = {
+    "EMAIL": f"regexp_matches(h, '{ids.EMAIL_FORM}') AND instr(h, '@') <= {ids.MAX_LOCAL_PART + 1}",
+    "PHONE": f"""CASE WHEN h LIKE 'P%' THEN TRUE WHEN h LIKE '+222%' OR h NOT LIKE '+%' THEN regexp_matches({_DIGITS}, '{ids.NATIONAL_PHONE}')
+      WHEN h LIKE '+1%' AND length({_DIGITS}) = 11 THEN regexp_matches({_DIGITS}, '{ids.NORTH_AMERICAN_PHONE}')
+      ELSE length({_DIGITS}) BETWEEN 8 AND 15 END""",
+    "NNI": "replace(h, left(h, 1), '') <> ''",
+    "IBAN": f"""list_contains([{', '.join(f"'{c}'" for c in ids.IBAN_LENGTHS)}], left(h, 2) || CAST(length(replace(h, ' ', '')) AS VARCHAR))
+      AND list_reduce(list_prepend(0, list_transform(string_split(substr(replace(h, ' ', ''), 5) || left(h, 4), ''),
+            lambda c: CASE WHEN ascii(c) <= 57 THEN ascii(c) - 48 ELSE ascii(c) - 55 END)),
+          lambda a, x: (a * CASE WHEN x > 9 THEN 100 ELSE 10 END + x) % 97) = 1""",
+    "CARD": f"""list_sum(list_transform(string_split(reverse({_DIGITS}), ''),
+      lambda c, i: CASE WHEN i % 2 = 1 THEN ascii(c) - 48 ELSE (ascii(c) - 48) * 2 - CASE WHEN c > '4' THEN 9 ELSE 0 END END)) % 10 = 0""",
+}
+
+
 def _pii_sql(table: str, col: str) -> str:
     parts = []
     for kind, pat in gov.PII_PATTERNS.items():
-        n = f"len(regexp_extract_all({col}, '{pat}'))"
-        parts.append(f"SELECT '{table}' AS table_name, '{col}' AS column_name, '{kind}' AS pii_type, "
-                     f"CAST(SUM(CASE WHEN {n} > 0 THEN 1 ELSE 0 END) AS BIGINT) AS nb_rows, "
-                     f"CAST(SUM(COALESCE({n}, 0)) AS BIGINT) AS nb_hits FROM {table}")
+        parts.append(f"""SELECT '{table}' AS table_name, '{col}' AS column_name, '{kind}' AS pii_type,
+  CAST(SUM(CASE WHEN len(hits) > 0 THEN 1 ELSE 0 END) AS BIGINT) AS nb_rows, CAST(SUM(COALESCE(len(hits), 0)) AS BIGINT) AS nb_hits,
+  CAST(SUM(COALESCE(len(list_filter(hits, lambda h: {_PII_VALID[kind]})), 0)) AS BIGINT) AS nb_valid
+FROM (SELECT regexp_extract_all({col}, '{pat}') AS hits FROM {table})""")
     return "\nUNION ALL ".join(parts)
 
 
 _PII_COLUMNS = [("documents", "text"), ("conversations", "text"), ("pages", "html"), ("pages", "url"),
-                ("fx_user", "full_name"), ("fx_user", "phone"), ("fx_user", "nni"), ("fx_user", "email")]
+                ("fx_user", "full_name"), ("fx_user", "phone"), ("fx_user", "nni"), ("fx_user", "email"), ("fx_account", "compte")]
 
 
-@reg("pii_scan", W("\nUNION ALL ".join(_pii_sql(t, c) for t, c in _PII_COLUMNS).replace("'fx_user' AS", "'dim_user' AS"), "fx_user"))
+@reg("pii_scan", W("\nUNION ALL ".join(_pii_sql(t, c) for t, c in _PII_COLUMNS).replace("'fx_user' AS", "'dim_user' AS"), "fx_account"))
 def pii_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """PII detection over whole texts (documents, conversations, pages) and the user dimension."""
+    """PII detection over whole texts (documents, conversations, pages), the user dimension and account texts: hits, and how many
+    of them are well formed."""
     tables = {"documents": load(spark, sf_dir, "documents"), "conversations": load(spark, sf_dir, "conversations"),
-              "pages": load(spark, sf_dir, "pages"), "fx_user": fx.fx_user(spark, sf_dir)}
+              "pages": load(spark, sf_dir, "pages"), "fx_user": fx.fx_user(spark, sf_dir), "fx_account": fx.user_accounts(spark, sf_dir)}
     return gov.union_all([
         gov.pii_scan(df, "dim_user" if t == "fx_user" else t, [c for name, c in _PII_COLUMNS if name == t]) for t, df in tables.items()])
 

@@ -15,9 +15,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import DateType, LongType, StructField, StructType
 
 from tillstar.operators.dedup import latest_per_key
-from tillstar.session import BASE_CONF, fresh_path, remove_path
+from tillstar.session import BASE_CONF, fresh_path
 
 EVENT_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 WATERMARK = "10 minutes"
@@ -92,43 +93,47 @@ def run(writer, checkpoint: str, interval: str | None = None, timeout: int | Non
     return q
 
 
-def _versions(spark: SparkSession, root: str) -> list[int]:
-    path = spark._jvm.org.apache.hadoop.fs.Path(root)
-    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(path):
-        return []
-    names = [s.getPath().getName() for s in fs.listStatus(path)]
-    return sorted(int(n[1:]) for n in names if n.startswith("v") and fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{n}/_SUCCESS")))
+BATCH, DAY = "batch_id", "jour"
 
 
-def counter_table_sink(root: str, keys: list[str]):
-    """foreachBatch sink: a keyed counter table. Each micro-batch writes the next version of the table (its updated
-    rows, and the other rows of the version before) and drops older ones, so a reader opens one small
-    table. A replayed batch builds the same version from the same predecessor."""
+def counter_table_sink(root: str, day: str | None = None):
+    """foreachBatch sink: the updated counters of every micro-batch, appended as partitions ``jour=.../batch_id=...`` by Spark's
+    Parquet writer (``day``: an SQL expression for the day a counter belongs to; counters without one stand under no day). A replayed
+    batch overwrites its own partitions and no others, so a restart changes nothing. Only updated rows are written,
+    by as many tasks as the stream has state partitions."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        versions = _versions(spark, root)
-        before = [v for v in versions if v < batch_id]
-        rows = latest_per_key(batch, keys, [])
-        if before:
-            old = spark.read.schema(batch.schema).parquet(f"{root}/v{before[-1]}")
-            rows = rows.unionByName(old.join(rows.select(*keys), keys, "left_anti").select(*batch.columns))
-        rows.coalesce(1).write.mode("overwrite").parquet(f"{root}/v{batch_id}")
-        for v in before[:-1]:
-            remove_path(spark, f"{root}/v{v}")
+        rows = batch.withColumn(DAY, F.expr(day or "CAST(NULL AS DATE)")).withColumn(BATCH, F.lit(batch_id).cast("long"))
+        (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(DAY, BATCH).parquet(root))
     return write
 
 
-def read_counters(spark: SparkSession, root: str) -> DataFrame:
-    """The newest version of a counter table."""
-    return spark.read.parquet(f"{root}/v{_versions(spark, root)[-1]}")
+def _counter_schema(schema: StructType) -> StructType:
+    return StructType([*schema.fields, StructField(DAY, DateType()), StructField(BATCH, LongType())])
 
 
-def run_counter(spark: SparkSession, stream: DataFrame, keys: list[str], name: str) -> DataFrame:
+def read_counters(spark: SparkSession, root: str, schema: StructType, keys: list[str], days: Column | None = None) -> DataFrame:
+    """The newest row of every counter: a grouped minimum over the batches, so no sort of all versions. ``days``: a condition on
+    ``jour``, which reads only the folders of these days (a dashboard looks at a few)."""
+    rows = spark.read.schema(_counter_schema(schema)).parquet(root)
+    rows = rows if days is None else rows.filter(days)
+    return latest_per_key(rows.drop(DAY), keys, [(BATCH, True)]).drop(BATCH)
+
+
+def compact_counters(spark: SparkSession, root: str, schema: StructType, keys: list[str], new_root: str, up_to: int) -> str:
+    """A new table with one row a counter for all batches up to ``up_to`` and the later batches as they are; readers and the next
+    run of the stream switch to it. Run between runs of the stream."""
+    rows = spark.read.schema(_counter_schema(schema)).parquet(root)
+    old = latest_per_key(rows.filter(F.col(BATCH) <= up_to), [*keys, DAY], [(BATCH, True)])
+    kept = old.unionByName(rows.filter(F.col(BATCH) > up_to))
+    kept.repartition(DAY).write.mode("errorifexists").partitionBy(DAY, BATCH).parquet(new_root)
+    return new_root
+
+
+def run_counter(spark: SparkSession, stream: DataFrame, keys: list[str], name: str, day: str | None = None) -> DataFrame:
     """Run an aggregating stream in update mode into a counter table; return the table."""
     root = fresh_path(spark, f"{name}-counters")
-    run(stream.writeStream.outputMode("update").foreachBatch(counter_table_sink(root, keys)), fresh_path(spark, f"{name}-ckpt"))
-    return read_counters(spark, root)
+    run(stream.writeStream.outputMode("update").foreachBatch(counter_table_sink(root, day)), fresh_path(spark, f"{name}-ckpt"))
+    return read_counters(spark, root, stream.schema, keys)
 
 
 # ------------------------------------------------------------------ counters (batch or stream)
@@ -141,6 +146,18 @@ def windowed_count(tx: DataFrame, duration: str, slide: str | None = None, with_
         else tx.groupBy(w.alias("w")).agg(*aggs)
 
 
+WINDOW_DAY = "to_date(w.start)"
+
+
+def rolling_from_panes(panes: DataFrame, panes_per_window: int, pane: str = "1 minute", counts: tuple[str, ...] = ("nb_transactions",)) -> DataFrame:
+    """Sliding windows as sums of the tumbling panes they cover: every pane (not every event) goes into
+    ``panes_per_window`` windows. Windows without any event do not appear."""
+    step, length = F.expr(f"INTERVAL {pane}"), F.expr(f"INTERVAL {pane}") * panes_per_window
+    start = F.explode(F.sequence(F.col("w.start") - length + step, F.col("w.start"), step)).alias("start")
+    sums = panes.select(start, *counts).groupBy("start").agg(*[F.sum(c).alias(c) for c in counts])
+    return sums.select(F.struct("start", (F.col("start") + length).alias("end")).alias("w"), *counts)
+
+
 def flat_window(df: DataFrame) -> DataFrame:
     return df.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
                      *[c for c in df.columns if c != "w"])

@@ -39,7 +39,7 @@ def stream_cdc_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _windowed(spark: SparkSession, sf_dir: str, name: str, duration: str, slide: str | None = None,
               volume: bool = False) -> DataFrame:
     tx = ev.as_transactions(ev.read_stream(ev.counter_session(spark), _landed(spark, sf_dir)))
-    out = ev.flat_window(ev.run_counter(spark, ev.windowed_count(tx, duration, slide, volume), ["w"], name))
+    out = ev.flat_window(ev.run_counter(spark, ev.windowed_count(tx, duration, slide, volume), ["w"], name, ev.WINDOW_DAY))
     return out.withColumn("volume", F.col("volume").cast("double")) if volume else out
 
 
@@ -59,8 +59,11 @@ def stream_daily_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_rate_5min(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """ST6: rolling 5-minute count, sliding every minute."""
-    return _windowed(spark, sf_dir, "rate5", "5 minutes", "1 minute")
+    """ST6: rolling 5-minute count, sliding every minute: the stream keeps one-minute panes, each event counted once; a window is
+    the sum of its five panes."""
+    tx = ev.as_transactions(ev.read_stream(ev.counter_session(spark), _landed(spark, sf_dir)))
+    panes = ev.run_counter(spark, ev.windowed_count(tx, "1 minute"), ["w"], "panes", ev.WINDOW_DAY)
+    return ev.flat_window(ev.rolling_from_panes(panes, 5))
 
 
 def stream_region_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -101,8 +104,8 @@ def stream_late_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     for part in (~ev.held_back(LATE_EVERY), ev.held_back(LATE_EVERY)):
         ev.land_events(events.filter(part), path)
         daily = ev.windowed_count(ev.as_transactions(ev.read_stream(session, path)), "1 day")
-        ev.run(daily.writeStream.outputMode("update").foreachBatch(ev.counter_table_sink(root, ["w"])), checkpoint)
-    stream_daily = ev.flat_window(ev.read_counters(spark, root)).select(
+        ev.run(daily.writeStream.outputMode("update").foreachBatch(ev.counter_table_sink(root, ev.WINDOW_DAY)), checkpoint)
+    stream_daily = ev.flat_window(ev.read_counters(spark, root, daily.schema, ["w"])).select(
         F.to_date("window_start").alias("jour"), F.col("nb_transactions").alias("nb_stream"))
     batch_daily = ev.daily_counts(ev.as_transactions(events), "nb_batch")
     j = batch_daily.join(stream_daily, "jour", "left")
