@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+from pyspark import TaskContext
 
 MAX_CACHED_WORDS = 150_000
 SLICE_BYTES = 4 << 20
+LEAN = "tillstar.lean"
 
 #: ASCII capitals to small letters; other ASCII that is no letter or digit to a space; bytes of longer characters stay.
 FOLD = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c > 127 else 32 for c in range(256))
@@ -70,6 +75,24 @@ def slices(batches, text_column: int, size: int = SLICE_BYTES):
             yield batch.slice(start, stop - start)
             start, done = stop, ends[stop - 1]
             pa.default_memory_pool().release_unused()  # else Arrow keeps the largest run's memory for good
+    if lean():
+        _hashes.clear()
+        release_memory()
+
+
+def lean() -> bool:
+    """Whether this task belongs to a chain of operators that asked for small workers (the local property ``LEAN`` of its job)."""
+    context = TaskContext.get()
+    return context is not None and context.getLocalProperty(LEAN) == "true"
+
+
+def release_memory() -> None:
+    """Return freed memory to the system; else an idle worker keeps what its largest task took."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
 
 
 def binary_values(column: pa.Array) -> list[bytes | None]:

@@ -23,8 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstar.llm.shingles import slices
-from tillstar.llm.tokens import RUN_BYTES, word_encoder
+from tillstar.llm.shingles import lean, slices
+from tillstar.llm.tokens import RUN_BYTES, release_encoders, word_encoder
 
 BLOCK_IDS = 65_536
 
@@ -80,6 +80,9 @@ def _blocks(path: str, end_id: int, block_ids: int):
                     yield closed(shard)
         if doc_ids:
             yield closed(shard)
+        if lean():
+            del encoder
+            release_encoders()
 
     return run
 

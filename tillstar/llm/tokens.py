@@ -10,6 +10,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from tillstar.llm.shingles import release_memory
+
 SPACES = " \t\n\v\f\r"
 MAX_CACHED_BYTES = 12 << 20  # of remembered words and their ids; looking words up takes a few times that for a moment
 LIBRARY_BATCH = 5_000
@@ -144,3 +146,10 @@ def _gather(flat: np.ndarray, sizes: np.ndarray, rows: np.ndarray, starts: np.nd
 @lru_cache(maxsize=4)
 def word_encoder(path: str) -> WordEncoder:
     return WordEncoder(path)
+
+
+def release_encoders() -> None:
+    """Give back what this worker holds for encoding (a later task of the same worker loads it again)."""
+    word_encoder.cache_clear()
+    tokenizer.cache_clear()
+    release_memory()
