@@ -21,6 +21,7 @@ from tillstar.llm.mixing import mix
 from tillstar.llm.near_dedup import near_duplicates
 from tillstar.llm.quality_rules import quality_rules
 from tillstar.llm.selection import without
+from tillstar.llm.shingles import LEAN
 from tillstar.llm.storage import materialise
 from tillstar.llm.token_output import read_documents, write_token_files
 from tillstar.session import fresh_path
@@ -31,9 +32,17 @@ TOKENIZER, END_ID = "word_bpe_49k.json", 1
 KEY = "row_key"
 
 
+def _small_workers(spark: SparkSession) -> None:
+    """Five operators follow one another in the same executors: texts go to Python in batches of a few megabytes, and a
+    worker gives its memory back after each task."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    spark.sparkContext.setLocalProperty(LEAN, "true")
+
+
 def _renamed(docs: DataFrame, *needed: str) -> tuple[DataFrame, list[str]]:
     """``docs`` with its columns under names of its own (p0, p1, ...) and a key of id and text, so that no column of the table
     can clash with one an operator makes; and those names of the ``needed`` columns."""
+    _small_workers(docs.sparkSession)
     names = {c: f"p{i}" for i, c in enumerate(docs.columns)}
     out = docs.select(*[F.col(c).alias(p) for c, p in names.items()])
     return out.withColumn(KEY, F.xxhash64(names["doc_id"], names["text"])), [names[c] for c in needed]
@@ -86,6 +95,7 @@ def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """Token files of the mix, read back: doc_id, start, n_tokens, ids_crc32 of each document; null ids first, a text without words is
     the end id alone."""
     folder = fresh_path(spark, "corpus-tokens")
+    _small_workers(spark)
     write_token_files(docs, folder, public_tokenizers.path(TOKENIZER), END_ID)
     return read_documents(spark, folder)
 
