@@ -109,6 +109,16 @@ def test_repeated_rows_do_not_cancel(spark):
     assert [r.transaction_id for r in replica_diff.differing_rows(spark, a, b).collect()] == [0]
 
 
+def test_a_row_on_another_day_is_found_though_its_node_has_the_same_rows(spark):
+    rows = [(*r[:3], Decimal(str(r[3])), r[4]) for r in ledger_rows(200, random.Random(6))]
+    moved = [(*rows[7][:1], rows[7][1] + dt.timedelta(days=1), *rows[7][2:])]
+    a, b = (replica_diff.write_replica(ledger(spark, r), fresh_path(spark, "t")) for r in (rows, rows[:7] + moved + rows[8:]))
+    levels = replica_diff.descend(replica_diff.read_digests(spark, a), replica_diff.read_digests(spark, b))
+    assert [level.count() for level in levels] == [1, 2, 2]
+    got = {(r.transaction_id, r.ecart_type, r.jour) for r in replica_diff.differing_rows(spark, a, b).collect()}
+    assert got == {(7, "absent_b", rows[7][1]), (7, "absent_a", moved[0][1])}
+
+
 # ------------------------------------------------------------------ signed changes
 def test_deltas_equal_a_rebuild_after_every_batch_and_after_folding(spark):
     star, stale, batches = fx.changed_fact(spark, SF_SMALL, ("user",))

@@ -41,7 +41,9 @@ def write_replica(ledger: DataFrame, root: str) -> str:
      .write.mode("errorifexists").partitionBy(MONTH).parquet(f"{root}/rows"))
     spark = ledger.sparkSession
     written = read_rows(spark, root)
-    hashes = [F.bit_xor(F.xxhash64(F.lit(seed), *ROW)).alias(name) for seed, name in ((1, "x1"), (2, "x2"))]
+    # The day is part of the hash, else a row on another day would leave its node's digest as it is.
+    day = F.coalesce(F.unix_date("jour"), F.lit(1 << 30))
+    hashes = [F.bit_xor(F.xxhash64(F.lit(seed), day, *ROW)).alias(name) for seed, name in ((1, "x1"), (2, "x2"))]
     (written.groupBy(*LEVELS[-1]).agg(F.count(F.lit(1)).alias("n"), F.sum("montant").alias("total"), *hashes)
      .write.mode("errorifexists").parquet(f"{root}/digests"))
     return root

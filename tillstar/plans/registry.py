@@ -44,15 +44,15 @@ def queries() -> dict[str, Query]:
         q[n] = _star_query(n)
     for n in _EVENT_MARTS:
         q[n] = _event_query(n)
-    from tillstar.plans import registry_integrity, registry_ops
-    q.update(registry_ops.queries())
-    q.update(registry_integrity.queries())
+    from tillstar.plans import registry_integrity, registry_ops, registry_serving
+    for module in (registry_ops, registry_integrity, registry_serving):
+        q.update(module.queries())
     return q
 
 
 def oracle_sql() -> dict[str, str]:
-    from tillstar.plans import oracle_marts, registry_integrity, registry_ops
+    from tillstar.plans import oracle_marts, registry_integrity, registry_ops, registry_serving
     sql = dict(oracle_marts.SQL)
-    sql.update(registry_ops.oracle_sql())
-    sql.update(registry_integrity.oracle_sql())
+    for module in (registry_ops, registry_integrity, registry_serving):
+        sql.update(module.oracle_sql())
     return sql

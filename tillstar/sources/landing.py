@@ -11,6 +11,8 @@ Never ``repartition(month)``: that would send a whole month to one task.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -35,12 +37,13 @@ def read_landing(spark: SparkSession, path: str, schema: str | None = None) -> D
 
 
 def write_fact_layout(fact: DataFrame, path: str, partition_col: str = "tx_month", id_col: str = "tx_pk",
-                      sort_cols: tuple[str, ...] = ("transaction_date", "status", "transaction_type")) -> str:
-    """Fact table layout: month partitions, sorted by (date, status, type) inside."""
+                      sort_cols: tuple[str, ...] = ("transaction_date", "status", "transaction_type"),
+                      watch: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> str:
+    """Fact table layout: month partitions, sorted by (date, status, type) inside. ``watch`` may add observation metrics to the rows
+    that reach the writer."""
     out = fact.withColumn(partition_col, (F.year("transaction_date") * 100 + F.month("transaction_date")).cast("int"))
-    (out.repartitionByRange(F.col("transaction_date"), F.col(id_col))
-        .sortWithinPartitions(*sort_cols)
-        .write.mode("errorifexists").partitionBy(partition_col).parquet(path))
+    placed = out.repartitionByRange(F.col("transaction_date"), F.col(id_col)).sortWithinPartitions(*sort_cols)
+    watch(placed).write.mode("errorifexists").partitionBy(partition_col).parquet(path)
     return path
 
 
