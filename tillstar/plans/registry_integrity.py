@@ -47,7 +47,7 @@ WHERE a.content IS DISTINCT FROM b.content""", "fx_tx", "fx_node",
 def _level_sql(name: str, keys: tuple[str, ...]) -> str:
     on = " AND ".join(f"a.{k} = b.{k}" for k in keys)
     side = f"""(SELECT {', '.join(keys)}, COUNT(*) AS n, SUM(montant) AS total,
-      list_sort(list(transaction_id || ' ' || montant || ' ' || statut)) AS content
+      list_sort(list(transaction_id || ' ' || jour || ' ' || montant || ' ' || statut)) AS content
       FROM (SELECT *, CAST(transaction_id % 64 AS INT) AS seau FROM ledger_{{}}) GROUP BY {', '.join(keys)})"""
     return f"""SELECT '{name}' AS niveau, COUNT(*) AS nb_differents, CAST(COALESCE(SUM(a.n), 0) AS BIGINT) AS lignes_a,
   CAST(COALESCE(SUM(b.n), 0) AS BIGINT) AS lignes_b, CAST(COALESCE(SUM(COALESCE(a.total, 0) - COALESCE(b.total, 0)), 0) AS DOUBLE) AS ecart
