@@ -21,12 +21,12 @@ def _slice(date: Column, months: int) -> Column:
 
 
 def merge_asof(fact: DataFrame, history: DataFrame, fact_key: str, hist_key: str, fact_date: str, carry: list[str],
-               how: str = "inner", slice_months: int = SLICE_MONTHS) -> DataFrame:
+               how: str = "inner", slice_months: int = SLICE_MONTHS, until: Column | None = None) -> DataFrame:
     """``fact`` with the columns ``carry`` of the version valid on its date (``effective_from <= date <
     coalesce(effective_to, open)``; versions of a key do not overlap).
 
     ``how``: "inner" drops facts without a valid version, "left" keeps them with nulls. Facts with a null key or date have
-    none. Columns of ``carry`` must not be named like columns of the fact. One shuffle of both inputs, no join.
+    none. ``until``: a date that no fact lies after, where the caller knows one (else the facts are read once more for it). Columns of ``carry`` must not be named like columns of the fact. One shuffle of both inputs, no join.
     """
     clash = set(carry) & set(fact.columns)
     if clash:
@@ -37,7 +37,7 @@ def merge_asof(fact: DataFrame, history: DataFrame, fact_key: str, hist_key: str
         F.struct(*fact.columns).alias("_fact"))
     # A version stands at the start of its life and again at the start of each later range it reaches; ranges without facts cost a
     # row each, so open versions end with the latest fact.
-    last = facts.agg(F.max("_slice")).scalar()
+    last = facts.agg(F.max("_slice")).scalar() if until is None else _slice(until, slice_months)
     first = _slice(F.col("effective_from"), slice_months)
     final = F.least(_slice(F.coalesce("effective_to", F.lit("9999-12-31").cast("date")), slice_months), last)
     versions = history.filter(F.col(hist_key).isNotNull() & F.col("effective_from").isNotNull()).withColumn(

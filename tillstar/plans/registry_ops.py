@@ -725,7 +725,8 @@ def scd2_asof_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     per region as it was then."""
     fact = fx.fixture_star(spark, sf_dir, lookups=("user",)).fact
     h = _history(spark, sf_dir).select("user_id", "wilaya_name", "effective_from", "effective_to")
-    j = merge_asof(fact.select("user_key", "transaction_date", "amount"), h, "user_key", "user_id", "transaction_date", ["wilaya_name"])
+    j = merge_asof(fact.select("user_key", "transaction_date", "amount"), h, "user_key", "user_id", "transaction_date", ["wilaya_name"],
+                   until=load(spark, sf_dir, "orders").agg(F.max("o_orderdate").cast("date")).scalar())
     return j.groupBy("wilaya_name").agg(F.count(F.lit(1)).alias("nb_transactions"),
                                         marts.r0(F.sum("amount")).alias("volume_mru"))
 
