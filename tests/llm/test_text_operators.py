@@ -8,7 +8,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tillstar.llm.decontaminate import contaminated, tile
+from tillstar.llm.decontaminate import contaminated, tile, tile_shared
 from tillstar.llm.license_scan import BASE_PHRASES, evaluate, license_scan, scan, to_postfix
 from tillstar.llm.passage_dedup import remove_passages, repeated_passages
 from tillstar.llm.quality_model import PreferenceModel, quality_scores
@@ -127,6 +127,14 @@ def test_tiles_equal_brute_force(doc, item):
     assert got == brute_tiles(doc, item, 2)
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.integers(1, 5), max_size=25), st.lists(st.integers(1, 5), min_size=1, max_size=15), st.integers(0, 9))
+def test_shared_windows_lose_no_tile(doc, item, least):
+    got = tile_shared(np.array(doc, np.uint64), np.array(item, np.uint64), 3, least)
+    want = brute_tiles(doc, item, min(3, len(item)))
+    assert got == want or (got == [] and sum(t[2] for t in want) < least)
+
+
 def test_leaks_reordered_and_odd_rows(spark):
     rng = random.Random(0)
     word = lambda: f"w{rng.randrange(10**6)}"
@@ -143,18 +151,52 @@ def test_leaks_reordered_and_odd_rows(spark):
     assert contaminated(docs.limit(0), bench).count() == 0 and contaminated(docs, bench.limit(0)).count() == 0
 
 
-def test_decontamination_query_equals_brute_force(spark):
+def test_altered_short_and_wide_items_are_found(spark):
+    rng = random.Random(3)
+    word = lambda: f"v{rng.randrange(10**6)}"
+    fill = lambda n: " ".join(word() for _ in range(n))
+    item = [word() for _ in range(40)]
+    fifth = " ".join("changed" if i % 5 == 4 else w for i, w in enumerate(item))
+    third = " ".join("changed" if i % 3 == 2 else w for i, w in enumerate(item))
+    apart = (" " + fill(150) + " ").join(" ".join(item[i:i + 3]) for i in range(0, 30, 3))
+    wide = "数据库的索引可以加快查询速度"
+    rows = [(1, f"{fill(20)} {fifth} {fill(20)}"), (2, third), (3, f"{fill(200)} {apart} {fill(9)}"), (4, f"{fill(30)} Alpha beta, GAMMA {fill(30)}"),
+            (5, "alpha beta delta gamma"), (6, f"{fill(5)} solo"), (7, "soloist"), (8, f"我们知道{wide}。{fill(4)}"), (9, "我们知道数据"), (10, f"two {fill(1)} words two words"),
+            (11, f"{fill(30_000)} {fifth}"), (11, "no leak under the same id")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame([(1, " ".join(item)), (2, "alpha beta gamma"), (3, "solo"), (4, wide), (5, "two words"), (6, " .,")],
+                                  "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.coverage for r in contaminated(docs, bench).collect()}
+    assert got == {(1, 1): 0.8, (3, 1): 0.75, (4, 2): 1, (6, 3): 1, (8, 4): 1, (10, 5): 1, (11, 1): 0.8}
+
+
+def test_windows_of_a_third_of_all_rows_hide_no_pair(spark):
+    """A phrase that every item and very many documents share is left out of the join; items made of it alone are still found."""
+    rng = random.Random(4)
+    phrase = [f"common{i}" for i in range(12)]
+    items = {i: phrase + [f"own{i}x{k}" for k in range(14)] for i in range(20)} | {20: phrase, 21: phrase[:6] * 2}
+    docs = {d: phrase + [f"z{rng.randrange(10**6)}" for _ in range(20)] for d in range(60)}
+    docs |= {60 + d: [f"z{rng.randrange(10**6)}" for _ in range(30)] for d in range(100)}
+    docs |= {200 + i: words[12:] + ["q"] + words[:3] for i, words in items.items() if i < 20}
+    got = contaminated(spark.createDataFrame([(d, " ".join(w)) for d, w in docs.items()], "doc_id long, text string"),
+                       spark.createDataFrame([(i, " ".join(w)) for i, w in items.items()], "item_id long, text string")).collect()
+    want = {(d, i) for d, doc in docs.items() for i, item in items.items() if sum(t[2] for t in brute_tiles(doc, item, 3)) >= len(item) / 2}
+    assert {(r.doc_id, r.item_id) for r in got} == want and {(0, 20), (0, 21), (207, 7)} <= want
+
+
+def test_decontamination_query_equals_tiling_of_all_pairs(spark):
+    """Whole documents against all items, without seeds, by the tiling that brute force checks above."""
     words = lambda t: re.findall(r"[0-9a-z\x80-\U0010ffff]+", (t or "").translate({c: c + 32 for c in range(65, 91)}))
-    items = {r.item_id: words(r.text) for r in spark.read.parquet(f"{SMALL}/benchmark.parquet").collect()}
-    want = set()
+    hashed = lambda t: word_hashes([w.encode() for w in words(t)])
+    items = {r.item_id: hashed(r.text) for r in spark.read.parquet(f"{SMALL}/benchmark.parquet").collect()}
+    want = {}
     for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect():
-        doc = words(r.text)
-        seeds = {tuple(doc[i:i + 5]) for i in range(len(doc) - 4)}
+        doc = hashed(r.text)
         for item, w in items.items():
-            if seeds & {tuple(w[i:i + 5]) for i in range(len(w) - 4)}:
-                if sum(t[2] for t in brute_tiles(doc[:3000], w, 3)) >= len(w) / 2:
-                    want.add((r.doc_id, item))
-    assert {(r.doc_id, r.item_id) for r in op3_benchmark_decontamination(spark, SMALL).collect()} == want
+            covered = sum(t[2] for t in tile(doc, w, min(3, len(w))))
+            if covered >= len(w) / 2:
+                want[r.doc_id, item] = max(covered / len(w), want.get((r.doc_id, item), 0))
+    assert {(r.doc_id, r.item_id): r.coverage for r in op3_benchmark_decontamination(spark, SMALL).collect()} == want and want
 
 
 # ---- passages
