@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from tillstar.llm.bloom import BloomFilter
 from tillstar.llm.passage_dedup import passage_words
-from tillstar.llm.shingles import long_lists, mix, slices, word_hashes
+from tillstar.llm.shingles import lean, long_lists, mix, release_memory, slices, word_hashes
 from tillstar.llm.storage import materialise
 
 MIN_MATCH, THRESHOLD = 3, 0.5
@@ -175,6 +175,8 @@ def _pair_slices(batches, size: int = PAIR_WORDS):
             stop = max(start + 1, int(np.searchsorted(ends, done + size, "right")))
             yield batch.slice(start, stop - start)
             start, done = stop, ends[stop - 1]
+    if lean():
+        release_memory()
 
 
 def _longs(column: pa.Array) -> list[np.ndarray]:

@@ -11,8 +11,8 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 
-MAX_CACHED_WORDS = 150_000
-SLICE_BYTES = 4 << 20
+MAX_CACHED_WORDS, LEAN_WORDS = 150_000, 40_000
+SLICE_BYTES, LEAN_BYTES = 4 << 20, 1 << 20
 LEAN = "tillstar.lean"
 
 #: ASCII capitals to small letters; other ASCII that is no letter or digit to a space; bytes of longer characters stay.
@@ -31,10 +31,12 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 class WordHashes(dict):
-    """word -> 64-bit hash, remembered per worker up to a fixed number of words."""
+    """word -> 64-bit hash, remembered per worker up to ``most`` words."""
+
+    most = MAX_CACHED_WORDS
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= MAX_CACHED_WORDS:
+        if len(self) >= self.most:
             self.clear()
         h = self[word] = xxhash.xxh3_64_intdigest(word)
         return h
@@ -66,7 +68,9 @@ def shingle_hashes(words: list[bytes], size: int) -> np.ndarray:
 
 def slices(batches, text_column: int, size: int = SLICE_BYTES):
     """The batches cut into runs of rows with about ``size`` bytes of text, one row at least, so that what
-    Python holds at a time does not depend on the batch size."""
+    Python holds at a time does not depend on the batch size. A lean task holds less text and fewer word hashes."""
+    if lean():
+        size, _hashes.most = min(size, LEAN_BYTES), LEAN_WORDS
     for batch in batches:
         ends = np.cumsum(pc.binary_length(batch.column(text_column)).fill_null(0).to_numpy(zero_copy_only=False), dtype=np.int64)
         start, done = 0, 0
@@ -77,6 +81,7 @@ def slices(batches, text_column: int, size: int = SLICE_BYTES):
             pa.default_memory_pool().release_unused()  # else Arrow keeps the largest run's memory for good
     if lean():
         _hashes.clear()
+        _hashes.most = MAX_CACHED_WORDS
         release_memory()
 
 
