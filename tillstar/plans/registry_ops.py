@@ -15,7 +15,7 @@ from tillstar.functions.clean import (blank_to_null, clean_text_columns, fee_or_
 from tillstar.functions import identifiers as ids
 from tillstar.functions.share import with_share
 from tillstar.operators import governance as gov
-from tillstar.operators import marts, quality, refresh, scd
+from tillstar.operators import bucketed, marts, quality, refresh, scd
 from tillstar.operators.asof import merge_asof
 from tillstar.operators.dedup import duplicate_keys, latest_per_key
 from tillstar.operators.star import (build_calendar, build_dim_agency, build_dim_merchant, build_dim_node,
@@ -198,18 +198,35 @@ def dq_idempotency(spark: SparkSession, sf_dir: str) -> DataFrame:
                  F.coalesce(F.sum(F.col("nb_versions") - 1), F.lit(0)).cast("bigint").alias("nb_lignes_en_trop"))
 
 
-@reg("insert_if_absent", """
+def _business_days(orders: DataFrame) -> DataFrame:
+    return (orders.select(F.col("o_orderdate").cast("date").alias("full_date")).distinct()
+            .select(((F.year("full_date") * 10000 + F.month("full_date") * 100
+                      + F.dayofmonth("full_date")).cast("int")).alias("date_key"), "full_date"))
+
+
+_DAYS_SQL = """
 SELECT DISTINCT CAST(year(d) * 10000 + month(d) * 100 + day(d) AS INTEGER) AS date_key, d AS full_date
-FROM (SELECT CAST(o_orderdate AS DATE) AS d FROM orders) s""")
+FROM (SELECT CAST(o_orderdate AS DATE) AS d FROM orders) s"""
+
+
+@reg("insert_if_absent", _DAYS_SQL)
 def insert_if_absent_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Add the business days of all orders to the days already known from
     finished orders, without duplicating a key."""
     o = load(spark, sf_dir, "orders")
-    days = lambda df: (df.select(F.col("o_orderdate").cast("date").alias("full_date")).distinct()
-                       .select(((F.year("full_date") * 10000 + F.month("full_date") * 100
-                                 + F.dayofmonth("full_date")).cast("int")).alias("date_key"), "full_date"))
-    existing = days(o.filter(F.col("o_orderstatus") == "F"))
-    return insert_if_absent(existing, days(o), ["date_key"])
+    existing = _business_days(o.filter(F.col("o_orderstatus") == "F"))
+    return insert_if_absent(existing, _business_days(o), ["date_key"])
+
+
+@reg("insert_if_absent_bucketed", _DAYS_SQL)
+def insert_if_absent_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same into a bucketed table: new days are appended to their buckets, no file is replaced; a repeat adds nothing."""
+    o = load(spark, sf_dir, "orders")
+    root = fresh_path(spark, "business-days")
+    bucketed.write_table(_business_days(o.filter(F.col("o_orderstatus") == "F")), root, "date_key", buckets=8)
+    for _ in range(2):
+        bucketed.insert_absent(spark, root, _business_days(o), "date_key")
+    return bucketed.read_table(spark, root)
 
 
 @reg("dq_table_counts", W("""
@@ -715,6 +732,27 @@ def scd2_same_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     return h.select("user_key", "user_id", "wilaya_id", "status", "effective_from", "effective_to", "is_current")
 
 
+_D3 = "2000-01-01"
+
+
+@reg("scd2_bucketed", W(f"""
+SELECT user_key, user_id, wilaya_id, status, effective_from, CASE WHEN is_current AND user_id % 500 = 7 THEN DATE '{_D3}' ELSE effective_to END AS effective_to,
+  is_current AND user_id % 500 <> 7 AS is_current FROM hist
+UNION ALL
+SELECT {_vk(_D3)}, user_id, wilaya_id, 'FROZEN', DATE '{_D3}', CAST(NULL AS DATE), TRUE FROM v2 WHERE user_id % 500 = 7""",
+                        "fx_user", extra=[("v1", _V1), ("v2", _V2), ("hist", _HIST_SQL)]))
+def scd2_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """H3: the user history in key buckets under three applies: many users moved, a few frozen (only their buckets are read and
+    replaced), and the same snapshot again (none is)."""
+    root = fresh_path(spark, "user-history")
+    first, moved = fx.user_snapshot(spark, sf_dir, 1), fx.user_snapshot(spark, sf_dir, 2)
+    frozen = moved.withColumn("status", F.when(F.col("user_id") % 500 == 7, "FROZEN").otherwise(F.col("status")))
+    bucketed.write_history(scd.scd2_initial(first, "user_id", "user_key", _D1), first, root, "user_id", fx.SCD_TRACKED, _D1)
+    for snapshot, day in ((moved, _D2), (frozen, _D3), (frozen, "2000-02-01")):
+        bucketed.apply_snapshot(spark, root, snapshot, "user_id", "user_key", fx.SCD_TRACKED, day)
+    return bucketed.read_table(spark, root).select("user_key", "user_id", "wilaya_id", "status", "effective_from", "effective_to", "is_current")
+
+
 @reg("scd2_asof_join", W("""
 SELECT h.wilaya_name, COUNT(*) AS nb_transactions, CAST(ROUND(SUM(f.amount), 0) AS DOUBLE) AS volume_mru
 FROM fx_fact f JOIN hist h ON f.user_key = h.user_id AND h.effective_from <= f.transaction_date
