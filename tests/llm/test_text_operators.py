@@ -9,7 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from tillstar.llm.decontaminate import contaminated, tile, tile_shared
-from tillstar.llm.license_scan import BASE_PHRASES, evaluate, license_scan, scan, to_postfix
+from tillstar.llm.license_scan import BASE_PHRASES, MORE_PHRASES, evaluate, known_identifiers, label_of, license_scan, scan, to_postfix
 from tillstar.llm.passage_dedup import remove_passages, repeated_passages
 from tillstar.llm.quality_model import PreferenceModel, quality_scores
 from tillstar.llm.queries import URL_RULES, op2_license_scan, op3_benchmark_decontamination, op4_quality_classifier
@@ -58,17 +58,75 @@ def test_beta_prior():
 @pytest.mark.parametrize("text,permitted,labels", [
     ("MIT OR GPL-3.0-only", True, {"mit", "gpl-3"}), ("MIT AND GPL-3.0-only", False, {"mit", "gpl-3"}),
     ("(MIT OR GPL-2.0) AND Apache-2.0", True, {"mit", "gpl-2", "apache-2"}),
-    ("GPL-2.0-only WITH Classpath-exception-2.0 OR MIT", True, {"gpl-2", "mit"}),
+    ("GPL-2.0-only WITH Classpath-exception-2.0 OR MIT", True, {"gpl-2", "classpath-exception-2.0", "mit"}),
+    ("Apache-2.0 WITH LLVM-exception", True, {"apache-2", "llvm-exception"}), ("MIT, GPL-3.0+", False, {"mit", "gpl-3"}),
+    ("MIT/GPL-3.0, BSD-3-Clause", True, {"mit", "gpl-3", "bsd-3"}), ("MIT/GPL-3.0 AND Zlib", True, {"mit", "gpl-3", "zlib"}),
+    ("MIT, see LICENSE", True, {"mit"}), ("MIT */", True, {"mit"}), ("MIT // (see file)", True, {"mit"}), ("MIT, (see file)", True, {"mit"}),
+    ("LicenseRef-Own.1 OR MIT", True, {"licenseref-own.1", "mit"}), ("DocumentRef-x:LicenseRef-y", False, {"documentref-x:licenseref-y"}),
+    ("(MIT OR ISC) WITH Classpath-exception-2.0", True, {"mit", "isc"}), ("MPL-1.1 MIT", False, {"mpl"}), ("AGPL-3.0-or-later.", False, {"agpl"}),
     ("MIT or GPL-3.0 and Apache-2.0", True, {"mit", "gpl-3", "apache-2"}), ("GPL-3.0 trailing prose", False, {"gpl-3"})])
 def test_expressions(text, permitted, labels):
     assert evaluate(to_postfix(text)) == (permitted, labels)
 
 
-@pytest.mark.parametrize("text", ["", "AND MIT", "(MIT", "MIT AND", "()"])
+@pytest.mark.parametrize("text", ["", "AND MIT", "(MIT", "MIT AND", "()", "see LICENSE file", "the", "...", "MIT OR Foo-1.0", "MIT, ISC OR", "GPL-2.0 WITH thanks",
+                                  "GPL-2.0 WITH MIT", "Classpath-exception-2.0", "MIT, (ISC", "Apache", "Apache-9.0", "+", "MIT-only", "GPL-2.0 WITH (MIT)"])
 def test_malformed_expressions(text):
     assert to_postfix(text) is None
 
 
+def random_expression(rng, depth):
+    """(text, tightness of its loosest operator, permitted, labels): a tree written with the parentheses it needs and some more."""
+    if depth == 0 or rng.random() < 0.2:
+        name, label, may = rng.choice([("MIT", "mit", True), ("gpl-3.0-ONLY", "gpl-3", False), ("Apache-2.0+", "apache-2", True), ("BSD-3-Clause", "bsd-3", True),
+                                       ("CC-BY-NC-4.0", "cc-by-nc", False), ("LicenseRef-a.B", "licenseref-a.b", False), ("own-1", "own-1", False)])
+        if rng.random() < 0.2:
+            return f"{name} {rng.choice(['with', 'WITH'])} GCC-exception-3.1", 9, may, {label, "gcc-exception-3.1"}
+        return name, 9, may, {label}
+    sign, tight, both = rng.choice([(",", 1, True), (" or ", 2, False), (" AND ", 3, True), ("/", 4, False), (" / ", 4, False), (", ", 1, True), (" OR ", 2, False)])
+    left, right = random_expression(rng, depth - 1), random_expression(rng, depth - 1)
+    texts = [f"({t})" if k < tight + after or rng.random() < 0.1 else t for after, (t, k, _, _) in enumerate((left, right))]
+    return sign.join(texts), tight, left[2] and right[2] if both else left[2] or right[2], left[3] | right[3]
+
+
+def test_random_expressions_equal_their_trees():
+    rng, more = random.Random(2), frozenset(["own-1"])
+    for _ in range(3000):
+        text, _, may, labels = random_expression(rng, rng.randrange(6))
+        assert evaluate(to_postfix(text, more), more) == (may, labels), text
+        assert to_postfix(f"({text}", more) is None and to_postfix(f"{text}) the rest", more) == to_postfix(text, more)
+
+
+def test_known_identifiers():
+    known = known_identifiers()
+    assert len(known) > 180 and all(k == k.lower() and " " not in k for k in known)
+    assert {known[k] for k in ("apache-2.0", "gpl-2.0-or-later", "lgpl-2.1", "cc-by-sa-4.0", "mit")} == {"apache-2", "gpl-2", "lgpl", "cc-by-sa", "mit"}
+    assert label_of("see") is None and label_of("Apache-2.0+") == "apache-2" and label_of("own") is None and label_of("own", frozenset(["own"])) == "own"
+
+
+def brute_evidence(text, more=frozenset()):
+    """Labels and score by searching every phrase in the folded words, and every tagged line's expression."""
+    words = " " + " ".join(re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate({c: c + 32 for c in range(65, 91)}))) + " "
+    base = {b for p, b in BASE_PHRASES.items() if f" {p} " in words}
+    labels, score = base | {b for p, b in MORE_PHRASES.items() if f" {p} " in words}, 0.0
+    score = 0.9 if base else 0.6 if labels else 0.0
+    for found in re.findall(r"(?i)spdx[- ]license[- ]identifier\s*:[ \t]*([^\r\n]*)", text or ""):
+        postfix = to_postfix(found, more)
+        score, labels = (max(score, 0.3), labels) if postfix is None else (1.0, labels | evaluate(postfix, more)[1])
+    return ",".join(sorted(labels)), score
+
+
+PIECES = ["Under the MIT license", "CC BY-NC 4.0", "CC BY 4.0", "artistic license", "SPDX-License-Identifier: MIT OR Zlib", "spdx-license-identifier : see LICENSE",
+          "SPDX-License-Identifier: GPL-2.0 WITH", "mozilla public", "license", "word", "All rights reserved.", "redistribution and use in source and binary forms"]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(PIECES), max_size=8), st.sampled_from([" ", "\n", ", "]))
+def test_labels_and_scores_equal_brute_force(pieces, glue):
+    text = glue.join(pieces)
+    assert scan(text.encode())[5:7] == brute_evidence(text)
+
+
 def base_places(text):
     text = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
     words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text)
@@ -91,12 +149,14 @@ def test_license_query_and_odd_rows(spark):
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{MEDIUM}/documents.parquet").collect()}
     for r in op2_license_scan(spark, MEDIUM).collect():
         assert (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) == base_places(texts[r.doc_id])
-        assert set(filter(None, r.base_labels.split(","))) <= set(filter(None, r.labels.split(","))) and 0 <= r.score <= 1
+        assert (r.labels, r.score) == brute_evidence(texts[r.doc_id]) and set(r.base_labels.split(",")) <= set(r.labels.split(",")) | {""}
     docs = spark.createDataFrame([(1, None, 5), (None, "", 5), (1, "// SPDX-License-Identifier: MIT OR GPL-3.0-only", 5),
                                   (3, "SPDX-License-Identifier: (", 5), (4, "Under the MIT license " * 20000, 5)], "doc_id long, text string, labels int")
     got = sorted((r.n_words, r.n_base, r.labels, r.score, r.permitted) for r in license_scan(docs).collect())
     assert got == [(0, 0, "", 0.0, None)] * 2 + [(3, 0, "", 0.3, None), (9, 0, "gpl-3,mit", 1.0, True), (80000, 20000, "mit", 0.9, True)]
     assert license_scan(docs.limit(0)).count() == 0
+    own = license_scan(spark.createDataFrame([("SPDX-License-Identifier: Foo-1.0 AND MIT", 7, 0.0)], "text string, doc_id long, score double"), more_identifiers=["FOO-1.0"])
+    assert [(r.doc_id, r.labels, r.score, r.permitted) for r in own.collect()] == [(7, "foo-1.0,mit", 1.0, False)]
 
 
 # ---- decontamination
