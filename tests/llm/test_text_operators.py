@@ -2,6 +2,7 @@
 
 import random
 import re
+import zlib
 
 import numpy as np
 import pytest
@@ -11,7 +12,7 @@ from hypothesis import strategies as st
 from tillstar.llm.decontaminate import contaminated, tile, tile_shared
 from tillstar.llm.license_scan import BASE_PHRASES, MORE_PHRASES, evaluate, known_identifiers, label_of, license_scan, scan, to_postfix
 from tillstar.llm.passage_dedup import remove_passages, repeated_passages
-from tillstar.llm.quality_model import PreferenceModel, quality_scores
+from tillstar.llm.quality_model import PreferenceModel, features, fit_preferences, quality_scores
 from tillstar.llm.queries import URL_RULES, op2_license_scan, op3_benchmark_decontamination, op4_quality_classifier
 from tillstar.llm.quality_rules import beta_prior, measure, quality_rules
 from tillstar.llm.shingles import mix, word_hashes
@@ -394,6 +395,51 @@ def test_model_orders_by_preference():
     assert ((model.score(x) >= 0.3) == (label == 1)).mean() > 0.9
 
 
+def plain_fit(better, worse, pairs=20, ridge=1e-3, seed=4):
+    """The same loss over the same pairs, by accelerated gradient descent."""
+    d = better[np.random.default_rng(seed).integers(len(better), size=len(worse) * pairs)] - np.repeat(worse, pairs, axis=0)
+    w = v = np.zeros(d.shape[1])
+    rate = 1 / (np.linalg.norm(d.T @ d / len(d), 2) / 4 + ridge)
+    q = (np.sqrt(1 / (rate * ridge)) - 1) / (np.sqrt(1 / (rate * ridge)) + 1)
+    for _ in range(20_000):
+        wrong = 1 / (1 + np.exp(np.clip(d @ v, -500, 500)))
+        new = v - rate * (ridge * v - d.T @ wrong / len(d))
+        w, v = new, new + q * (new - w)
+    return w
+
+
+def test_fit_equals_plain_descent():
+    rng = np.random.default_rng(7)
+    better, worse = rng.normal(size=(60, 4)) + [1, 0, 0.5, 0], rng.normal(size=(25, 4))
+    assert np.allclose(fit_preferences(better, worse), plain_fit(better, worse), atol=1e-5)
+
+
+def test_scores_equal_a_plain_computation(spark):
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()}
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{SMALL}/labels.parquet").collect()}
+    learnt = sorted(d for d in labels if d in docs and zlib.crc32(str(d).encode()) % 5)
+    x, y = np.array([features(docs[d]) for d in learnt]), np.array([labels[d] for d in learnt])
+    scale = np.where(x.std(axis=0) < 1e-9, 1, x.std(axis=0))
+    z = (x - x.mean(axis=0)) / scale
+    w = plain_fit(z[y == 1], z[y == 0])
+    threshold = np.quantile(z @ w, (y == 0).mean())
+    rows = op4_quality_classifier(spark, SMALL).collect()
+    assert len(rows) == len(docs)
+    for r in rows:
+        s = (np.array(features(docs[r.doc_id])) - x.mean(axis=0)) / scale @ w - threshold
+        assert abs(r.score - 1 / (1 + np.exp(-np.clip(s, -30, 30)) * 0.7 / 0.3)) < 1e-3
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) and r.predicted == int(r.score >= 0.3)
+
+
+def test_long_repeated_and_clashing_rows_score_alike(spark):
+    long = "word, another longer one. " * 40_000
+    rows = [(i, "A plain text of some words, well written.", 0.0, True, "f") for i in range(3)] + [(7, long, 0.0, True, "f")] * 2
+    docs = spark.createDataFrame(rows, "doc_id long, text string, score double, held_out boolean, id string")
+    labels = spark.createDataFrame([(i, int(i < 2), "t") for i in range(8)], "doc_id long, quality int, text string")
+    out = [(r.doc_id, r.score) for r in quality_scores(docs, labels).collect()]
+    assert len(out) == 5 and len({s for _, s in out}) == 2
+
+
 # ---- URL filter
 
 def test_rules_lists_and_odd_urls(spark):
