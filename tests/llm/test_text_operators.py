@@ -450,7 +450,13 @@ def test_rules_lists_and_odd_urls(spark):
     assert got == {
         0: ("a.org", "/x", "org/", "allow"), 1: ("example.org", "/es/1", "example.org/es/", "block"), 2: ("www.example.org", "/en/12", "example.org/en/1", "block"),
         3: ("m.site.com", "/fr/a", "com/fr/", "allow"), 4: ("com", "/de/", "com/de/", "block"), 5: ("", "", None, "allow"), 6: ("", "", None, "allow"),
-        7: ("", "", None, "allow"), 8: ("site.net", "/a/", None, "block"), 9: ("www.site.net", "/a", None, "block"), 10: ("site.net", "/c", None, "block"),
+        7: ("", "", None, "allow"), 8: ("site.net", "/a/", None, "allow"), 9: ("www.site.net", "/a", None, "block"), 10: ("site.net", "/c", None, "allow"),
         11: ("org", "", None, "allow"), 12: ("notexample.org.net", "/en/1", None, "allow")}
     assert judge_urls(docs.limit(0), repeated_urls(docs), URL_RULES).count() == 0
+    plain = repeated_urls(docs).select("canonical").unionByName(repeated_urls(docs).select("canonical"))  # a list without pages to keep
+    blocked = {r.page_id for r in judge_urls(docs, plain, URL_RULES).collect() if r.verdict == "block" and r.rule is None}
+    assert blocked == {8, 9, 10}
+    lost = spark.createDataFrame([(None, "http://z.net/a", "x"), (4, "http://z.net/a?ref=1", "x"), (None, None, "x")], "host long, url string, keep string")
+    got = judge_urls(lost, repeated_urls(lost, "host"), URL_RULES, id_col="host")
+    assert sorted(((r[0], r.listed, r.verdict) for r in got.collect()), key=str) == [(4, True, "allow"), (None, False, "allow"), (None, True, "block")]
     assert {r.verdict for r in judge_urls(docs, repeated_urls(docs.limit(0)), URL_RULES).collect() if r.rule is None} == {"allow"}

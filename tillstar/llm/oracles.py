@@ -82,14 +82,14 @@ q AS (
 c AS (
   SELECT *, CASE WHEN bare <> '' THEN bare || regexp_replace(path, '/+$', '')
                  || CASE WHEN len(kept) > 0 THEN '?' || array_to_string(kept, '&') ELSE '' END END AS canonical FROM q),
-listed AS (SELECT canonical FROM c WHERE canonical IS NOT NULL GROUP BY canonical HAVING count(*) > 1),
+listed AS (SELECT canonical, min(page_id) AS keep FROM c WHERE canonical IS NOT NULL GROUP BY canonical HAVING count(*) > 1),
 r(decision, name, start) AS (VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'),
                                     ('allow', 'com', '/fr/'), ('block', 'com', '/de/')),
 best AS (
   SELECT page_id, max_by(name || start, length(name || start)) AS rule, max_by(decision, length(name || start)) AS decision
   FROM c JOIN r ON (host = name OR ends_with(host, '.' || name)) AND starts_with(path, start) GROUP BY page_id)
 SELECT page_id, host, path, rule,
-       coalesce(decision, CASE WHEN listed.canonical IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict,
+       coalesce(decision, CASE WHEN listed.canonical IS NOT NULL AND page_id IS DISTINCT FROM keep THEN 'block' ELSE 'allow' END) AS verdict,
        listed.canonical IS NOT NULL AS listed
 FROM c LEFT JOIN best USING (page_id) LEFT JOIN listed ON listed.canonical = c.canonical
 """

@@ -55,7 +55,7 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The list: canonical URLs under which several pages stand."""
+    """The list: canonical URLs under which several pages stand; the page of the smallest id stays."""
     pages = _table(spark, sf_dir, "pages")
     return judge_urls(pages, repeated_urls(pages), URL_RULES)
 

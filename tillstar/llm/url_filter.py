@@ -59,32 +59,38 @@ def rule_for(host: Column, path: Column, rules: Sequence[Rule]) -> tuple[Column,
     return rule, verdict
 
 
-def repeated_urls(pages: DataFrame, url_col: str = "url") -> DataFrame:
-    """A list to filter by: the canonical URLs under which more than one row stands (mirrors and tracking variants)."""
-    canonical = pages.select(canonical_url(F.col(url_col)).alias("canonical")).filter("canonical is not null")
-    return canonical.groupBy("canonical").agg(F.count("*").alias("n")).filter("n > 1").select("canonical")
+def repeated_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
+    """A list to filter by: the canonical URLs under which more than one row stands (mirrors and tracking variants), each with
+    its smallest id, the page to keep."""
+    canonical = pages.select(canonical_url(F.col(url_col)).alias("canonical"), F.col(id_col).alias("keep")).filter("canonical is not null")
+    return canonical.groupBy("canonical").agg(F.count("*").alias("n"), F.min("keep").alias("keep")).filter("n > 1").select("canonical", "keep")
 
 
 def judge_urls(pages: DataFrame, listed: DataFrame, rules: Sequence[Rule], id_col: str = "page_id", url_col: str = "url") -> DataFrame:
     """One row per row of ``pages``: id, host, path, rule (or null), verdict, listed.
 
-    ``listed`` has one column of canonical URLs (nulls and repeats are ignored). A rule's verdict
+    ``listed`` has canonical URLs (nulls and repeats are ignored) and, if it has a second column, the id of the page that
+    stays although its URL is listed (null: none; of several the smallest). A rule's verdict
     wins; without a rule a listed URL is blocked and any other allowed. Null URLs and those without
     ``://`` have an empty host and path, fit no rule and are allowed. Rows may repeat, ids may be null,
     extra columns are ignored; an empty table gives an empty result, an empty list blocks nothing.
     """
-    listed = listed.toDF("canonical").filter("canonical is not null").distinct()
+    first, *keep = listed.columns
+    keep = F.col(keep[0]) if keep else F.lit(None)
+    id_type = pages.schema[id_col].dataType
+    listed = listed.filter(F.col(first).isNotNull()).groupBy(F.col(first).alias("canonical")).agg(F.min(keep.cast(id_type)).alias("keep"))
     listed = materialise(listed.withColumn("k", F.xxhash64("canonical")), "url-list", narrow=True)
     bloom = BloomFilter(listed, "k")
     url = F.col(url_col).cast("string")
     host, path = host_of(url), path_of(url)
     rule, verdict = rule_for(host, path, rules)
-    rows = pages.select(F.col(id_col).alias(id_col), host.alias("host"), path.alias("path"), rule.alias("rule"), verdict.alias("by_rule"),
+    rows = pages.select(F.col(id_col).alias("id"), host.alias("host"), path.alias("path"), rule.alias("rule"), verdict.alias("by_rule"),
                         canonical_url(url).alias("canonical"))
     may = F.col("canonical").isNotNull() & bloom.column(F.xxhash64("canonical"))
     rows = materialise(rows.withColumn("may", may), "url-rows")
-    exact = listed.select("canonical", F.lit(True).alias("hit"))
+    exact = listed.select("canonical", "keep", F.lit(True).alias("hit"))
     out = (rows.filter("may").join(exact, "canonical", "left").withColumn("listed", F.coalesce("hit", F.lit(False)))
            .unionByName(rows.filter("not may").withColumn("listed", F.lit(False)), allowMissingColumns=True))
-    method = F.when(F.col("listed"), "block").otherwise("allow")
-    return out.select(id_col, "host", "path", "rule", F.coalesce("by_rule", method).alias("verdict"), "listed")
+    kept = F.coalesce(F.col("id") == F.col("keep"), F.lit(False))
+    method = F.when(F.col("listed") & ~kept, "block").otherwise("allow")
+    return out.select(F.col("id").alias(id_col), "host", "path", "rule", F.coalesce("by_rule", method).alias("verdict"), "listed")
