@@ -1,16 +1,45 @@
 import itertools
+import random
 import re
 
 import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tillstar.llm.mixing import fit_remaining, mix, plan, targets
+from tillstar.llm.mixing import fit_remaining, mix, plan, ranked_sources
+from tillstar.llm.mixing import targets as spark_targets
 from tillstar.llm.queries import op8_source_mixing
 
 SMALL = "/root/testdata/sf0.001"
 
 
+def targets(sizes, weights, share, max_repeat):
+    """Plain computation: full sources are closed one round after another."""
+    budget, open_, out = share * sum(sizes), set(range(len(sizes))), [0.0] * len(sizes)
+    while open_:
+        unit = budget / sum(weights[i] for i in open_)
+        full = {i for i in open_ if unit * weights[i] > max_repeat * sizes[i]}
+        for i in full or open_:
+            out[i] = float(max_repeat * sizes[i]) if full else unit * weights[i]
+        budget -= sum(out[i] for i in full)
+        open_ = open_ - full if full else set()
+    return out
+
+
+def test_targets_of_many_sources(spark):
+    rng = random.Random(1)
+    for names, share in ((["a"], 1.5), ([f"host{i}.org" for i in range(300)] + [None, "", "\U0001f600", "\uffee", "Z"], 1.5), (["x", None, "y"], 0.1), (["x", "y"], 5.0)):
+        sizes = {s: rng.choice([0, 1, rng.randrange(10**6), 10**9]) for s in names}
+        order = sorted(names, key=lambda s: (s is None, s or ""))
+        df = spark.createDataFrame(list(sizes.items()), "source string, total long").repartition(5)
+        assert [r.source for r in ranked_sources(df).orderBy("rank").collect()] == order
+        assert sorted(r["rank"] for r in ranked_sources(df).collect()) == list(range(len(names)))
+        want = dict(zip(order, targets([sizes[s] for s in order], [(3, 1, 2)[i % 3] for i in range(len(order))], share, 2)))
+        got = {r.source: r.target for r in spark_targets(df, (3, 1, 2), share, 2).collect()}
+        assert set(got) == set(want) and all(abs(got[s] - want[s]) <= 1e-9 * max(1, want[s]) for s in want)
+    assert spark_targets(df.limit(0), (3, 1, 2), 1.5, 2).count() == 0
+
+
 def test_targets_reshare_the_excess():
     got = targets([10, 100, 100, 0], [3, 1, 2, 3], 1.5, 2)
     assert got[0] == 20 and got[3] == 0 and abs(sum(got) - 315) < 1e-9

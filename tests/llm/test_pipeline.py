@@ -1,5 +1,6 @@
 """Every stage on its own input, against a plain computation."""
 
+import os
 import zlib
 
 import numpy as np
@@ -10,6 +11,8 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from tillstar.llm.quality_rules import measure
+from tillstar.llm.storage import materialise, scratch
+from tillstar.session import work_root
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -90,6 +93,26 @@ def test_stages_on_empty_and_odd_documents(spark):
         assert bool(rows) == bool(docs.count())
 
 
+def test_run_equals_the_stages_and_leaves_the_token_files_alone(spark, stages):
+    folder = work_root(spark).removeprefix("file:") + "/tillstar"
+    before = set(os.listdir(folder))
+    result = corpus_pipeline.run(spark, SMALL)
+    assert {n.rsplit("-", 1)[0] for n in set(os.listdir(folder)) - before} == {"corpus-tokens"}
+    assert sorted(map(tuple, result.collect())) == sorted(map(tuple, stages[5]))
+
+
+def test_scratch_tables_go_even_after_an_error(spark):
+    folder = work_root(spark).removeprefix("file:") + "/tillstar"
+    before = set(os.listdir(folder))
+    with pytest.raises(KeyError), scratch(spark) as tables:
+        kept = materialise(spark.range(3), "kept")
+        tables.pop()
+        materialise(spark.range(5), "lost")
+        raise KeyError
+    assert kept.count() == 3 and {n.rsplit("-", 1)[0] for n in set(os.listdir(folder)) - before} == {"kept"}
+    materialise(spark.range(2), "outside")
+
+
 CLASHING = "size int, id string, kept int, n_words int, gone string, copy int, row_key long, same int, p0 int, text_ string"
 
 

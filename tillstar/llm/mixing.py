@@ -28,23 +28,38 @@ WEIGHTS = (3, 1, 2)
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def targets(sizes: list[int], weights: list[float], share: float, max_repeat: int) -> list[float]:
-    """Targets by weight that add up to ``share`` of all sizes, none above ``max_repeat`` times its size:
-    the excess of a full source is shared by weight among the others, until none is above."""
-    caps = [float(max_repeat * s) for s in sizes]
-    budget, open_, out = share * sum(sizes), list(range(len(sizes))), [0.0] * len(sizes)
-    while open_:
-        unit = budget / sum(weights[i] for i in open_)
-        full = [i for i in open_ if unit * weights[i] > caps[i]]
-        if not full:
-            for i in open_:
-                out[i] = unit * weights[i]
+def ranked_sources(totals: DataFrame) -> DataFrame:
+    """``totals`` (source, total) with the rank of each source in code-point order, null last, from 0.
+
+    The sources are sorted in ranges; a range's offset is the number of sources in the ranges before it (one row a range)."""
+    ranged = totals.repartitionByRange(F.col("source").isNull(), "source").withColumn("range", F.spark_partition_id())
+    ranged = materialise(ranged, "mix-sources")
+    before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = ranged.groupBy("range").agg(F.count("*").alias("n")).select(
+        F.col("range").alias("at"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
+    within = Window.partitionBy("range").orderBy(F.col("source").isNull(), "source")
+    placed = ranged.withColumn("place", F.row_number().over(within) - 1)
+    return placed.join(offsets, F.col("range") == F.col("at")).select("source", "total", (F.col("place") + F.col("offset")).alias("rank"))
+
+
+def targets(totals: DataFrame, weights: tuple, share: float, max_repeat: int) -> DataFrame:
+    """(source, total, target): targets by weight that add up to ``share`` of all sizes, none above ``max_repeat`` times its size.
+
+    ``unit`` is the words a unit of weight gets. A source whose part passes its cap is full; what it leaves is shared by weight among
+    the others, which raises the unit, until no further source is full. Every round is one aggregation of the sources to two sums.
+    """
+    weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.col("rank") % len(weights) + 1).cast("int"))
+    sources = materialise(ranked_sources(totals).select(
+        "source", "total", weight.alias("weight"), (F.col("total") * max_repeat).cast("double").alias("cap")), "mix-weights")
+    budget = share * (sources.agg(F.sum("total")).first()[0] or 0)
+    unit, full = 0.0, -1
+    while True:
+        is_full = F.col("weight") * unit > F.col("cap")
+        seen = sources.agg(F.count_if(is_full), F.sum(F.when(is_full, F.col("cap"))), F.sum(F.when(~is_full, F.col("weight")))).first()
+        if seen[0] == full or not seen[2]:
             break
-        for i in full:
-            out[i] = caps[i]
-            budget -= caps[i]
-        open_ = [i for i in open_ if i not in set(full)]
-    return out
+        full, unit = seen[0], (budget - (seen[1] or 0.0)) / seen[2]
+    return sources.select("source", "total", F.least(F.col("weight") * unit, "cap").alias("target"))
 
 
 def fit_remaining(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
@@ -106,11 +121,10 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     all words. The size is the number of words between ASCII white space (null: 0); documents of
     no words are never taken. Repeated rows are chosen one by one, rows without id by their place. An empty table gives an empty result. Extra columns are ignored.
 
-    What reaches the driver is one total per source; counts by length of one source meet in one
+    What reaches the driver are sums over all sources, so sources may be as many as domains; counts by length of one source meet in one
     task (lengths, not documents). Within a length the documents are dealt into hash buckets that
     are taken whole, and only one bucket is ordered, so a length that holds a third of all rows is spread.
     """
-    spark = docs.sparkSession
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"),
                        F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"))
@@ -120,11 +134,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     rows = materialise(rows.withColumn("bucket", F.pmod(F.shiftright("h", 20), F.lit(HASH_BUCKETS))), "mix-rows")
     counts = materialise(rows.groupBy("source", "size").agg(F.count("*").alias("n")), "mix-counts", narrow=True)
 
-    totals = [tuple(r) for r in counts.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("total")).collect()]
-    totals.sort(key=lambda r: (r[0] is None, r[0] or ""))
-    goal = targets([t for _, t in totals], [weights[i % len(weights)] for i in range(len(totals))], share, max_repeat)
-    plans = spark.createDataFrame([(s, t, g) for (s, t), g in zip(totals, goal)],
-                                  "of string, source_size long, target double")
+    plans = targets(counts.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("total")), weights, share, max_repeat)
+    plans = plans.select(F.col("source").alias("of"), F.col("total").alias("source_size"), "target")
 
     def fitted(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("size")

@@ -2,14 +2,32 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
-from tillstar.session import fresh_path
+from pyspark.sql import DataFrame, SparkSession
 
+from tillstar.session import fresh_path, remove_path
 
+_made: ContextVar[list[str] | None] = ContextVar("made", default=None)
 TIDY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[list[str]]:
+    """Tables written by ``materialise`` inside are removed at the end, also after an error; a result that reads them is written
+    inside. A table taken out of the list yielded stays."""
+    made: list[str] = []
+    outer = _made.set(made)
+    try:
+        yield made
+    finally:
+        _made.reset(outer)
+        for path in made:
+            remove_path(spark, path)
+
+
 def materialise(df: DataFrame, name: str, narrow: bool = False, tidy: bool = False) -> DataFrame:
     """Write ``df`` as Parquet under the session's checkpoint folder and read it back.
 
@@ -19,6 +37,8 @@ def materialise(df: DataFrame, name: str, narrow: bool = False, tidy: bool = Fal
     """
     spark = df.sparkSession
     path = fresh_path(spark, name)
+    if (made := _made.get()) is not None:
+        made.append(path)
     out = df.coalesce(3 * spark.sparkContext.defaultParallelism) if narrow else df
     before = spark.conf.get(TIDY) if tidy else None
     try:
