@@ -2,7 +2,7 @@
 
 Each stage takes (spark, docs, sf_dir) and works on all that the stage before kept; all but the
 last return the columns of ``documents`` (and any further ones the table has, whatever their names). ``run`` writes
-each stage to the shared folder. An empty table passes through; texts of any length are taken whole.
+each stage to the shared folder, and removes what no later stage reads. An empty table passes through; texts of any length are taken whole.
 
 A row is told from others by a key of its id and text, so documents that share an id but not the text, and those without id, are
 judged, kept and taken each by itself. Rows equal in both are one document: the second stage keeps one of them.
@@ -22,9 +22,9 @@ from tillstar.llm.near_dedup import near_duplicates
 from tillstar.llm.quality_rules import quality_rules
 from tillstar.llm.selection import without
 from tillstar.llm.shingles import LEAN
-from tillstar.llm.storage import materialise
+from tillstar.llm.storage import materialise, scratch
 from tillstar.llm.token_output import read_documents, write_token_files
-from tillstar.session import fresh_path
+from tillstar.session import fresh_path, remove_path
 
 TOKENIZER, END_ID = "word_bpe_49k.json", 1
 
@@ -112,10 +112,18 @@ ORACLE_SQL = None  # SQL has no tokenizer and no seeded choice of documents
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
-    for name, stage in STAGES[:-1]:
-        docs = materialise(stage(spark, docs, sf_dir), name)
-    return STAGES[-1][1](spark, docs, sf_dir)
+    """The stages one after another; a stage's tables, and its input if that is the output of the stage before, are removed once its output stands."""
+    docs, before = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet"), None
+    for name, stage in STAGES:
+        with scratch(spark) as tables:
+            docs = stage(spark, docs, sf_dir)
+            if name != STAGES[-1][0]:  # the last stage has written its files
+                docs = materialise(docs, name)
+                output = tables.pop()
+        if before:
+            remove_path(spark, before)
+        before = output
+    return docs
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
