@@ -10,10 +10,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from tillstar.llm.shingles import release_memory
+from tillstar.llm.shingles import lean, release_memory
 
 SPACES = " \t\n\v\f\r"
-MAX_CACHED_BYTES = 12 << 20  # of remembered words and their ids; looking words up takes a few times that for a moment
+MAX_CACHED_BYTES, LEAN_CACHED_BYTES = 12 << 20, 3 << 20  # of remembered words and their ids; looking words up takes a few times that for a moment
 LIBRARY_BATCH = 5_000
 RUN_BYTES = 8 << 20  # of text whose words are numbered at a time
 SEPARATORS = ("§", "¶", "†", "※", "•", "|")
@@ -104,7 +104,7 @@ class WordEncoder:
         parts = pa.concat_arrays(_parts(words.dictionary)).dictionary_encode()
         distinct = parts.dictionary
         found = pc.index_in(distinct, value_set=self.words)
-        if self.words.nbytes + self.flat.nbytes + self.sizes.nbytes > MAX_CACHED_BYTES:
+        if self.words.nbytes + self.flat.nbytes + self.sizes.nbytes > (LEAN_CACHED_BYTES if lean() else MAX_CACHED_BYTES):
             self._keep(found.drop_null())
             found = pc.index_in(distinct, value_set=self.words)
         if found.null_count:
