@@ -41,17 +41,20 @@ def _sortable(df: DataFrame, name: str, desc: bool) -> list[Column]:
 def latest_per_key(df: DataFrame, keys: list[str], order: list[tuple[str, bool]]) -> DataFrame:
     """One row per ``keys``: the first row by ``order`` = [(column, descending), ...].
 
-    Remaining ties are broken by the whole row, so the result is deterministic.
+    Remaining ties are broken by the whole row, so the result is deterministic. A column in ascending order
+    is sent once: it is taken from the order fields.
     """
-    payload = [c for c in df.columns if c not in keys]
-    ord_fields = []
+    ord_fields, carried = [], {}
     for i, (name, desc) in enumerate(order):
         for j, e in enumerate(_sortable(df, name, desc)):
             ord_fields.append(e.alias(f"_o{i}_{j}"))
-    best = F.min(F.struct(*ord_fields, F.struct(*payload).alias("_row"))).alias("_best")
-    return (df.groupBy(*keys).agg(best)
-            .select(*keys, *[F.col(f"_best._row.{c}").alias(c) for c in payload])
-            .select(*df.columns))
+        if not desc:
+            carried.setdefault(name, f"_o{i}_{j}")
+    payload = [c for c in df.columns if c not in keys and c not in carried]
+    row = [F.struct(*payload).alias("_row")] if payload else []
+    best = F.min(F.struct(*ord_fields, *row)).alias("_best")
+    found = {c: F.col(f"_best.{carried[c]}" if c in carried else f"_best._row.{c}").alias(c) for c in df.columns if c not in keys}
+    return df.groupBy(*keys).agg(best).select(*[found.get(c, c) for c in df.columns])
 
 
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:

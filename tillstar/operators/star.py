@@ -248,18 +248,12 @@ def build_fact(stg_tx: DataFrame, user: DataFrame, merchant: DataFrame, agency:
             "merchant": (merchant, "merchant_id", "merchant_id"), "agency": (agency, "agency_id", "agency_id")}
     nodes = F.broadcast(node.select(F.col("node_id").alias("_nid"), "node_key"))
     j = t.join(nodes, t["node_id"] == nodes["_nid"], "inner")
-    for name in lookups:
-        dim, natural, of = dims[name]
-        keys = dim.select(F.col(natural).alias(f"_{name}"), F.col(f"{name}_key"))
-        j = j.join(keys, lookup_key(of) == keys[f"_{name}"], "left")
-
-    fact = j.select(
+    # Texts become typed columns before the lookups, whose shuffles so carry no more than the columns that are asked for.
+    j = j.select(
         F.col("id").alias("tx_pk"),
-        F.col("id").alias("transaction_id"),
         F.col("reference"),
         F.col("idempotency_key"),
-        date_key(F.col("transaction_date").cast("date")).alias("date_key"),
-        *[F.coalesce(f"{name}_key", F.lit(UNKNOWN_KEY).cast("bigint")).alias(f"{name}_key") for name in LOOKUPS if name in lookups],
+        *[F.col(dims[name][2]).cast("bigint").alias(f"_of_{name}") for name in lookups],
         F.col("node_key"),
         resolve_amount(strategy).alias("amount"),
         fee_or_zero("fee").alias("fee"),
@@ -273,18 +267,35 @@ def build_fact(stg_tx: DataFrame, user: DataFrame, merchant: DataFrame, agency:
         blank_to_null("channel").alias("channel"),
         blank_to_null("device_type").alias("device_type"),
         F.col("sync_status"),
-        (F.col("sync_status") == "CONFLICT").alias("is_conflict"),
-        (F.col("sync_status") == "LAGGING").alias("is_lagging"),
-        (F.col("sync_status") == "PENDING").alias("is_pending_sync"),
         cross_dc_flag("datacenter", "_nid").alias("is_cross_dc"),
         F.col("transaction_date").cast("date").alias("transaction_date"),
         blank_to_null("transaction_time").alias("transaction_time"),
-        hour_of_time_text("transaction_time").alias("tx_hour"),
         guarded_cast("created_at", "timestamp").alias("created_at"),
         guarded_cast("updated_at", "timestamp").alias("updated_at"),
         guarded_cast("completed_at", "timestamp").alias("completed_at"),
         guarded_cast("last_synced_at", "timestamp").alias("last_synced_at"),
     )
+    for name in lookups:
+        dim, natural, _ = dims[name]
+        keys = dim.select(F.col(natural).alias(f"_{name}"), F.col(f"{name}_key"))
+        j = j.join(keys, lookup_key(f"_of_{name}", "tx_pk") == keys[f"_{name}"], "left")
+
+    fact = j.select(
+        "tx_pk",
+        F.col("tx_pk").alias("transaction_id"),
+        "reference",
+        "idempotency_key",
+        date_key("transaction_date").alias("date_key"),
+        *[F.coalesce(f"{name}_key", F.lit(UNKNOWN_KEY).cast("bigint")).alias(f"{name}_key") for name in LOOKUPS if name in lookups],
+        "node_key", "amount", "fee", "total_amount", "balance_before", "balance_after", "risk_score",
+        "transaction_type", "status", "failure_reason", "channel", "device_type", "sync_status",
+        (F.col("sync_status") == "CONFLICT").alias("is_conflict"),
+        (F.col("sync_status") == "LAGGING").alias("is_lagging"),
+        (F.col("sync_status") == "PENDING").alias("is_pending_sync"),
+        "is_cross_dc", "transaction_date", "transaction_time",
+        hour_of_time_text("transaction_time").alias("tx_hour"),
+        "created_at", "updated_at", "completed_at", "last_synced_at",
+    )
     if strategy == "exclude":
         fact = fact.filter(~F.col("is_conflict"))
     return fact

@@ -83,37 +83,22 @@ def fx_agency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return known.unionByName(unknown)
 
 
-def _lineitem_tx(li: DataFrame) -> DataFrame:
-    """Transaction columns that depend on lineitem only."""
+def _versions(li: DataFrame) -> DataFrame:
+    """Transaction versions as the few columns that the others follow from (``_transactions``): these are what is shuffled."""
     ok, ln = F.col("l_orderkey"), F.col("l_linenumber")
-    pk, sk = F.col("l_partkey"), F.col("l_suppkey")
     price = F.col("l_extendedprice")
     amount = price.cast(MONEY)
-    node_amounts = (ok % 64 == 0) & (pk % 75 == 0)
-    by_line = (F.when(ln == 1, "TRF").when(ln == 2, "DEP").when(ln == 3, "WIT").when(ln == 4, "PAY")
-               .when(ln == 5, "BIL").when(ln == 6, "AIR").otherwise("SAL"))
     returned = F.col("l_returnflag") == "R"
+    node_amounts = (ok % 64 == 0) & (F.col("l_partkey") % 75 == 0)
     return li.select(
         ok, ln,
         (ok * 8 + ln).alias("tx_id"),
-        F.when(ok % 50 == 7, "REV").otherwise(by_line).alias("transaction_type"),
-        F.when(ln == 4, pk).otherwise(F.lit(-1).cast("bigint")).alias("merchant_key"),
-        F.when(ln.isin(2, 3), sk).otherwise(F.lit(-1).cast("bigint")).alias("agency_key"),
-        (F.lit(1) + (sk % 5).cast("int")).alias("node_key"),
-        F.when(pk % 50 == 0, "DC-NDB").when(sk % 5 < 2, "DC-NDB").when(sk % 5 < 4, "DC-NKC-PRIMARY")
-         .otherwise("DC-NKC-SECONDARY").alias("datacenter"),
         amount.alias("amount"),
         F.when((ok * 8 + ln) % 29 != 0, (amount * F.col("l_tax").cast("decimal(4,2)")).cast(MONEY)).alias("fee"),
-        F.when(returned, "FAILED").otherwise("SUCCESS").alias("status"),
-        F.when(~returned, F.lit(None).cast("string"))
-         .when(sk % 20 < 16, "INSUFFICIENT_BALANCE").when(sk % 20 == 16, "INSUF_BAL")
-         .when(sk % 20 == 17, "LIMIT_DAY").when(sk % 20 == 18, "WRONG_PIN").otherwise("  ")
-         .alias("failure_reason"),
-        F.when(ok % 64 == 0, "CONFLICT").when(ok % 64 == 1, "LAGGING").when(ok % 64 == 2, "PENDING")
-         .otherwise("SYNCED").alias("sync_status"),
+        F.coalesce(~returned, F.lit(True)).alias("succeeded"), returned.isNull().alias("unflagged"),
         F.when(node_amounts, (price + 10).cast(MONEY)).alias("amount_node_a"),
         F.when(node_amounts, (price - 10).cast(MONEY)).alias("amount_node_b"),
-        F.col("l_shipdate").alias("updated_at"), pk, sk, F.col("l_quantity"),
+        F.col("l_shipdate").alias("updated_at"), "l_partkey", "l_suppkey", "l_quantity",
     )
 
 
@@ -125,17 +110,44 @@ TX_COLUMNS = ["tx_id", "user_key", "transaction_type", "merchant_key", "agency_k
 # Version order of a transaction id: latest update first, then a total tie-break.
 TX_VERSION_ORDER = [("updated_at", True), ("l_partkey", False), ("l_suppkey", False),
                     ("amount", False), ("l_quantity", False), ("status", False)]
+# The same over ``_versions``: FAILED sorts before SUCCESS, false before true.
+VERSION_ORDER = [*TX_VERSION_ORDER[:-1], ("succeeded", False)]
 
 
-def _with_orders(tx: DataFrame, orders: DataFrame) -> DataFrame:
+def _with_orders(versions: DataFrame, orders: DataFrame) -> DataFrame:
     o = orders.select(F.col("o_orderkey"), F.col("o_custkey").alias("user_key"),
                       F.col("o_orderdate").cast("date").alias("transaction_date"))
-    return tx.join(o, tx["l_orderkey"] == o["o_orderkey"]).select(*TX_COLUMNS)
+    return _transactions(versions.join(o, versions["l_orderkey"] == o["o_orderkey"]))
+
+
+def _transactions(v: DataFrame) -> DataFrame:
+    """All transaction columns of versions that met their order."""
+    ok, ln = F.col("l_orderkey"), F.col("l_linenumber")
+    pk, sk = F.col("l_partkey"), F.col("l_suppkey")
+    by_line = (F.when(ln == 1, "TRF").when(ln == 2, "DEP").when(ln == 3, "WIT").when(ln == 4, "PAY")
+               .when(ln == 5, "BIL").when(ln == 6, "AIR").otherwise("SAL"))
+    return v.select(
+        "tx_id", "user_key",
+        F.when(ok % 50 == 7, "REV").otherwise(by_line).alias("transaction_type"),
+        F.when(ln == 4, pk).otherwise(F.lit(-1).cast("bigint")).alias("merchant_key"),
+        F.when(ln.isin(2, 3), sk).otherwise(F.lit(-1).cast("bigint")).alias("agency_key"),
+        (F.lit(1) + (sk % 5).cast("int")).alias("node_key"),
+        F.when(pk % 50 == 0, "DC-NDB").when(sk % 5 < 2, "DC-NDB").when(sk % 5 < 4, "DC-NKC-PRIMARY")
+         .otherwise("DC-NKC-SECONDARY").alias("datacenter"),
+        "amount", "fee",
+        F.when(~F.col("succeeded"), "FAILED").otherwise("SUCCESS").alias("status"),
+        F.when(F.col("succeeded") & ~F.col("unflagged"), F.lit(None).cast("string"))
+         .when(sk % 20 < 16, "INSUFFICIENT_BALANCE").when(sk % 20 == 16, "INSUF_BAL")
+         .when(sk % 20 == 17, "LIMIT_DAY").when(sk % 20 == 18, "WRONG_PIN").otherwise("  ")
+         .alias("failure_reason"),
+        F.when(ok % 64 == 0, "CONFLICT").when(ok % 64 == 1, "LAGGING").when(ok % 64 == 2, "PENDING")
+         .otherwise("SYNCED").alias("sync_status"),
+        "amount_node_a", "amount_node_b", "transaction_date", "updated_at", pk, sk, "l_quantity").select(*TX_COLUMNS)
 
 
 def fx_tx_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All transaction versions (ids repeat: several versions of one transaction)."""
-    return _with_orders(_lineitem_tx(load(spark, sf_dir, "lineitem")), load(spark, sf_dir, "orders"))
+    return _with_orders(_versions(load(spark, sf_dir, "lineitem")), load(spark, sf_dir, "orders"))
 
 
 def fx_tx(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -143,10 +155,9 @@ def fx_tx(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     The version order only uses lineitem columns, so the dedup runs before the
     join with orders (fewer rows into the join); it is a partial aggregate, safe
-    for hot ids.
+    for hot ids. Texts and other derived columns are made after both shuffles.
     """
-    tx = _lineitem_tx(load(spark, sf_dir, "lineitem"))
-    latest = latest_per_key(tx, ["tx_id"], TX_VERSION_ORDER)
+    latest = latest_per_key(_versions(load(spark, sf_dir, "lineitem")), ["tx_id"], VERSION_ORDER)
     return _with_orders(latest, load(spark, sf_dir, "orders"))
 
 
