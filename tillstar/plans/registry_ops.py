@@ -315,6 +315,9 @@ def export_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Guarded CSV exports with an audit row each (alert above 10,000 rows,
     refused above 50,000; the audit row has the true count)."""
     s = fx.fixture_star(spark, sf_dir)
+    path = fresh_path(spark, "export-fact")  # the warehouse's fact, which all requests read
+    s.fact.select("tx_pk", "transaction_date", "amount", "user_key", "is_conflict").write.parquet(path)
+    s = s.with_fact(spark.read.parquet(path))
     reqs = [("top_wilaya", marts.q4_top_wilaya(s)),
             ("dim_user_masque", gov.masked_users(s.user, "analyste_junior")),
             ("fact_transactions", s.fact.select("tx_pk", "transaction_date", "amount"))]
