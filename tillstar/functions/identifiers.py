@@ -27,10 +27,22 @@ def _codes(c: Column) -> Column:
     return F.transform(F.sequence(F.lit(1), F.length(c)), lambda i: F.ascii(F.substr(c, i, F.lit(1))))
 
 
+PIECE, PIECES = 15, 5  # digits taken at a time with the remainder so far (a long), and pieces of the longest account number
+
+
 def mod97(c: Column) -> Column:
-    """Remainder modulo 97 of the number that digits and letters (A = 10 ... Z = 35) spell."""
-    return F.aggregate(_codes(c), F.lit(0), lambda acc, code: F.when(code <= 57, (acc * 10 + code - 48) % 97)
-                       .otherwise((acc * 100 + code - 55) % 97))
+    """Remainder modulo 97 of the number that digits and letters (A = 10 ... Z = 35) spell.
+
+    Numbers of up to 75 digits (any account number) go by pieces of 15 digits; what else there may be, sign by sign."""
+    spelt = c
+    for i in range(26):
+        spelt = F.replace(spelt, F.lit(chr(65 + i)), F.lit(str(10 + i)))
+    rest = F.lit("")
+    for i in range(PIECES):
+        rest = (F.concat(F.lit("0"), rest, F.substr(spelt, F.lit(1 + i * PIECE), F.lit(PIECE))).cast("long") % 97).cast("string")
+    by_sign = F.aggregate(_codes(c), F.lit(0), lambda acc, code: F.when(code <= 57, (acc * 10 + code - 48) % 97)
+                          .otherwise((acc * 100 + code - 55) % 97))
+    return F.when(c.rlike("^[0-9A-Z]+$") & (F.length(spelt) <= PIECE * PIECES), rest.cast("int")).otherwise(by_sign)
 
 
 def iban_valid(hit: Column) -> Column:

@@ -76,25 +76,31 @@ PII_PATTERNS = {
 }
 
 
+# What a text must hold for a pattern to have a hit at all; other texts are not matched.
+PII_NEEDS = {"EMAIL": "@", "PHONE": "[0-9]{2}", "NNI": "[0-9]{8}", "IBAN": "[A-Z]{2}[0-9]{2}", "CARD": "[0-9]{4}"}
+
+
 def pii_scan(df: DataFrame, table_name: str, columns: list[str] | None = None) -> DataFrame:
     """Per (column, pii_type): rows with at least one hit, all hits, and the hits that are well formed (check digits,
     lengths, numbering plans: ``functions/identifiers.py``); the rest is malformed.
 
-    One pass over the table: the matches of each (column, pattern) are extracted once and counted inside a
-    single aggregate, unpivoted afterwards. Whole texts are scanned.
+    One pass over the table: the matches of each (column, pattern) are extracted once (a projection of their own, as the checks
+    within a lambda share no expressions) and counted inside a single aggregate, unpivoted afterwards. Whole texts are scanned.
     """
     cols = columns or [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    found, aggs, rows = [], [], []
+    matches, found, aggs, rows = [], [], [], []
     for i, c in enumerate(cols):
         for j, (kind, pat) in enumerate(PII_PATTERNS.items()):
-            hits = F.coalesce(F.regexp_extract_all(F.col(c), F.lit(pat), F.lit(0)), F.array().cast("array<string>"))
+            named = F.when(F.col(c).rlike(PII_NEEDS[kind]), F.regexp_extract_all(F.col(c), F.lit(pat), F.lit(0)))
+            matches.append(F.coalesce(named, F.array().cast("array<string>")).alias(f"m{i}_{j}"))
+            hits = F.col(f"m{i}_{j}")
             found.append(F.struct(F.size(hits).alias("n"), F.size(F.filter(hits, VALID[kind])).alias("valid")).alias(f"f{i}_{j}"))
             n = F.col(f"f{i}_{j}.n")
             aggs += [F.sum(F.when(n > 0, 1).otherwise(0)).cast("bigint").alias(f"r{i}_{j}"), F.sum(n).cast("bigint").alias(f"h{i}_{j}"),
                      F.sum(f"f{i}_{j}.valid").cast("bigint").alias(f"v{i}_{j}")]
             rows.append(F.struct(F.lit(c).alias("column_name"), F.lit(kind).alias("pii_type"), F.col(f"r{i}_{j}").alias("nb_rows"),
                                  F.col(f"h{i}_{j}").alias("nb_hits"), F.col(f"v{i}_{j}").alias("nb_valid")))
-    return (df.select(*found).agg(*aggs).select(F.explode(F.array(*rows)).alias("x"))
+    return (df.select(*matches).select(*found).agg(*aggs).select(F.explode(F.array(*rows)).alias("x"))
             .select(F.lit(table_name).alias("table_name"), "x.*"))
 
 
