@@ -73,3 +73,12 @@ def test_remainders_and_needs_of_identifiers(spark):
     rows = spark.createDataFrame([(t,) for t in samples], "t string")
     got = {r.pii_type: r.nb_hits for r in gov.pii_scan(rows, "x").collect()}
     assert got == {k: sum(len(re.findall(f"(?:{p})", t)) for t in samples if t) for k, p in gov.PII_PATTERNS.items()}
+
+
+def test_staging_text_is_written_compressed_and_read_back(spark):
+    from tillstar.sources import csv_staging
+    rows = [(i, None if i % 3 else " padded, \"quoted\" ") for i in range(2000)]
+    df = spark.createDataFrame(rows, "id long, t string")
+    path = csv_staging.write_staging_csv(df, fresh_path(spark, "staging"))
+    assert all(r.path.endswith(".csv.snappy") for r in spark.read.format("binaryFile").load(path).select("path").collect())
+    assert sorted(map(tuple, csv_staging.read_staging(spark, path, csv_staging.text_schema(df)).collect())) == sorted(rows, key=lambda r: r[0])
