@@ -113,6 +113,19 @@ def test_tokenizers_that_keep_case_and_spaces_are_used_on_whole_texts():
     assert encoder.counts(pa.array(texts)).tolist() == [len(ids) for ids in want]
 
 
+def test_lean_tasks_of_a_worker_share_the_tokenizer_and_forget_the_words(monkeypatch):
+    import tillstar.llm.token_output as output
+    import tillstar.llm.tokens as tokens
+    monkeypatch.setattr(output, "lean", lambda: True)
+    loaded = tokens.tokenizer(PATH)
+    for text in ["one two three", "four five", "one six"]:
+        rows = pa.RecordBatch.from_arrays([pa.array([0], pa.int32()), pa.array([7]), pa.array([text])], names=["shard", "id", "text"])
+        blocks = [b.to_pylist()[0] for b in output._blocks(PATH, 1, 64)([rows])]
+        assert [unpack(b["payload"], b["n_ids"], b["bits"]).tolist() for b in blocks] == [[*direct(text), 1]]
+        assert tokens.tokenizer(PATH) is loaded and word_encoder(PATH).library is loaded
+        assert len(word_encoder(PATH).words) == 0
+
+
 def test_a_full_memory_starts_anew(monkeypatch):
     import tillstar.llm.tokens as tokens
     monkeypatch.setattr(tokens, "MAX_CACHED_BYTES", 200)

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillstar.llm.shingles import lean, slices
-from tillstar.llm.tokens import RUN_BYTES, release_encoders, word_encoder
+from tillstar.llm.tokens import RUN_BYTES, release_words, word_encoder
 
 BLOCK_IDS = 65_536
 
@@ -81,8 +81,7 @@ def _blocks(path: str, end_id: int, block_ids: int):
         if doc_ids:
             yield closed(shard)
         if lean():
-            del encoder
-            release_encoders()
+            release_words(path)
 
     return run
 

@@ -55,7 +55,7 @@ class WordEncoder:
         alone = ((mark, self._ids([mark])[0]) for mark in SEPARATORS)
         self.mark, self.mark_id = next(((m, ids[0]) for m, ids in alone if len(ids) == 1), (None, None))
         self.by_words = self.mark is not None and self._splits_at_spaces()
-        self._forget()
+        self.forget()
 
     def _splits_at_spaces(self) -> bool:
         """Whether the library gives a probe of many kinds of words the ids of its words in turn, folded or not."""
@@ -63,7 +63,7 @@ class WordEncoder:
         whole, upper, *alone = self._ids([PROBE.replace(" ", " \n\t "), PROBE.upper(), *words])
         return whole == [i for ids in alone for i in ids] and upper == self._ids([PROBE.lower()])[0]
 
-    def _forget(self) -> None:
+    def forget(self) -> None:
         self.words, self.flat, self.sizes = pa.array([], pa.string()), np.empty(0, "<u4"), np.empty(0, np.int64)
 
     def _keep(self, places: pa.Array) -> None:
@@ -148,8 +148,8 @@ def word_encoder(path: str) -> WordEncoder:
     return WordEncoder(path)
 
 
-def release_encoders() -> None:
-    """Give back what this worker holds for encoding (a later task of the same worker loads it again)."""
-    word_encoder.cache_clear()
-    tokenizer.cache_clear()
+def release_words(path: str) -> None:
+    """Give back the words this worker remembers for a tokenizer file. The tokenizer itself (some 15 MB) stays: the library keeps
+    almost 4 MB of every one that has encoded and is loaded again, so a worker would grow with its tasks."""
+    word_encoder(path).forget()
     release_memory()
