@@ -3,12 +3,15 @@
 import random
 import re
 import zlib
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from tillstar.llm import passage_dedup
 from tillstar.llm.decontaminate import contaminated, tile, tile_shared
 from tillstar.llm.license_scan import BASE_PHRASES, MORE_PHRASES, evaluate, known_identifiers, label_of, license_scan, scan, to_postfix
 from tillstar.llm.passage_dedup import remove_passages, repeated_passages
@@ -320,6 +323,38 @@ def found_passages(found):
     return sorted(((r.doc_id, r.start, r.end, r.n_units, r.n_words, r.keep_doc_id) for r in found.collect()), key=str)
 
 
+PASSAGE_TEXT = st.text(alphabet=st.sampled_from(list("ab D.!?\n\r\té字。アŁ9\x00")), max_size=40)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(PASSAGE_TEXT, min_size=1, max_size=6), st.sampled_from([1, 2, 10]), st.sampled_from([2, 3, 8]))
+def test_units_of_a_run_of_texts_equal_those_of_each_text(texts, line_words, break_every):
+    got = {at: [] for at in range(len(texts))}
+    for numbers, run, words in passage_dedup._runs(texts, break_every):
+        text, place, starts, ends, before, count, alone = passage_dedup._places(words, *passage_dedup._units(words, line_words))
+        for k, *unit in zip(text.tolist(), place.tolist(), starts.tolist(), ends.tolist(), before.tolist(), count.tolist(), alone.tolist()):
+            if run is not None:
+                unit[1:3] = (len(run[words.opens[k]:at].decode()) for at in unit[1:3])
+            got[numbers[k]].append(unit)
+    for at, text in enumerate(texts):
+        pieces, whole = brute_units(text, line_words, break_every)
+        want = [[place, *unit[:3], len(unit[3]), place >= len(pieces)] for place, unit in enumerate(pieces + whole)]
+        assert sorted(got[at]) == want
+
+
+def test_the_steps_of_a_run_of_texts_do_not_grow_with_their_number(monkeypatch):
+    calls = []
+    monkeypatch.setattr(passage_dedup, "mix", lambda x: calls.append(1) or mix(x))
+    made = []
+    for n in (2, 500):
+        calls.clear()
+        batches = [pa.RecordBatch.from_arrays([pa.array(range(n)), pa.array([f"text {i} has words. And more" for i in range(n)])], names=["row", "text"])]
+        docs = SimpleNamespace(select=lambda *c: SimpleNamespace(mapInArrow=lambda run, schema: list(run(batches))))
+        assert sum(b.num_rows for b in passage_dedup._halves(docs, 10, 10**9)) == 2 * n
+        made.append(len(calls))
+    assert made[0] == made[1]
+
+
 @pytest.mark.parametrize("table", [SMALL, MEDIUM])
 def test_passages_of_a_given_table_equal_brute_force(spark, table):
     docs = spark.read.parquet(f"{table}/documents.parquet")

@@ -16,10 +16,11 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -31,9 +32,9 @@ from tillstar.llm.storage import materialise
 MIN_WORDS = 25
 LINE_WORDS = 10  # whole lines from here on go when they repeat; shorter ones are mostly headings, greetings and list items
 BREAK_EVERY = 8
+RUN_BYTES = 2 << 20  # of text whose units are found at a time
 
 _STOP = re.compile(r"[.!?](?=[ \t\n\v\f\r])|[。！？｡]")
-_WIDE_STOP = re.compile("[。！？｡]")
 _NEWLINE = re.compile("\n")
 #: Han and kana are written without spaces: each such character is a word. Their punctuation parts words.
 _WIDE_WORD = "々-〇ぁ-ゟァ-ヺー-ヿ㐀-䶿一-鿿豈-﫿ｦ-ﾟ\U00020000-\U0003ffff"
@@ -50,91 +51,113 @@ def passage_words(text: str) -> list[bytes]:
     return [found.group().encode().translate(FOLD) for found in _WIDE_TOKEN.finditer(text)]
 
 
-def _word_spans(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """Start and end of every word of ``passage_words`` in characters of the original text."""
-    if not text.isascii() and _WIDE.search(text):
-        spans = np.array([found.span() for found in _WIDE_TOKEN.finditer(text)], np.int64).reshape(-1, 2)
-        return spans[:, 0], spans[:, 1]
-    text = text.encode()
-    inside = np.zeros(len(text) + 2, np.int8)
-    inside[1:-1] = np.frombuffer(text.translate(FOLD), np.uint8) != 32
-    edges = np.flatnonzero(np.diff(inside))
-    if not text.isascii():
-        characters = np.zeros(len(text) + 1, np.int64)
-        np.cumsum((np.frombuffer(text, np.uint8) & 0xC0) != 0x80, out=characters[1:])
-        edges = characters[edges]
-    return edges[::2], edges[1::2]
-
-
-def _digests(hashes: np.ndarray, first: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """128 bits over (place, word) of every range of words."""
-    if not len(first):
-        return np.empty(0, np.uint64), np.empty(0, np.uint64)
-    place = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-    words = hashes[np.repeat(first, count) + place]
-    keys = mix((place + 1).astype(np.uint64) * _STEP)
-    at = np.cumsum(count) - count
-    return tuple(mix(np.add.reduceat(mix(x), at)) for x in (words + keys, words * _STEP ^ mix(keys)))
+class Words(NamedTuple):
+    """The words of a run of texts that stand one after the other, each ended by a newline that is none of its own. Places are
+    bytes of the run, or characters where a text is a run by itself."""
+    begin: np.ndarray
+    hashes: np.ndarray
+    breaks: np.ndarray  # whether a break follows the word
+    opens: np.ndarray  # places where the texts begin and end
+    closes: np.ndarray
+    stops: np.ndarray  # places right after sentence ends and right after newlines
+    lines: np.ndarray
 
 
 _STOPS = np.isin(np.arange(256), list(b".!?"))
 _SPACES = np.isin(np.arange(256), list(b" \t\n\v\f\r"))
 
 
-def _all_hashes(texts: list[str]) -> list[np.ndarray]:
-    """The hashes of the words of each text. Arrow numbers the words of all texts, each distinct word is hashed once."""
-    wide = [bool(not text.isascii() and _WIDE.search(text)) for text in texts]
-    folded = pa.array([b"" if w else text.encode().translate(FOLD) for text, w in zip(texts, wide)], pa.binary()).cast(pa.string())
-    split = pc.ascii_split_whitespace(folded)
-    words = split.flatten()
-    real = pc.greater(pc.binary_length(words), 0).to_numpy(zero_copy_only=False)
-    ends = np.append(0, np.cumsum(real))[np.append(0, np.cumsum(split.value_lengths().to_numpy(zero_copy_only=False)))]
-    numbered = words.filter(pa.array(real)).dictionary_encode()
-    hashes = np.array([xxhash.xxh3_64_intdigest(w) for w in numbered.dictionary.cast(pa.binary()).to_pylist()], np.uint64)
-    hashes = hashes[numbered.indices.to_numpy(zero_copy_only=False)] if len(hashes) else hashes
-    return [word_hashes(passage_words(text)) if w else hashes[low:high] for text, w, low, high in zip(texts, wide, ends, ends[1:])]
-
-
-def _breaks(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """Places (in characters) right after sentence ends and right after newlines."""
-    if not text.isascii() and (_WIDE.search(text) or _WIDE_STOP.search(text)):
-        return (np.array([f.end() for f in found.finditer(text)], np.int64) for found in (_STOP, _NEWLINE))
-    raw = np.frombuffer(text.encode(), np.uint8)
-    stops = np.flatnonzero(_STOPS[raw[:-1]] & _SPACES[raw[1:]]) + 1
-    lines = np.flatnonzero(raw == 10) + 1
-    if text.isascii():
-        return stops, lines
-    characters = np.append(0, np.cumsum((raw & 0xC0) != 0x80))
-    return characters[stops], characters[lines]
-
-
-def units(text: str, hashes: np.ndarray, line_words: int = LINE_WORDS, break_every: int = BREAK_EVERY) -> list[np.ndarray]:
-    """Columns of the sentence units in order and then of the whole lines: start, end (in characters), words before it,
-    words, whether it is a line, and the halves of the digest. ``hashes``: those of the text's words. A text without words has none."""
-    begin, _ = _word_spans(text)
-    n = len(hashes)
-    stops, lines = _breaks(text)
+def _breaks(hashes: np.ndarray, break_every: int) -> np.ndarray:
+    return mix(hashes) % np.uint64(break_every) == 0
+
+
+def _words(texts: list[bytes], break_every: int) -> Words:
+    """Words of texts without Han and kana. Arrow numbers them, each distinct word is hashed once."""
+    run = b"\n".join(texts)
+    closes = np.cumsum([len(text) + 1 for text in texts]) - 1
+    raw, folded = (np.frombuffer(x, np.uint8) for x in (run, run.translate(FOLD)))
+    inside = np.zeros(len(run) + 2, bool)
+    np.not_equal(folded, 32, out=inside[1:-1])
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    begin, size = edges[::2], edges[1::2] - edges[::2]
+    offsets = np.append(0, np.cumsum(size)).astype(np.int32)
+    letters = folded[inside[1:-1]]
+    numbered = pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(offsets), pa.py_buffer(letters)]).dictionary_encode()
+    distinct = np.array([xxhash.xxh3_64_intdigest(w) for w in numbered.dictionary.to_pylist()], np.uint64)
+    at = numbered.indices.to_numpy(zero_copy_only=False)
+    stops = np.flatnonzero(_STOPS[raw[:-1]])
+    return Words(begin, distinct[at], _breaks(distinct, break_every)[at], closes - [len(text) for text in texts], closes,
+                 stops[_SPACES[raw[stops + 1]]] + 1, np.flatnonzero(raw == 10) + 1)
+
+
+def _wide_words(text: str, break_every: int) -> Words:
+    """Words of one text in which each Han or kana character is a word."""
+    hashes = word_hashes(passage_words(text))
+    begin = np.array([found.start() for found in _WIDE_TOKEN.finditer(text)], np.int64)
+    stops, lines = (np.array([f.end() for f in found.finditer(text)], np.int64) for found in (_STOP, _NEWLINE))
+    return Words(begin, hashes, _breaks(hashes, break_every), np.array([0]), np.array([len(text)]), stops, lines)
+
+
+def _digest(words: Words, first: np.ndarray, count: np.ndarray, half: int) -> np.ndarray:
+    """One half of the 128 bits over (place, word) of every range of words."""
+    if not len(first):
+        return np.empty(0, np.uint64)
+    at = np.cumsum(count) - count
+    place = np.arange(at[-1] + count[-1]) - np.repeat(at, count)
+    keys = mix(np.arange(1, count.max() + 1, dtype=np.uint64) * _STEP)
+    hashes = words.hashes[place + np.repeat(first, count)]
+    mixed = mix(hashes * _STEP ^ mix(keys)[place]) if half else mix(hashes + keys[place])
+    return mix(np.add.reduceat(mixed, at))
+
+
+def _units(words: Words, line_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First word and number of words of the sentence units in order and then of the whole lines; the numbers of these lines."""
+    n = len(words.hashes)
     opens = np.zeros(n + 1, bool)
-    opens[0] = opens[np.searchsorted(begin, stops)] = True
-    opens[1:] |= mix(hashes) % np.uint64(break_every) == 0
+    opens[np.searchsorted(words.begin, words.opens)] = opens[np.searchsorted(words.begin, words.stops)] = True
+    opens[1:] |= words.breaks
     first = np.flatnonzero(opens[:n])
-    lines = np.concatenate([[0], lines, [len(text)]])
-    edges = np.searchsorted(begin, lines)
-    whole = np.flatnonzero(np.diff(edges) >= max(1, line_words))
-    firsts = np.concatenate([first, edges[whole]])
-    counts = np.concatenate([np.diff(first, append=n), np.diff(edges)[whole]])
-    bounds = np.append(begin, len(text))
-    starts, ends = bounds[firsts], bounds[firsts + counts]
-    starts[len(first):], ends[len(first):] = lines[whole], lines[whole + 1]
-    return [starts, ends, firsts, counts, np.arange(len(firsts)) >= len(first), *_digests(hashes, firsts, counts)]
+    edges = np.concatenate([[0], np.searchsorted(words.begin, words.lines), [n]])
+    counts = np.diff(edges)
+    whole = np.flatnonzero(counts >= max(1, line_words))
+    return np.concatenate([first, edges[whole]]), np.concatenate([np.diff(first, append=n), counts[whole]]), whole
+
+
+def _places(words: Words, first: np.ndarray, count: np.ndarray, whole: np.ndarray) -> list[np.ndarray]:
+    """Of the units: number of the text, place in it (sentence units, then lines), start, end, words of the text before it, words, whether it is a line."""
+    n = len(first) - len(whole)
+    opens = np.searchsorted(words.begin, words.opens)  # the first word of each text
+    text = np.searchsorted(opens, first, "right") - 1
+    sentence, line = text[:n], text[n:]
+    before = np.searchsorted(sentence, np.arange(len(opens) + 1))  # sentence units of the texts before each text
+    place = np.concatenate([np.arange(n) - before[sentence], np.diff(before)[line] + np.arange(len(line)) - np.searchsorted(line, line)])
+    bounds = np.append(words.begin, words.closes[-1])
+    lines = np.concatenate([[0], words.lines, words.closes[-1:]])
+    starts = np.concatenate([bounds[first[:n]], lines[whole]])
+    ends = np.concatenate([bounds[first[:n] + count[:n]], lines[whole + 1]])
+    ends[before[1:][np.diff(before) > 0] - 1] = words.closes[np.diff(before) > 0]
+    return [text, place, starts, np.minimum(ends, words.closes[text]), first - opens[text], count, np.arange(len(first)) >= n]
+
+
+def _runs(texts: list[str], break_every: int) -> Iterator[tuple[list[int], bytes | None, Words]]:
+    """The texts in runs: their numbers, the bytes of the run (None: places are characters) and its words. Texts with Han or kana
+    make runs by themselves."""
+    wide = [bool(not text.isascii() and _WIDE.search(text)) for text in texts]
+    for at, text in enumerate(texts):
+        if wide[at]:
+            yield [at], None, _wide_words(text, break_every)
+    plain = [at for at, w in enumerate(wide) if not w]
+    if plain:
+        encoded = [texts[at].encode() for at in plain]
+        yield plain, b"\n".join(encoded), _words(encoded, break_every)
 
 
 def _halves(docs: DataFrame, line_words: int, break_every: int) -> DataFrame:
     """One half of the digest of every unit: enough to find what may repeat."""
     def run(batches):
-        for batch in slices(batches, 1):
+        for batch in slices(batches, 1, RUN_BYTES):
             texts = [text for text in batch.column(1).to_pylist() if text]
-            found = [units(text, hashes, line_words, break_every)[5] for text, hashes in zip(texts, _all_hashes(texts))]
+            found = [_digest(words, *_units(words, line_words)[:2], 0) for _, _, words in _runs(texts, break_every)]
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.empty(0, np.uint64), *found]).view(np.int64))], names=["d1"])
 
     return docs.select("row", "text").mapInArrow(run, "d1 long")
@@ -146,22 +169,23 @@ HIT = "id long, row long, place int, starts int, ends int, befores int, words in
 def _hits(docs: DataFrame, often: BloomFilter, line_words: int, break_every: int) -> DataFrame:
     """The units that may repeat."""
     def run(batches):
-        for batch in slices(batches, 2):
-            parts = []
-            texts = [text or "" for text in batch.column(2).to_pylist()]
-            for doc, row, text, hashes in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), texts, _all_hashes(texts)):
-                if len(hashes):
-                    found = units(text, hashes, line_words, break_every)
-                    at = np.sort(often.probe(found[5]))
-                    if len(at):
-                        parts.append((np.full(len(at), doc or 0), np.full(len(at), doc is None), np.full(len(at), row), at, *(c[at] for c in found)))
-            if parts:
-                ids, none, *columns = (np.concatenate(c) for c in zip(*parts))
-                columns = [c.view(np.int64) if c.dtype == np.uint64 else c for c in columns]
-                names = [c.split()[0] for c in HIT.split(", ")]
-                arrays = [pa.array(c).cast(t) for c, t in zip(columns, (pa.int64(), *(pa.int32(),) * 5, pa.bool_(), pa.int64(), pa.int64()))]
-                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64(), mask=none), *arrays], names=names)
-
+        for batch in slices(batches, 2, RUN_BYTES):
+            for numbers, encoded, words in _runs([text or "" for text in batch.column(2).to_pylist()], break_every):
+                units = _units(words, line_words)
+                half = _digest(words, *units[:2], 0)
+                at = np.sort(often.probe(half))
+                if not len(at):
+                    continue
+                text, *columns = (c[at] for c in _places(words, *units))
+                if encoded is not None:  # bytes of the run to characters of the text
+                    characters = np.append(0, np.cumsum((np.frombuffer(encoded, np.uint8) & 0xC0) != 0x80, dtype=np.int32))
+                    columns[1:3] = (characters[c] - characters[words.opens[text]] for c in columns[1:3])
+                rows = pa.array(np.array(numbers)[text])
+                columns = [pa.array(c).cast(t) for c, t in zip(columns, (*(pa.int32(),) * 5, pa.bool_()))]
+                digests = [pa.array(c.view(np.int64)) for c in (half[at], _digest(words, units[0][at], units[1][at], 1))]
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(1).take(rows), *columns, *digests], names=names)
+
+    names = [c.split()[0] for c in HIT.split(", ")]
     return docs.mapInArrow(run, HIT)
 
 
