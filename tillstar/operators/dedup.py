@@ -18,15 +18,17 @@ from pyspark.sql import types as T
 
 
 def _sortable(df: DataFrame, name: str, desc: bool) -> list[Column]:
-    """Struct fields that order ``name`` with NULLs last, ascending or descending."""
+    """Struct fields that order ``name`` with NULLs last, ascending or descending; the last one holds the value (``_restored``)."""
     c = F.col(name)
     dt = df.schema[name].dataType
-    keys = [c.isNull()]
+    keys = [c.isNull()] if df.schema[name].nullable else []
     if not desc:
         keys.append(c)
         return keys
-    if isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
-        keys.append(-F.unix_micros(c.cast("timestamp")))
+    if isinstance(dt, T.TimestampNTZType):
+        keys.append(_epoch() - c)
+    elif isinstance(dt, T.TimestampType):
+        keys.append(-F.unix_micros(c))
     elif isinstance(dt, T.DateType):
         keys.append(-F.unix_date(c))
     elif isinstance(dt, (T.NumericType,)):
@@ -38,22 +40,40 @@ def _sortable(df: DataFrame, name: str, desc: bool) -> list[Column]:
     return keys
 
 
+def _restored(df: DataFrame, name: str, desc: bool, key: str) -> Column:
+    """The value of ``name`` from its order field."""
+    c = F.col(key)
+    dt = df.schema[name].dataType
+    if not desc:
+        return c
+    if isinstance(dt, T.TimestampNTZType):
+        return _epoch() - c
+    if isinstance(dt, T.TimestampType):
+        return F.timestamp_micros(-c)
+    if isinstance(dt, T.DateType):
+        return F.date_from_unix_date(-c)
+    return ~c if isinstance(dt, T.BooleanType) else -c
+
+
+def _epoch() -> Column:
+    return F.lit("1970-01-01").cast("timestamp_ntz")
+
+
 def latest_per_key(df: DataFrame, keys: list[str], order: list[tuple[str, bool]]) -> DataFrame:
     """One row per ``keys``: the first row by ``order`` = [(column, descending), ...].
 
-    Remaining ties are broken by the whole row, so the result is deterministic. A column in ascending order
-    is sent once: it is taken from the order fields.
+    Remaining ties are broken by the whole row, so the result is deterministic. An order column is sent once: it is
+    taken from the order fields.
     """
     ord_fields, carried = [], {}
     for i, (name, desc) in enumerate(order):
         for j, e in enumerate(_sortable(df, name, desc)):
             ord_fields.append(e.alias(f"_o{i}_{j}"))
-        if not desc:
-            carried.setdefault(name, f"_o{i}_{j}")
+        carried.setdefault(name, _restored(df, name, desc, f"_best._o{i}_{j}"))
     payload = [c for c in df.columns if c not in keys and c not in carried]
     row = [F.struct(*payload).alias("_row")] if payload else []
     best = F.min(F.struct(*ord_fields, *row)).alias("_best")
-    found = {c: F.col(f"_best.{carried[c]}" if c in carried else f"_best._row.{c}").alias(c) for c in df.columns if c not in keys}
+    found = {c: carried.get(c, F.col(f"_best._row.{c}")).alias(c) for c in df.columns if c not in keys}
     return df.groupBy(*keys).agg(best).select(*[found.get(c, c) for c in df.columns])
 
 

@@ -6,7 +6,8 @@ grow with the data, so they are broadcast explicitly. User, merchant and agency
 dimensions grow with the business; no hint is given for them: AQE turns the
 shuffle join into a broadcast join at run time when the materialized side is
 below ``spark.sql.adaptive.autoBroadcastJoinThreshold`` and keeps the sort-merge
-join (with skew splitting) otherwise.
+join (with skew splitting) otherwise. A load that writes the fact looks the distinct
+natural ids up first (``settle_lookups``), so that whole rows need not be shuffled for it.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from __future__ import annotations
 import datetime as _dt
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -233,21 +234,56 @@ def lookup_key(natural: str, row_id: str = "id"):
 LOOKUPS = ("user", "merchant", "agency")
 
 
+def _dimensions(user: DataFrame, merchant: DataFrame, agency: DataFrame) -> dict[str, tuple[DataFrame, str, str]]:
+    """Lookup name -> (dimension, its natural id, the staging column that holds it)."""
+    return {"user": (user.filter(F.col("is_current")), "user_id", "source_user_id"),
+            "merchant": (merchant, "merchant_id", "merchant_id"), "agency": (agency, "agency_id", "agency_id")}
+
+
+def _with_node(stg_tx: DataFrame, node: DataFrame) -> DataFrame:
+    nodes = F.broadcast(node.select(F.col("node_id").alias("_nid"), "node_key"))
+    return stg_tx.join(nodes, stg_tx["node_id"] == nodes["_nid"], "inner")
+
+
+def settle_lookups(stg_tx: DataFrame, user: DataFrame, merchant: DataFrame, agency: DataFrame, node: DataFrame,
+                   path: str, lookups: tuple[str, ...] = LOOKUPS) -> DataFrame:
+    """Look the natural ids of the staging rows up, each distinct id once, and write to ``path`` (a new one) those that do not simply
+    become the surrogate key: (lookup, id, key), where the key is NULL for an id without a member, and an id with several members has a
+    row for each.
+
+    ``build_fact(settled=...)`` joins its rows with these instead of the dimensions. The dimensions are keyed by their natural ids, so
+    these are the unknown ids: mostly few, and as the written table has a known size, Spark broadcasts them below its threshold. With
+    other surrogate keys, or very many unknown ids, the rows are shuffled as they are without it.
+    """
+    dims = _dimensions(user, merchant, agency)
+    of = {name: F.col(dims[name][2]).cast("bigint").alias(name) for name in lookups}
+    ids = (_with_node(stg_tx, node).select(*of.values()).unpivot([], list(of), "lookup", "id")
+           .filter(F.col("id").isNotNull()).distinct())
+    members = None
+    for name in lookups:
+        dim, natural, _ = dims[name]
+        part = dim.select(F.lit(name).alias("lookup"), F.col(natural).cast("bigint").alias("id"), F.col(f"{name}_key").alias("key"))
+        members = part if members is None else members.unionByName(part)
+    found = (ids.join(members, ["lookup", "id"], "left")
+             .withColumn("_members", F.count(F.lit(1)).over(Window.partitionBy("lookup", "id"))))
+    apart = found.filter(F.col("key").isNull() | (F.col("key") != F.col("id")) | (F.col("_members") > 1))
+    apart.select("lookup", "id", "key").write.mode("errorifexists").parquet(path)
+    return stg_tx.sparkSession.read.schema("lookup string, id bigint, key bigint").parquet(path)
+
+
 def build_fact(stg_tx: DataFrame, user: DataFrame, merchant: DataFrame, agency: DataFrame,
-               node: DataFrame, strategy: str = "node_a", lookups: tuple[str, ...] = LOOKUPS) -> DataFrame:
+               node: DataFrame, strategy: str = "node_a", lookups: tuple[str, ...] = LOOKUPS,
+               settled: DataFrame | None = None) -> DataFrame:
     """One fact row per staging row whose node is known (inner join on node).
 
     ``lookups`` names the dimensions whose keys the caller needs; the others are not joined, and
-    their key columns are left out.
+    their key columns are left out. ``settled`` is what ``settle_lookups`` found over the same tables.
 
     Unknown user / merchant / agency map to the -1 member. Dimension natural ids
     are non-negative, so the spread keys of ``lookup_key`` never match.
     """
-    t = stg_tx
-    dims = {"user": (user.filter(F.col("is_current")), "user_id", "source_user_id"),
-            "merchant": (merchant, "merchant_id", "merchant_id"), "agency": (agency, "agency_id", "agency_id")}
-    nodes = F.broadcast(node.select(F.col("node_id").alias("_nid"), "node_key"))
-    j = t.join(nodes, t["node_id"] == nodes["_nid"], "inner")
+    dims = _dimensions(user, merchant, agency)
+    j = _with_node(stg_tx, node)
     # Texts become typed columns before the lookups, whose shuffles so carry no more than the columns that are asked for.
     j = j.select(
         F.col("id").alias("tx_pk"),
@@ -277,25 +313,36 @@ def build_fact(stg_tx: DataFrame, user: DataFrame, merchant: DataFrame, agency:
     )
     for name in lookups:
         dim, natural, _ = dims[name]
-        keys = dim.select(F.col(natural).alias(f"_{name}"), F.col(f"{name}_key"))
+        if settled is None:
+            keys = dim.select(F.col(natural).alias(f"_{name}"), F.col(f"{name}_key"))
+        else:
+            keys = settled.filter(F.col("lookup") == name).select(F.col("id").alias(f"_{name}"), F.col("key").alias(f"{name}_key"))
         j = j.join(keys, lookup_key(f"_of_{name}", "tx_pk") == keys[f"_{name}"], "left")
+        if settled is not None:
+            j = j.withColumn(f"{name}_key", F.when(F.col(f"_{name}").isNull(), F.col(f"_of_{name}")).otherwise(F.col(f"{name}_key")))
 
+    derived = derived_columns()
     fact = j.select(
         "tx_pk",
-        F.col("tx_pk").alias("transaction_id"),
+        derived["transaction_id"].alias("transaction_id"),
         "reference",
         "idempotency_key",
-        date_key("transaction_date").alias("date_key"),
+        derived["date_key"].alias("date_key"),
         *[F.coalesce(f"{name}_key", F.lit(UNKNOWN_KEY).cast("bigint")).alias(f"{name}_key") for name in LOOKUPS if name in lookups],
         "node_key", "amount", "fee", "total_amount", "balance_before", "balance_after", "risk_score",
         "transaction_type", "status", "failure_reason", "channel", "device_type", "sync_status",
-        (F.col("sync_status") == "CONFLICT").alias("is_conflict"),
-        (F.col("sync_status") == "LAGGING").alias("is_lagging"),
-        (F.col("sync_status") == "PENDING").alias("is_pending_sync"),
+        *[derived[c].alias(c) for c in ("is_conflict", "is_lagging", "is_pending_sync")],
         "is_cross_dc", "transaction_date", "transaction_time",
-        hour_of_time_text("transaction_time").alias("tx_hour"),
+        derived["tx_hour"].alias("tx_hour"),
         "created_at", "updated_at", "completed_at", "last_synced_at",
     )
     if strategy == "exclude":
         fact = fact.filter(~F.col("is_conflict"))
     return fact
+
+
+def derived_columns() -> dict[str, Column]:
+    """The fact columns that follow from others of its row: a shuffle of whole fact rows may leave them out."""
+    sync = F.col("sync_status")
+    return {"transaction_id": F.col("tx_pk"), "date_key": date_key("transaction_date"), "is_conflict": sync == "CONFLICT",
+            "is_lagging": sync == "LAGGING", "is_pending_sync": sync == "PENDING", "tx_hour": hour_of_time_text("transaction_time")}

@@ -84,15 +84,18 @@ def fx_agency(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _versions(li: DataFrame) -> DataFrame:
-    """Transaction versions as the few columns that the others follow from (``_transactions``): these are what is shuffled."""
+    """Transaction versions as the few columns that the others follow from (``_transactions``): these are what is shuffled. The order's
+    key stands where it does not follow from ``tx_id`` and line; the line is inverted, so that versions are tied in the order of their keys."""
     ok, ln = F.col("l_orderkey"), F.col("l_linenumber")
     price = F.col("l_extendedprice")
     amount = price.cast(MONEY)
     returned = F.col("l_returnflag") == "R"
     node_amounts = (ok % 64 == 0) & (F.col("l_partkey") % 75 == 0)
+    tx_id = ok * 8 + ln
     return li.select(
-        ok, ln,
-        (ok * 8 + ln).alias("tx_id"),
+        F.when(~F.shiftright(tx_id - ln, 3).eqNullSafe(ok), ok).alias("apart_orderkey"),
+        F.when(tx_id.isNull(), ln).otherwise(F.bitwise_not(ln)).alias("line_rank"),
+        tx_id.alias("tx_id"),
         amount.alias("amount"),
         F.when((ok * 8 + ln) % 29 != 0, (amount * F.col("l_tax").cast("decimal(4,2)")).cast(MONEY)).alias("fee"),
         F.coalesce(~returned, F.lit(True)).alias("succeeded"), returned.isNull().alias("unflagged"),
@@ -114,15 +117,20 @@ TX_VERSION_ORDER = [("updated_at", True), ("l_partkey", False), ("l_suppkey", Fa
 VERSION_ORDER = [*TX_VERSION_ORDER[:-1], ("succeeded", False)]
 
 
+def _line() -> F.Column:
+    return F.when(F.col("tx_id").isNull(), F.col("line_rank")).otherwise(F.bitwise_not("line_rank"))
+
+
 def _with_orders(versions: DataFrame, orders: DataFrame) -> DataFrame:
+    order_of = F.coalesce("apart_orderkey", F.shiftright(F.col("tx_id") - _line(), 3))
     o = orders.select(F.col("o_orderkey"), F.col("o_custkey").alias("user_key"),
                       F.col("o_orderdate").cast("date").alias("transaction_date"))
-    return _transactions(versions.join(o, versions["l_orderkey"] == o["o_orderkey"]))
+    return _transactions(versions.join(o, order_of == o["o_orderkey"]))
 
 
 def _transactions(v: DataFrame) -> DataFrame:
     """All transaction columns of versions that met their order."""
-    ok, ln = F.col("l_orderkey"), F.col("l_linenumber")
+    ok, ln = F.col("o_orderkey"), _line()
     pk, sk = F.col("l_partkey"), F.col("l_suppkey")
     by_line = (F.when(ln == 1, "TRF").when(ln == 2, "DEP").when(ln == 3, "WIT").when(ln == 4, "PAY")
                .when(ln == 5, "BIL").when(ln == 6, "AIR").otherwise("SAL"))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tillstar.operators import quality
 from tillstar.operators.observed import REPORT_SCHEMA, ROWS, observed_write
 from tillstar.operators.star import (Star, build_dim_agency, build_dim_merchant, build_dim_node, build_dim_user,
-                                     build_fact, unknown_user_row)
+                                     build_fact, derived_columns, settle_lookups, unknown_user_row)
 from tillstar.plans import fixtures as fx
 from tillstar.sources import csv_staging, landing, schemas
 
@@ -36,7 +36,7 @@ def stage(spark: SparkSession, tables: dict[str, DataFrame], root: str) -> tuple
         full = df.select(*[F.col(f.name) if f.name in df.columns else F.lit(None).cast("string").alias(f.name) for f in schema.fields])
         path = f"{root}/_staging/{name}"
         unknown = {"unknown": F.sum(F.when(F.coalesce(F.col("node_id").isin(nodes), F.lit(False)), 0).otherwise(1))} if name == "transactions" else {}
-        seen = observed_write(full, lambda rows, path=path: csv_staging.write_staging_csv(rows, path), **unknown)
+        seen = observed_write(full, lambda rows, path=path: csv_staging.write_staging_csv(rows, path, compression="gzip"), **unknown)
         counts[f"stg_{name}"] = seen[ROWS]
         if unknown:
             counts["dropped_unknown_node"] = seen["unknown"]
@@ -61,9 +61,11 @@ def load_star(spark: SparkSession, sf_dir: str, out_root: str, staging: dict[str
         current = df.filter("is_current") if name == "user" else df
         quality.assert_unique(current, [NATURAL_KEYS[name]], f"dim_{name}")
 
-    fact = build_fact(stg["transactions"], *(dims[d] for d in ("user", "merchant", "agency", "node")))
+    looked_up = [dims[d] for d in ("user", "merchant", "agency", "node")]
+    fact = build_fact(stg["transactions"], *looked_up, settled=settle_lookups(stg["transactions"], *looked_up, f"{out_root}/_lookups"))
     seen = Observation()
-    landing.write_fact_layout(fact, f"{out_root}/fact", watch=lambda rows: rows.observe(seen, F.count(F.lit(1)).alias(ROWS)))
+    landing.write_fact_layout(fact, f"{out_root}/fact", watch=lambda rows: rows.observe(seen, F.count(F.lit(1)).alias(ROWS)),
+                              derived=derived_columns())
     counts["fact_transactions"] = seen.get[ROWS]
     star = read_star(spark, out_root)
     quality.assert_unique(star.fact, ["tx_pk"], "fact_transactions")

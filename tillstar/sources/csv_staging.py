@@ -11,12 +11,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
-def write_staging_csv(df: DataFrame, path: str) -> str:
-    """Write a frame as text CSV with a header (every column cast to string), Snappy-compressed: a file is what one task wrote and one
+def write_staging_csv(df: DataFrame, path: str, compression: str = "snappy") -> str:
+    """Write a frame as text CSV with a header (every column cast to string), compressed: a file is what one task wrote and one
     task reads."""
     (df.selectExpr(*[f"CAST(`{c}` AS STRING) AS `{c}`" for c in df.columns])
        .write.mode("errorifexists").option("header", True).option("nullValue", "")
-       .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).option("compression", "snappy")
+       .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).option("compression", compression)
        .csv(path))
     return path
 
