@@ -118,3 +118,9 @@ def test_the_load_looks_distinct_ids_up_and_stages_gzip_text(spark):
     assert star.fact.filter("user_key = -1").count() == star.fact.filter("tx_pk % 71 = 0").count() > 0
     files = spark.read.format("binaryFile").load(f"{root}/_staging/transactions").select("path").collect()
     assert files and all(r.path.endswith(".csv.gz") for r in files)
+
+
+def test_a_settled_star_has_the_rows_of_the_plain_one(spark):
+    settled, plain = (fx.fixture_star(spark, SF_SMALL, settle=s).fact for s in (True, False))
+    assert settled.schema.simpleString() == plain.schema.simpleString()
+    assert found(settled) == found(plain)

@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from tillstar.operators.dedup import latest_per_key
 from tillstar.operators.delta import signed
-from tillstar.operators.star import (LOOKUPS, Star, build_calendar, build_dim_node, build_fact, calendar_bounds_of, date_key)
+from tillstar.operators.star import (LOOKUPS, Star, build_calendar, build_dim_node, build_fact, calendar_bounds_of, date_key,
+                                     settle_lookups)
 from tillstar.session import fresh_path
 from tillstar.sources.tables import load
 
@@ -173,7 +174,10 @@ def stg_transactions(spark: SparkSession, sf_dir: str, dedup: bool = True) -> Da
     """fx_tx in the shape of the raw text staging table (natural ids, text values).
 
     ``dedup=False`` keeps every version (what a load without the nightly dedup sees)."""
-    t = fx_tx(spark, sf_dir) if dedup else fx_tx_raw(spark, sf_dir)
+    return _staged(spark, fx_tx(spark, sf_dir) if dedup else fx_tx_raw(spark, sf_dir))
+
+
+def _staged(spark: SparkSession, t: DataFrame) -> DataFrame:
     n = F.broadcast(fx_node(spark).select("node_key", "node_id"))
     natural = lambda c: F.when(F.col(c) != -1, _s(F.col(c)))  # noqa: E731 - -1 means "none"
     return t.join(n, "node_key").select(
@@ -206,13 +210,22 @@ def stg_transactions(spark: SparkSession, sf_dir: str, dedup: bool = True) -> Da
     )
 
 
-def fixture_star(spark: SparkSession, sf_dir: str, strategy: str = "node_a", lookups: tuple[str, ...] = LOOKUPS) -> Star:
-    """The star over the input tables; ``lookups`` names the dimension keys the fact needs."""
+def fixture_star(spark: SparkSession, sf_dir: str, strategy: str = "node_a", lookups: tuple[str, ...] = LOOKUPS,
+                 settle: bool = False) -> Star:
+    """The star over the input tables; ``lookups`` names the dimension keys the fact needs. With ``settle`` (for a fact that is
+    written) the transactions are written first and their distinct ids looked up, so that the fact rows are not shuffled for lookups."""
     user = fx_user(spark, sf_dir)
     merchant = fx_merchant(spark, sf_dir)
     agency = fx_agency(spark, sf_dir)
     node = fx_node(spark)
-    fact = build_fact(stg_transactions(spark, sf_dir), user, merchant, agency, node, strategy, lookups)
+    staged, settled = stg_transactions(spark, sf_dir), None
+    if settle:
+        path = fresh_path(spark, "settled-star")
+        tx = fx_tx(spark, sf_dir).drop("l_partkey", "l_suppkey", "l_quantity")
+        tx.write.mode("errorifexists").parquet(f"{path}/transactions")
+        staged = _staged(spark, spark.read.parquet(f"{path}/transactions"))
+        settled = settle_lookups(staged, user, merchant, agency, node, f"{path}/lookups", lookups)
+    fact = build_fact(staged, user, merchant, agency, node, strategy, lookups, settled)
     date = fx_date(spark, sf_dir)
     return Star(fact=fact, user=user, merchant=merchant, agency=agency, node=node, date=date)
 

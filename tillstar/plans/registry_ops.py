@@ -20,7 +20,7 @@ from tillstar.operators.asof import merge_asof
 from tillstar.operators.dedup import duplicate_keys, latest_per_key
 from tillstar.operators.star import (build_calendar, build_dim_agency, build_dim_merchant, build_dim_node,
                                      build_dim_user, build_fact, calendar_bounds_of, cross_dc_flag,
-                                     insert_if_absent, resolve_amount)
+                                     derived_columns, insert_if_absent, resolve_amount)
 from tillstar.plans import fixtures as fx
 from tillstar.plans import pipeline
 from tillstar.plans.oracle_fixtures import with_fixtures as W
@@ -662,8 +662,8 @@ def nightly_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
 def refresh_emptied_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ST10/S11: all rows of a month are withdrawn from the written fact; the refresh of that month reads its partition
     only and drops the gold month that came back empty."""
-    star = fx.fixture_star(spark, sf_dir)
-    root = landing.write_fact_layout(star.fact, fresh_path(spark, "refresh-fact"))
+    star = fx.fixture_star(spark, sf_dir, settle=True)
+    root = landing.write_fact_layout(star.fact, fresh_path(spark, "refresh-fact"), derived=derived_columns())
     star = star.with_fact(spark.read.parquet(root))
     gold = fresh_path(spark, "gold-emptied")
     refresh.write_gold(marts.mv_daily_kpis(star), gold)
